@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cotag.session import ensure_checkpoints
+
 #: Largest row count of a key list that may be broadcast.
 BROADCAST_ROWS = 1_000_000
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` held in a checkpoint, and its number of rows.
+
+    For key lists whose size decides a join. The checkpoint lies in the shared folder, so the
+    list is computed once, survives the loss of executors and holds no memory.
+    """
+    ensure_checkpoints(df.sparkSession)
+    held = df.checkpoint()
+    return held, held.count()
+
+
 def keep_matching(
     df: DataFrame, keys: DataFrame, on: str, key_rows: int, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:

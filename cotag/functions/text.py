@@ -9,8 +9,8 @@ from cotag.schemas import UNKNOWN
 
 # The Unicode space separators (category Zs). ``trim`` alone strips only U+0020.
 SPACE_SEPARATORS = (
-    "         "
-    "       　"
+    "\u0020\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 )
 
 

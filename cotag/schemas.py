@@ -7,8 +7,24 @@ from pyspark.sql import types as T
 UNKNOWN = "unknown"
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "boolean": T.BooleanType(),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """A schema from ``name type`` pairs; unlike DDL parsing this needs no running session."""
+    fields = []
+    for column in spec.split(", "):
+        name, type_name, *rest = column.split(" ")
+        fields.append(T.StructField(name, _TYPES[type_name], rest != ["not", "null"]))
+    return T.StructType(fields)
 
 
 #: One row per post; the key is ``post_id``.
