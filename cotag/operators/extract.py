@@ -16,6 +16,10 @@ from cotag.schemas import BATCH_COLUMNS, UNKNOWN
 # Text patterns of the page fields. Spaces, digits and word characters are the
 # Unicode ones.
 _SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\u0020\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 MENTION = r"@[\p{L}\p{N}_.]+"
 POST_URL = r"/p/([^/?#]+)/?"
 OWNER_IN_DESCRIPTION = (
@@ -138,7 +142,7 @@ def owner_id(href: Column, meta_desc: Column) -> Column:
 
 
 def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{_SPACE}+|{_SPACE}+\z", "")
+    return F.btrim(text, F.lit(_SPACES))
 
 
 def display_name(meta_title: Column, insta_id: Column) -> Column:
@@ -226,23 +230,44 @@ def business_accounts(profiles: DataFrame) -> DataFrame:
     )
 
 
+def _own_join_key(df: DataFrame) -> Column:
+    """The account to look up; ``unknown`` matches nothing, so each such row gets its own key.
+
+    Posts without a known author can be a large share of all. With keys of their own they spread
+    over all tasks of a shuffled join.
+    """
+    own = F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string"))
+    return F.when(F.col("insta_id") == UNKNOWN, own).otherwise(F.col("insta_id"))
+
+
 def drop_business(
     posts: DataFrame, profiles: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Drop posts of business accounts; a missing profile and ``unknown`` are kept.
+    """Drop posts of business accounts; a missing profile and ``unknown`` are kept."""
+    business, rows = counted(business_accounts(profiles))
+    if rows <= broadcast_rows:
+        return drop_matching(posts, business, "insta_id", rows, broadcast_rows)
+    keyed = posts.withColumn("_account", _own_join_key(posts))
+    keys = business.withColumnRenamed("insta_id", "_account")
+    return drop_matching(keyed, keys, "_account", rows, broadcast_rows).drop("_account")
 
-    Posts without a known author can be a large share of all. They match nothing, so beyond the
-    broadcast bound each takes a join key of its own and they spread over all tasks.
-    """
-    business, business_rows = counted(business_accounts(profiles))
-    if business_rows <= broadcast_rows:
-        return drop_matching(posts, business, "insta_id", business_rows, broadcast_rows)
-    own_key = F.concat(F.lit("\u0000"), F.xxhash64(*posts.columns).cast("string"))
-    keyed = posts.withColumn(
-        "_account", F.when(F.col("insta_id") == UNKNOWN, own_key).otherwise(F.col("insta_id"))
+
+def _with_business_flag(
+    pages: DataFrame, profiles: DataFrame, broadcast_rows: int
+) -> DataFrame:
+    """``_business``: whether the page's owner is a business account."""
+    business, rows = counted(business_accounts(profiles))
+    flags = business.select(F.col("insta_id").alias("_account"), F.lit(True).alias("_business"))
+    if rows <= broadcast_rows:
+        keyed, side = pages.withColumn("_account", F.col("insta_id")), F.broadcast(flags)
+    else:
+        keyed = pages.withColumn("_account", _own_join_key(pages))
+        side = flags.repartition("_account").hint("merge")
+    return (
+        keyed.join(side, "_account", "left")
+        .withColumn("_business", F.coalesce("_business", F.lit(False)))
+        .drop("_account")
     )
-    keys = business.withColumnRenamed("insta_id", "_account")
-    return drop_matching(keyed, keys, "_account", business_rows, broadcast_rows).drop("_account")
 
 
 def on_day(posts: DataFrame, target_day: str | None) -> DataFrame:
@@ -326,32 +351,49 @@ def cut_at_streak(
 # ---- the whole step ----------------------------------------------------------------------
 
 
-def page_records(fetched: DataFrame) -> DataFrame:
-    """All record fields of each fetched page, with its grid position and state.
+def dated_pages(fetched: DataFrame) -> DataFrame:
+    """Fetched pages with their ``post_date`` and whether the page failed."""
+    opened = F.coalesce(F.col("page_ok"), F.lit(True))
+    day = post_date(F.col("time_iso"), F.col("meta_desc"))
+    return fetched.withColumn("_day", day).withColumns(
+        {
+            "page_failed": ~opened
+            | (F.col("_day").isNull() & _description_date(F.col("meta_desc")).isNotNull()),
+            "post_date": F.when(opened, F.col("_day")),
+        }
+    ).drop("_day", "page_ok", "time_iso")
+
+
+def visited_pages(
+    fetched: DataFrame, target_day: str | None, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Dated pages up to the end of each grid; only days are worked out to find it."""
+    return cut_at_streak(dated_pages(fetched), target_day, broadcast_rows=broadcast_rows)
+
+
+def page_records(dated: DataFrame) -> DataFrame:
+    """All record fields of each dated page, with its grid position.
 
     Fields that others build on are columns of a first step, so each is worked out once.
     """
-    opened = F.coalesce(F.col("page_ok"), F.lit(True))
-    base = fetched.select(
+    base = dated.select(
         "brand_id",
         "brand_name",
         "grid_pos",
+        "page_failed",
+        "post_date",
         "meta_title",
-        opened.alias("_opened"),
-        post_date(F.col("time_iso"), F.col("meta_desc")).alias("_day"),
-        _description_date(F.col("meta_desc")).alias("_written"),
         owner_id(F.col("href"), F.col("meta_desc")).alias("insta_id"),
         full_link(F.col("href")).alias("full_link"),
         image_src(F.col("og_image"), F.col("images")).alias("img_src"),
         mentions(F.col("images")).alias("_tags"),
     )
-    unreadable = F.col("_day").isNull() & F.col("_written").isNotNull()
     return base.select(
         "brand_id",
         "brand_name",
         "grid_pos",
-        (~F.col("_opened") | unreadable).alias("page_failed"),
-        F.when(F.col("_opened"), F.col("_day")).alias("post_date"),
+        "page_failed",
+        "post_date",
         post_id(F.col("full_link")).alias("post_id"),
         "insta_id",
         display_name(F.col("meta_title"), F.col("insta_id")).alias("insta_name"),
@@ -362,56 +404,52 @@ def page_records(fetched: DataFrame) -> DataFrame:
     )
 
 
-def judged_records(
+def collect_posts(
     fetched: DataFrame,
-    profiles: DataFrame | None,
-    target_day: str | None,
+    profiles: DataFrame | None = None,
+    target_day: str | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Records up to the end of each grid, each with its ``outcome``."""
-    records = cut_at_streak(
-        page_records(fetched), target_day, broadcast_rows=broadcast_rows
+    """The records of one collection run, in the batch columns.
+
+    Pages of other days and failed pages are gone before any field but the day is read.
+    """
+    pages = on_day(visited_pages(fetched, target_day, broadcast_rows), target_day).filter(
+        ~F.col("page_failed") & F.col("post_date").isNotNull()
     )
-    day = F.lit(target_day).cast("date")
-    off_day = F.lit(False) if target_day is None else F.col("post_date") != day
-    business = F.lit(False)
+    records = drop_platforms(drop_self_tags(page_records(pages)))
     if profiles is not None:
-        accounts, rows = counted(business_accounts(profiles))
-        flags = accounts.withColumn("_business", F.lit(True))
-        if rows <= broadcast_rows:
-            records = records.join(F.broadcast(flags), "insta_id", "left")
-        else:
-            own_key = F.concat(F.lit("\u0000"), F.col("brand_id"), F.lit("#"), F.col("grid_pos"))
-            key = F.when(F.col("insta_id") == UNKNOWN, own_key).otherwise(F.col("insta_id"))
-            side = flags.withColumnRenamed("insta_id", "_account").repartition("_account")
-            records = (
-                records.withColumn("_account", key)
-                .join(side.hint("merge"), "_account", "left")
-                .drop("_account")
-            )
-        business = F.coalesce("_business", F.lit(False))
-    platform = F.col("insta_id").isin(*PLATFORM_ACCOUNTS)
-    own = is_self_tag(F.col("insta_id"), F.col("brand_id"))
-    return records.withColumn(
-        "outcome",
-        F.when(F.col("page_failed"), DETAIL_FAILED)
-        .when(F.col("post_date").isNull(), DATE_FAILED)
-        .when(off_day, OFF_DAY)
-        .when(own | platform | business, FILTERED)
-        .otherwise(COLLECTED),
+        records = drop_business(records, profiles, broadcast_rows)
+    return records.withColumn("post_date", F.col("post_date").cast("string")).select(
+        *BATCH_COLUMNS
     )
 
 
-def collect_posts(
-    fetched: DataFrame, profiles: DataFrame | None = None, target_day: str | None = None
+def judged_pages(
+    fetched: DataFrame,
+    profiles: DataFrame | None = None,
+    target_day: str | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """The records of one collection run, in the batch columns."""
-    judged = judged_records(fetched, profiles, target_day)
-    return (
-        judged.filter(F.col("outcome") == COLLECTED)
-        .withColumn("post_date", F.col("post_date").cast("string"))
-        .select(*BATCH_COLUMNS)
+    """Visited pages, each with its owner and its ``outcome``."""
+    day = F.lit(target_day).cast("date")
+    pages = visited_pages(fetched, target_day, broadcast_rows).select(
+        "brand_id",
+        "grid_pos",
+        "post_date",
+        owner_id(F.col("href"), F.col("meta_desc")).alias("insta_id"),
+        F.when(F.col("page_failed"), DETAIL_FAILED)
+        .when(F.col("post_date").isNull(), DATE_FAILED)
+        .when(day.isNotNull() & (F.col("post_date") != day), OFF_DAY)
+        .alias("_early"),
     )
+    own = is_self_tag(F.col("insta_id"), F.col("brand_id"))
+    unwanted = own | F.col("insta_id").isin(*PLATFORM_ACCOUNTS)
+    if profiles is not None:
+        pages = _with_business_flag(pages, profiles, broadcast_rows)
+        unwanted = unwanted | F.col("_business")
+    outcome = F.coalesce("_early", F.when(unwanted, FILTERED).otherwise(COLLECTED))
+    return pages.withColumn("outcome", outcome).drop("_early", "_business")
 
 
 def outcome_counts(judged: DataFrame) -> DataFrame:

@@ -219,8 +219,12 @@ _add(
 )
 
 
+def _page_records(f: Fixture) -> DataFrame:
+    return extract.page_records(extract.dated_pages(f.fetched()))
+
+
 def _records(*columns: str) -> Callable[[Fixture], DataFrame]:
-    return lambda f: extract.page_records(f.fetched()).select("brand_id", "grid_pos", *columns)
+    return lambda f: _page_records(f).select("brand_id", "grid_pos", *columns)
 
 
 def _add_record(name: str, *columns: str) -> None:
@@ -243,7 +247,7 @@ _add(
 )
 _add(
     "x_platform",
-    lambda f: extract.drop_platforms(extract.page_records(f.fetched())).select(
+    lambda f: extract.drop_platforms(_page_records(f)).select(
         "brand_id", "grid_pos", "insta_id"
     ),
     f"""select brand_id, grid_pos, insta_id from records
@@ -258,7 +262,7 @@ _add(
 )
 _add(
     "x_target_day",
-    lambda f: extract.on_day(extract.page_records(f.fetched()), fx.TARGET_DAY).select(
+    lambda f: extract.on_day(_page_records(f), fx.TARGET_DAY).select(
         "brand_id", "grid_pos", "post_id"
     ),
     f"select brand_id, grid_pos, post_id from records where post_date = DATE '{fx.TARGET_DAY}'",
@@ -266,7 +270,7 @@ _add(
 )
 _add(
     "x_streak_cutoff",
-    lambda f: extract.cut_at_streak(extract.page_records(f.fetched()), fx.TARGET_DAY).select(
+    lambda f: extract.visited_pages(f.fetched(), fx.TARGET_DAY).select(
         "brand_id", "grid_pos", "post_date"
     ),
     "select brand_id, grid_pos, post_date from before_end",
@@ -276,7 +280,7 @@ _add(
 _add(
     "x_outcomes",
     lambda f: extract.outcome_counts(
-        extract.judged_records(f.fetched(), f.profiles(), fx.TARGET_DAY)
+        extract.judged_pages(f.fetched(), f.profiles(), fx.TARGET_DAY)
     ),
     """select brand_id, outcome, count(*) as pages from judged
        where outcome <> 'off_day' group by all""",
