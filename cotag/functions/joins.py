@@ -28,8 +28,9 @@ def keep_matching(
     """Left semi join of ``df`` with ``keys``, which holds ``key_rows`` counted rows.
 
     A list within the bound is broadcast, so ``df`` is filtered where it is read. A longer one
-    is shuffled on its own exchange: both inputs of the sort-merge join are then plain
-    shuffles, which is what the adaptive skew-join rule needs to split a hot key of ``df``.
+    is joined by sort-merge. Give it as :func:`counted` returns it: a held list has no
+    partitioning of its own, so Spark shuffles both inputs just for this join, and that is what
+    the adaptive skew-join rule needs to split a hot key of ``df`` over several tasks.
     """
     return _matched(df, keys, on, key_rows, broadcast_rows, "left_semi")
 
@@ -47,4 +48,4 @@ def _matched(
     side = keys.select(on)
     if key_rows <= broadcast_rows:
         return df.join(F.broadcast(side), on, how)
-    return df.join(side.repartition(on).hint("merge"), on, how)
+    return df.join(side.hint("merge"), on, how)

@@ -262,7 +262,7 @@ def _with_business_flag(
         keyed, side = pages.withColumn("_account", F.col("insta_id")), F.broadcast(flags)
     else:
         keyed = pages.withColumn("_account", _own_join_key(pages))
-        side = flags.repartition("_account").hint("merge")
+        side = flags.hint("merge")
     return (
         keyed.join(side, "_account", "left")
         .withColumn("_business", F.coalesce("_business", F.lit(False)))
@@ -320,7 +320,8 @@ def streak_ends(
     )
     carried = islands.withColumn("_in", F.coalesce(F.lag("_out").over(along), F.lit(0)))
     continued = F.coalesce(
-        *(F.when(F.col("_in") == streak - k, F.col(f"_lead{k}")) for k in range(1, streak))
+        F.lit(None),
+        *(F.when(F.col("_in") == streak - k, F.col(f"_lead{k}")) for k in range(1, streak)),
     )
     return (
         carried.groupBy("brand_id")
@@ -340,7 +341,7 @@ def cut_at_streak(
     if target_day is None:
         return rows
     ends, end_rows = counted(streak_ends(rows, target_day, streak, block))
-    side = F.broadcast(ends) if end_rows <= broadcast_rows else ends.repartition("brand_id").hint("merge")
+    side = F.broadcast(ends) if end_rows <= broadcast_rows else ends.hint("merge")
     return (
         rows.join(side, "brand_id", "left")
         .filter(F.col("end_pos").isNull() | (F.col("grid_pos") < F.col("end_pos")))
