@@ -70,17 +70,28 @@ def cast_post_date(batch: DataFrame) -> DataFrame:
     return batch.withColumn("post_date", F.col("post_date").cast("date"))
 
 
-def _as_new(batch: DataFrame, now: Column) -> DataFrame:
-    return batch.select(
-        *(
-            {
-                "first_seen_at": now.alias("first_seen_at"),
-                "last_seen_at": now.alias("last_seen_at"),
-                "active": F.lit(True).alias("active"),
-            }.get(c, F.col(c))
-            for c in POST_COLUMNS
-        )
+def split_batch(
+    target: DataFrame, batch: DataFrame, batch_rows: int, broadcast_rows: int = BROADCAST_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Target keys and days the batch matches, and the batch rows that are new, typed.
+
+    The target is read for two columns. Only a new row has its date cast: a known post keeps the
+    day it has.
+    """
+    known = keep_matching(
+        target.select("post_id", "post_date"), batch, "post_id", batch_rows, broadcast_rows
     )
+    added = drop_matching(batch, known, "post_id", batch_rows, broadcast_rows)
+    return known, cast_post_date(added)
+
+
+def _as_new(added: DataFrame, now: Column) -> DataFrame:
+    stamped = {
+        "first_seen_at": now.alias("first_seen_at"),
+        "last_seen_at": now.alias("last_seen_at"),
+        "active": F.lit(True).alias("active"),
+    }
+    return added.select(*(stamped.get(c, F.col(c)) for c in POST_COLUMNS))
 
 
 def _updated(now: Column, matched: Column) -> list[Column]:
@@ -112,23 +123,21 @@ def upsert_posts(
     A batch within the broadcast bound updates the target where it is read: the large table is
     not shuffled or sorted. A larger one is a full outer sort-merge join.
     """
-    typed = cast_post_date(batch)
     if batch_rows is None:
         batch_rows = check_batch(batch).rows
     if batch_rows > broadcast_rows:
-        return _upsert_shuffled(target, typed, now)
-    new = typed.select("post_id", F.struct(*_TAKEN_FROM_BATCH).alias("_new"))
+        return _upsert_shuffled(target, batch, now)
+    new = batch.select("post_id", F.struct(*_TAKEN_FROM_BATCH).alias("_new"))
     kept = target.join(F.broadcast(new), "post_id", "left").select(
         *_updated(now, F.col("_new").isNotNull())
     )
-    known = keep_matching(target.select("post_id"), typed, "post_id", batch_rows, broadcast_rows)
-    added = drop_matching(typed, known, "post_id", batch_rows, broadcast_rows)
+    _, added = split_batch(target, batch, batch_rows, broadcast_rows)
     return kept.unionByName(_as_new(added, now))
 
 
-def _upsert_shuffled(target: DataFrame, typed: DataFrame, now: Column) -> DataFrame:
+def _upsert_shuffled(target: DataFrame, batch: DataFrame, now: Column) -> DataFrame:
     old = target.select("post_id", F.struct(*target.columns).alias("_old"))
-    new = _as_new(typed, now).select("post_id", F.struct(*POST_COLUMNS).alias("_new"))
+    new = _as_new(batch, now).select("post_id", F.struct(*POST_COLUMNS).alias("_new"))
     both = old.join(new, "post_id", "full_outer")
     in_old, in_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     from_new = {*_TAKEN_FROM_BATCH, "last_seen_at", "active"}
@@ -137,6 +146,8 @@ def _upsert_shuffled(target: DataFrame, typed: DataFrame, now: Column) -> DataFr
         if c == "post_id":
             return F.col(c)
         old_c, new_c = F.col(f"_old.{c}"), F.col(f"_new.{c}")
+        if c == "post_date":
+            new_c = new_c.cast("date")
         if c in from_new:
             return F.when(in_new, new_c).otherwise(old_c).alias(c)
         return F.when(in_old, old_c).otherwise(new_c).alias(c)

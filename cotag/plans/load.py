@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cotag.functions.joins import BROADCAST_ROWS, keep_matching
-from cotag.operators.ingest import cast_post_date, upsert_posts, validate_batch
+from cotag.functions.joins import BROADCAST_ROWS
+from cotag.operators.ingest import split_batch, upsert_posts, validate_batch
 from cotag.sources.snapshots import PostTable, Snapshot, day_of
 
 
@@ -15,14 +15,12 @@ def touched_days(
 ) -> list[str]:
     """Days that hold a post of the batch, or will hold a new one.
 
-    Reads two columns of the target. At most one row per calendar day reaches the driver.
+    At most one row per calendar day reaches the driver.
     """
-    typed = cast_post_date(batch)
-    found = keep_matching(
-        target.select("post_id", "post_date"), typed, "post_id", batch_rows, broadcast_rows
-    )
-    days = found.select("post_date").unionByName(typed.select("post_date"))
-    return [row["day"] for row in days.select(day_of(F.col("post_date")).alias("day")).distinct().collect()]
+    known, added = split_batch(target, batch, batch_rows, broadcast_rows)
+    days = known.select("post_date").unionByName(added.select("post_date"))
+    named = days.select(day_of(F.col("post_date")).alias("day")).distinct()
+    return [row["day"] for row in named.collect()]
 
 
 def load_batch(

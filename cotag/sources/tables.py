@@ -38,9 +38,13 @@ def read_post_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_post_csv(batch: DataFrame, path: str, brand_key: Column, day: Column) -> None:
-    """One folder per brand and day under ``path``; a re-run replaces just its own folders."""
+    """One folder per brand and day under ``path``; a re-run replaces just its own folders.
+
+    The rows of a folder are brought together first, so that it gets one file, or a few if large.
+    """
     (
         batch.withColumns({"brand_key": brand_key, "dt": day})
+        .hint("rebalance", "brand_key", "dt")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", True)

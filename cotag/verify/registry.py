@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cotag.functions import labels, ranking
@@ -81,10 +81,15 @@ def _add(
 _add("scan_posts", lambda f: f.posts(), "select * from posts", ("posts",), _POST_TIMES)
 
 
+def _year(post_date: Column) -> Column:
+    """First day of the year: keeps small test tables to few folders."""
+    return F.trunc(post_date.cast("date"), "year").cast("string")
+
+
 def _csv_round_trip(f: Fixture) -> DataFrame:
     folder = _scratch(f, "drops")
     batch = f.batch()
-    tables.write_post_csv(batch, folder, F.col("brand_name"), F.col("post_date"))
+    tables.write_post_csv(batch, folder, F.col("insta_name"), _year(F.col("post_date")))
     return tables.read_post_csv(f.spark, f"{folder}/*/*").select(*batch.columns)
 
 
@@ -98,7 +103,7 @@ _add(
 
 def _csv_folders(f: Fixture) -> DataFrame:
     folder = _scratch(f, "drops")
-    tables.write_post_csv(f.batch(), folder, F.col("brand_name"), F.col("post_date"))
+    tables.write_post_csv(f.batch(), folder, F.col("insta_name"), _year(F.col("post_date")))
     written = f.spark.read.csv(folder, header=True)
     return written.groupBy("brand_key", F.col("dt").cast("string").alias("dt")).agg(
         F.count(F.lit(1)).alias("posts")
@@ -108,7 +113,8 @@ def _csv_folders(f: Fixture) -> DataFrame:
 _add(
     "write_post_csv",
     _csv_folders,
-    "select brand_name as brand_key, post_date as dt, count(*) as posts from batch group by all",
+    """select insta_name as brand_key, concat(left(post_date, 4), '-01-01') as dt, count(*) as posts
+       from batch group by all""",
     ("batch",),
 )
 _add(
@@ -397,11 +403,6 @@ def _as_instants(posts: DataFrame) -> DataFrame:
     )
 
 
-def _year_start(posts: DataFrame) -> DataFrame:
-    """One day per year keeps the versions of a small table to few folders."""
-    return posts.withColumn("post_date", F.trunc("post_date", "year").cast("date"))
-
-
 _SEEN = """
 select brand_name, count(*) as posts, count(tagged_insta_id) as tagged_posts,
        count(*) filter (where insta_name = 'renamed') as renamed_posts,
@@ -431,7 +432,7 @@ def _seen(posts: DataFrame) -> DataFrame:
 
 def _first_version(f: Fixture) -> PostTable:
     table = PostTable(f.spark, _scratch(f, "raw"))
-    table.write(_year_start(_as_instants(f.posts())), table.snapshot(), [])
+    table.write(_as_instants(f.posts()).withColumn("post_date", _year(F.col("post_date")).cast("date")), table.snapshot(), [])
     return table
 
 
@@ -442,8 +443,7 @@ def _swapped(f: Fixture) -> DataFrame:
 
 
 def _batch_by_year(f: Fixture) -> DataFrame:
-    year = F.trunc(F.col("post_date").cast("date"), "year").cast("string")
-    return f.batch().withColumn("post_date", year)
+    return f.batch().withColumn("post_date", _year(F.col("post_date")))
 
 
 _add("atomic_swap", _swapped, _SEEN.format(_UPSERTED), ("posts", "batch"))

@@ -89,6 +89,15 @@ def test_upsert_rules(spark, broadcast_rows):
     assert c["active"] is True
 
 
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_only_new_posts_need_a_date(spark, broadcast_rows):
+    bad = batch(spark, "a", day="2024-13-01")
+    known = ingest.upsert_posts(target(spark, "a"), bad, now(), broadcast_rows=broadcast_rows)
+    assert known.first()["post_date"] == date(2024, 1, 1)
+    with pytest.raises(Exception, match="2024-13-01"):
+        ingest.upsert_posts(target(spark, "b"), bad, now(), broadcast_rows=broadcast_rows).collect()
+
+
 def test_upsert_twice_is_once_and_disjoint_batches_commute(spark):
     base = target(spark, "a", "b")
     one, two = batch(spark, "a", "c"), batch(spark, "b", "d", tags="@z")
