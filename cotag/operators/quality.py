@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cotag.functions.text import trim_spaces
@@ -33,15 +33,25 @@ UNIQUE = {
 }
 
 
-def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """NULLs per column in one pass over the data: (column_name, null_count)."""
-    counted = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in columns))
+def failure_counts(df: DataFrame, checks: Mapping[str, Column], label: str) -> DataFrame:
+    """Rows that meet each failing condition, all in one pass: (``label``, failures)."""
+    counted = df.agg(*(F.count_if(c).alias(f"_{i}") for i, c in enumerate(checks.values())))
     pairs = F.array(
-        *(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_count")) for c in columns)
+        *(
+            F.struct(F.lit(name).alias(label), F.col(f"_{i}").alias("failures"))
+            for i, name in enumerate(checks)
+        )
     )
     return counted.select(F.inline(pairs))
 
 
+def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """NULLs per column in one pass: (column_name, null_count)."""
+    return failure_counts(
+        df, {c: F.col(c).isNull() for c in columns}, "column_name"
+    ).withColumnRenamed("failures", "null_count")
+
+
 def null_failures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns of :func:`null_counts` that hold a NULL."""
     return null_counts(df, columns).filter("null_count > 0")
@@ -68,11 +78,19 @@ def duplicate_pairs(edges: DataFrame) -> DataFrame:
     )
 
 
+def is_blank_account() -> Column:
+    return trim_spaces(F.col("tagged_account")) == ""
+
+
+def is_without_tags() -> Column:
+    return F.col("tagged_account_count") < 1
+
+
 def blank_accounts(stage: DataFrame) -> DataFrame:
     """Stage rows whose cleaned account is empty."""
-    return stage.filter(trim_spaces(F.col("tagged_account")) == "")
+    return stage.filter(is_blank_account())
 
 
 def accounts_without_tags(cross_brand: DataFrame) -> DataFrame:
     """Accounts whose tag count is below one."""
-    return cross_brand.filter(F.col("tagged_account_count") < 1)
+    return cross_brand.filter(is_without_tags())

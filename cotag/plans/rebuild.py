@@ -81,7 +81,7 @@ class Marts:
 def expectations(
     posts: DataFrame, stage: DataFrame, built: dict[str, DataFrame]
 ) -> DataFrame:
-    """All data tests: (check_name, failures)."""
+    """All data tests: (check_name, failures). Row tests of one table share a pass over it."""
     tables = {"posts": posts, "stage": stage, **built}
 
     def counted(check: str, failing: DataFrame) -> DataFrame:
@@ -89,26 +89,24 @@ def expectations(
             F.lit(check).alias("check_name"), "failures"
         )
 
-    results = [
-        quality.null_counts(tables[name], columns).select(
-            F.concat(F.lit(f"{name}."), "column_name", F.lit(" not null")).alias("check_name"),
-            F.col("null_count").alias("failures"),
-        )
+    row_checks = {
+        name: {f"{name}.{c} not null": F.col(c).isNull() for c in columns}
         for name, columns in quality.REQUIRED.items()
+    }
+    row_checks["stage"]["stage.tagged_account not blank"] = quality.is_blank_account()
+    row_checks["cross_brand_accounts"]["cross_brand_accounts.tagged_account_count positive"] = (
+        quality.is_without_tags()
+    )
+    results = [
+        quality.failure_counts(tables[name], checks, "check_name")
+        for name, checks in row_checks.items()
     ]
     results += [
         counted(f"{name} unique {', '.join(columns)}", quality.duplicate_keys(tables[name], columns))
         for name, columns in quality.UNIQUE.items()
         if len(columns) == 1
     ]
-    results += [
-        counted("stage.tagged_account not blank", quality.blank_accounts(stage)),
-        counted("edges unique pair", quality.duplicate_pairs(tables[Marts.EDGES])),
-        counted(
-            "cross_brand_accounts.tagged_account_count positive",
-            quality.accounts_without_tags(tables["cross_brand_accounts"]),
-        ),
-    ]
+    results.append(counted("edges unique pair", quality.duplicate_pairs(tables[Marts.EDGES])))
     return reduce(DataFrame.unionByName, results)
 
 

@@ -10,10 +10,12 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cotag.functions.labels import utc_instant
 from cotag.operators.marts import account_tagged
 from cotag.operators.stage import tagged_post_rows
 from cotag.plans.rebuild import write_mart
 from cotag.session import shared_dir
+from cotag.sources.tables import scan_posts
 
 SOURCE_TABLES = ("orders", "customer", "lineitem", "part", "pages", "events")
 
@@ -205,7 +207,11 @@ class Fixture:
 
     def posts(self) -> DataFrame:
         if "posts" not in self._stored:
-            self._stored["posts"] = write_mart(self.sql(POSTS_SQL), self._folder("posts"))
+            instants = {
+                c: utc_instant(F.col(c)) for c in ("first_seen_at", "last_seen_at")
+            }
+            write_mart(self.sql(POSTS_SQL).withColumns(instants), self._folder("posts"))
+            self._stored["posts"] = scan_posts(self.spark, self._folder("posts"))
         return self._stored["posts"]
 
     def edges(self) -> DataFrame:

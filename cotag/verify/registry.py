@@ -39,20 +39,29 @@ class Query:
         return _days_as_text(self.run(Fixture.of(spark, sf_dir)))
 
 
+def _utc_text(instant: Column) -> Column:
+    """An instant as UTC wall-clock text, whatever the session zone is."""
+    wall_clock = instant.cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), wall_clock).cast("string")
+
+
 def _days_as_text(df: DataFrame) -> DataFrame:
     """Days and times as text, so that any client prints both engines' results alike."""
+    shown = {
+        "date": lambda c: c.cast("string"),
+        "timestamp": _utc_text,
+        "timestamp_ntz": lambda c: c.cast("string"),
+    }
     return df.select(
         *(
-            F.col(f.name).cast("string").alias(f.name)
-            if f.dataType.typeName() in ("date", "timestamp", "timestamp_ntz")
-            else F.col(f.name)
+            shown.get(f.dataType.typeName(), lambda c: c)(F.col(f.name)).alias(f.name)
             for f in df.schema
         )
     )
 
 
-def _literal_time(text: str, kind: str = "timestamp_ntz"):
-    return F.lit(text).cast(kind)
+def _instant(text: str) -> Column:
+    return F.lit(f"{text}Z").cast("timestamp")
 
 
 def _audience(f: Fixture) -> Audience:
@@ -158,16 +167,44 @@ _add(
 def _rebuilt(f: Fixture) -> DataFrame:
     store = Marts(f.spark, _scratch(f, "marts"))
     store.rebuild(f.posts(), check=False)
-    return store.read("cross_brand_accounts").join(
-        store.read("account_tagged_accounts").select("insta_id", "tagged_account"), "insta_id"
-    ).groupBy("insta_id", "tagged_account_count").agg(F.count("tagged_account").alias("edges"))
+
+    def rows(name: str, key: Column, value: str) -> DataFrame:
+        return store.read(name).select(
+            F.lit(name).alias("mart"), key.alias("row_key"), F.col(value).alias("row_value")
+        )
+
+    return (
+        rows(
+            "account_tagged_accounts",
+            F.concat_ws(" ", "insta_id", "tagged_account"),
+            "tagged_post_count",
+        )
+        .unionByName(rows("cross_brand_accounts", F.col("insta_id"), "tagged_account_count"))
+        .unionByName(
+            rows(
+                "mart_brand_monthly_tagging",
+                F.concat_ws(" ", "tagged_account", "month"),
+                "post_count",
+            )
+        )
+        .unionByName(rows("mart_co_brand_stats", F.col("tagged_account"), "tagger_count"))
+    )
 
 
 _add(
     "materialize_mart",
     _rebuilt,
-    "select insta_id, count(*) as tagged_account_count, count(*) as edges from edges group by insta_id",
-    ("edges",),
+    """select 'account_tagged_accounts' as mart, concat_ws(' ', insta_id, tagged_account) as row_key,
+              tagged_post_count as row_value from edges
+       union all
+       select 'cross_brand_accounts', insta_id, tagged_account_count from cross_brand
+       union all
+       select 'mart_brand_monthly_tagging', concat_ws(' ', tagged_account, cast(month as varchar)),
+              post_count from monthly
+       union all
+       select 'mart_co_brand_stats', tagged_account, count(distinct insta_id)
+       from edges group by tagged_account""",
+    ("edges", "cross_brand", "monthly"),
 )
 _add(
     "run_sql",
@@ -373,7 +410,7 @@ from posts p full join batch b on b.post_id = p.post_id
 """
 _add(
     "upsert_posts",
-    lambda f: ingest.upsert_posts(f.posts(), f.batch(), _literal_time(fx.LOADED_AT)),
+    lambda f: ingest.upsert_posts(f.posts(), f.batch(), _instant(fx.LOADED_AT)),
     _UPSERTED,
     ("posts", "batch"),
     _POST_TIMES,
@@ -381,7 +418,7 @@ _add(
 _add(
     "upsert_posts_shuffled",
     lambda f: ingest.upsert_posts(
-        f.posts(), f.batch(), _literal_time(fx.LOADED_AT), broadcast_rows=0
+        f.posts(), f.batch(), _instant(fx.LOADED_AT), broadcast_rows=0
     ),
     _UPSERTED,
     ("posts", "batch"),
@@ -396,13 +433,6 @@ _add(
 )
 
 
-def _as_instants(posts: DataFrame) -> DataFrame:
-    """The fixture's zone-less times as the instants of the raw table."""
-    return posts.withColumns(
-        {c: labels.utc_instant(F.col(c)) for c in ("first_seen_at", "last_seen_at")}
-    )
-
-
 _SEEN = """
 select brand_name, count(*) as posts, count(tagged_insta_id) as tagged_posts,
        count(*) filter (where insta_name = 'renamed') as renamed_posts,
@@ -413,32 +443,24 @@ from ({}) group by brand_name
 
 
 def _seen(posts: DataFrame) -> DataFrame:
-    def clock(c: str):
-        seconds = F.unix_seconds(c)
-        day = F.date_from_unix_date(F.floor(seconds / 86_400).cast("int"))
-        rest = F.pmod(seconds, F.lit(86_400))
-        hour = F.lpad(F.floor(rest / 3_600).cast("string"), 2, "0")
-        minute = F.lpad(F.floor(rest / 60 % 60).cast("string"), 2, "0")
-        return F.concat(day.cast("string"), F.lit(" "), hour, F.lit(":"), minute, F.lit(":00"))
-
     return posts.groupBy("brand_name").agg(
         F.count(F.lit(1)).alias("posts"),
         F.count("tagged_insta_id").alias("tagged_posts"),
         F.count_if(F.col("insta_name") == "renamed").alias("renamed_posts"),
-        F.min(clock("first_seen_at")).alias("first_seen"),
-        F.max(clock("last_seen_at")).alias("last_seen"),
+        _utc_text(F.min("first_seen_at")).alias("first_seen"),
+        _utc_text(F.max("last_seen_at")).alias("last_seen"),
     )
 
 
 def _first_version(f: Fixture) -> PostTable:
     table = PostTable(f.spark, _scratch(f, "raw"))
-    table.write(_as_instants(f.posts()).withColumn("post_date", _year(F.col("post_date")).cast("date")), table.snapshot(), [])
+    table.write(f.posts().withColumn("post_date", _year(F.col("post_date")).cast("date")), table.snapshot(), [])
     return table
 
 
 def _swapped(f: Fixture) -> DataFrame:
     table = _first_version(f)
-    load_batch(table, _batch_by_year(f), _literal_time(f"{fx.LOADED_AT}Z", "timestamp"))
+    load_batch(table, _batch_by_year(f), _instant(fx.LOADED_AT))
     return _seen(table.read())
 
 
@@ -739,17 +761,13 @@ _add(
 )
 
 
-def _now():
-    return _literal_time(f"{fx.NOW}Z", "timestamp")
-
-
 _add(
     "freshness_tone",
     lambda f: freshness.freshness(f.posts().groupBy("insta_id"))
     .select(
         "insta_id",
         labels.freshness_tone(
-            labels.utc_instant(F.col("last_loaded_at")), F.col("latest_post_date"), _now()
+            F.col("last_loaded_at"), F.col("latest_post_date"), _instant(fx.NOW)
         ).alias("tone"),
     ),
     f"""select insta_id, case
@@ -765,7 +783,7 @@ _add(
     "age_bucket",
     lambda f: f.posts().select(
         "post_id",
-        labels.age_bucket(labels.utc_instant(F.col("last_seen_at")), _now()).alias("age"),
+        labels.age_bucket(F.col("last_seen_at"), _instant(fx.NOW)).alias("age"),
     ),
     f"""select post_id, case when hours < 1 then '{labels.AGE_NOW}'
                when hours < 24 then cast(floor(hours) as bigint) || '{labels.AGE_HOURS}'
@@ -823,9 +841,9 @@ _add(
     "date_label",
     lambda f: f.posts().select(
         "post_id",
-        labels.date_label(F.when(F.col("tagged_insta_id_cnt") > 0, F.col("last_seen_at"))).alias(
-            "label"
-        ),
+        labels.date_label(
+            F.when(F.col("tagged_insta_id_cnt") > 0, _utc_text(F.col("last_seen_at")))
+        ).alias("label"),
     ),
     """select post_id, case when tagged_insta_id_cnt > 0 then strftime(last_seen_at, '%Y-%m-%d')
                             else '-' end as label from posts""",
