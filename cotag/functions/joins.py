@@ -2,50 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cotag.session import ensure_checkpoints
 
-#: Largest row count of a key list that may be broadcast.
+#: Bounds within which a side may be broadcast; both must hold.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """``df`` held in a checkpoint, and its number of rows.
+@dataclass(frozen=True)
+class Side:
+    """One side of a join with its measured size, or an upper bound of it."""
 
-    For key lists whose size decides a join. The checkpoint lies in the shared folder, so the
-    list is computed once, survives the loss of executors and holds no memory.
-    """
-    ensure_checkpoints(df.sparkSession)
-    held = df.checkpoint()
-    return held, held.count()
+    df: DataFrame
+    rows: int
+    text_bytes: int
 
+    def fits(self, broadcast_rows: int = BROADCAST_ROWS) -> bool:
+        return self.rows <= broadcast_rows and self.text_bytes <= BROADCAST_BYTES
+
+    def prepared(self, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+        """The side with the join hint its size calls for.
+
+        Beyond the bounds that is a sort-merge join. A held side has no partitioning of its own,
+        so Spark shuffles both inputs just for this join, and that is what the adaptive skew-join
+        rule needs to split a hot key of the other side over several tasks.
+        """
+        return F.broadcast(self.df) if self.fits(broadcast_rows) else self.df.hint("merge")
 
-def keep_matching(
-    df: DataFrame, keys: DataFrame, on: str, key_rows: int, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Left semi join of ``df`` with ``keys``, which holds ``key_rows`` counted rows.
 
-    A list within the bound is broadcast, so ``df`` is filtered where it is read. A longer one
-    is joined by sort-merge. Give it as :func:`counted` returns it: a held list has no
-    partitioning of its own, so Spark shuffles both inputs just for this join, and that is what
-    the adaptive skew-join rule needs to split a hot key of ``df`` over several tasks.
+def text_bytes(columns: list[str]) -> Column:
+    """Bytes of text in ``columns`` of a row."""
+    sizes = (F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in columns)
+    return reduce(add, sizes, F.lit(0).cast("bigint"))
+
+
+def held(df: DataFrame) -> Side:
+    """``df`` in a checkpoint, with its size.
+
+    For lists whose size decides a join. The checkpoint lies in the shared folder, so the list is
+    computed once, survives the loss of executors and holds no memory.
     """
-    return _matched(df, keys, on, key_rows, broadcast_rows, "left_semi")
+    ensure_checkpoints(df.sparkSession)
+    kept = df.checkpoint()
+    texts = [f.name for f in df.schema if f.dataType.typeName() == "string"]
+    size = kept.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(text_bytes(texts)), F.lit(0)).alias("bytes"),
+    ).first()
+    return Side(kept, size["rows"], size["bytes"])
 
 
-def drop_matching(
-    df: DataFrame, keys: DataFrame, on: str, key_rows: int, broadcast_rows: int = BROADCAST_ROWS
+def keep_matching(
+    df: DataFrame, side: Side, on: str, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Left anti join, planned like :func:`keep_matching`."""
-    return _matched(df, keys, on, key_rows, broadcast_rows, "left_anti")
+    """Rows of ``df`` whose ``on`` occurs in ``side``."""
+    return df.join(side.prepared(broadcast_rows).select(on), on, "left_semi")
 
 
-def _matched(
-    df: DataFrame, keys: DataFrame, on: str, key_rows: int, broadcast_rows: int, how: str
+def drop_matching(
+    df: DataFrame, side: Side, on: str, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    side = keys.select(on)
-    if key_rows <= broadcast_rows:
-        return df.join(F.broadcast(side), on, how)
-    return df.join(side.hint("merge"), on, how)
+    """Rows of ``df`` whose ``on`` does not occur in ``side``."""
+    return df.join(side.prepared(broadcast_rows).select(on), on, "left_anti")

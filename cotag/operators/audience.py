@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cotag.functions.joins import BROADCAST_ROWS, counted, keep_matching
+from cotag.functions.joins import BROADCAST_ROWS, Side, held, keep_matching
 from cotag.functions.text import known_name
 
 
@@ -49,8 +49,8 @@ def selected_accounts(edges: DataFrame, brands: Sequence[str]) -> DataFrame:
 class Audience:
     """One selection, computed once and shared by the figures, lists and rankings over it.
 
-    ``totals`` holds :func:`brand_totals` and ``size`` its rows (a NULL account counts as one);
-    the size decides whether the ids may be broadcast.
+    ``totals`` holds :func:`brand_totals` and ``size`` its rows (a NULL account counts as one).
+    The measured size decides whether the ids may be broadcast.
     """
 
     def __init__(
@@ -59,7 +59,8 @@ class Audience:
         self.brands = require_brands(brands)
         self.edges = edges
         self.broadcast_rows = broadcast_rows
-        self.totals, self.size = counted(brand_totals(edges, self.brands))
+        self._side = held(brand_totals(edges, self.brands))
+        self.totals, self.size = self._side.df, self._side.rows
 
     @property
     def accounts(self) -> DataFrame:
@@ -68,9 +69,8 @@ class Audience:
 
     def members_of(self, df: DataFrame) -> DataFrame:
         """Rows of ``df`` whose ``insta_id`` is selected."""
-        return keep_matching(
-            df, self.accounts, "insta_id", self.size, self.broadcast_rows
-        )
+        ids = Side(self.accounts.select("insta_id"), self.size, self._side.text_bytes)
+        return keep_matching(df, ids, "insta_id", self.broadcast_rows)
 
     def other_edges(self) -> DataFrame:
         """Edges from selected accounts to accounts outside the brand list."""

@@ -7,10 +7,12 @@ Input ``profiles``: ``insta_id, body_text``.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cotag.functions.joins import BROADCAST_ROWS, counted, drop_matching
+from cotag.functions.joins import BROADCAST_ROWS, drop_matching, held
 from cotag.schemas import BATCH_COLUMNS, UNKNOWN
 
 # Text patterns of the page fields. Spaces, digits and word characters are the
@@ -244,27 +246,24 @@ def drop_business(
     posts: DataFrame, profiles: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Drop posts of business accounts; a missing profile and ``unknown`` are kept."""
-    business, rows = counted(business_accounts(profiles))
-    if rows <= broadcast_rows:
-        return drop_matching(posts, business, "insta_id", rows, broadcast_rows)
+    business = held(business_accounts(profiles))
+    if business.fits(broadcast_rows):
+        return drop_matching(posts, business, "insta_id", broadcast_rows)
     keyed = posts.withColumn("_account", _own_join_key(posts))
-    keys = business.withColumnRenamed("insta_id", "_account")
-    return drop_matching(keyed, keys, "_account", rows, broadcast_rows).drop("_account")
+    keys = replace(business, df=business.df.withColumnRenamed("insta_id", "_account"))
+    return drop_matching(keyed, keys, "_account", broadcast_rows).drop("_account")
 
 
 def _with_business_flag(
     pages: DataFrame, profiles: DataFrame, broadcast_rows: int
 ) -> DataFrame:
     """``_business``: whether the page's owner is a business account."""
-    business, rows = counted(business_accounts(profiles))
-    flags = business.select(F.col("insta_id").alias("_account"), F.lit(True).alias("_business"))
-    if rows <= broadcast_rows:
-        keyed, side = pages.withColumn("_account", F.col("insta_id")), F.broadcast(flags)
-    else:
-        keyed = pages.withColumn("_account", _own_join_key(pages))
-        side = flags.hint("merge")
+    business = held(business_accounts(profiles))
+    flags = business.df.select(F.col("insta_id").alias("_account"), F.lit(True).alias("_business"))
+    spread = not business.fits(broadcast_rows)
+    keyed = pages.withColumn("_account", _own_join_key(pages) if spread else F.col("insta_id"))
     return (
-        keyed.join(side, "_account", "left")
+        keyed.join(replace(business, df=flags).prepared(broadcast_rows), "_account", "left")
         .withColumn("_business", F.coalesce("_business", F.lit(False)))
         .drop("_account")
     )
@@ -340,10 +339,9 @@ def cut_at_streak(
     """Rows in front of each brand's streak of older posts."""
     if target_day is None:
         return rows
-    ends, end_rows = counted(streak_ends(rows, target_day, streak, block))
-    side = F.broadcast(ends) if end_rows <= broadcast_rows else ends.hint("merge")
+    ends = held(streak_ends(rows, target_day, streak, block))
     return (
-        rows.join(side, "brand_id", "left")
+        rows.join(ends.prepared(broadcast_rows), "brand_id", "left")
         .filter(F.col("end_pos").isNull() | (F.col("grid_pos") < F.col("end_pos")))
         .drop("end_pos")
     )

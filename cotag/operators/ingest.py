@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cotag.functions.joins import BROADCAST_ROWS, drop_matching, keep_matching
+from cotag.functions.joins import (
+    BROADCAST_ROWS,
+    Side,
+    drop_matching,
+    keep_matching,
+    text_bytes,
+)
 from cotag.functions.text import is_blank
 from cotag.schemas import POST_COLUMNS
 
@@ -26,6 +32,8 @@ class BatchChecks:
     rows: int
     duplicate_keys: int
     blank_keys: int
+    #: Text an upsert carries: the keys and the columns a known post takes over.
+    text_bytes: int
 
 
 def duplicate_post_ids(batch: DataFrame) -> DataFrame:
@@ -41,14 +49,18 @@ def blank_post_ids(batch: DataFrame) -> DataFrame:
 
 
 def check_batch(batch: DataFrame) -> BatchChecks:
-    """Row count, duplicate keys and blank keys in one shuffled pass."""
-    per_key = batch.groupBy("post_id").agg(F.count(F.lit(1)).alias("n"))
+    """Row count, duplicate keys, blank keys and size in one shuffled pass."""
+    carried = ["post_id", *(c for c in _TAKEN_FROM_BATCH if c in batch.columns)]
+    per_key = batch.groupBy("post_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(text_bytes(carried)).alias("bytes")
+    )
     found = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.count_if(F.col("n") > 1).alias("duplicates"),
         F.coalesce(F.sum(F.when(is_blank(F.col("post_id")), F.col("n"))), F.lit(0)).alias("blank"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
     ).first()
-    return BatchChecks(found["rows"], found["duplicates"], found["blank"])
+    return BatchChecks(found["rows"], found["duplicates"], found["blank"], found["bytes"])
 
 
 def validate_batch(batch: DataFrame) -> BatchChecks:
@@ -71,17 +83,19 @@ def cast_post_date(batch: DataFrame) -> DataFrame:
 
 
 def split_batch(
-    target: DataFrame, batch: DataFrame, batch_rows: int, broadcast_rows: int = BROADCAST_ROWS
+    target: DataFrame,
+    batch: DataFrame,
+    checks: BatchChecks,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Target keys and days the batch matches, and the batch rows that are new, typed.
 
-    The target is read for two columns. Only a new row has its date cast: a known post keeps the
-    day it has.
+    The target is read for two columns, and as its key is unique it matches no more keys than
+    the batch has. Only a new row has its date cast: a known post keeps the day it has.
     """
-    known = keep_matching(
-        target.select("post_id", "post_date"), batch, "post_id", batch_rows, broadcast_rows
-    )
-    added = drop_matching(batch, known, "post_id", batch_rows, broadcast_rows)
+    keys = Side(batch, checks.rows, checks.text_bytes)
+    known = keep_matching(target.select("post_id", "post_date"), keys, "post_id", broadcast_rows)
+    added = drop_matching(batch, replace(keys, df=known), "post_id", broadcast_rows)
     return known, cast_post_date(added)
 
 
@@ -111,7 +125,7 @@ def upsert_posts(
     target: DataFrame,
     batch: DataFrame,
     now: Column,
-    batch_rows: int | None = None,
+    checks: BatchChecks | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``target`` after the batch, matched on ``post_id``.
@@ -120,18 +134,21 @@ def upsert_posts(
     image, day and ``first_seen_at``; a NULL of the batch overwrites. Other posts stay as they
     are, new ones are added.
 
-    A batch within the broadcast bound updates the target where it is read: the large table is
+    A batch within the broadcast bounds updates the target where it is read: the large table is
     not shuffled or sorted. A larger one is a full outer sort-merge join.
     """
-    if batch_rows is None:
-        batch_rows = check_batch(batch).rows
-    if batch_rows > broadcast_rows:
+    checks = checks or check_batch(batch)
+    new = Side(
+        batch.select("post_id", F.struct(*_TAKEN_FROM_BATCH).alias("_new")),
+        checks.rows,
+        checks.text_bytes,
+    )
+    if not new.fits(broadcast_rows):
         return _upsert_shuffled(target, batch, now)
-    new = batch.select("post_id", F.struct(*_TAKEN_FROM_BATCH).alias("_new"))
-    kept = target.join(F.broadcast(new), "post_id", "left").select(
+    kept = target.join(new.prepared(broadcast_rows), "post_id", "left").select(
         *_updated(now, F.col("_new").isNotNull())
     )
-    _, added = split_batch(target, batch, batch_rows, broadcast_rows)
+    _, added = split_batch(target, batch, checks, broadcast_rows)
     return kept.unionByName(_as_new(added, now))
 
 

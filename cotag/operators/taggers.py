@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cotag.functions.joins import keep_matching
+from cotag.functions.joins import held, keep_matching
 from cotag.functions.ranking import page_offset, rank_page, rank_top
 from cotag.functions.sections import list_section, object_section
 from cotag.functions.text import known_name
@@ -108,14 +108,14 @@ def tagger_list_exact(
     accounts = audience.accounts.select(
         "insta_id", _or_id(F.col("known_name")).alias("insta_name"), "tag_count", "latest_tag_date"
     )
-    page = rank_page(accounts, _list_order(), limit, offset)
+    page = held(rank_page(accounts, _list_order(), limit, offset))
     outside = audience.edges.filter(~F.col("tagged_account").isin(audience.brands))
     others = (
-        keep_matching(outside, page, "insta_id", limit, audience.broadcast_rows)
+        keep_matching(outside, page, "insta_id", audience.broadcast_rows)
         .groupBy("insta_id")
         .agg(F.count(F.lit(1)).alias("other_brand_count"))
     )
-    return page.join(others, "insta_id", "left").select(
+    return page.df.join(others, "insta_id", "left").select(
         "rank",
         "insta_id",
         "insta_name",

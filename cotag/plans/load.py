@@ -6,18 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cotag.functions.joins import BROADCAST_ROWS
-from cotag.operators.ingest import split_batch, upsert_posts, validate_batch
+from cotag.operators.ingest import BatchChecks, split_batch, upsert_posts, validate_batch
 from cotag.sources.snapshots import PostTable, Snapshot, day_of
 
 
 def touched_days(
-    target: DataFrame, batch: DataFrame, batch_rows: int, broadcast_rows: int = BROADCAST_ROWS
+    target: DataFrame, batch: DataFrame, checks: BatchChecks, broadcast_rows: int = BROADCAST_ROWS
 ) -> list[str]:
     """Days that hold a post of the batch, or will hold a new one.
 
     At most one row per calendar day reaches the driver.
     """
-    known, added = split_batch(target, batch, batch_rows, broadcast_rows)
+    known, added = split_batch(target, batch, checks, broadcast_rows)
     days = known.select("post_date").unionByName(added.select("post_date"))
     named = days.select(day_of(F.col("post_date")).alias("day")).distinct()
     return [row["day"] for row in named.collect()]
@@ -38,7 +38,7 @@ def load_batch(
     base = table.snapshot()
     if source is not None and base.source == source:
         return base
-    rows = validate_batch(batch).rows
-    days = touched_days(table.read(base), batch, rows, broadcast_rows)
-    updated = upsert_posts(table.read(base, days), batch, now, rows, broadcast_rows)
+    checks = validate_batch(batch)
+    days = touched_days(table.read(base), batch, checks, broadcast_rows)
+    updated = upsert_posts(table.read(base, days), batch, now, checks, broadcast_rows)
     return table.write(updated, base, days, source)

@@ -175,8 +175,8 @@ def _filled(sql: str, dialect: dict[str, str], tables: dict[str, str]) -> str:
 class Fixture:
     """Derived tables for one data folder and one Spark application.
 
-    ``posts`` and ``edges`` are tables in the engine, so they are written once to the shared
-    folder and read back; all others are lazy.
+    ``posts``, ``edges`` and ``fetched`` are tables in the engine, so they are written once to the
+    shared folder and read back; all others are lazy.
     """
 
     _open: dict[tuple[str, str], Fixture] = {}
@@ -240,12 +240,16 @@ class Fixture:
         return self.sql(GRIDS_SQL)
 
     def fetched(self) -> DataFrame:
-        images = F.array(
-            F.struct(F.col("alt1").alias("alt"), F.col("src1").alias("src")),
-            F.struct(F.col("alt2").alias("alt"), F.col("src2").alias("src")),
-        )
-        return (
-            self.sql(FETCHED_SQL)
-            .withColumn("images", images)
-            .drop("alt1", "src1", "alt2", "src2")
-        )
+        if "fetched" not in self._stored:
+            images = F.array(
+                F.struct(F.col("alt1").alias("alt"), F.col("src1").alias("src")),
+                F.struct(F.col("alt2").alias("alt"), F.col("src2").alias("src")),
+            )
+            pages = self.sql(FETCHED_SQL).withColumn("images", images)
+            self._stored["fetched"] = write_mart(
+                pages.drop("alt1", "src1", "alt2", "src2"),
+                self._folder("fetched"),
+                "brand_id",
+                "grid_pos",
+            )
+        return self._stored["fetched"]

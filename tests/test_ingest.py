@@ -112,7 +112,9 @@ def test_upsert_twice_is_once_and_disjoint_batches_commute(spark):
 
 
 def test_small_batch_does_not_shuffle_the_target(spark):
-    plan = ingest.upsert_posts(target(spark, "a"), batch(spark, "a"), now(), batch_rows=1)
+    plan = ingest.upsert_posts(target(spark, "a"), batch(spark, "a"), now())
+    big = ingest.check_batch(batch(spark, "a", tags="x" * 1000))
+    assert big.text_bytes == len("a" + "acc2" + "New" + "0") + 1000
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in text
     assert "hashpartitioning" not in text

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cotag.functions import labels
-from cotag.functions.joins import counted, keep_matching
+from cotag.functions.joins import held, keep_matching
 from cotag.functions.ranking import page_count, page_offset, rank_all, rank_page
 from cotag.operators import co_brands, quality, taggers
 from cotag.operators.audience import Audience, selected_accounts
@@ -201,8 +201,9 @@ def test_long_key_lists_split_a_hot_key(spark):
             F.md5(F.col("id").cast("string")).alias("payload"),
         )
         listed = spark.createDataFrame([("hot",), ("1",), ("2",)], "insta_id string")
-        keys, rows = counted(listed.distinct())
-        kept = keep_matching(df, keys, "insta_id", rows, broadcast_rows=0)
+        keys = held(listed.distinct())
+        assert (keys.rows, keys.text_bytes) == (3, 5)
+        kept = keep_matching(df, keys, "insta_id", broadcast_rows=0)
         assert kept.agg(F.count("payload")).first()[0] == n // 3 + 2
         query = kept.groupBy("payload").count()
         query.collect()
