@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cotag.operators import marts, quality
 from cotag.operators.stage import tagged_post_rows
+from cotag.sources.tables import bloom_options
 from cotag.sources.versions import Versions
 
 STAGE_VIEW = "group_by_tagged_post"
@@ -26,15 +27,19 @@ def stage_view(posts: DataFrame, name: str = STAGE_VIEW) -> DataFrame:
     return stage
 
 
-def write_mart(df: DataFrame, path: str, *cluster: str) -> DataFrame:
+def write_mart(df: DataFrame, path: str, *cluster: str, lookup: str | None = None) -> DataFrame:
     """Store a mart, range-clustered by the columns its readers filter on.
 
     Range partitions split a hot first column by the second one, and row groups of one brand lie
-    together, so a brand filter skips the others.
+    together, so a brand filter skips the others. ``lookup`` names a column that is searched for
+    single values: its Bloom filters let such a search skip row groups.
     """
     if cluster:
         df = df.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    if lookup:
+        writer = writer.options(**bloom_options(lookup))
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -67,7 +72,11 @@ class Marts:
         number = self._versions.last()[0] + 1
         folder = self._versions.new_folder(number)
         edges = write_mart(
-            marts.account_tagged(posts), f"{folder}/{self.EDGES}", "tagged_account", "insta_id"
+            marts.account_tagged(posts),
+            f"{folder}/{self.EDGES}",
+            "tagged_account",
+            "insta_id",
+            lookup="insta_id",
         )
         built = {self.EDGES: edges}
         for name, (build, cluster) in self.BUILDERS.items():

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cotag.schemas import POST_COLUMNS, POSTS
+from cotag.sources.tables import bloom_options
 from cotag.sources.versions import Versions
 
 DAY = "post_day"
@@ -57,7 +58,8 @@ class PostTable:
         """Commit ``rows`` on top of ``base`` in place of the days ``replaced``.
 
         The rebalance hint lets adaptive execution split a day with very many posts over
-        several tasks and put small days together.
+        several tasks and put small days together. Bloom filters serve the search for one
+        account's posts.
         """
         number = base.number + 1
         folder = self._versions.new_folder(number)
@@ -65,6 +67,7 @@ class PostTable:
             rows.select(*POST_COLUMNS, day_of(F.col("post_date")).alias(DAY))
             .hint("rebalance", DAY)
             .write.partitionBy(DAY)
+            .options(**bloom_options("insta_id"))
             .parquet(folder)
         )
         written = [name.removeprefix(f"{DAY}=") for name in self._versions.children(folder)]

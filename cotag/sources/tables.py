@@ -28,6 +28,12 @@ def scan_posts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(POSTS).parquet(path)
 
 
+def bloom_options(*columns: str) -> dict[str, str]:
+    """Parquet options for Bloom filters on ``columns``, sized to what a row group holds."""
+    chosen = {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+    return {"parquet.bloom.filter.adaptive.enabled": "true", **chosen}
+
+
 def read_post_csv(spark: SparkSession, path: str) -> DataFrame:
     """Batch files with a header, with or without a byte-order mark.
 

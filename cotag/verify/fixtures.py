@@ -217,7 +217,11 @@ class Fixture:
     def edges(self) -> DataFrame:
         if "edges" not in self._stored:
             self._stored["edges"] = write_mart(
-                account_tagged(self.posts()), self._folder("edges"), "tagged_account", "insta_id"
+                account_tagged(self.posts()),
+                self._folder("edges"),
+                "tagged_account",
+                "insta_id",
+                lookup="insta_id",
             )
         return self._stored["edges"]
 

@@ -19,8 +19,12 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
 def test_query_equals_oracle(spark, con, sf_dir, name):
-    names, got = spark_rows(entry_module.queries()[name](spark, sf_dir))
+    df = entry_module.queries()[name](spark, sf_dir)
+    names, got = spark_rows(df)
     assert sum(got.values()) > 0
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
+        assert unwanted not in plan
     if name in ORACLES:
         want_names, want = duck_rows(con, ORACLES[name])
         assert names == want_names
