@@ -6,10 +6,10 @@ shuffle carries all rows of one account or one tagged account to one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cotag.functions.text import best_name
+from cotag.functions.text import best_name, known_name
 from cotag.operators.stage import distinct_tags
 
 #: Leading characters of a tagged account that split the long lists of one account.
@@ -29,7 +29,7 @@ def account_tagged_from_stage(stage: DataFrame) -> DataFrame:
     return _edges(stage, F.count_distinct("post_id"))
 
 
-def _edges(rows: DataFrame, posts) -> DataFrame:
+def _edges(rows: DataFrame, posts: Column) -> DataFrame:
     return (
         rows.groupBy("insta_id", "tagged_account")
         .agg(
@@ -58,7 +58,7 @@ def cross_brand_accounts(edges: DataFrame, prefix: int = LIST_PREFIX) -> DataFra
     """
     tag = F.col("tagged_account")
     pieces = edges.groupBy("insta_id", F.left(tag, F.lit(prefix)).alias("_prefix")).agg(
-        F.max(F.nullif("insta_name", F.lit("unknown"))).alias("_name"),
+        known_name(F.col("insta_name")).alias("_name"),
         F.count(F.lit(1)).alias("_edges"),
         F.when(
             F.count(tag) > 0, F.array_join(F.sort_array(F.collect_list(tag)), ", ")
@@ -67,7 +67,7 @@ def cross_brand_accounts(edges: DataFrame, prefix: int = LIST_PREFIX) -> DataFra
     piece = F.when(F.col("_list").isNotNull(), F.struct("_prefix", "_list"))
     ordered = F.transform(F.sort_array(F.collect_list(piece)), lambda p: p["_list"])
     return pieces.groupBy("insta_id").agg(
-        F.coalesce(F.max("_name"), F.lit("unknown")).alias("insta_name"),
+        best_name(F.col("_name")).alias("insta_name"),
         F.sum("_edges").alias("tagged_account_count"),
         F.when(F.count("_list") > 0, F.array_join(ordered, ", ")).alias("brands_tagged"),
     )

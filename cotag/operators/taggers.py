@@ -122,7 +122,7 @@ def tagger_list_exact(
         "tag_count",
         "latest_tag_date",
         F.coalesce("other_brand_count", F.lit(0)).alias("other_brand_count"),
-    )
+    ).orderBy("rank")
 
 
 def tagger_page(audience: Audience, page: int = 1, page_size: int = PAGE_SIZE) -> DataFrame:
