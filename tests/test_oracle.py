@@ -6,6 +6,7 @@ import pytest
 from compare import connect, duck_rows, spark_rows
 
 import __spark_entry__ as entry_module
+from cotag.verify.registry import QUERIES
 
 ORACLES = entry_module.oracle_sql()
 
@@ -17,7 +18,7 @@ def con(sf_dir):
     connection.close()
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, con, sf_dir, name):
     df = entry_module.queries()[name](spark, sf_dir)
     names, got = spark_rows(df)
