@@ -23,7 +23,7 @@ from cotag.llm.common import WordTable, arrow_fields, by_group, small_batches, t
 
 WINDOW = 8
 #: A window needs so many plain words; one with fewer is hashed with its values, not its template.
-LEAST_PLAIN = 4
+LEAST_PLAIN = 3
 #: Tokens that a run must have; a shorter item must match as a whole.
 LEAST_TOKENS = 13
 #: Bits of the filter that documents' windows pass before the join: 4 MB at any benchmark size.
