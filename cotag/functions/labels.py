@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _MICROS_PER_HOUR = 3_600_000_000.0
@@ -63,8 +63,11 @@ def month_label(value: Column) -> Column:
 
 
 def with_bar_share(df: DataFrame, value: str, name: str = "share") -> DataFrame:
-    """Each value in percent of the greatest of the shown rows, which counts as at least 1."""
-    top = df.agg(F.greatest(F.max(value).cast("double"), F.lit(1.0))).scalar()
+    """Each value in percent of the greatest of the shown rows, which counts as at least 1.
+
+    The shown rows are one page, so a window over them is small, and they are computed once.
+    """
+    top = F.greatest(F.max(value).over(Window.partitionBy()).cast("double"), F.lit(1.0))
     return df.withColumn(name, F.col(value) / top * F.lit(100.0))
 
 
@@ -72,5 +75,6 @@ def with_first_row_share(
     df: DataFrame, value: str, rank: str = "rank", name: str = "share"
 ) -> DataFrame:
     """Each value in percent of the first shown row; 0 when that row holds 0."""
-    first = df.agg(F.nullif(F.min_by(value, rank).cast("double"), F.lit(0.0))).scalar()
-    return df.withColumn(name, F.coalesce(F.col(value) / first * F.lit(100.0), F.lit(0.0)))
+    first = F.min_by(value, rank).over(Window.partitionBy()).cast("double")
+    share = F.col(value) / F.nullif(first, F.lit(0.0)) * F.lit(100.0)
+    return df.withColumn(name, F.coalesce(share, F.lit(0.0)))

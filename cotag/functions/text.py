@@ -13,6 +13,17 @@ SPACE_SEPARATORS = (
     "\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 )
 
+# All white space and the separators of control that count as such.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\u0020\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def strip(text: Column) -> Column:
+    """Remove all white space from both ends, tabs and line ends included."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
+
 
 def trim_spaces(text: Column) -> Column:
     """Strip every Unicode space separator from both ends; tabs and newlines stay."""

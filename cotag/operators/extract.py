@@ -13,15 +13,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cotag.functions.joins import BROADCAST_ROWS, drop_matching, held
+from cotag.functions.text import strip
 from cotag.schemas import BATCH_COLUMNS, UNKNOWN
 
 # Text patterns of the page fields. Spaces, digits and word characters are the
 # Unicode ones.
 _SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
-_SPACES = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\u0020\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
-    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-)
 MENTION = r"@[\p{L}\p{N}_.]+"
 POST_URL = r"/p/([^/?#]+)/?"
 OWNER_IN_DESCRIPTION = (
@@ -30,7 +27,17 @@ OWNER_IN_DESCRIPTION = (
 )
 NAME_IN_TITLE = rf"(?i)^([^\n]*?){_SPACE}+on Instagram:"
 DATE_IN_DESCRIPTION = r"([A-Z][a-z]+ \d{1,2}, \d{4})"
-ANCHOR_HREF = r"""<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*')"""
+NOT_SHOWN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+ANCHOR_HREF = r"""(?i)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# Character references that occur in link targets; the ampersand comes last.
+REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+_ZONE = r"(?:Z|[+-]\d{2}(?::?\d{2})?)?"
+ISO_EXTENDED = rf"^\d{{4}}-\d{{2}}-\d{{2}}(?:[T ]\d{{2}}(?::\d{{2}}(?::\d{{2}}(?:[.,]\d+)?)?)?{_ZONE})?$"
+ISO_BASIC = rf"^\d{{8}}(?:[T ]\d{{2}}(?:\d{{2}}(?:\d{{2}}(?:[.,]\d+)?)?)?{_ZONE})?$"
+ISO_PARTS = (
+    r"^(\d{4})-?(\d{2})-?(\d{2})(?:[T ](\d{2}):?(\d{2})?:?(\d{2})?(?:[.,]\d+)?"
+    r"(?:(Z)|([+-]\d{2}):?(\d{2})?)?)?$"
+)
 TRAILING_MARKS = ".,!?:;"
 CAPTION_STARTS = ("Photo by ", "Photo shared by ")
 SITE = "https://www.instagram.com"
@@ -95,9 +102,14 @@ OFF_DAY = "off_day"
 
 
 def page_links(html: Column, contains: str = "/p/") -> Column:
-    """Link targets of a grid page: cut at ``?``, no comment links, first occurrence only."""
-    quoted = F.regexp_extract_all(html, F.lit(ANCHOR_HREF), 1)
-    hrefs = F.transform(quoted, lambda q: q.substr(F.lit(2), F.length(q) - 2))
+    """Link targets of a grid page: cut at ``?``, no comment links, first occurrence only.
+
+    Tags and attributes are found in either case, with or without quotes; HTML comments and
+    scripts hold no links.
+    """
+    shown = F.regexp_replace(html, NOT_SHOWN, "")
+    found = F.regexp_extract_all(shown, F.lit(ANCHOR_HREF), 1)
+    hrefs = F.transform(found, lambda q: _decoded(_unquoted(q)))
     plain = F.transform(
         F.filter(hrefs, lambda h: h.contains(contains)),
         lambda h: F.split_part(h, F.lit("?"), F.lit(1)),
@@ -105,6 +117,17 @@ def page_links(html: Column, contains: str = "/p/") -> Column:
     return F.array_distinct(F.filter(plain, lambda h: ~h.contains("/c/")))
 
 
+def _unquoted(value: Column) -> Column:
+    quoted = value.startswith('"') | value.startswith("'")
+    return F.when(quoted, value.substr(F.lit(2), F.length(value) - 2)).otherwise(value)
+
+
+def _decoded(text: Column) -> Column:
+    for reference, char in REFERENCES:
+        text = F.replace(text, F.lit(reference), F.lit(char))
+    return text
+
+
 def caption_images(images: Column) -> Column:
     """Images whose alternative text starts like a caption."""
     return F.filter(
@@ -143,14 +166,10 @@ def owner_id(href: Column, meta_desc: Column) -> Column:
     return F.lower(F.coalesce(in_path, in_text, F.lit(UNKNOWN)))
 
 
-def _strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(_SPACES))
-
-
 def display_name(meta_title: Column, insta_id: Column) -> Column:
     """Name in front of ``on Instagram:``; ``unknown`` when empty or just the account id."""
-    name = F.regexp_extract(_strip(F.coalesce(meta_title, F.lit(""))), NAME_IN_TITLE, 1)
-    name = _strip(F.btrim(_strip(name), F.lit('"')))
+    name = F.regexp_extract(strip(F.coalesce(meta_title, F.lit(""))), NAME_IN_TITLE, 1)
+    name = strip(F.btrim(strip(name), F.lit('"')))
     same = (insta_id != UNKNOWN) & (F.lower(name) == F.lower(insta_id))
     return F.when((name == "") | same, UNKNOWN).otherwise(name)
 
@@ -195,13 +214,33 @@ def _description_date(meta_desc: Column) -> Column:
     return F.nullif(F.regexp_extract(meta_desc, DATE_IN_DESCRIPTION, 1), F.lit(""))
 
 
+def iso_instant(text: Column) -> Column:
+    """An ISO 8601 date or date and time, extended or basic, as an instant; NULL for other texts.
+
+    A text without a zone is read as UTC, so neither the session's zone nor its day counts.
+    """
+
+    def part(group: int, missing: str) -> Column:
+        found = F.regexp_extract(text, ISO_PARTS, group)
+        return F.when(found == "", F.lit(missing)).otherwise(found)
+
+    day = F.concat_ws("-", part(1, ""), part(2, ""), part(3, ""))
+    clock = F.concat_ws(":", part(4, "00"), part(5, "00"), part(6, "00"))
+    shift = F.concat_ws(":", part(8, ""), part(9, "00"))
+    zone = F.when(F.regexp_extract(text, ISO_PARTS, 8) != "", shift).otherwise(F.lit("Z"))
+    return F.when(
+        text.rlike(ISO_EXTENDED) | text.rlike(ISO_BASIC),
+        F.try_to_timestamp(F.concat(day, F.lit("T"), clock, zone)),
+    )
+
+
 def post_date(time_iso: Column, meta_desc: Column) -> Column:
     """Local day of the page's time, else the date in the description as it stands.
 
     A description date that is no real date fails the page; no date at all fails just the date.
     """
     written = F.try_to_timestamp(_description_date(meta_desc), F.lit("MMMM d, yyyy"))
-    return F.coalesce(local_day(F.try_to_timestamp(time_iso)), written.cast("date"))
+    return F.coalesce(local_day(iso_instant(time_iso)), written.cast("date"))
 
 
 # ---- filters -----------------------------------------------------------------------------

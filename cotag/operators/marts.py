@@ -102,7 +102,8 @@ def co_brand_stats(edges: DataFrame) -> DataFrame:
     """Per tagged account: taggers, tags, and taggers in percent of all accounts.
 
     ``edges`` holds one row per account and tagged account, so counting rows with an account
-    counts distinct taggers. The one total is a scalar subquery.
+    counts distinct taggers. The one total is a scalar subquery; without any account the share is
+    NULL.
     """
     total = edges.agg(F.count_distinct("insta_id")).scalar()
     return (
@@ -112,6 +113,7 @@ def co_brand_stats(edges: DataFrame) -> DataFrame:
             F.sum("tagged_post_count").alias("total_tag_count"),
         )
         .withColumn(
-            "tagger_ratio", F.round(F.col("tagger_count") * F.lit(100.0) / total, 1)
+            "tagger_ratio",
+            F.round(F.try_divide(F.col("tagger_count") * F.lit(100.0), total), 1),
         )
     )

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cotag.functions.joins import BROADCAST_ROWS
+from cotag.functions.joins import BROADCAST_ROWS, held
 from cotag.operators.ingest import BatchChecks, split_batch, upsert_posts, validate_batch
-from cotag.sources.snapshots import PostTable, Snapshot, day_of
+from cotag.sources.snapshots import Delivery, PostTable, Snapshot, day_of
+from cotag.sources.versions import CommitConflict
+
+#: How often a load starts again after another writer was first.
+TRIES = 10
 
 
 def touched_days(
@@ -27,18 +31,30 @@ def load_batch(
     table: PostTable,
     batch: DataFrame,
     now: Column,
-    source: str | None = None,
+    delivery: Delivery | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    tries: int = TRIES,
 ) -> Snapshot:
     """Check the batch, upsert it and commit the next version of ``table``.
 
-    A failed check or a failed write leaves the table at its last version. A ``source`` that
-    made the last commit is not loaded again, so a repeated delivery changes nothing.
+    The batch is read once, into a checkpoint, so what is checked is what is loaded. A failed
+    check or a failed write leaves the table at its last version. A ``delivery`` that the table
+    has taken before is not loaded again, also if others committed since. Where another writer
+    commits first, the load starts again from that version.
     """
-    base = table.snapshot()
-    if source is not None and base.source == source:
-        return base
-    checks = validate_batch(batch)
-    days = touched_days(table.read(base), batch, checks, broadcast_rows)
-    updated = upsert_posts(table.read(base, days), batch, now, checks, broadcast_rows)
-    return table.write(updated, base, days, source)
+    if delivery is not None and table.snapshot().has(delivery):
+        return table.snapshot()
+    rows = held(batch).df
+    checks = validate_batch(rows)
+    for attempt in range(tries):
+        base = table.snapshot()
+        if delivery is not None and base.has(delivery):
+            return base
+        days = touched_days(table.read(base), rows, checks, broadcast_rows)
+        updated = upsert_posts(table.read(base, days), rows, now, checks, broadcast_rows)
+        try:
+            return table.write(updated, base, days, delivery)
+        except CommitConflict:
+            if attempt == tries - 1:
+                raise
+    raise ValueError("tries must be positive")

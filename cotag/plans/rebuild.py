@@ -67,6 +67,10 @@ class Marts:
         _, content = self._versions.last()
         return self.spark.read.parquet(f"{content['folder']}/{name}")
 
+    def expire(self, keep: int = 2, grace_hours: float = 24.0) -> list[str]:
+        """Remove what none of the last ``keep`` versions names; see :meth:`Versions.expire`."""
+        return self._versions.expire(keep, grace_hours)
+
     def rebuild(self, posts: DataFrame, check: bool = True) -> dict[str, DataFrame]:
         """Build all marts from ``posts``, check them, then make them the current version."""
         number = self._versions.last()[0] + 1

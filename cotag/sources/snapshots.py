@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cotag.schemas import POST_COLUMNS, POSTS
 from cotag.sources.tables import bloom_options
@@ -21,13 +22,43 @@ def day_of(post_date: Column) -> Column:
     return F.coalesce(F.date_format(post_date, "yyyy-MM-dd"), F.lit(NO_DAY))
 
 
+@dataclass(frozen=True)
+class Delivery:
+    """One part of one numbered delivery of a stream; numbers never go back."""
+
+    stream: str
+    number: int
+    part: str = ""
+
+
 @dataclass(frozen=True)
 class Snapshot:
-    """One version: for each day the data folder that counts."""
+    """One version: for each day the data folder that counts, and what streams have delivered.
+
+    ``streams`` holds the last number of each stream with its loaded parts; ``newest`` the last
+    load and post day of each day folder, as texts.
+    """
 
     number: int = 0
     days: dict[str, str] = field(default_factory=dict)
-    source: str | None = None
+    streams: dict[str, dict] = field(default_factory=dict)
+    newest: dict[str, list] = field(default_factory=dict)
+
+    def has(self, delivery: Delivery) -> bool:
+        """Whether the delivery is in this version."""
+        last = self.streams.get(delivery.stream)
+        if last is None or delivery.number > last["number"]:
+            return False
+        return delivery.number < last["number"] or delivery.part in last["parts"]
+
+    def taken(self, delivery: Delivery | None) -> dict[str, dict]:
+        """``streams`` after ``delivery``."""
+        if delivery is None:
+            return self.streams
+        last = self.streams.get(delivery.stream)
+        same = last is not None and last["number"] == delivery.number
+        parts = [*(last["parts"] if same else []), delivery.part]
+        return {**self.streams, delivery.stream: {"number": delivery.number, "parts": parts}}
 
 
 class PostTable:
@@ -53,7 +84,11 @@ class PostTable:
         )
 
     def write(
-        self, rows: DataFrame, base: Snapshot, replaced: list[str], source: str | None = None
+        self,
+        rows: DataFrame,
+        base: Snapshot,
+        replaced: list[str],
+        delivery: Delivery | None = None,
     ) -> Snapshot:
         """Commit ``rows`` on top of ``base`` in place of the days ``replaced``.
 
@@ -71,7 +106,39 @@ class PostTable:
             .parquet(folder)
         )
         written = [name.removeprefix(f"{DAY}=") for name in self._versions.children(folder)]
-        days = {d: f for d, f in base.days.items() if d not in set(replaced)}
+        gone = set(replaced)
+        days = {d: f for d, f in base.days.items() if d not in gone}
         days.update(dict.fromkeys(written, folder))
-        self._versions.publish(number, {"days": days, "source": source})
-        return Snapshot(number, days, source)
+        newest = {d: x for d, x in base.newest.items() if d in days and d not in gone}
+        newest.update(self._newest(folder) if written else {})
+        streams = base.taken(delivery)
+        self._versions.publish(number, {"days": days, "streams": streams, "newest": newest})
+        return Snapshot(number, days, streams, newest)
+
+    def _newest(self, folder: str) -> dict[str, list]:
+        """Last load and newest post of each written day: two columns of what was just written."""
+        fields = [f for f in POSTS if f.name in ("last_seen_at", "post_date")]
+        written = self.spark.read.schema(StructType([*fields, StructField(DAY, StringType())]))
+        found = (
+            written.option("basePath", folder).parquet(folder)
+            .groupBy(F.coalesce(DAY, F.lit(NO_DAY)).alias("day"))
+            .agg(F.max(F.unix_micros("last_seen_at")).alias("seen"),
+                 F.max(F.unix_date("post_date")).alias("posted"))
+        )
+        return {r["day"]: [r["seen"], r["posted"]] for r in found.collect()}
+
+    def freshness(self, snapshot: Snapshot | None = None) -> DataFrame:
+        """Last load and newest post day, as the commit knows them; no post is read."""
+        snapshot = snapshot or self.snapshot()
+        known = list(snapshot.newest.values())
+        seen = max((s for s, _ in known if s is not None), default=None)
+        posted = max((p for _, p in known if p is not None), default=None)
+        row = self.spark.createDataFrame([(seen, posted)], "seen long, posted int")
+        return row.select(
+            F.timestamp_micros("seen").alias("last_loaded_at"),
+            F.date_from_unix_date("posted").alias("latest_post_date"),
+        )
+
+    def expire(self, keep: int = 2, grace_hours: float = 24.0) -> list[str]:
+        """Remove what none of the last ``keep`` versions names; see :meth:`Versions.expire`."""
+        return self._versions.expire(keep, grace_hours)

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cotag.functions.text import strip
 from cotag.schemas import BATCH, BRANDS, POSTS
 
 # Where a brand's posts go when its record does not say.
@@ -55,6 +56,8 @@ def write_post_csv(batch: DataFrame, path: str, brand_key: Column, day: Column)
         .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .partitionBy("brand_key", "dt")
         .csv(path)
     )
@@ -106,8 +109,8 @@ def brand_search(brands: DataFrame, text: str, column: str = "instagram_id") ->
 
 
 def brand_param(text: Column) -> Column:
-    """A comma list as an array of trimmed, non-blank parts."""
-    parts = F.transform(F.split(text, ",", -1), lambda p: F.trim(p))
+    """A comma list as an array of parts without outer white space, blank ones left out."""
+    parts = F.transform(F.split(text, ",", -1), strip)
     return F.filter(parts, lambda p: p != "")
 
 

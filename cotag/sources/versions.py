@@ -1,15 +1,18 @@
-"""Numbered commits beside data folders, on any Hadoop file system.
+"""Numbered commits beside data folders, on a Hadoop file system.
 
-A commit is one small JSON file. It is written aside and renamed into place, and a number is
-taken only once. Data folders are never overwritten, so a reader that follows the last commit
-sees the old state or the new one, never a mixture.
+A commit is one small JSON file. It is written aside and renamed into place without overwriting,
+so a number is taken only once. That is safe where such a rename is atomic (HDFS, local disks); an
+object store is not such a place. Data folders are never overwritten, so a reader that follows
+the last commit sees the old state or the new one, never a mixture.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -23,6 +26,7 @@ class Versions:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.root = root.rstrip("/")
         self._jvm = spark._jvm
+        self._gateway = spark.sparkContext._gateway
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _path(self, name: str):
@@ -51,12 +55,14 @@ class Versions:
         ]
         if not numbers:
             return 0, {}
-        stream = self._fs.open(self._path(self._commit(max(numbers))))
+        return max(numbers), json.loads(self._text(self._commit(max(numbers))))
+
+    def _text(self, name: str) -> str:
+        stream = self._fs.open(self._path(name))
         try:
-            text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return max(numbers), json.loads(text)
 
     def _commit(self, number: int) -> str:
         return f"{self.root}/commits/{number:010d}.json"
@@ -71,6 +77,40 @@ class Versions:
             stream.write(bytearray(json.dumps(content).encode("utf-8")))
         finally:
             stream.close()
-        if self._fs.exists(target) or not self._fs.rename(aside, target):
+        try:
+            self._move(aside, target)
+        except Py4JJavaError as error:
             self._fs.delete(aside, False)
-            raise CommitConflict(f"commit {number} of {self.root} exists")
+            if not self._fs.exists(target):
+                raise
+            raise CommitConflict(f"commit {number} of {self.root} exists") from error
+
+    def _move(self, source, target) -> None:
+        """Rename that fails where ``target`` exists."""
+        hadoop = self._jvm.org.apache.hadoop.fs
+        options = self._gateway.new_array(hadoop.Options.Rename, 1)
+        options[0] = hadoop.Options.Rename.NONE
+        context = hadoop.FileContext.getFileContext(self._fs.getUri(), self._fs.getConf())
+        context.rename(self._fs.makeQualified(source), self._fs.makeQualified(target), options)
+
+    def expire(self, keep: int = 2, grace_hours: float = 24.0) -> list[str]:
+        """Remove commits before the last ``keep`` and data folders that no kept one names.
+
+        Folders written in the last ``grace_hours`` stay, as a load under way may own them.
+        Gives the names of the folders removed.
+        """
+        if keep < 1:
+            raise ValueError("the last version must be kept")
+        commits = sorted(n for n in self._names(f"{self.root}/commits") if not n.startswith("."))
+        kept = "\n".join(self._text(f"{self.root}/commits/{n}") for n in commits[-keep:])
+        before = (time.time() - grace_hours * 3600) * 1000
+        removed = []
+        for name in self._names(f"{self.root}/data"):
+            path = self._path(f"{self.root}/data/{name}")
+            old = self._fs.getFileStatus(path).getModificationTime() <= before
+            if old and f"/data/{name}\"" not in kept:
+                self._fs.delete(path, True)
+                removed.append(name)
+        for name in commits[:-keep]:
+            self._fs.delete(self._path(f"{self.root}/commits/{name}"), False)
+        return removed

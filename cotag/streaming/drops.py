@@ -1,4 +1,4 @@
-"""Batch files as a stream: every file that arrives is checked and upserted."""
+"""Batch files as a stream: every run that arrives is checked and upserted."""
 
 from __future__ import annotations
 
@@ -12,14 +12,25 @@ from pyspark.sql.streaming import StreamingQuery
 from cotag.operators.ingest import BatchError
 from cotag.plans.load import load_batch
 from cotag.schemas import BATCH
-from cotag.sources.snapshots import PostTable
-from cotag.sources.tables import CSV_OPTIONS
+from cotag.sources.snapshots import Delivery, PostTable
+from cotag.sources.tables import CSV_OPTIONS, read_post_csv
 
 
 def _utc_now(batch_id: int) -> datetime:
     return datetime.now(timezone.utc)
 
 
+def run_folders(batch: DataFrame) -> list[str]:
+    """Folders that hold the files of a micro-batch, in the order of their names.
+
+    A folder is one collection run of one brand and day, so few names reach the driver.
+    """
+    path = F.url_decode(F.replace("_file", F.lit("+"), F.lit("%2B")))  # file paths come as URIs
+    folder = F.regexp_replace(path, r"/[^/]*$", "")
+    names = batch.select(folder.alias("folder")).distinct().orderBy("folder")
+    return [row["folder"] for row in names.collect()]
+
+
 def upsert_drops(
     spark: SparkSession,
     folder: str,
@@ -28,30 +39,33 @@ def upsert_drops(
     now: Callable[[int], datetime] = _utc_now,
     rejected: Callable[[int, BatchError], None] | None = None,
 ) -> StreamingQuery:
-    """Load all files under ``folder`` that are not loaded yet, then stop.
+    """Load all runs under ``folder`` with files that are not loaded yet, then stop.
 
-    One file is one batch, as its checks are about one collection run. A micro-batch that is
-    repeated after a failure carries the name of the commit it may already have made, so it is
-    loaded once. A batch that fails its checks stops the query, or is passed over and handed to
-    ``rejected`` when that is given. ``folder`` may hold ``brand_key=.../dt=...`` folders.
+    A run is the folder of one brand and day (``brand_key=.../dt=...``), whatever number of files
+    it has: its checks and its load are about all of them. A run whose files arrive in parts is
+    loaded anew as a whole, which changes nothing that is loaded. A micro-batch that is repeated
+    after a failure finds in the table which of its runs it has committed. A run that fails its
+    checks stops the query, or is passed over and handed to ``rejected`` when that is given.
     """
     drops = (
         spark.readStream.schema(BATCH)
         .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", 1)
         .options(**CSV_OPTIONS)
         .csv(folder)
+        .withColumn("_file", F.col("_metadata.file_path"))
     )
     table = PostTable(spark, table_root)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         stamp = F.lit(now(batch_id).isoformat()).cast("timestamp")
-        try:
-            load_batch(table, batch, stamp, source=f"{checkpoint}#{batch_id}")
-        except BatchError as error:
-            if rejected is None:
-                raise
-            rejected(batch_id, error)
+        for run in run_folders(batch):
+            rows = read_post_csv(spark, run)
+            try:
+                load_batch(table, rows, stamp, Delivery(checkpoint, batch_id, run))
+            except BatchError as error:
+                if rejected is None:
+                    raise
+                rejected(batch_id, error)
 
     return (
         drops.writeStream.foreachBatch(load)

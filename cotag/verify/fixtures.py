@@ -66,16 +66,20 @@ select concat('p', o_orderkey) as post_id,
 from {orders} join {customer} on o_custkey = c_custkey left join g on l_orderkey = o_orderkey
 """
 
-#: A batch against ``posts``: half known posts (renamed, other brand, some tags gone), half new.
+#: A batch against ``posts``, from all orders: half known posts (renamed, other brand, some tags
+#: gone), half new ones; some texts have white space at their ends.
 BATCH_SQL = """
-select case when o_orderkey % 20 = 0 then concat('p', o_orderkey)
+select case when o_orderkey % 2 = 0 then concat('p', o_orderkey)
+            when o_orderkey % 9 = 0 then concat(' n', o_orderkey, ' ')
             else concat('n', o_orderkey) end as post_id,
-       concat('user', o_custkey) as insta_id, 'renamed' as insta_name,
-       'other' as brand_name, 'brand#99' as brand_id, '' as full_link, '' as img_src,
-       concat('', cast(o_orderdate as date)) as post_date,
-       case when o_orderkey % 40 = 0 then null else '@Brand#1,@brand#99' end as tagged_insta_id,
-       cast(case when o_orderkey % 40 = 0 then 0 else 2 end as int) as tagged_insta_id_cnt
-from {orders} where o_orderkey % 10 = 0
+       concat('user', o_custkey) as insta_id,
+       case when o_orderkey % 8 = 0 then concat(chr(9), 'renamed ') else 'renamed' end as insta_name,
+       'other' as brand_name, concat('brand#', o_orderkey % 3 + 90) as brand_id, '' as full_link,
+       '' as img_src, concat('', cast(o_orderdate as date)) as post_date,
+       case when o_orderkey % 4 = 0 then null when o_orderkey % 7 = 0 then ' @Brand#1 , @brand#99 '
+            else '@Brand#1,@brand#99' end as tagged_insta_id,
+       cast(case when o_orderkey % 4 = 0 then 0 else 2 end as int) as tagged_insta_id_cnt
+from {orders}
 """
 
 #: A batch with repeated, NULL and blank keys.
@@ -115,6 +119,10 @@ select concat('brand#', o_orderkey % 25 + 1) as brand_id,
        case when o_orderkey % 4 = 0 then '' else 'http://i/og.jpg' end as og_image,
        case when o_orderkey % 7 = 0 then null
             when o_orderkey % 31 = 0 then 'soon'
+            when o_orderkey % 43 = 0 then '10:00:00'
+            when o_orderkey % 47 = 0 then '2024-03'
+            when o_orderkey % 53 = 0 then concat(replace(cast(shown_day as varchar(10)), '-', ''), 'T233000Z')
+            when o_orderkey % 59 = 0 then concat(shown_day, ' 16:00')
             when o_orderkey % 2 = 0 then concat(shown_day, 'T15:30:00Z')
             else concat(shown_day, 'T10:00:00+00:00') end as time_iso,
        case when o_orderkey % 6 = 0 then 'May be a picture of @nobody'
@@ -152,9 +160,14 @@ from {part}
 #: Grid pages: the given pages with their links turned into post and comment links.
 GRIDS_SQL = """
 select page_id,
-       replace(replace(replace(html, '<a href="/t', '<a href="/u/p/c/t'),
-                       '<a href="/a', '<a class="x" href="/p/a?q=1&amp;r='),
-               '<a href="/o', '<a href="/u/p/o') as html
+       replace(replace(replace(replace(replace(replace(replace(html,
+                 '<a href="/is"', '<A HREF=/u/p/is'),
+                 '<a href="/the"', '<a Href=''/u/p/the'' '),
+                 '<a href="/th', '<a href="/p/x&amp;y/th'),
+                 '<!-- ad', '<!-- <a href="/u/p/hidden/">ad</a>'),
+                 '<a href="/t', '<a href="/u/p/c/t'),
+                 '<a href="/a', '<a class="x" href="/p/a?q=1&amp;r='),
+                 '<a href="/o', '<a href="/u/p/o') as html
 from {pages}
 """
 

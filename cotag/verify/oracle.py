@@ -68,6 +68,16 @@ from edges group by insta_id
 select tagged_account, cast(date_trunc('month', post_date) as date) as month,
        count(distinct insta_id) as unique_tagger_count, count(distinct post_id) as post_count
 from stage group by all
+""",
+    ),
+    "stats": (
+        ("edges",),
+        """
+select tagged_account, count(distinct insta_id) as tagger_count,
+       cast(sum(tagged_post_count) as bigint) as total_tag_count,
+       round(count(distinct insta_id) * 100.0
+             / (select count(distinct insta_id) from edges), 1) as tagger_ratio
+from edges group by tagged_account
 """,
     ),
     "chosen": (
@@ -174,7 +184,9 @@ from (
     'https://www.instagram.com' || href as full_link,
     coalesce(nullif(og_image, ''), list_filter(captions, lambda i: i.src <> '')[1].src, '') as img_src,
     coalesce(
-      cast(try_cast(time_iso as timestamptz) at time zone 'UTC' + interval 9 hour as date),
+      cast(coalesce(try_strptime(time_iso, '%Y%m%dT%H%M%SZ'), try_strptime(time_iso, '%Y-%m-%d %H:%M'),
+           try_strptime(time_iso, '%Y-%m-%dT%H:%M:%SZ'), try_strptime(time_iso, '%Y-%m-%dT%H:%M:%S+00:00'))
+           + interval 9 hour as date),
       cast(try_strptime(nullif(written, ''), '%B %d, %Y') as date)) as day,
     list_filter(mentioned, lambda m, n: list_position(mentioned, m) = n) as tags
   from (

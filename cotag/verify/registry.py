@@ -6,9 +6,11 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cotag.functions import labels, ranking
 from cotag.functions.text import clean_account
@@ -16,6 +18,7 @@ from cotag.operators import co_brands, extract, freshness, ingest, marts, qualit
 from cotag.operators.audience import Audience, selected_accounts
 from cotag.plans.load import load_batch
 from cotag.plans.rebuild import Marts, expectations, stage_view
+from cotag.schemas import BATCH
 from cotag.session import shared_dir
 from cotag.sources import tables
 from cotag.sources.snapshots import PostTable
@@ -90,40 +93,26 @@ def _add(
 _add("scan_posts", lambda f: f.posts(), "select * from posts", ("posts",), _POST_TIMES)
 
 
-def _year(post_date: Column) -> Column:
-    """First day of the year: keeps small test tables to few folders."""
-    return F.trunc(post_date.cast("date"), "year").cast("string")
-
-
-def _csv_round_trip(f: Fixture) -> DataFrame:
+def _written(f: Fixture) -> str:
+    """The batch as CSV, in one folder per brand and day."""
     folder = _scratch(f, "drops")
-    batch = f.batch()
-    tables.write_post_csv(batch, folder, F.col("insta_name"), _year(F.col("post_date")))
-    return tables.read_post_csv(f.spark, f"{folder}/*/*").select(*batch.columns)
+    tables.write_post_csv(f.batch(), folder, F.col("brand_id"), F.col("post_date"))
+    return folder
 
 
 _add(
     "read_post_csv",
-    _csv_round_trip,
+    lambda f: tables.read_post_csv(f.spark, f"{_written(f)}/*/*").select(*f.batch().columns),
     "select * replace (nullif(full_link, '') as full_link, nullif(img_src, '') as img_src) from batch",
     ("batch",),
 )
-
-
-def _csv_folders(f: Fixture) -> DataFrame:
-    folder = _scratch(f, "drops")
-    tables.write_post_csv(f.batch(), folder, F.col("insta_name"), _year(F.col("post_date")))
-    written = f.spark.read.csv(folder, header=True)
-    return written.groupBy("brand_key", F.col("dt").cast("string").alias("dt")).agg(
-        F.count(F.lit(1)).alias("posts")
-    )
-
-
 _add(
     "write_post_csv",
-    _csv_folders,
-    """select insta_name as brand_key, concat(left(post_date, 4), '-01-01') as dt, count(*) as posts
-       from batch group by all""",
+    lambda f: f.spark.read.schema(
+        StructType([*BATCH, StructField("brand_key", StringType()), StructField("dt", StringType())])
+    ).options(**tables.CSV_OPTIONS | {"enforceSchema": True}).csv(_written(f)),
+    """select * replace (nullif(full_link, '') as full_link, nullif(img_src, '') as img_src),
+              brand_id as brand_key, post_date as dt from batch""",
     ("batch",),
 )
 _add(
@@ -151,60 +140,46 @@ _add(
 
 def _stage_view(f: Fixture) -> DataFrame:
     stage_view(f.posts(), "cotag_stage")
-    return f.spark.sql(
-        "SELECT tagged_account, count(*) AS stage_rows FROM cotag_stage GROUP BY tagged_account"
-    )
+    return f.spark.sql("SELECT * FROM cotag_stage")
 
 
-_add(
-    "materialize_stage",
-    _stage_view,
-    "select tagged_account, count(*) as stage_rows from stage group by tagged_account",
-    ("stage",),
-)
+_add("materialize_stage", _stage_view, "select * from stage", ("stage",), ("post_date",))
+
+
+_MARTS = {
+    "account_tagged_accounts": ("insta_id insta_name tagged_account first_tagged_date last_tagged_date "
+                                "tagged_post_count", "edges"),
+    "cross_brand_accounts": ("insta_id insta_name tagged_account_count brands_tagged", "cross_brand"),
+    "mart_brand_monthly_tagging": ("tagged_account month unique_tagger_count post_count", "monthly"),
+    "mart_co_brand_stats": ("tagged_account tagger_count total_tag_count tagger_ratio", "stats"),
+}
 
 
 def _rebuilt(f: Fixture) -> DataFrame:
+    """Every stored column of every mart as text, read back."""
     store = Marts(f.spark, _scratch(f, "marts"))
     store.rebuild(f.posts(), check=False)
-
-    def rows(name: str, key: Column, value: str) -> DataFrame:
-        return store.read(name).select(
-            F.lit(name).alias("mart"), key.alias("row_key"), F.col(value).alias("row_value")
+    stored = [
+        store.read(name).select(
+            F.lit(name).alias("mart"),
+            F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns.split()))
+            .alias("mart_row"),
         )
-
-    return (
-        rows(
-            "account_tagged_accounts",
-            F.concat_ws(" ", "insta_id", "tagged_account"),
-            "tagged_post_count",
-        )
-        .unionByName(rows("cross_brand_accounts", F.col("insta_id"), "tagged_account_count"))
-        .unionByName(
-            rows(
-                "mart_brand_monthly_tagging",
-                F.concat_ws(" ", "tagged_account", "month"),
-                "post_count",
-            )
-        )
-        .unionByName(rows("mart_co_brand_stats", F.col("tagged_account"), "tagger_count"))
-    )
+        for name, (columns, _) in _MARTS.items()
+    ]
+    return reduce(DataFrame.unionByName, stored)
 
 
 _add(
     "materialize_mart",
     _rebuilt,
-    """select 'account_tagged_accounts' as mart, concat_ws(' ', insta_id, tagged_account) as row_key,
-              tagged_post_count as row_value from edges
-       union all
-       select 'cross_brand_accounts', insta_id, tagged_account_count from cross_brand
-       union all
-       select 'mart_brand_monthly_tagging', concat_ws(' ', tagged_account, cast(month as varchar)),
-              post_count from monthly
-       union all
-       select 'mart_co_brand_stats', tagged_account, count(distinct insta_id)
-       from edges group by tagged_account""",
-    ("edges", "cross_brand", "monthly"),
+    " union all ".join(
+        f"select '{name}' as mart, concat_ws('|', "
+        + ", ".join(f"coalesce(cast({c} as varchar), '-')" for c in columns.split())
+        + f") as mart_row from {part}"
+        for name, (columns, part) in _MARTS.items()
+    ),
+    tuple(part for _, part in _MARTS.values()),
 )
 _add(
     "run_sql",
@@ -221,6 +196,23 @@ _add(
 
 # ---- extraction --------------------------------------------------------------------------
 
+def _links(table: str, mark: str, more: str = "") -> str:
+    """Pages cut at their anchors, each piece read up to the end of its tag."""
+    return rf"""
+select page_id, array_to_string(kept_once, ' ') as links{more}
+from (select page_id, list_filter(kept, lambda h, n: list_position(kept, h) = n) as kept_once
+  from (select page_id, list_filter(list_transform(list_filter(list_transform(
+          string_split(regexp_replace(shown, '(?i)<a(\s)', chr(1) || '\1', 'g'), chr(1))[2:],
+          lambda x: regexp_extract(split_part(x, '>', 1),
+            '(?i)\shref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"'']+))', ['d', 's', 'n'])),
+          lambda m: contains(m.d || m.s || m.n, '{mark}')),
+          lambda m: split_part(replace(m.d || m.s || m.n, '&amp;', '&'), '?', 1)),
+          lambda h: not contains(h, '/c/')) as kept
+    from (select page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+                 '(?is)<script.*?</script>', '', 'g') as shown from {table})))
+"""
+
+
 _add(
     "x_page_links",
     lambda f: f.grids().select(
@@ -228,12 +220,7 @@ _add(
         F.concat_ws(" ", extract.page_links(F.col("html"))).alias("links"),
         F.size(extract.page_links(F.col("html"))).alias("link_count"),
     ),
-    r"""select page_id, array_to_string(links, ' ') as links, cast(len(links) as int) as link_count
-        from (select page_id, list_filter(kept, lambda h, n: list_position(kept, h) = n) as links
-              from (select page_id, list_filter(list_transform(list_filter(
-                        regexp_extract_all(html, '<a\b[^>]*?\shref\s*=\s*"([^"]*)"', 1),
-                        lambda h: contains(h, '/p/')), lambda h: split_part(h, '?', 1)),
-                        lambda h: not contains(h, '/c/')) as kept from grids))""",
+    _links("grids", "/p/", ", cast(len(kept_once) as int) as link_count"),
     ("grids",),
 )
 _add(
@@ -242,12 +229,7 @@ _add(
         "page_id",
         F.concat_ws(" ", extract.page_links(F.col("html"), contains="/")).alias("links"),
     ),
-    r"""select page_id, array_to_string(list_filter(kept, lambda h, n: list_position(kept, h) = n), ' ')
-               as links
-        from (select page_id, list_filter(list_transform(list_filter(
-                 regexp_extract_all(html, '<a\b[^>]*?\shref\s*=\s*"([^"]*)"', 1),
-                 lambda h: contains(h, '/')), lambda h: split_part(h, '?', 1)),
-                 lambda h: not contains(h, '/c/')) as kept from pages)""",
+    _links("pages", "/"),
 )
 _add(
     "x_caption_images",
@@ -433,48 +415,25 @@ _add(
 )
 
 
-_SEEN = """
-select brand_name, count(*) as posts, count(tagged_insta_id) as tagged_posts,
-       count(*) filter (where insta_name = 'renamed') as renamed_posts,
-       min(strftime(first_seen_at, '%Y-%m-%d %H:%M:%S')) as first_seen,
-       max(strftime(last_seen_at, '%Y-%m-%d %H:%M:%S')) as last_seen
-from ({}) group by brand_name
-"""
-
-
-def _seen(posts: DataFrame) -> DataFrame:
-    return posts.groupBy("brand_name").agg(
-        F.count(F.lit(1)).alias("posts"),
-        F.count("tagged_insta_id").alias("tagged_posts"),
-        F.count_if(F.col("insta_name") == "renamed").alias("renamed_posts"),
-        _utc_text(F.min("first_seen_at")).alias("first_seen"),
-        _utc_text(F.max("last_seen_at")).alias("last_seen"),
-    )
-
-
 def _first_version(f: Fixture) -> PostTable:
     table = PostTable(f.spark, _scratch(f, "raw"))
-    table.write(f.posts().withColumn("post_date", _year(F.col("post_date")).cast("date")), table.snapshot(), [])
+    table.write(f.posts(), table.snapshot(), [])
     return table
 
 
 def _swapped(f: Fixture) -> DataFrame:
     table = _first_version(f)
-    load_batch(table, _batch_by_year(f), _instant(fx.LOADED_AT))
-    return _seen(table.read())
-
-
-def _batch_by_year(f: Fixture) -> DataFrame:
-    return f.batch().withColumn("post_date", _year(F.col("post_date")))
+    load_batch(table, f.batch(), _instant(fx.LOADED_AT))
+    return table.read()
 
 
-_add("atomic_swap", _swapped, _SEEN.format(_UPSERTED), ("posts", "batch"))
+_add("atomic_swap", _swapped, _UPSERTED, ("posts", "batch"), _POST_TIMES)
 
 
 def _streamed(f: Fixture) -> DataFrame:
     table = _first_version(f)
     drops = _scratch(f, "drops")
-    tables.write_post_csv(_batch_by_year(f).coalesce(1), drops, F.lit("other"), F.lit("2024-04-01"))
+    tables.write_post_csv(f.batch(), drops, F.col("brand_id"), F.lit("2024-04-01"))
     query = upsert_drops(
         f.spark,
         drops,
@@ -483,10 +442,17 @@ def _streamed(f: Fixture) -> DataFrame:
         now=lambda _: datetime.fromisoformat(fx.LOADED_AT).replace(tzinfo=timezone.utc),
     )
     query.awaitTermination()
-    return _seen(table.read())
+    return table.read()
 
 
-_add("upsert_stream", _streamed, _SEEN.format(_UPSERTED), ("posts", "batch"))
+_FROM_CSV = "(select * replace (nullif(full_link, '') as full_link, nullif(img_src, '') as img_src) from batch)"
+_add(
+    "upsert_stream",
+    _streamed,
+    _UPSERTED.replace("join batch b", f"join {_FROM_CSV} b"),
+    ("posts", "batch"),
+    _POST_TIMES,
+)
 
 # ---- stage -------------------------------------------------------------------------------
 
@@ -595,12 +561,8 @@ _add(
 _add(
     "mart_co_brand_stats",
     lambda f: marts.co_brand_stats(f.edges()),
-    """select tagged_account, count(distinct insta_id) as tagger_count,
-              cast(sum(tagged_post_count) as bigint) as total_tag_count,
-              round(count(distinct insta_id) * 100.0
-                    / (select count(distinct insta_id) from edges), 1) as tagger_ratio
-       from edges group by tagged_account""",
-    ("edges",),
+    "select * from stats",
+    ("stats",),
 )
 
 # ---- serving -----------------------------------------------------------------------------

@@ -28,6 +28,16 @@ def test_page_links(spark):
     assert row["r"] == ["/x/p/1/", "/x/p/2/"]
 
 
+def test_page_links_as_a_browser_reads_them(spark):
+    html = (
+        "<A HREF=/u/p/1/>1</A><a href=/u/p/2/ class=x>2</a><!-- <a href='/u/p/3/'> -->"
+        '<script>x = \'<a href="/u/p/4/">\'</script><a href="/u/p/5/&amp;b&lt;?q">5</a>'
+        "<a\nHref = '/u/p/6/'>6</a><abbr href='/u/p/7/'>"
+    )
+    row = one(spark, html, "string", extract.page_links(F.col("v")).alias("r"))
+    assert row["r"] == ["/u/p/1/", "/u/p/2/", "/u/p/5/&b<", "/u/p/6/"]
+
+
 def expected_mentions(images):
     """Python's own reading of the rule."""
     tags = []
@@ -111,6 +121,16 @@ def test_display_name(spark, title, owner, expected):
         ("2024-03-01T10:00:00+00:00", "x", date(2024, 3, 1), False),
         (None, "a on March 5, 2024: x", date(2024, 3, 5), False),
         ("soon", "a on March 5, 2024: x", date(2024, 3, 5), False),
+        ("10:00:00", "a on March 5, 2024: x", date(2024, 3, 5), False),
+        ("2024-03", "", None, False),
+        ("2024-3-1T10:00:00Z", "", None, False),
+        ("20240328T010000Z", "", date(2024, 3, 28), False),
+        ("20240328T153000+0000", "", date(2024, 3, 29), False),
+        ("2024-03-01T16:00", "", date(2024, 3, 2), False),
+        ("2024-03-01", "", date(2024, 3, 1), False),
+        ("2024-03-01T23:30:00.5+09:00", "", date(2024, 3, 1), False),
+        ("2024-03-01T23:30:00-01", "", date(2024, 3, 2), False),
+        ("2024-13-01T10:00:00Z", "a on March 5, 2024: x", date(2024, 3, 5), False),
         (None, "nothing", None, False),
         (None, None, None, False),
         (None, "a on Octember 5, 2024", None, True),

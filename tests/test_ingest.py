@@ -10,9 +10,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from cotag.operators import ingest
+from cotag.operators.freshness import freshness
 from cotag.plans.load import load_batch
 from cotag.schemas import BATCH, POSTS
-from cotag.sources.snapshots import PostTable
+from cotag.sources.snapshots import Delivery, PostTable
 from cotag.sources.tables import (
     brand_dim,
     brand_param,
@@ -157,10 +158,50 @@ def test_failed_load_leaves_the_table(spark, tmp_path):
     assert table.read().count() == 1
 
 
-def test_same_source_is_loaded_once(spark, tmp_path):
+def test_same_delivery_is_loaded_once(spark, tmp_path):
     table = table_of(spark, tmp_path, target(spark, "a"))
-    one = load_batch(table, batch(spark, "b"), now(), source="drop-1")
-    assert load_batch(table, batch(spark, "b"), now(), source="drop-1") == one
+    first = Delivery("stream", 1, "x")
+    one = load_batch(table, batch(spark, "b"), now(), first)
+    assert load_batch(table, batch(spark, "b"), now(), first) == one
+    load_batch(table, batch(spark, "b", tags="@newer"), now())  # another writer
+    two = load_batch(table, batch(spark, "c"), now(), Delivery("stream", 1, "y"))
+    assert load_batch(table, batch(spark, "b", tags="@older"), now(), first) == two
+    three = load_batch(table, batch(spark, "d"), now(), Delivery("stream", 2, "x"))
+    assert load_batch(table, batch(spark, "e"), now(), Delivery("stream", 1, "z")) == three
+    rows = {r["post_id"]: r["tagged_insta_id"] for r in table.read().collect()}
+    assert rows == {"a": "@x", "b": "@newer", "c": None, "d": None}
+
+
+def test_interleaved_loads_both_end_up_in_the_table(spark, tmp_path, monkeypatch):
+    table = table_of(spark, tmp_path, target(spark, "a"))
+    write, others = PostTable.write, []
+
+    def write_late(self, rows, base, days, delivery=None):
+        if not others:  # another writer commits between our read and our write
+            others.append(1)
+            load_batch(table, batch(spark, "other"), now())
+        return write(self, rows, base, days, delivery)
+
+    monkeypatch.setattr(PostTable, "write", write_late)
+    load_batch(table, batch(spark, "mine"), now())
+    assert {r["post_id"] for r in table.read().collect()} == {"a", "mine", "other"}
+    monkeypatch.setattr(PostTable, "write", lambda *a: (_ for _ in ()).throw(CommitConflict("x")))
+    with pytest.raises(CommitConflict):
+        load_batch(table, batch(spark, "z"), now(), tries=2)
+
+
+def test_freshness_and_expiry(spark, tmp_path):
+    table = table_of(spark, tmp_path, target(spark, "a").unionByName(target(spark, "n", day=None)))
+    for i in range(3):
+        load_batch(table, batch(spark, "b", f"c{i}", day=f"2024-01-0{5 + i}"), now())
+        assert table.freshness().collect() == freshness(table.read()).collect()
+    before = sorted(map(tuple, table.read().collect()), key=str)
+    assert table.expire(keep=1) == []  # all of it is young
+    assert table.expire(keep=1, grace_hours=0)
+    assert sorted(map(tuple, table.read().collect()), key=str) == before
+    assert table.snapshot().number == 4
+    empty = PostTable(spark, f"file://{tmp_path}/none")
+    assert tuple(empty.freshness().first()) == (None, None)
 
 
 def test_a_version_is_taken_once(spark, tmp_path):
@@ -240,6 +281,32 @@ def test_file_stream(spark, tmp_path):
     assert table.read().count() == 3
 
 
+def test_a_run_in_two_files_is_one_batch(spark, tmp_path):
+    table = table_of(spark, tmp_path, target(spark, "a"))
+    drops = f"{tmp_path}/drops"
+    write_file(f"{drops}/brand_key=b/dt=1/x.csv", csv_text("b,i,n,b,b1,l,,2024-01-01,@x,1"))
+    write_file(f"{drops}/brand_key=b/dt=1/y.csv", csv_text("b,i,n2,b,b1,l,,2024-01-01,@x,1"))
+    write_file(f"{drops}/brand_key=b%23+1/dt=2/x.csv", csv_text("c,i,n,b,b1,l,,2024-01-01,@x,1"))
+    write_file(f"{drops}/brand_key=b/dt=2/y.csv", csv_text("d,i,n,b,b1,l,,2024-01-01,@x,1"))
+    rejected = []
+    query = upsert_drops(
+        spark, drops, table.root, f"{tmp_path}/checkpoint",
+        now=lambda _: T0, rejected=lambda n, e: rejected.append(str(e)),
+    )
+    query.awaitTermination()
+    with pytest.raises(ingest.BatchError) as direct:
+        load_batch(table, read_post_csv(spark, f"{drops}/brand_key=b/dt=1"), now())
+    assert rejected == [str(direct.value)]
+    assert {r["post_id"] for r in table.read().collect()} == {"a", "c", "d"}
+
+
+def test_csv_keeps_outer_white_space(spark, tmp_path):
+    row = (" p1 ", "i\t", "\tname ", "b", "b1", " l", "s ", "2024-01-01", " x , y ", 2)
+    path = f"{tmp_path}/drops"
+    write_post_csv(spark.createDataFrame([row], BATCH), path, F.lit("b"), F.lit("20240101"))
+    assert tuple(read_post_csv(spark, f"{path}/*/*").first())[: len(row)] == row
+
+
 def test_brand_records(spark, tmp_path):
     write_file(
         f"{tmp_path}/brands/b.json",
@@ -258,5 +325,5 @@ def test_brand_records(spark, tmp_path):
 
 
 def test_brand_param(spark):
-    df = spark.createDataFrame([(" a, ,b ,,c",)], "t string")
-    assert df.select(brand_param(F.col("t"))).first()[0] == ["a", "b", "c"]
+    df = spark.createDataFrame([(" a, ,b ,,c,\td\n,\u00a0e\u00a0,\t",)], "t string")
+    assert df.select(brand_param(F.col("t"))).first()[0] == ["a", "b", "c", "d", "e"]

@@ -160,3 +160,9 @@ def test_mart_schemas(spark):
         assert [(f.name, f.dataType) for f in frame.schema] == [
             (f.name, f.dataType) for f in schema
         ]
+
+
+def test_shares_without_any_account(spark):
+    edges = marts.account_tagged(posts_of(spark, [("p", None, "n", date(2024, 1, 1), "@x")]))
+    row = marts.co_brand_stats(edges).first()
+    assert (row["tagged_account"], row["tagger_count"], row["tagger_ratio"]) == ("x", 0, None)
