@@ -81,17 +81,13 @@ def co_brand_taggers(audience: Audience, tagged_account: str) -> DataFrame:
     )
 
 
-def co_brand_monthly(audience: Audience, stage: DataFrame, tagged_account: str) -> DataFrame:
+def co_brand_monthly(audience: Audience, months: DataFrame, tagged_account: str) -> DataFrame:
     """Selected taggers of ``tagged_account`` per month.
 
-    Rows are made distinct per month and account before the selection is joined, so an account
-    with very many posts brings one row per month to the join.
+    ``months`` has one row per tagged account, month and tagger (:func:`marts.tagger_months`). As
+    a mart it is clustered by the account, so only its row groups are read, and no raw post is.
     """
-    taggers = (
-        stage.filter(F.col("tagged_account") == tagged_account)
-        .select(F.trunc("post_date", "month").alias("month"), "insta_id")
-        .distinct()
-    )
+    taggers = months.filter(F.col("tagged_account") == tagged_account).select("month", "insta_id")
     return (
         audience.members_of(taggers)
         .groupBy("month")
@@ -100,7 +96,7 @@ def co_brand_monthly(audience: Audience, stage: DataFrame, tagged_account: str)
     )
 
 
-def co_brand_detail(audience: Audience, stage: DataFrame, tagged_account: str) -> DataFrame:
+def co_brand_detail(audience: Audience, months: DataFrame, tagged_account: str) -> DataFrame:
     """Taggers and months of one account as (section, JSON)."""
     taggers = rank_top(
         co_brand_taggers(audience, tagged_account),
@@ -108,11 +104,11 @@ def co_brand_detail(audience: Audience, stage: DataFrame, tagged_account: str) -
         TOP_TAGGERS,
         "_rank",
     ).withColumn("latest_tag_date", F.col("latest_tag_date").cast("string"))
-    months = co_brand_monthly(audience, stage, tagged_account).select(
+    by_month = co_brand_monthly(audience, months, tagged_account).select(
         F.col("month").isNull().alias("_undated"),
         F.col("month").cast("string").alias("month"),
         "tagger_count",
     )
     return list_section("taggers", taggers, ["_rank"]).unionByName(
-        list_section("monthly", months, ["_undated", "month"])
+        list_section("monthly", by_month, ["_undated", "month"])
     )

@@ -6,7 +6,7 @@ shuffle carries all rows of one account or one tagged account to one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cotag.functions.text import best_name, known_name
@@ -14,6 +14,8 @@ from cotag.operators.stage import distinct_tags
 
 #: Leading characters of a tagged account that split the long lists of one account.
 LIST_PREFIX = 4
+#: Newest posts kept per account.
+RECENT_POSTS = 10
 
 
 def account_tagged(posts: DataFrame) -> DataFrame:
@@ -73,20 +75,47 @@ def cross_brand_accounts(edges: DataFrame, prefix: int = LIST_PREFIX) -> DataFra
     )
 
 
-def brand_monthly_tagging(posts: DataFrame) -> DataFrame:
-    """Per tagged account and month: distinct taggers and distinct posts.
+def tagger_months(posts: DataFrame) -> DataFrame:
+    """Per tagged account, month and tagger: distinct posts.
 
-    Two plain steps instead of two distinct counts, so no row is expanded: posts per tagger
-    first, whose key spreads a hot tagged account, then taggers and posts per month.
+    Its key spreads a hot tagged account over tasks. Stored, it also serves the months of one
+    brand for any selection of taggers.
     """
-    per_tagger = (
+    return (
         distinct_tags(posts)
         .groupBy("tagged_account", F.trunc("post_date", "month").alias("month"), "insta_id")
-        .agg(F.count("post_id").alias("_posts"))
+        .agg(F.count("post_id").alias("post_count"))
     )
-    return per_tagger.groupBy("tagged_account", "month").agg(
+
+
+def months_of_brands(months: DataFrame) -> DataFrame:
+    """Per tagged account and month: distinct taggers and distinct posts, from finer rows."""
+    return months.groupBy("tagged_account", "month").agg(
         F.count("insta_id").alias("unique_tagger_count"),
-        F.sum("_posts").alias("post_count"),
+        F.sum("post_count").alias("post_count"),
+    )
+
+
+def brand_monthly_tagging(posts: DataFrame) -> DataFrame:
+    """Per tagged account and month: distinct taggers and distinct posts.
+
+    Two plain steps instead of two distinct counts, so no row is expanded.
+    """
+    return months_of_brands(tagger_months(posts))
+
+
+def recent_posts(posts: DataFrame, rows: int = RECENT_POSTS) -> DataFrame:
+    """The newest posts of every account, by day, then post id.
+
+    ``post_id`` is the key of ``posts``. Each task first cuts its own rows of an account, so an
+    account with very many posts sends few of them on.
+    """
+    newest = Window.partitionBy("insta_id").orderBy(F.desc("post_date"), F.asc("post_id"))
+    return (
+        posts.select("insta_id", "post_id", "post_date", "tagged_insta_id", "full_link")
+        .withColumn("_n", F.row_number().over(newest))
+        .filter(F.col("_n") <= rows)
+        .drop("_n")
     )
 
 

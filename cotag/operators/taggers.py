@@ -7,15 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cotag.functions.joins import held, keep_matching
+from cotag.functions.joins import Side, held, keep_matching
+from cotag.functions.layout import of_account
 from cotag.functions.ranking import page_offset, rank_page, rank_top
 from cotag.functions.sections import list_section, object_section
 from cotag.functions.text import known_name
 from cotag.operators.audience import Audience, require_brands
+from cotag.operators.marts import RECENT_POSTS
 
 PAGE_SIZE = 20
 TOP_BRANDS = 10
-RECENT_POSTS = 10
+#: Bytes of text that a listed account is reckoned with when its list might be broadcast.
+ACCOUNT_BYTES = 256
 
 
 def _or_id(name: Column) -> Column:
@@ -70,59 +73,72 @@ def _list_order() -> list[Column]:
     return [direction(column) for direction, column in _LIST_ORDER]
 
 
-def tagger_list(audience: Audience, limit: int = PAGE_SIZE, offset: int = 0) -> DataFrame:
+def _with_other_brands(
+    audience: Audience, accounts: DataFrame, cross_brand: DataFrame | None, size: int
+) -> DataFrame:
+    """``accounts`` (``size`` selected ones) with ``other_brand_count``.
+
+    A selected account tags every brand of the list, and edges are unique, so the number of
+    others is its number of tagged accounts, which a mart holds, less the length of the list.
+    Without that mart the edges of the accounts are counted.
+    """
+    ids = Side(accounts, size, size * ACCOUNT_BYTES)
+    if cross_brand is not None:
+        others = (F.col("tagged_account_count") - F.lit(len(audience.brands))).cast("bigint")
+        known = cross_brand.select("insta_id", others.alias("other_brand_count"))
+        return known.join(ids.prepared(audience.broadcast_rows), "insta_id")
+    outside = audience.edges.filter(~F.col("tagged_account").isin(audience.brands))
+    counted = (
+        keep_matching(outside, ids, "insta_id", audience.broadcast_rows)
+        .groupBy("insta_id")
+        .agg(F.count(F.lit(1)).alias("other_brand_count"))
+    )
+    return accounts.join(counted, "insta_id", "left").withColumn(
+        "other_brand_count", F.coalesce("other_brand_count", F.lit(0))
+    )
+
+
+def _listed(audience: Audience) -> DataFrame:
+    return audience.accounts.select(
+        "insta_id", _or_id(F.col("known_name")).alias("insta_name"), "tag_count", "latest_tag_date"
+    )
+
+
+_LISTED = ("insta_id", "insta_name", "tag_count", "latest_tag_date", "other_brand_count")
+
+
+def tagger_list(
+    audience: Audience,
+    limit: int = PAGE_SIZE,
+    offset: int = 0,
+    cross_brand: DataFrame | None = None,
+) -> DataFrame:
     """A page of accounts by ``tag_count``.
 
     ``tag_count`` is the figure the serving layer has always shown: the tags over the selected
     brands *times* the number of other brands (at least once), because the listing joins both
-    before it sums. :func:`tagger_list_exact` does not.
+    before it sums. :func:`tagger_list_exact` does not. With the ``cross_brand`` mart no edge is
+    read again.
     """
-    chosen = F.col("tagged_account").isin(audience.brands)
-    ranked = (
-        audience.members_of(audience.edges)
-        .groupBy("insta_id")
-        .agg(
-            known_name(F.when(chosen, F.col("insta_name"))).alias("_name"),
-            F.sum(F.when(chosen, F.col("tagged_post_count"))).alias("_tags"),
-            F.max(F.when(chosen, F.col("last_tagged_date"))).alias("latest_tag_date"),
-            F.count_if(~chosen).alias("other_brand_count"),
-        )
-        .select(
-            "insta_id",
-            _or_id(F.col("_name")).alias("insta_name"),
-            (F.col("_tags") * F.greatest(F.col("other_brand_count"), F.lit(1))).alias("tag_count"),
-            "latest_tag_date",
-            "other_brand_count",
-        )
-    )
+    rows = _with_other_brands(audience, _listed(audience), cross_brand, audience.size)
+    shown = F.col("tag_count") * F.greatest(F.col("other_brand_count"), F.lit(1))
+    ranked = rows.withColumn("tag_count", shown).select(*_LISTED)
     return rank_page(ranked, _list_order(), limit, offset)
 
 
 def tagger_list_exact(
-    audience: Audience, limit: int = PAGE_SIZE, offset: int = 0
+    audience: Audience,
+    limit: int = PAGE_SIZE,
+    offset: int = 0,
+    cross_brand: DataFrame | None = None,
 ) -> DataFrame:
     """A page of accounts by their true tag count.
 
-    The order needs the selection only, so other brands are counted for the page alone.
+    The order needs the selection only, so other brands are looked up for the page alone.
     """
-    accounts = audience.accounts.select(
-        "insta_id", _or_id(F.col("known_name")).alias("insta_name"), "tag_count", "latest_tag_date"
-    )
-    page = held(rank_page(accounts, _list_order(), limit, offset))
-    outside = audience.edges.filter(~F.col("tagged_account").isin(audience.brands))
-    others = (
-        keep_matching(outside, page, "insta_id", audience.broadcast_rows)
-        .groupBy("insta_id")
-        .agg(F.count(F.lit(1)).alias("other_brand_count"))
-    )
-    return page.df.join(others, "insta_id", "left").select(
-        "rank",
-        "insta_id",
-        "insta_name",
-        "tag_count",
-        "latest_tag_date",
-        F.coalesce("other_brand_count", F.lit(0)).alias("other_brand_count"),
-    ).orderBy("rank")
+    page = held(rank_page(_listed(audience), _list_order(), limit, offset))
+    rows = _with_other_brands(audience, page.df, cross_brand, page.rows)
+    return rows.select("rank", *_LISTED).orderBy("rank")
 
 
 def tagger_page(audience: Audience, page: int = 1, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -138,26 +154,28 @@ def tagger_count(audience: Audience) -> DataFrame:
 def tagger_top_brands(edges: DataFrame, insta_id: str, brands: Sequence[str]) -> DataFrame:
     """The account's most tagged accounts outside the brand list."""
     return (
-        edges.filter(
-            (F.col("insta_id") == insta_id)
-            & ~F.col("tagged_account").isin(require_brands(brands))
-        )
+        of_account(edges, insta_id)
+        .filter(~F.col("tagged_account").isin(require_brands(brands)))
         .select("tagged_account", "tagged_post_count")
         .orderBy(F.desc("tagged_post_count"), F.asc("tagged_account"))
         .limit(TOP_BRANDS)
     )
 
 
-def tagger_recent_posts(posts: DataFrame, insta_id: str) -> DataFrame:
-    """The account's newest posts, one row per post id."""
-    newest = Window.partitionBy("post_id").orderBy(
-        F.desc("post_date"), F.desc("last_seen_at")
-    )
+def tagger_recent_posts(posts: DataFrame, insta_id: str, keyed: bool = False) -> DataFrame:
+    """The account's newest posts, one row per post id.
+
+    ``keyed`` says that ``post_id`` is the key of ``posts`` (the raw table and the mart of recent
+    posts keep it so); nothing is then grouped by it.
+    """
+    rows = of_account(posts, insta_id)
+    if not keyed:
+        newest = Window.partitionBy("post_id").orderBy(
+            F.desc("post_date"), F.desc("last_seen_at")
+        )
+        rows = rows.withColumn("_n", F.row_number().over(newest)).filter("_n = 1")
     return (
-        posts.filter(F.col("insta_id") == insta_id)
-        .withColumn("_n", F.row_number().over(newest))
-        .filter("_n = 1")
-        .orderBy(F.desc("post_date"), F.asc("post_id"))
+        rows.orderBy(F.desc("post_date"), F.asc("post_id"))
         .limit(RECENT_POSTS)
         .select(
             "post_id",
@@ -173,7 +191,7 @@ def tagger_recent_posts(posts: DataFrame, insta_id: str) -> DataFrame:
 def tagger_profile(edges: DataFrame, insta_id: str) -> DataFrame:
     """The account's id and best known name, the id where none is known."""
     return (
-        edges.filter(F.col("insta_id") == insta_id)
+        of_account(edges, insta_id)
         .groupBy("insta_id")
         .agg(known_name(F.col("insta_name")).alias("_name"))
         .select("insta_id", _or_id(F.col("_name")).alias("display_name"))
@@ -181,9 +199,16 @@ def tagger_profile(edges: DataFrame, insta_id: str) -> DataFrame:
 
 
 def tagger_detail(
-    edges: DataFrame, posts: DataFrame, insta_id: str, brands: Sequence[str]
+    edges: DataFrame,
+    posts: DataFrame,
+    insta_id: str,
+    brands: Sequence[str],
+    keyed: bool = False,
 ) -> DataFrame:
-    """Profile, top brands and recent posts of one account as (section, JSON)."""
+    """Profile, top brands and recent posts of one account as (section, JSON).
+
+    Both tables may be those in account folders; of each, one folder is then read.
+    """
     top = rank_top(
         tagger_top_brands(edges, insta_id, brands).select(
             F.col("tagged_account").alias("brand"), F.col("tagged_post_count").alias("count")
@@ -193,7 +218,7 @@ def tagger_detail(
         "_rank",
     )
     recent = rank_top(
-        tagger_recent_posts(posts, insta_id),
+        tagger_recent_posts(posts, insta_id, keyed),
         [F.desc("post_date"), F.asc("post_id")],
         RECENT_POSTS,
         "_rank",

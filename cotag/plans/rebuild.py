@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cotag.functions.layout import BUCKET, account_bucket
 from cotag.operators import marts, quality
 from cotag.operators.stage import tagged_post_rows
 from cotag.sources.tables import bloom_options
@@ -43,21 +44,58 @@ def write_mart(df: DataFrame, path: str, *cluster: str, lookup: str | None = Non
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_by_account(df: DataFrame, path: str) -> DataFrame:
+    """Store a table in account folders, sorted by account, for readers of one account.
+
+    The rebalance hint splits the folder of an account with very many rows over several files.
+    """
+    placed = df.withColumn(BUCKET, account_bucket(F.col("insta_id")))
+    (
+        placed.hint("rebalance", BUCKET)
+        .sortWithinPartitions(BUCKET, "insta_id")
+        .write.mode("overwrite")
+        .options(**bloom_options("insta_id"))
+        .partitionBy(BUCKET)
+        .parquet(path)
+    )
+    return df.sparkSession.read.schema(placed.schema).parquet(path)
+
+
+Tables = dict[str, DataFrame]
+
+
 class Marts:
-    """The four marts under ``root``; each rebuild is a new version of all of them."""
+    """The marts under ``root``; each rebuild is a new version of all of them.
 
-    BUILDERS: dict[str, tuple[Callable[[DataFrame, DataFrame], DataFrame], tuple[str, ...]]] = {
-        "cross_brand_accounts": (lambda posts, edges: marts.cross_brand_accounts(edges), ()),
+    Beside the four summaries there are a finer one that the months are built from, and copies of
+    edges and recent posts in account folders.
+    """
+
+    EDGES = "account_tagged_accounts"
+    #: Builder from the posts and the marts before it, and the columns it is clustered by.
+    BUILDERS: dict[str, tuple[Callable[[DataFrame, Tables], DataFrame], tuple[str, ...]]] = {
+        EDGES: (lambda posts, built: marts.account_tagged(posts), ("tagged_account", "insta_id")),
+        "cross_brand_accounts": (
+            lambda posts, built: marts.cross_brand_accounts(built["account_tagged_accounts"]), ()
+        ),
+        "tagger_months": (
+            lambda posts, built: marts.tagger_months(posts),
+            ("tagged_account", "month", "insta_id"),
+        ),
         "mart_brand_monthly_tagging": (
-            lambda posts, edges: marts.brand_monthly_tagging(posts),
+            lambda posts, built: marts.months_of_brands(built["tagger_months"]),
             ("tagged_account", "month"),
         ),
         "mart_co_brand_stats": (
-            lambda posts, edges: marts.co_brand_stats(edges),
+            lambda posts, built: marts.co_brand_stats(built["account_tagged_accounts"]),
             ("tagged_account",),
         ),
     }
-    EDGES = "account_tagged_accounts"
+    #: Copies in account folders.
+    BY_ACCOUNT: dict[str, Callable[[DataFrame, Tables], DataFrame]] = {
+        "edges_by_account": lambda posts, built: built["account_tagged_accounts"],
+        "recent_posts": lambda posts, built: marts.recent_posts(posts),
+    }
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
@@ -75,16 +113,14 @@ class Marts:
         """Build all marts from ``posts``, check them, then make them the current version."""
         number = self._versions.last()[0] + 1
         folder = self._versions.new_folder(number)
-        edges = write_mart(
-            marts.account_tagged(posts),
-            f"{folder}/{self.EDGES}",
-            "tagged_account",
-            "insta_id",
-            lookup="insta_id",
-        )
-        built = {self.EDGES: edges}
+        built: Tables = {}
         for name, (build, cluster) in self.BUILDERS.items():
-            built[name] = write_mart(build(posts, edges), f"{folder}/{name}", *cluster)
+            lookup = "insta_id" if name == self.EDGES else None
+            built[name] = write_mart(
+                build(posts, built), f"{folder}/{name}", *cluster, lookup=lookup
+            )
+        for name, build in self.BY_ACCOUNT.items():
+            built[name] = write_by_account(build(posts, built), f"{folder}/{name}")
         if check:
             require(expectations(posts, tagged_post_rows(posts), built))
         self._versions.publish(number, {"folder": folder})

@@ -6,14 +6,17 @@ The statements hold for Spark and DuckDB alike; only the two places in braces di
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cotag.functions.labels import utc_instant
-from cotag.operators.marts import account_tagged
+from cotag.operators.marts import (
+    account_tagged, cross_brand_accounts, recent_posts, tagger_months,
+)
 from cotag.operators.stage import tagged_post_rows
-from cotag.plans.rebuild import write_mart
+from cotag.plans.rebuild import write_by_account, write_mart
 from cotag.session import shared_dir
 from cotag.sources.tables import scan_posts
 
@@ -238,6 +241,26 @@ class Fixture:
             )
         return self._stored["edges"]
 
+    def _once(self, name: str, build: Callable[[str], DataFrame]) -> DataFrame:
+        if name not in self._stored:
+            self._stored[name] = build(self._folder(name))
+        return self._stored[name]
+
+    def months(self) -> DataFrame:
+        return self._once("months", lambda path: write_mart(
+            tagger_months(self.posts()), path, "tagged_account", "month", "insta_id"))
+
+    def cross_brand(self) -> DataFrame:
+        return self._once("cross_brand", lambda path: write_mart(
+            cross_brand_accounts(self.edges()), path))
+
+    def edges_by_account(self) -> DataFrame:
+        return self._once("edges_by_account", lambda path: write_by_account(self.edges(), path))
+
+    def recent_posts(self) -> DataFrame:
+        return self._once("recent_posts", lambda path: write_by_account(
+            recent_posts(self.posts()), path))
+
     def stage(self, tagged_account: str | None = None) -> DataFrame:
         return tagged_post_rows(self.posts(), tagged_account)
 

@@ -68,6 +68,21 @@ from edges group by insta_id
 select tagged_account, cast(date_trunc('month', post_date) as date) as month,
        count(distinct insta_id) as unique_tagger_count, count(distinct post_id) as post_count
 from stage group by all
+""",
+    ),
+    "tagger_months": (
+        ("stage",),
+        """
+select tagged_account, cast(date_trunc('month', post_date) as date) as month, insta_id,
+       count(distinct post_id) as post_count
+from stage group by all
+""",
+    ),
+    "recent": (
+        ("posts",),
+        """
+select insta_id, post_id, post_date, tagged_insta_id, full_link from posts
+qualify row_number() over (partition by insta_id order by post_date desc, post_id) <= 10
 """,
     ),
     "stats": (

@@ -152,6 +152,10 @@ _MARTS = {
     "cross_brand_accounts": ("insta_id insta_name tagged_account_count brands_tagged", "cross_brand"),
     "mart_brand_monthly_tagging": ("tagged_account month unique_tagger_count post_count", "monthly"),
     "mart_co_brand_stats": ("tagged_account tagger_count total_tag_count tagger_ratio", "stats"),
+    "tagger_months": ("tagged_account month insta_id post_count", "tagger_months"),
+    "edges_by_account": ("insta_id insta_name tagged_account first_tagged_date last_tagged_date "
+                         "tagged_post_count", "edges"),
+    "recent_posts": ("insta_id post_id post_date tagged_insta_id full_link", "recent"),
 }
 
 
@@ -179,7 +183,7 @@ _add(
         + f") as mart_row from {part}"
         for name, (columns, part) in _MARTS.items()
     ),
-    tuple(part for _, part in _MARTS.values()),
+    tuple({part: None for _, part in _MARTS.values()}),
 )
 _add(
     "run_sql",
@@ -590,14 +594,14 @@ _add(
 )
 _add(
     "tagger_list",
-    lambda f: taggers.tagger_list(_audience(f), limit=20, offset=20),
+    lambda f: taggers.tagger_list(_audience(f), 20, 20, f.cross_brand()),
     "select * from listed where rank between 21 and 40",
     ("listed",),
     ("latest_tag_date",),
 )
 _add(
     "tagger_list_exact",
-    lambda f: taggers.tagger_list_exact(_audience(f), limit=20, offset=20),
+    lambda f: taggers.tagger_list_exact(_audience(f), 20, 20, f.cross_brand()),
     f"""select rank, insta_id, display_name as insta_name, tag_count, latest_tag_date,
                (select count(*) from edges e where e.insta_id = r.insta_id
                   and e.tagged_account not in ('brand#1', 'brand#2')) as other_brand_count
@@ -626,26 +630,28 @@ _add(
 )
 _add(
     "tagger_top_brands",
-    lambda f: taggers.tagger_top_brands(f.edges(), fx.ACCOUNT, fx.BRANDS),
+    lambda f: taggers.tagger_top_brands(f.edges_by_account(), fx.ACCOUNT, fx.BRANDS),
     "select * from account_brands",
     ("account_brands",),
 )
 _add(
     "tagger_recent_posts",
-    lambda f: taggers.tagger_recent_posts(f.posts(), fx.ACCOUNT),
+    lambda f: taggers.tagger_recent_posts(f.recent_posts(), fx.ACCOUNT, keyed=True),
     "select * from account_posts",
     ("account_posts",),
     ("post_date",),
 )
 _add(
     "tagger_profile",
-    lambda f: taggers.tagger_profile(f.edges(), fx.ACCOUNT),
+    lambda f: taggers.tagger_profile(f.edges_by_account(), fx.ACCOUNT),
     "select * from account_profile",
     ("account_profile",),
 )
 _add(
     "tagger_detail",
-    lambda f: taggers.tagger_detail(f.edges(), f.posts(), fx.ACCOUNT, fx.BRANDS),
+    lambda f: taggers.tagger_detail(
+        f.edges_by_account(), f.recent_posts(), fx.ACCOUNT, fx.BRANDS, keyed=True
+    ),
     """select 'profile' as section,
               cast(to_json({'insta_id': insta_id, 'display_name': display_name}) as varchar) as data
        from account_profile
@@ -691,7 +697,7 @@ _add(
 _add(
     "co_brand_monthly",
     lambda f: co_brands.co_brand_monthly(
-        _audience(f), f.stage(fx.OTHER_BRAND), fx.OTHER_BRAND
+        _audience(f), f.months(), fx.OTHER_BRAND
     ),
     "select * from brand_months",
     ("brand_months",),
@@ -699,7 +705,7 @@ _add(
 )
 _add(
     "co_brand_detail",
-    lambda f: co_brands.co_brand_detail(_audience(f), f.stage(fx.OTHER_BRAND), fx.OTHER_BRAND),
+    lambda f: co_brands.co_brand_detail(_audience(f), f.months(), fx.OTHER_BRAND),
     """select 'taggers' as section, coalesce(cast(to_json(list({'insta_id': insta_id,
               'display_name': display_name, 'tag_count': tag_count,
               'latest_tag_date': cast(latest_tag_date as varchar)}
@@ -714,6 +720,13 @@ _add(
 
 # ---- freshness, labels, shares -----------------------------------------------------------
 
+_add(
+    "freshness_committed",
+    lambda f: _first_version(f).freshness(),
+    """select max(last_seen_at) as last_loaded_at, max(post_date) as latest_post_date from posts""",
+    ("posts",),
+    ("last_loaded_at", "latest_post_date"),
+)
 _add(
     "freshness",
     lambda f: freshness.freshness(f.posts()),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cotag.functions import labels
 from cotag.functions.joins import held, keep_matching
 from cotag.functions.ranking import page_count, page_offset, rank_all, rank_page
-from cotag.operators import co_brands, quality, taggers
+from cotag.operators import co_brands, marts, quality, taggers
 from cotag.operators.audience import Audience, selected_accounts
 from cotag.operators.freshness import freshness
 from cotag.plans.rebuild import ExpectationError, Marts, expectations, require
@@ -80,6 +80,12 @@ def test_kpi_of_nobody(spark):
 def test_listing_multiplies_by_other_brands(audience):
     rows = [tuple(r) for r in taggers.tagger_list(audience).collect()]
     assert rows == [(1, "a", "Ann", 10, D2, 2), (2, "b", "b", 5, D1, 0)]
+    cross = marts.cross_brand_accounts(audience.edges)
+    assert [tuple(r) for r in taggers.tagger_list(audience, cross_brand=cross).collect()] == rows
+    by_mart = taggers.tagger_list_exact(audience, cross_brand=cross).orderBy("rank")
+    assert [tuple(r) for r in by_mart.collect()] == [
+        tuple(r) for r in taggers.tagger_list_exact(audience).orderBy("rank").collect()
+    ]
     exact = [tuple(r) for r in taggers.tagger_list_exact(audience).orderBy("rank").collect()]
     assert exact == [(1, "a", "Ann", 5, D2, 2), (2, "b", "b", 5, D1, 0)]
 
@@ -103,10 +109,10 @@ def test_co_brand_detail(spark, audience):
         "post_id string, insta_id string, insta_name string, brand_name string, brand_id string, "
         "post_date date, full_link string, tagged_insta_id string",
     )
-    stage = tagged_post_rows(posts, "z")
+    months = marts.tagger_months(posts)
     detail = {
         r["section"]: json.loads(r["data"])
-        for r in co_brands.co_brand_detail(audience, stage, "z").collect()
+        for r in co_brands.co_brand_detail(audience, months, "z").collect()
     }
     assert detail["taggers"] == [
         {"insta_id": "a", "display_name": "Ann", "tag_count": 7, "latest_tag_date": "2024-01-01"}
@@ -118,7 +124,7 @@ def test_co_brand_detail(spark, audience):
     ]
     nothing = {
         r["section"]: r["data"]
-        for r in co_brands.co_brand_detail(audience, stage, "nobody").collect()
+        for r in co_brands.co_brand_detail(audience, months, "nobody").collect()
     }
     assert nothing == {"taggers": "[]", "monthly": "[]"}
 
@@ -304,6 +310,56 @@ def test_rebuild(spark, tmp_path):
     assert store.read("account_tagged_accounts").count() == 2
 
 
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_readers_of_one_account_open_one_folder(spark, tmp_path):
+    posts = good_posts(spark)
+    store = Marts(spark, f"file://{tmp_path}/marts")
+    store.rebuild(posts)
+    edges, recent = store.read("edges_by_account"), store.read("recent_posts")
+    for plan in (
+        executed(taggers.tagger_profile(edges, "b")),
+        executed(taggers.tagger_top_brands(edges, "b", ["y"])),
+        executed(taggers.tagger_recent_posts(recent, "b", keyed=True)),
+    ):
+        assert "PartitionFilters: [isnotnull(account_bucket" in plan and "Window" not in plan
+    detail = taggers.tagger_detail(edges, recent, "b", ["y"], keyed=True).collect()
+    assert detail == taggers.tagger_detail(
+        store.read("account_tagged_accounts"), posts, "b", ["y"]
+    ).collect()
+    assert taggers.tagger_recent_posts(recent, "nobody", keyed=True).count() == 0
+
+
+def test_recent_posts_mart(spark):
+    t = datetime(2024, 3, 1, tzinfo=timezone.utc)
+    rows = [(f"p{n:02}", "a", "l", D1 if n % 2 else D2, t, None) for n in range(30)]
+    rows += [("q", "b", "l", None, t, "x"), ("r", None, "l", D1, t, "x")]
+    got = marts.recent_posts(post_rows(spark, rows)).collect()
+    ids = sorted(r["post_id"] for r in got if r["insta_id"] == "a")
+    assert ids == [f"p{n:02}" for n in range(0, 20, 2)]
+    assert len(got) == 12
+
+
+def test_months_of_a_brand_come_from_the_mart(spark, tmp_path):
+    store = Marts(spark, f"file://{tmp_path}/marts")
+    store.rebuild(good_posts(spark))
+    audience = Audience(store.read("account_tagged_accounts"), ["x"])
+    months = co_brands.co_brand_monthly(audience, store.read("tagger_months"), "y")
+    plan = executed(months)
+    assert "PushedFilters: [IsNotNull(tagged_account), EqualTo(tagged_account,y)" in plan
+    assert "post_id" not in plan
+    assert [tuple(r) for r in months.collect()] == [(D1, 1)]
+
+
+def test_shown_rows_are_computed_once(spark):
+    df = spark.range(5).selectExpr("int(id) + 1 as rank", "id as n")
+    plan = executed(labels.with_first_row_share(labels.with_bar_share(df, "n", "b"), "n", name="f"))
+    assert "Subquery" not in plan
+
+
 def test_expectations_name_what_fails(spark):
     posts = good_posts(spark).withColumns(
         {"brand_name": F.lit(None).cast("string"), "post_id": F.lit("p")}
