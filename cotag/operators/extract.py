@@ -182,6 +182,71 @@ def image_src(og_image: Column, images: Column) -> Column:
     )
 
 
+# ---- fields from the HTML of a page -------------------------------------------------------
+
+
+def _tags(html: Column, name: str) -> Column:
+    """The start tags of one kind, in order."""
+    return F.regexp_extract_all(html, F.lit(rf"(?i)<{name}\b[^>]*>"), F.lit(0))
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of a tag's text, decoded; empty if it has none."""
+    pattern = rf"""(?i)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    return _decoded(_unquoted(F.regexp_extract(tag, pattern, 1)))
+
+
+def _meta(html: Column, attribute: str, value: str) -> Column:
+    """``content`` of the first meta tag with this attribute; empty if there is none."""
+    matching = F.filter(_tags(html, "meta"), lambda t: _attribute(t, attribute) == value)
+    found = F.try_element_at(matching, F.lit(1))
+    return F.coalesce(_attribute(found, "content"), F.lit(""))
+
+
+def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
+    """``meta_title, meta_desc, og_image, time_iso, images`` of detail pages, in place of ``html``.
+
+    The description falls back to the plain one. Images are those inside ``main``; the time is
+    that of the first ``time`` tag, NULL without one. A missing page has empty fields.
+    """
+    shown = pages.withColumn(
+        "_shown", F.regexp_replace(F.coalesce(html, F.lit("")), NOT_SHOWN, "")
+    )
+    page = F.col("_shown")
+    described = F.nullif(_meta(page, "property", "og:description"), F.lit(""))
+    main = F.regexp_extract(page, r"(?is)<main\b[^>]*>(.*?)</main\s*>", 1)
+    first_time = F.try_element_at(_tags(page, "time"), F.lit(1))
+    images = F.transform(
+        _tags(main, "img"),
+        lambda t: F.struct(_attribute(t, "alt").alias("alt"), _attribute(t, "src").alias("src")),
+    )
+    return shown.withColumns(
+        {
+            "meta_title": _meta(page, "property", "og:title"),
+            "meta_desc": F.coalesce(described, _meta(page, "name", "description")),
+            "og_image": _meta(page, "property", "og:image"),
+            "time_iso": F.nullif(_attribute(first_time, "datetime"), F.lit("")),
+            "images": images,
+        }
+    ).drop("_shown", html)
+
+
+def grid_positions(snapshots: DataFrame, keys: tuple[str, ...] = ("brand_id",)) -> DataFrame:
+    """Links of a grid in the order they are first seen: (keys, grid_pos from 1, href).
+
+    ``snapshots`` has ``keys`` (a brand, or a brand and its run), ``scroll`` and ``html``. A link seen
+    in an earlier scroll, or earlier on the same page, is not repeated.
+    """
+    links = snapshots.select(
+        *keys, "scroll", F.posexplode(page_links(F.col("html"))).alias("_pos", "href")
+    )
+    first = links.groupBy(*keys, "href").agg(F.min(F.struct("scroll", "_pos")).alias("_at"))
+    order = Window.partitionBy(*keys).orderBy("_at")
+    return first.select(
+        *keys, F.row_number().over(order).cast("bigint").alias("grid_pos"), "href"
+    )
+
+
 # ---- days --------------------------------------------------------------------------------
 
 
@@ -308,53 +373,76 @@ def _with_business_flag(
     )
 
 
-def on_day(posts: DataFrame, target_day: str | None) -> DataFrame:
+#: Day that a page's run collects; a run without one collects all days.
+TARGET = "target_day"
+
+
+def _with_target(rows: DataFrame, target_day: str | None) -> DataFrame:
+    """``target_day`` per row: that of the row's run if it has one, else the given one."""
+    if TARGET in rows.columns:
+        return rows.withColumn(TARGET, F.col(TARGET).cast("date"))
+    return rows.withColumn(TARGET, F.lit(target_day).cast("date"))
+
+
+def _run_keys(rows: DataFrame) -> list[str]:
+    """What tells one grid from another."""
+    return ["brand_id", "run_id"] if "run_id" in rows.columns else ["brand_id"]
+
+
+def on_day(posts: DataFrame, target_day: str | None = None) -> DataFrame:
     """Keep posts of the target day; no target keeps all."""
-    if target_day is None:
+    if target_day is None and TARGET not in posts.columns:
         return posts
-    return posts.filter(F.col("post_date") == F.lit(target_day).cast("date"))
+    kept = _with_target(posts, target_day).filter(
+        F.col(TARGET).isNull() | (F.col("post_date") == F.col(TARGET))
+    )
+    return kept if TARGET in posts.columns else kept.drop(TARGET)
 
 
 # ---- end of a grid -----------------------------------------------------------------------
 
 
 def streak_ends(
-    rows: DataFrame, target_day: str, streak: int = STREAK, block: int = GRID_BLOCK
+    rows: DataFrame, target_day: str | None = None, streak: int = STREAK, block: int = GRID_BLOCK
 ) -> DataFrame:
-    """Per brand the grid position of the ``streak``-th older post in a row, if there is one.
+    """Per grid the position of the ``streak``-th older post in a row, if there is one.
 
-    Rows without a date neither count nor reset. A brand's grid is cut into blocks of positions
-    and each block is walked on its own; only a short summary per block (first full streak, the
-    first older posts before any reset, older posts at its end) is carried along the brand. So
-    no window holds more than ``block`` positions or one summary row per block.
+    A grid is one brand's, or that of a brand's run where rows have a ``run_id``; runs may each have
+    a ``target_day``. Rows without a date neither count nor reset. A grid is cut into blocks of
+    positions and each block is walked on its own; only a short summary per block (first full
+    streak, the first older posts before any reset, older posts at its end) is carried along the
+    grid. So no window holds more than ``block`` positions or one summary row per block.
     """
-    older = F.col("post_date") < F.lit(target_day).cast("date")
-    dated = rows.filter(F.col("post_date").isNotNull()).select(
-        "brand_id",
+    keys = _run_keys(rows)
+    older = F.col("post_date") < F.col(TARGET)
+    dated = _with_target(rows, target_day).filter(
+        F.col("post_date").isNotNull() & F.col(TARGET).isNotNull()
+    ).select(
+        *keys,
         "grid_pos",
         F.floor(F.col("grid_pos") / F.lit(block)).alias("_block"),
         older.alias("_older"),
     )
-    walk = Window.partitionBy("brand_id", "_block").orderBy("grid_pos")
+    walk = Window.partitionBy(*keys, "_block").orderBy("grid_pos")
     runs = dated.withColumn("_run", F.sum((~F.col("_older")).cast("int")).over(walk))
-    in_run = Window.partitionBy("brand_id", "_block", "_run").orderBy("grid_pos")
+    in_run = Window.partitionBy(*keys, "_block", "_run").orderBy("grid_pos")
     counted = runs.withColumn("_streak", F.sum(F.col("_older").cast("int")).over(in_run))
 
     def at(length: int, leading: bool) -> Column:
         hit = F.col("_older") & (F.col("_streak") == length)
         return F.min(F.when(hit & (F.col("_run") == 0) if leading else hit, F.col("grid_pos")))
 
-    blocks = counted.groupBy("brand_id", "_block").agg(
+    blocks = counted.groupBy(*keys, "_block").agg(
         at(streak, leading=False).alias("_hit"),
         *(at(k, leading=True).alias(f"_lead{k}") for k in range(1, streak)),
         F.max("_run").alias("_resets"),
         F.max_by("_streak", "grid_pos").alias("_tail"),
     )
-    along = Window.partitionBy("brand_id").orderBy("_block")
+    along = Window.partitionBy(*keys).orderBy("_block")
     islands = blocks.withColumn(
         "_island", F.sum((F.col("_resets") > 0).cast("int")).over(along)
     ).withColumn(
-        "_out", F.sum("_tail").over(Window.partitionBy("brand_id", "_island").orderBy("_block"))
+        "_out", F.sum("_tail").over(Window.partitionBy(*keys, "_island").orderBy("_block"))
     )
     carried = islands.withColumn("_in", F.coalesce(F.lag("_out").over(along), F.lit(0)))
     continued = F.coalesce(
@@ -362,7 +450,7 @@ def streak_ends(
         *(F.when(F.col("_in") == streak - k, F.col(f"_lead{k}")) for k in range(1, streak)),
     )
     return (
-        carried.groupBy("brand_id")
+        carried.groupBy(*keys)
         .agg(F.min(F.least("_hit", continued)).alias("end_pos"))
         .filter(F.col("end_pos").isNotNull())
     )
@@ -370,17 +458,17 @@ def streak_ends(
 
 def cut_at_streak(
     rows: DataFrame,
-    target_day: str | None,
+    target_day: str | None = None,
     streak: int = STREAK,
     block: int = GRID_BLOCK,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Rows in front of each brand's streak of older posts."""
-    if target_day is None:
+    """Rows in front of each grid's streak of older posts."""
+    if target_day is None and TARGET not in rows.columns:
         return rows
     ends = held(streak_ends(rows, target_day, streak, block))
     return (
-        rows.join(ends.prepared(broadcast_rows), "brand_id", "left")
+        rows.join(ends.prepared(broadcast_rows), _run_keys(rows), "left")
         .filter(F.col("end_pos").isNull() | (F.col("grid_pos") < F.col("end_pos")))
         .drop("end_pos")
     )
@@ -410,11 +498,13 @@ def visited_pages(
 
 
 def page_records(dated: DataFrame) -> DataFrame:
-    """All record fields of each dated page, with its grid position.
+    """All record fields of each dated page, with its grid position and its run, if it has one.
 
     Fields that others build on are columns of a first step, so each is worked out once.
     """
+    run = [c for c in ("run_id", TARGET) if c in dated.columns]
     base = dated.select(
+        *run,
         "brand_id",
         "brand_name",
         "grid_pos",
@@ -427,6 +517,7 @@ def page_records(dated: DataFrame) -> DataFrame:
         mentions(F.col("images")).alias("_tags"),
     )
     return base.select(
+        *run,
         "brand_id",
         "brand_name",
         "grid_pos",
@@ -447,20 +538,59 @@ def collect_posts(
     profiles: DataFrame | None = None,
     target_day: str | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    filter_self_tag: bool = True,
+    filter_business: bool = True,
 ) -> DataFrame:
-    """The records of one collection run, in the batch columns.
+    """The records of collection runs, in the batch columns.
 
-    Pages of other days and failed pages are gone before any field but the day is read.
+    Pages of other days and failed pages are gone before any field but the day is read. The two
+    switches turn off the filter of a brand's own posts, and that of shops (listed platforms and
+    business profiles).
     """
+    return _collected(
+        fetched, profiles, target_day, broadcast_rows, filter_self_tag, filter_business
+    ).select(*BATCH_COLUMNS)
+
+
+def collect_runs(
+    fetched: DataFrame,
+    runs: DataFrame,
+    profiles: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+    filter_self_tag: bool = True,
+    filter_business: bool = True,
+) -> DataFrame:
+    """Records of many runs at once: ``run_id`` and the batch columns.
+
+    ``runs`` has one row (brand_id, run_id, target_day) per run, and ``fetched`` the run of each
+    page. Pages of a run that is not listed are left out. A run without a day collects all days.
+    """
+    days = held(runs.select("brand_id", "run_id", F.col(TARGET).cast("date").alias(TARGET)))
+    of_runs = fetched.join(days.prepared(broadcast_rows), ["brand_id", "run_id"])
+    return _collected(
+        of_runs, profiles, None, broadcast_rows, filter_self_tag, filter_business
+    ).select("run_id", *BATCH_COLUMNS)
+
+
+def _collected(
+    fetched: DataFrame,
+    profiles: DataFrame | None,
+    target_day: str | None,
+    broadcast_rows: int,
+    filter_self_tag: bool,
+    filter_business: bool,
+) -> DataFrame:
     pages = on_day(visited_pages(fetched, target_day, broadcast_rows), target_day).filter(
         ~F.col("page_failed") & F.col("post_date").isNotNull()
     )
-    records = drop_platforms(drop_self_tags(page_records(pages)))
-    if profiles is not None:
-        records = drop_business(records, profiles, broadcast_rows)
-    return records.withColumn("post_date", F.col("post_date").cast("string")).select(
-        *BATCH_COLUMNS
-    )
+    records = page_records(pages)
+    if filter_self_tag:
+        records = drop_self_tags(records)
+    if filter_business:
+        records = drop_platforms(records)
+        if profiles is not None:
+            records = drop_business(records, profiles, broadcast_rows)
+    return records.withColumn("post_date", F.col("post_date").cast("string"))
 
 
 def judged_pages(

@@ -26,6 +26,7 @@ BRANDS = ["brand#1", "brand#2"]
 OTHER_BRAND = "brand#7"
 ACCOUNT = "user10"
 TARGET_DAY = "2024-03-28"
+DAY_BEFORE = "2024-03-27"
 NOW = "2001-08-02 12:00:00"
 LOADED_AT = "2024-04-01 00:00:00"
 
@@ -174,6 +175,32 @@ select page_id,
 from {pages}
 """
 
+#: Grid snapshots: each page's grid shown in three scrolls, the later ones with links of before.
+SNAPSHOTS_SQL = """
+select page_id % 40 as brand_id, cast(scroll + 3 * floor(page_id / 40) as int) as scroll,
+       case scroll when 0 then left(html, cast(length(html) / 2 as int)) else html end as html
+from (select 0 as scroll, page_id, html from {grids} union all
+      select 1, page_id, html from {grids} union all select 2, page_id, html from {grids})
+"""
+
+#: Detail pages, made of the given pages' texts.
+DETAILS_SQL = """
+select page_id,
+       concat('<!DOCTYPE html><html><head><META name=description content="plain ', page_id, '">',
+         case when page_id % 4 = 0 then '' else
+           concat('<meta property="og:title" content="N', page_id, ' &amp; co on Instagram: x">') end,
+         case when page_id % 3 = 0 then '' when page_id % 3 = 1 then
+           concat('<meta content=''d', page_id, ' on May 1, 2024'' property=''og:description''/>')
+           else '<!-- <meta property="og:description" content="hidden"> -->' end,
+         '<meta property="og:image" content="', case when page_id % 5 = 0 then '' else 'http://i/o.jpg' end,
+         '"></head><body><img alt="Photo by outside" src="o"><main class="m">',
+         case when page_id % 6 = 0 then '' else concat('<time datetime="2024-03-0', page_id % 9 + 1,
+              'T10:00:00Z">x</time><time datetime="2020-01-01">y</time>') end,
+         '<img src="1.jpg" alt="Photo by A with @b', page_id % 7, '"><img alt=''x''>',
+         '</main><p>', left(html, 200), '</p></body></html>') as html
+from {pages}
+"""
+
 
 def for_duckdb(sql: str) -> str:
     """A statement of this module over plainly named tables."""
@@ -279,6 +306,23 @@ class Fixture:
     def grids(self) -> DataFrame:
         return self.sql(GRIDS_SQL)
 
+    def snapshots(self) -> DataFrame:
+        return self.spark.sql(SNAPSHOTS_SQL, grids=self.grids())
+
+    def details(self) -> DataFrame:
+        return self.sql(DETAILS_SQL)
+
+    def runs(self) -> DataFrame:
+        """Two runs per brand, for the target day and the day before."""
+        days = F.array(*(F.struct(F.lit(n).alias("run_id"), F.lit(day).alias("target_day"))
+                         for n, day in enumerate((TARGET_DAY, DAY_BEFORE))))
+        brands = self.fetched().select("brand_id").distinct()
+        return brands.select("brand_id", F.explode(days).alias("_r")).select("brand_id", "_r.*")
+
+    def fetched_in_runs(self) -> DataFrame:
+        runs = F.explode(F.array(F.lit(0), F.lit(1))).alias("run_id")
+        return self.fetched().select("*", runs)
+
     def fetched(self) -> DataFrame:
         if "fetched" not in self._stored:
             images = F.array(

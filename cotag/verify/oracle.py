@@ -6,6 +6,8 @@ key wherever the rule alone leaves ties.
 
 from __future__ import annotations
 
+import re
+
 from cotag.operators import extract
 from cotag.verify import fixtures as fx
 
@@ -22,6 +24,8 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "profiles": ((), fx.for_duckdb(fx.PROFILES_SQL)),
     "brand_records": ((), fx.for_duckdb(fx.BRAND_RECORDS_SQL)),
     "grids": ((), fx.for_duckdb(fx.GRIDS_SQL)),
+    "details": ((), fx.for_duckdb(fx.DETAILS_SQL)),
+    "snapshots": (("grids",), fx.SNAPSHOTS_SQL.replace("{grids}", "grids")),
     "parts": (
         ("posts",),
         """
@@ -256,6 +260,14 @@ from before_end b
     ),
 }
 
+# The same for the run of the day before.
+for _name in ("ends", "before_end", "judged"):
+    _needs, _sql = _PARTS[_name]
+    for _part in ("ends", "before_end"):
+        _sql = re.sub(rf"\b{_part}\b", f"{_part}_before", _sql)
+    _needs = tuple(f"{n}_before" if n in ("ends", "before_end") else n for n in _needs)
+    _PARTS[f"{_name}_before"] = (_needs, _sql.replace(fx.TARGET_DAY, fx.DAY_BEFORE))
+
 
 def _with_parts(names: tuple[str, ...]) -> str:
     needed: set[str] = set()

@@ -235,6 +235,42 @@ _add(
     ),
     _links("pages", "/"),
 )
+_add(
+    "x_grid_positions",
+    lambda f: extract.grid_positions(f.snapshots()),
+    """select brand_id, row_number() over (partition by brand_id order by first_at) as grid_pos, href
+       from (select brand_id, href, min([scroll, n]) as first_at
+             from (select brand_id, scroll, unnest(string_split(links, ' ')) as href,
+                          generate_subscripts(string_split(links, ' '), 1) as n
+                   from (select s.brand_id, s.scroll, l.links from snapshots s join ("""
+    + _links("(select html as page_id, html from snapshots group by html)", "/p/")
+    + """) l on l.page_id = s.html where l.links <> '')) group by all)""",
+    ("snapshots",),
+)
+_add(
+    "x_page_fields",
+    lambda f: extract.page_fields(f.details()).select(
+        "page_id", "meta_title", "meta_desc", "og_image", "time_iso",
+        F.to_json(F.col("images")).alias("images"),
+    ),
+    """select page_id, case when page_id % 4 = 0 then '' else concat('N', page_id, ' & co on Instagram: x') end
+                as meta_title,
+              case when page_id % 3 = 1 then concat('d', page_id, ' on May 1, 2024')
+                   else concat('plain ', page_id) end as meta_desc,
+              case when page_id % 5 = 0 then '' else 'http://i/o.jpg' end as og_image,
+              case when page_id % 6 <> 0 then concat('2024-03-0', page_id % 9 + 1, 'T10:00:00Z') end as time_iso,
+              concat('[{"alt":"Photo by A with @b', page_id % 7, '","src":"1.jpg"},{"alt":"x","src":""}]') as images
+       from pages""",
+)
+_add(
+    "x_collect_runs",
+    lambda f: extract.collect_runs(f.fetched_in_runs(), f.runs(), f.profiles()),
+    """select run_id, post_id, insta_id, insta_name, brand_name, brand_id, full_link, img_src,
+              cast(post_date as varchar) as post_date, tagged_insta_id, tagged_insta_id_cnt
+       from (select 0 as run_id, * from judged union all select 1, * from judged_before)
+       where outcome = 'collected'""",
+    ("judged", "judged_before"),
+)
 _add(
     "x_caption_images",
     lambda f: f.fetched().select(

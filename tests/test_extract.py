@@ -269,3 +269,52 @@ def test_collection_run(spark, broadcast_rows):
     judged = extract.judged_pages(pages, profiles, "2024-01-10", broadcast_rows)
     counts = {r["outcome"]: r["pages"] for r in extract.outcome_counts(judged).collect()}
     assert counts == {"collected": 1, "filtered": 3, "detail_failed": 1, "date_failed": 1}
+
+
+def test_filter_switches(spark):
+    pages, profiles = fetched(spark)
+
+    def ids(**switches):
+        return {r["post_id"] for r in extract.collect_posts(pages, profiles, "2024-01-10", **switches).collect()}
+
+    assert ids() == {"2"}
+    assert ids(filter_self_tag=False) == {"2", "3"}
+    assert ids(filter_business=False) == {"2", "4", "5"}
+    assert ids(filter_self_tag=False, filter_business=False) == {"2", "3", "4", "5"}
+
+
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_many_runs_equal_single_runs(spark, broadcast_rows):
+    pages, profiles = fetched(spark)
+    days = {0: "2024-01-10", 1: "2024-01-09", 2: None}
+    in_runs = pages.select("*", F.explode(F.array(*map(F.lit, range(4)))).alias("run_id"))
+    runs = spark.createDataFrame(
+        [("Brand", n, d) for n, d in days.items()], "brand_id string, run_id int, target_day string"
+    )
+    got = extract.collect_runs(in_runs, runs, profiles, broadcast_rows).collect()
+    for n, day in days.items():
+        alone = {tuple(r) for r in extract.collect_posts(pages, profiles, day).collect()}
+        assert {tuple(r)[1:] for r in got if r["run_id"] == n} == alone
+    assert {r["run_id"] for r in got} <= set(days)
+
+
+def test_repeated_links_take_one_position(spark):
+    link = '<a href="/x/p/{}/">'.format
+    rows = [
+        ("b", 0, link(1) + link(2) + link(1)), ("b", 1, link(2) + link(3) + link(1) + link(4)),
+        ("c", 0, link(2)), ("b", 2, None), ("b", 3, "no links"),
+    ]
+    df = spark.createDataFrame(rows, "brand_id string, scroll int, html string").repartition(3)
+    got = sorted(map(tuple, extract.grid_positions(df).collect()))
+    want = [("b", n, f"/x/p/{n}/") for n in range(1, 5)]
+    assert got == [*want, ("c", 1, "/x/p/2/")]
+
+
+def test_fields_of_missing_and_odd_pages(spark):
+    rows = [(1, None), (2, ""), (3, "<main><IMG ALT=Photo SRC=\'a&amp;b\'><p></main><time>")]
+    df = extract.page_fields(spark.createDataFrame(rows, "page_id int, html string"))
+    got = {r["page_id"]: r for r in df.collect()}
+    for n in (1, 2):
+        assert tuple(got[n])[1:] == ("", "", "", None, [])
+    assert [tuple(i) for i in got[3]["images"]] == [("Photo", "a&b")]
+    assert got[3]["time_iso"] is None
