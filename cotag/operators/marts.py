@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from cotag.functions.text import best_name, known_name
 from cotag.operators.stage import distinct_tags
 
-#: Leading characters of a tagged account that split the long lists of one account.
-LIST_PREFIX = 4
+#: Tagged accounts in one part of an account's list.
+LIST_PART = 4096
 #: Newest posts kept per account.
 RECENT_POSTS = 10
 
@@ -51,27 +51,41 @@ def _edges(rows: DataFrame, posts: Column) -> DataFrame:
     )
 
 
-def cross_brand_accounts(edges: DataFrame, prefix: int = LIST_PREFIX) -> DataFrame:
-    """Per account: name, number of tagged accounts and their ordered list as text.
+def account_lists(edges: DataFrame, part_rows: int = LIST_PART) -> DataFrame:
+    """Each account's tagged accounts in order, as parts: (insta_id, part, name, edges, tags).
 
-    An account that holds a large part of all edges (posts without a known author share one)
-    must not be sorted in one task. Its list is first built per leading ``prefix`` characters,
-    which keeps the order of the whole, and only the finished pieces are put together.
+    Edges are range sorted by account and tagged account, so Spark's sampling sets the cuts and a
+    hot account lies in many tasks, whatever its tags begin with. A part is at most ``part_rows``
+    neighbours of one task; parts of an account are numbered in order, not densely. ``tags`` is
+    NULL for a part without tags.
     """
+    order = ("insta_id", "tagged_account")
+    sorted_rows = edges.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id()  # the partition above bit 33, the row below it
+    placed = sorted_rows.select("insta_id", "insta_name", "tagged_account", place.alias("_at"))
+    block = F.shiftright("_at", 33) * F.lit(1 << 33) + F.floor(
+        F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) / F.lit(part_rows)
+    )
     tag = F.col("tagged_account")
-    pieces = edges.groupBy("insta_id", F.left(tag, F.lit(prefix)).alias("_prefix")).agg(
-        known_name(F.col("insta_name")).alias("_name"),
-        F.count(F.lit(1)).alias("_edges"),
-        F.when(
-            F.count(tag) > 0, F.array_join(F.sort_array(F.collect_list(tag)), ", ")
-        ).alias("_list"),
+    return placed.groupBy("insta_id", block.alias("part")).agg(
+        known_name(F.col("insta_name")).alias("name"),
+        F.count(F.lit(1)).alias("edges"),
+        F.when(F.count(tag) > 0, F.array_join(F.sort_array(F.collect_list(tag)), ", ")).alias("tags"),
     )
-    piece = F.when(F.col("_list").isNotNull(), F.struct("_prefix", "_list"))
-    ordered = F.transform(F.sort_array(F.collect_list(piece)), lambda p: p["_list"])
-    return pieces.groupBy("insta_id").agg(
-        best_name(F.col("_name")).alias("insta_name"),
-        F.sum("_edges").alias("tagged_account_count"),
-        F.when(F.count("_list") > 0, F.array_join(ordered, ", ")).alias("brands_tagged"),
+
+
+def cross_brand_accounts(edges: DataFrame, part_rows: int = LIST_PART) -> DataFrame:
+    """Per account: name, number of tagged accounts and their ordered list as text.
+
+    An account that holds a large part of all edges (posts without a known author share one)
+    is not sorted in one task: only the finished parts of :func:`account_lists` meet in its row.
+    """
+    part = F.when(F.col("tags").isNotNull(), F.struct("part", "tags"))
+    ordered = F.transform(F.sort_array(F.collect_list(part)), lambda p: p["tags"])
+    return account_lists(edges, part_rows).groupBy("insta_id").agg(
+        best_name(F.col("name")).alias("insta_name"),
+        F.sum("edges").alias("tagged_account_count"),
+        F.when(F.count("tags") > 0, F.array_join(ordered, ", ")).alias("brands_tagged"),
     )
 
 

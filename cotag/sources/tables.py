@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cotag.functions.joins import held
 from cotag.functions.text import strip
 from cotag.schemas import BATCH, BRANDS, POSTS
 
@@ -90,6 +91,21 @@ def brand_dim(records: DataFrame) -> DataFrame:
     )
 
 
+def routed(batches: DataFrame, dim: DataFrame) -> DataFrame:
+    """``batches`` with the ``schema`` and ``table`` that their ``brand_key`` is configured for.
+
+    Rows of an unknown brand go to the default table. Writing the result partitioned by both
+    columns puts every batch where it belongs.
+    """
+    target = held(dim.select("brand_key", "schema", "table"))
+    return batches.join(target.prepared(), "brand_key", "left").withColumns(
+        {
+            "schema": F.coalesce("schema", F.lit(DEFAULT_SCHEMA)),
+            "table": F.coalesce("table", F.lit(DEFAULT_TABLE)),
+        }
+    )
+
+
 def enabled_brands(records: DataFrame, when_missing: bool = False) -> DataFrame:
     """Ids of the enabled records, in the order of the configuration.
 

@@ -124,6 +124,25 @@ _add(
        from brand_records qualify row_number() over (partition by brand_key order by pos desc) = 1""",
     ("brand_records",),
 )
+_add(
+    "brand_routing",
+    lambda f: tables.routed(
+        f.batch().select("post_id", F.initcap("brand_id").alias("brand_key")).unionByName(
+            f.table("part").select(
+                F.concat(F.lit("x"), "p_partkey").alias("post_id"), F.col("p_brand").alias("brand_key")
+            )
+        ),
+        tables.brand_dim(f.brand_records()),
+    ),
+    """select post_id, key as brand_key, coalesce(schema, 'RAW_DATA') as schema,
+              coalesce(table_name, 'INSTAGRAM_POSTS') as "table"
+       from (select post_id, 'B' || substr(brand_id, 2) as key from batch
+             union all select 'x' || p_partkey, p_brand from part)
+       left join (select brand_key, schema, table_name from brand_records
+                  qualify row_number() over (partition by brand_key order by pos desc) = 1)
+         on key = brand_key""",
+    ("brand_records", "batch"),
+)
 _add(
     "enabled_brands",
     lambda f: tables.enabled_brands(f.brand_records()),

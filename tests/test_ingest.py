@@ -20,6 +20,7 @@ from cotag.sources.tables import (
     enabled_brands,
     read_brands,
     read_post_csv,
+    routed,
     write_post_csv,
 )
 from cotag.sources.versions import CommitConflict, Versions
@@ -324,6 +325,17 @@ def test_brand_records(spark, tmp_path):
     assert ingest_ids == ["a1", "b1"]
 
 
+def test_batches_go_to_the_table_of_their_brand(spark):
+    dim = brand_dim(spark.createDataFrame(
+        [(1, "a", "T1"), (2, "b", None)], "pos int, brand_key string, table string"
+    ).selectExpr("pos", "brand_key", "'' as instagram_id", "'' as dag_id", "'' as schedule",
+                 "true as enabled", "'S' as schema", "table"))
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("x", 3), (None, 4)], "brand_key string, n int")
+    got = {r["n"]: (r["schema"], r["table"]) for r in routed(rows, dim).collect()}
+    default = ("RAW_DATA", "INSTAGRAM_POSTS")
+    assert got == {1: ("S", "T1"), 2: ("S", default[1]), 3: default, 4: default}
+
+
 def test_brand_param(spark):
     df = spark.createDataFrame([(" a, ,b ,,c,\td\n,\u00a0e\u00a0,\t",)], "t string")
     assert df.select(brand_param(F.col("t"))).first()[0] == ["a", "b", "c", "d", "e"]

@@ -119,20 +119,31 @@ def test_both_plans_of_a_mart_agree(spark):
         assert general.exceptAll(keyed).count() == 0
 
 
-@pytest.mark.parametrize("prefix", [1, 2, 4])
-def test_long_lists_are_whole_and_ordered(spark, prefix):
-    tags = [f"{c}{n}" for c in "badc" for n in range(300)] + ["", "b", "ba"]
+@pytest.mark.parametrize("start", ["", "all-alike-"])
+@pytest.mark.parametrize("part_rows", [1, 7, 4096])
+def test_long_lists_are_whole_and_ordered(spark, part_rows, start):
+    tags = [f"{start}{c}{n}" for c in "badc" for n in range(300)] + ["", "b", "ba"]
     rows = [("hot", t) for t in tags] + [("cold", "z"), ("cold", "a"), (None, "q")]
     edges = spark.createDataFrame(rows, "insta_id string, tagged_account string").withColumn(
         "insta_name", F.lit("unknown")
     )
-    got = {r["insta_id"]: r for r in marts.cross_brand_accounts(edges, prefix).collect()}
+    got = {r["insta_id"]: r for r in marts.cross_brand_accounts(edges, part_rows).collect()}
     assert got["hot"]["brands_tagged"] == ", ".join(sorted(tags))
     assert got["hot"]["tagged_account_count"] == len(tags)
     assert got["cold"]["brands_tagged"] == "a, z"
     assert got[None]["brands_tagged"] == "q"
 
 
+def test_a_hot_list_lies_in_many_parts(spark):
+    edges = spark.range(5000).selectExpr(
+        "'hot' as insta_id", "'n' as insta_name", "concat('alike-', lpad(id, 5, '0')) as tagged_account"
+    )
+    parts = marts.account_lists(edges, 500).orderBy("part").collect()
+    assert len(parts) >= 10 and max(p["edges"] for p in parts) <= 500
+    joined = ", ".join(p["tags"] for p in parts)
+    assert joined == ", ".join(f"alike-{n:05}" for n in range(5000))
+
+
 def test_list_without_accounts_is_null(spark):
     edges = spark.createDataFrame(
         [("a", None, "n"), ("b", None, "n"), ("b", "t", "n")],
