@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import site
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +15,6 @@ from pyspark.sql import functions as F
 
 from cotag.session import ensure_checkpoints
 
-_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -19,22 +23,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_ROOT = Path(__file__).resolve().parents[2]
+_shipped: set[str] = set()
+
+
+def importable(spark: SparkSession) -> None:
+    """Make this package importable in Python tasks.
+
+    Where it is neither installed nor on the path that tasks inherit, Spark sends its source files
+    along, as ``--py-files`` would.
+    """
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if spark.sparkContext.master.startswith("local["):
+        paths.append(os.getcwd())
+    known = {Path(p).resolve() for p in (*paths, *site.getsitepackages()) if p}
+    application = spark.sparkContext.applicationId
+    if _ROOT in known or application in _shipped:
+        return
+    archive = f"{tempfile.mkdtemp(prefix='cotag-source-')}/cotag.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted((_ROOT / "cotag").rglob("*.py")):
+            file.write(source, source.relative_to(_ROOT))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the Arrow batches that Python tasks receive, as texts may be very long.
+    """Bound the rows of the Arrow batches that Python tasks receive; a lower limit stays.
 
-    A setting the user made themselves stays.
+    Their bytes are bounded by Spark's own setting for that.
     """
-    for key, value in ((_ARROW_BYTES, str(32 << 20)), (_ARROW_ROWS, str(rows))):
-        try:
-            default = spark._jsparkSession.sessionState().conf().getConfString(key)
-            if key == _ARROW_ROWS and default != "10000":
-                continue
-            if key == _ARROW_BYTES and int("".join(filter(str.isdigit, default)) or 0) <= 64 << 20:
-                continue
-            spark.conf.set(key, value)
-        except Exception as error:  # the release has no such setting
-            if key not in str(error):
-                raise
+    importable(spark)
+    now = int(spark.conf.get(_ARROW_ROWS))
+    if now <= 0 or now > rows:
+        spark.conf.set(_ARROW_ROWS, str(rows))
 
 
 class WordTable(dict):
