@@ -124,11 +124,13 @@ _CLASS_PATTERNS = {
     "digits": "0-9",
     "spaces": r" \t\n\r\x0b\x0c",
 }
+_RUNS = "|".join(rf"\{c}\{c}+" for c in "#$%&*!?@^~=+<>|")
 _EDGES = (1, 2, 5, 10, 20, 40, 80, 160, 320, 640)
 _WORD_EDGES = (50, 100, 200, 300, 400, 500, 600, 700, 800, 900)
 _REPEAT_EDGES = (1, 5, 10, 20, 50, 100, 200, 400, 600, 800)
 _VALUES = {
     **{f: (_share(p), _EDGES) for f, p in _CLASS_PATTERNS.items()},
+    "runs": (f"1000 * len(regexp_extract_all(t, '{_RUNS}')) // greatest(strlen(t), 1)", _EDGES),
     "distinct": ("1000 * len(list_distinct(w)) // greatest(len(w), 1)", _WORD_EDGES),
     "repeats": (
         "1000 * len(list_filter(list_zip(w[1:len(w) - 1], w[2:]), lambda p: p[1] = p[2])) "

@@ -29,12 +29,14 @@ CLASSES = {
     "digits": "0123456789",
     "spaces": " \t\n\r\x0b\x0c",
 }
+#: Characters whose runs (the same one twice or more in a row) are counted.
+RUNS = "#$%&*!?@^~=+<>|"
 #: Lower edges of the bins of a count per thousand bytes.
 EDGES = (1, 2, 5, 10, 20, 40, 80, 160, 320, 640)
 #: Lower edges of the bins of distinct words, and of words like the one before, per thousand words.
 WORD_EDGES = (50, 100, 200, 300, 400, 500, 600, 700, 800, 900)
 REPEAT_EDGES = (1, 5, 10, 20, 50, 100, 200, 400, 600, 800)
-FEATURES = (*CLASSES, "distinct", "repeats")
+FEATURES = (*CLASSES, "runs", "distinct", "repeats")
 BINS = len(EDGES) + 1
 #: Documents with a posterior log odds below this (in micro-nats) are rejected.
 LEAST_LOG_ODDS = 0
@@ -46,6 +48,12 @@ def _binned(values: np.ndarray, edges: tuple[int, ...]) -> np.ndarray:
     return np.searchsorted(np.array(edges), values, side="right")
 
 
+def _run_count(raw: np.ndarray, chars: np.ndarray) -> int:
+    """Runs of two or more of the same of ``chars``."""
+    same = (raw[1:] == raw[:-1]) & chars[raw[1:]]
+    return int(same.sum()) - int((same[1:] & same[:-1]).sum())
+
+
 def featured(docs: DataFrame, host: Column, path: Column) -> DataFrame:
     """Bins of the style features of whole texts: (doc_id, host, path, a bin per feature).
 
@@ -59,15 +67,20 @@ def featured(docs: DataFrame, host: Column, path: Column) -> DataFrame:
         for name, chars in CLASSES.items():
             tables[name] = np.zeros(256, np.int64)
             tables[name][list(chars.encode())] = 1
+        in_runs = np.zeros(256, bool)
+        in_runs[list(RUNS.encode())] = True
         for batch in batches:
             raw = [t.encode("utf-8", "surrogatepass") for t in texts_of(batch)]
             sizes = np.array([len(r) for r in raw], np.int64)
             columns = {}
+            codes = [np.frombuffer(r, np.uint8) for r in raw]
             counts = np.array(
-                [np.bincount(np.frombuffer(r, np.uint8), minlength=256) for r in raw], np.int64
+                [np.bincount(c, minlength=256) for c in codes], np.int64
             ).reshape(len(raw), 256)
             for name, chosen in tables.items():
                 columns[name] = _binned(1000 * (counts @ chosen) // np.maximum(sizes, 1), EDGES)
+            runs = np.array([_run_count(c, in_runs) for c in codes], np.int64)
+            columns["runs"] = _binned(1000 * runs // np.maximum(sizes, 1), EDGES)
             words = [r.split() for r in raw]
             total = np.maximum(np.array([len(w) for w in words], np.int64), 1)
             distinct = np.array([len(set(w)) for w in words], np.int64)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 
 from conftest import plain
@@ -18,6 +19,8 @@ def bins_by_hand(text: str | None) -> dict[str, int]:
         f: at(1000 * sum(chr(b) in chars for b in raw) // max(len(raw), 1), quality.EDGES)
         for f, chars in quality.CLASSES.items()
     }
+    runs = sum(len(m[0]) > 1 for m in re.finditer(rb"([#$%&*!?@^~=+<>|])\1*", raw))
+    out["runs"] = at(1000 * runs // max(len(raw), 1), quality.EDGES)
     n = max(len(words), 1)
     out["distinct"] = at(1000 * len({*words}) // n, quality.WORD_EDGES)
     out["repeats"] = at(
@@ -27,6 +30,8 @@ def bins_by_hand(text: str | None) -> dict[str, int]:
 
 
 def test_features_by_hand(messy, spark):
+    odd = messy.limit(1).withColumns({"doc_id": F.lit(50), "text": F.lit("##!! a!!! &&& $x ** 1%% |||||?!?")})
+    messy = messy.unionByName(odd)
     rows = quality.featured(messy, F.col("source"), F.lit(None)).collect()
     texts = [(r["doc_id"], r["text"]) for r in messy.collect()]
     want = Counter((i, *bins_by_hand(t).values()) for i, t in texts)
@@ -63,8 +68,8 @@ def test_held_out_accuracy(spark):
     )
     counts = {(r["quality"], r["keep"]): r["count"] for r in judged.groupBy("quality", "keep").count().collect()}
     good, bad = counts.get((1, True), 0), counts.get((0, False), 0)
-    assert good / (good + counts.get((1, False), 0)) > 0.99
-    assert bad / (bad + counts.get((0, True), 0)) > 0.75
+    assert good / (good + counts.get((1, False), 0)) > 0.995
+    assert bad / (bad + counts.get((0, True), 0)) > 0.95
 
 
 def test_sparse_sites_shrink(make_docs, spark):
