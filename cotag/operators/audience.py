@@ -72,6 +72,12 @@ class Audience:
         ids = Side(self.accounts.select("insta_id"), self.size, self._side.text_bytes)
         return keep_matching(df, ids, "insta_id", self.broadcast_rows)
 
+    def with_totals(self, df: DataFrame) -> DataFrame:
+        """Rows of ``df`` whose ``insta_id`` is selected, with the account's known name."""
+        names = self.accounts.select("insta_id", "known_name")
+        side = Side(names, self.size, self._side.text_bytes)
+        return df.join(side.prepared(self.broadcast_rows), "insta_id")
+
     def other_edges(self) -> DataFrame:
         """Edges from selected accounts to accounts outside the brand list."""
         outside = self.edges.filter(~F.col("tagged_account").isin(self.brands))

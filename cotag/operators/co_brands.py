@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cotag.functions.ranking import rank_all, rank_top
 from cotag.functions.sections import list_section
-from cotag.functions.text import known_name
 from cotag.operators.audience import Audience
 
 TOP_CO_BRANDS = 10
@@ -55,26 +54,17 @@ def co_brand_top(audience: Audience, rows: int = TOP_CO_BRANDS) -> DataFrame:
 def co_brand_taggers(audience: Audience, tagged_account: str) -> DataFrame:
     """Selected accounts that also tag ``tagged_account``, by tags of that account.
 
-    Membership, name and tags come from one grouped pass over the edges of the brands
-    and of ``tagged_account``; nothing is joined.
+    Just the edges of that account are read; membership and names come from the selection, which
+    is already held.
     """
-    chosen = F.col("tagged_account").isin(audience.brands)
-    target = F.col("tagged_account") == tagged_account
+    edges = audience.edges.filter(F.col("tagged_account") == tagged_account)
     return (
-        audience.edges.filter((chosen | target) & F.col("insta_id").isNotNull())
-        .groupBy("insta_id")
-        .agg(
-            F.count_if(chosen).alias("_brands"),
-            known_name(F.when(chosen, F.col("insta_name"))).alias("_name"),
-            F.sum(F.when(target, F.col("tagged_post_count"))).alias("tag_count"),
-            F.max(F.when(target, F.col("last_tagged_date"))).alias("latest_tag_date"),
-        )
-        .filter((F.col("_brands") == len(audience.brands)) & F.col("tag_count").isNotNull())
+        audience.with_totals(edges.select("insta_id", "tagged_post_count", "last_tagged_date"))
         .select(
             "insta_id",
-            F.coalesce("_name", "insta_id").alias("display_name"),
-            "tag_count",
-            "latest_tag_date",
+            F.coalesce("known_name", "insta_id").alias("display_name"),
+            F.col("tagged_post_count").alias("tag_count"),
+            F.col("last_tagged_date").alias("latest_tag_date"),
         )
         .orderBy(F.desc("tag_count"), F.asc("insta_id"))
         .limit(TOP_TAGGERS)

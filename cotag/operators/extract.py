@@ -12,7 +12,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cotag.functions.joins import BROADCAST_ROWS, drop_matching, held
+from cotag.functions.joins import BROADCAST_ROWS, drop_matching, held, keep_matching
 from cotag.functions.text import strip
 from cotag.schemas import BATCH_COLUMNS, UNKNOWN
 
@@ -346,6 +346,14 @@ def _own_join_key(df: DataFrame) -> Column:
     return F.when(F.col("insta_id") == UNKNOWN, own).otherwise(F.col("insta_id"))
 
 
+def profiles_of(
+    posts: DataFrame, profiles: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Profiles of the owners of ``posts``, so that no other profile text is searched."""
+    owners = held(posts.filter(F.col("insta_id") != UNKNOWN).select("insta_id").distinct())
+    return keep_matching(profiles, owners, "insta_id", broadcast_rows)
+
+
 def drop_business(
     posts: DataFrame, profiles: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
@@ -589,7 +597,8 @@ def _collected(
     if filter_business:
         records = drop_platforms(records)
         if profiles is not None:
-            records = drop_business(records, profiles, broadcast_rows)
+            judged = profiles_of(records, profiles, broadcast_rows)
+            records = drop_business(records, judged, broadcast_rows)
     return records.withColumn("post_date", F.col("post_date").cast("string"))
 
 
@@ -614,7 +623,8 @@ def judged_pages(
     own = is_self_tag(F.col("insta_id"), F.col("brand_id"))
     unwanted = own | F.col("insta_id").isin(*PLATFORM_ACCOUNTS)
     if profiles is not None:
-        pages = _with_business_flag(pages, profiles, broadcast_rows)
+        judged = profiles_of(pages, profiles, broadcast_rows)
+        pages = _with_business_flag(pages, judged, broadcast_rows)
         unwanted = unwanted | F.col("_business")
     outcome = F.coalesce("_early", F.when(unwanted, FILTERED).otherwise(COLLECTED))
     return pages.withColumn("outcome", outcome).drop("_early", "_business")

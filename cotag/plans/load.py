@@ -5,26 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cotag.functions.joins import BROADCAST_ROWS, held
-from cotag.operators.ingest import BatchChecks, split_batch, upsert_posts, validate_batch
-from cotag.sources.snapshots import Delivery, PostTable, Snapshot, day_of
+from cotag.functions.joins import BROADCAST_ROWS, Side, drop_matching, held
+from cotag.operators.ingest import BatchChecks, cast_post_date, upsert_posts, validate_batch
+from cotag.sources.snapshots import DAY, Delivery, PostTable, Snapshot, day_of
 from cotag.sources.versions import CommitConflict
 
 #: How often a load starts again after another writer was first.
 TRIES = 10
 
 
-def touched_days(
-    target: DataFrame, batch: DataFrame, checks: BatchChecks, broadcast_rows: int = BROADCAST_ROWS
-) -> list[str]:
-    """Days that hold a post of the batch, or will hold a new one.
+def split_by_day(
+    table: PostTable, base: Snapshot, batch: DataFrame, checks: BatchChecks, broadcast_rows: int
+) -> tuple[list[str], DataFrame]:
+    """Days that the batch touches, and its posts that are new, with their day cast.
 
-    At most one row per calendar day reaches the driver.
+    Known posts are found in the key lists, not in the table. At most one row per calendar day
+    reaches the driver.
     """
-    known, added = split_batch(target, batch, checks, broadcast_rows)
-    days = known.select("post_date").unionByName(added.select("post_date"))
-    named = days.select(day_of(F.col("post_date")).alias("day")).distinct()
-    return [row["day"] for row in named.collect()]
+    keys = Side(batch, checks.rows, checks.text_bytes)
+    known = held(table.days_of(base, keys, broadcast_rows))
+    added = cast_post_date(drop_matching(batch, known, "post_id", broadcast_rows))
+    named = added.select(day_of(F.col("post_date")).alias(DAY))
+    days = known.df.select(DAY).unionByName(named).distinct()
+    return [row[DAY] for row in days.collect()], added
 
 
 def load_batch(
@@ -50,10 +53,10 @@ def load_batch(
         base = table.snapshot()
         if delivery is not None and base.has(delivery):
             return base
-        days = touched_days(table.read(base), rows, checks, broadcast_rows)
+        days, added = split_by_day(table, base, rows, checks, broadcast_rows)
         updated = upsert_posts(table.read(base, days), rows, now, checks, broadcast_rows)
         try:
-            return table.write(updated, base, days, delivery)
+            return table.write(updated, base, days, delivery, added)
         except CommitConflict:
             if attempt == tries - 1:
                 raise

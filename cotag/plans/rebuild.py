@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cotag import schemas
 from cotag.functions.layout import BUCKET, account_bucket
 from cotag.operators import marts, quality
 from cotag.operators.stage import tagged_post_rows
@@ -16,6 +17,14 @@ from cotag.sources.versions import Versions
 
 STAGE_VIEW = "group_by_tagged_post"
 
+#: Declared columns of the summaries; the other marts are read as they were written.
+MART_SCHEMAS = {
+    "account_tagged_accounts": schemas.ACCOUNT_TAGGED,
+    "cross_brand_accounts": schemas.CROSS_BRAND,
+    "mart_brand_monthly_tagging": schemas.BRAND_MONTHLY,
+    "mart_co_brand_stats": schemas.CO_BRAND_STATS,
+}
+
 
 class ExpectationError(RuntimeError):
     """A rebuilt table breaks an expectation."""
@@ -103,7 +112,10 @@ class Marts:
 
     def read(self, name: str) -> DataFrame:
         _, content = self._versions.last()
-        return self.spark.read.parquet(f"{content['folder']}/{name}")
+        reader = self.spark.read
+        if name in MART_SCHEMAS:
+            reader = reader.schema(MART_SCHEMAS[name])
+        return reader.parquet(f"{content['folder']}/{name}")
 
     def expire(self, keep: int = 2, grace_hours: float = 24.0) -> list[str]:
         """Remove what none of the last ``keep`` versions names; see :meth:`Versions.expire`."""

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from cotag.functions.joins import BROADCAST_ROWS, Side, keep_matching
 from cotag.schemas import POST_COLUMNS, POSTS
 from cotag.sources.tables import bloom_options
 from cotag.sources.versions import Versions
@@ -16,6 +18,25 @@ DAY = "post_day"
 # Fixed value: the folder name Spark gives to a missing partition value.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
+KEY_BUCKET = "key_bucket"
+#: Folders that the keys of the table are spread over.
+KEY_BUCKETS = 64
+#: Key lists that are merged into one when a version has so many.
+KEY_LISTS = 16
+
+
+def key_bucket(post_id: Column) -> Column:
+    """Folder in which a post's key is listed."""
+    return F.pmod(F.xxhash64(post_id), F.lit(KEY_BUCKETS)).cast("int")
+
+KEYS = StructType(
+    [
+        StructField("post_id", StringType()),
+        StructField(DAY, StringType()),
+        StructField(KEY_BUCKET, IntegerType()),
+    ]
+)
+
 
 def day_of(post_date: Column) -> Column:
     """Name of the day folder a post lies in; the day of a post never changes."""
@@ -36,13 +57,15 @@ class Snapshot:
     """One version: for each day the data folder that counts, and what streams have delivered.
 
     ``streams`` holds the last number of each stream with its loaded parts; ``newest`` the last
-    load and post day of each day folder, as texts.
+    load and post day of each day folder; ``keys`` the lists of post ids with their days. The day
+    of a post never changes, so lists are only ever added.
     """
 
     number: int = 0
     days: dict[str, str] = field(default_factory=dict)
     streams: dict[str, dict] = field(default_factory=dict)
     newest: dict[str, list] = field(default_factory=dict)
+    keys: list[str] = field(default_factory=list)
 
     def has(self, delivery: Delivery) -> bool:
         """Whether the delivery is in this version."""
@@ -83,15 +106,46 @@ class PostTable:
             *(f"{snapshot.days[d]}/{DAY}={d}" for d in chosen)
         )
 
+    def _key_lists(self, folders: list[str]) -> DataFrame:
+        lists = [self.spark.read.schema(KEYS).parquet(folder) for folder in folders]
+        return reduce(DataFrame.unionByName, lists, self.spark.createDataFrame([], KEYS))
+
+    def days_of(
+        self, snapshot: Snapshot, keys: Side, broadcast_rows: int = BROADCAST_ROWS
+    ) -> DataFrame:
+        """Day folder of each of ``keys`` (rows with a ``post_id``) that the version holds.
+
+        Only the key folders that the given keys fall into are read, and no post is.
+        """
+        wanted = keys.df.select(key_bucket(F.col("post_id")).alias("b")).distinct().collect()
+        known = self._key_lists(snapshot.keys).filter(
+            F.col(KEY_BUCKET).isin([r["b"] for r in wanted])
+        )
+        return keep_matching(known, keys, "post_id", broadcast_rows).select("post_id", DAY)
+
+    def _with_keys(self, base: Snapshot, number: int, added: DataFrame) -> list[str]:
+        """Key lists of the next version: one more, or all merged into one."""
+        folder = self._versions.new_folder(number)
+        listed = added.select("post_id", day_of(F.col("post_date")).alias(DAY))
+        rows = listed.withColumn(KEY_BUCKET, key_bucket(F.col("post_id")))
+        merge = len(base.keys) + 1 >= KEY_LISTS
+        if merge:
+            rows = rows.unionByName(self._key_lists(base.keys))
+        rows.hint("rebalance", KEY_BUCKET).write.partitionBy(KEY_BUCKET).parquet(folder)
+        return [folder] if merge else [*base.keys, folder]
+
     def write(
         self,
         rows: DataFrame,
         base: Snapshot,
         replaced: list[str],
         delivery: Delivery | None = None,
+        added: DataFrame | None = None,
     ) -> Snapshot:
         """Commit ``rows`` on top of ``base`` in place of the days ``replaced``.
 
+        ``added`` are the posts that ``base`` doesn't hold; all of ``rows`` if it isn't given.
+
         The rebalance hint lets adaptive execution split a day with very many posts over
         several tasks and put small days together. Bloom filters serve the search for one
         account's posts.
@@ -112,8 +166,10 @@ class PostTable:
         newest = {d: x for d, x in base.newest.items() if d in days and d not in gone}
         newest.update(self._newest(folder) if written else {})
         streams = base.taken(delivery)
-        self._versions.publish(number, {"days": days, "streams": streams, "newest": newest})
-        return Snapshot(number, days, streams, newest)
+        keys = self._with_keys(base, number, rows if added is None else added)
+        content = {"days": days, "streams": streams, "newest": newest, "keys": keys}
+        self._versions.publish(number, content)
+        return Snapshot(number, **content)
 
     def _newest(self, folder: str) -> dict[str, list]:
         """Last load and newest post of each written day: two columns of what was just written."""

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from cotag.operators import ingest
 from cotag.operators.freshness import freshness
 from cotag.plans.load import load_batch
+from cotag.functions.joins import held
 from cotag.schemas import BATCH, POSTS
+from cotag.sources import snapshots
 from cotag.sources.snapshots import Delivery, PostTable
 from cotag.sources.tables import (
     brand_dim,
@@ -177,11 +179,11 @@ def test_interleaved_loads_both_end_up_in_the_table(spark, tmp_path, monkeypatch
     table = table_of(spark, tmp_path, target(spark, "a"))
     write, others = PostTable.write, []
 
-    def write_late(self, rows, base, days, delivery=None):
+    def write_late(self, rows, base, days, *more):
         if not others:  # another writer commits between our read and our write
             others.append(1)
             load_batch(table, batch(spark, "other"), now())
-        return write(self, rows, base, days, delivery)
+        return write(self, rows, base, days, *more)
 
     monkeypatch.setattr(PostTable, "write", write_late)
     load_batch(table, batch(spark, "mine"), now())
@@ -191,6 +193,28 @@ def test_interleaved_loads_both_end_up_in_the_table(spark, tmp_path, monkeypatch
         load_batch(table, batch(spark, "z"), now(), tries=2)
 
 
+def test_keys_are_looked_up_in_their_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "KEY_LISTS", 3)  # merged now and then
+    table = table_of(spark, tmp_path, target(spark, *(f"k{n}" for n in range(200))))
+    for n in range(4):
+        load_batch(table, batch(spark, f"k{n}", f"new{n}", day=f"2024-03-0{n + 1}"), now())
+    last = table.snapshot()
+    assert len(last.keys) < 3
+    wanted = held(batch(spark, "k7", "new2", "nobody"))
+    found = table.days_of(last, wanted)
+    assert dict(map(tuple, found.collect())) == {"k7": "2024-01-01", "new2": "2024-03-03"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_bucket" in plan
+    asked = wanted.df.select(snapshots.key_bucket(F.col("post_id"))).distinct().count()
+    files = {row[0] for row in table._key_lists(last.keys).filter(
+        F.col("key_bucket").isin([r[0] for r in wanted.df.select(
+            snapshots.key_bucket(F.col("post_id"))).collect()])
+    ).select(F.regexp_extract(F.input_file_name(), "key_bucket=([0-9]+)", 1)).distinct().collect()}
+    assert 0 < len(files) <= asked <= 3
+    ids = [r["post_id"] for r in table._key_lists(last.keys).collect()]
+    assert sorted(ids) == sorted(r["post_id"] for r in table.read().collect())
+
+
 def test_freshness_and_expiry(spark, tmp_path):
     table = table_of(spark, tmp_path, target(spark, "a").unionByName(target(spark, "n", day=None)))
     for i in range(3):
