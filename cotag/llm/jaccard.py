@@ -37,7 +37,7 @@ STEP = 16
 #: A pair is dropped when it reaches the threshold with a lower probability than this.
 TOLERANCE = 1e-9
 #: Representatives in one block of a bucket or of a family, and shingle bytes in one block.
-BLOCK = 1024
+BLOCK = 512
 BLOCK_BYTES = 8 << 20
 
 _rng = np.random.default_rng(20240501)
