@@ -176,18 +176,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     seen = mark(now)
     while seen[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # Held tables have no partitioning, so Spark shuffles both sides of each join just for it
+        # and may split the edges of a hub over several tasks.
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(
             "u", F.least("u", "m").alias("m")
-        )
+        ).checkpoint()
         large = (
-            both.join(least, "u")
+            both.join(least.hint("merge"), "u")
             .filter(F.col("v") > F.col("u"))
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .distinct()
+            .checkpoint()
         )
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = large.groupBy("u").agg(F.min("v").alias("m")).checkpoint()
         small = (
-            large.join(least, "u")
+            large.join(least.hint("merge"), "u")
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                       F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
                               ).alias("e"))
