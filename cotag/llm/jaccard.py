@@ -340,12 +340,12 @@ def near_duplicates(
         .dropDuplicates(["rep"])
         .checkpoint()
     )
-    sizes = sets.groupBy("root").agg(
+    sizes = held(sets.groupBy("root").agg(
         F.count(F.lit(1)).alias("texts"), F.sum(F.octet_length("shingles")).alias("bytes")
     ).select("root", F.greatest(
         F.ceil(F.col("texts") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)
-    ).alias("blocks"))
-    cells = _cells(sets.join(sizes.hint("merge"), "root"), F.col("blocks"), "rep")
+    ).alias("blocks")))
+    cells = _cells(sets.join(sizes.prepared(), "root"), F.col("blocks"), "rep")
     counted = by_group(
         cells, ["root", "low", "high"],
         lambda group: exact_links(group, (group[0]["low"], group[0]["high"]), threshold, needed),
