@@ -66,7 +66,7 @@ class WordTable(dict):
     the text. Words longer than ``longest`` are computed each time.
     """
 
-    def __init__(self, value: Callable, size: int = 300_000, longest: int = 64):
+    def __init__(self, value: Callable, size: int = 50_000, longest: int = 64):
         super().__init__()
         self._value, self._size, self._longest = value, size, longest
 

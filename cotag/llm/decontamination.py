@@ -10,7 +10,6 @@ for one value of the document, and the other way round.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -75,8 +74,8 @@ def coded(word: str) -> int:
     return value
 
 
-@lru_cache(maxsize=1)
-def _words() -> WordTable:
+def word_codes() -> WordTable:
+    """Codes of words; each task makes its own table and frees it at its end."""
     return WordTable(coded)
 
 
@@ -92,7 +91,9 @@ def _rolled(codes: np.ndarray, width: int) -> np.ndarray:
     return value ^ (value >> np.uint64(29))
 
 
-def windows(text: str, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray, int]:
+def windows(
+    text: str, codes_of: WordTable, width: int = WINDOW
+) -> tuple[np.ndarray, np.ndarray, int]:
     """Hashes of a text's windows, slot values of its tokens, number of its tokens.
 
     A text shorter than a window is one window of its own length.
@@ -100,7 +101,7 @@ def windows(text: str, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray, int
     words = text.split()
     if not words:
         return np.empty(0, np.uint64), np.empty(0, np.int64), 0
-    values = np.fromiter(map(_words().__getitem__, words), np.int64, len(words))
+    values = np.fromiter(map(codes_of.__getitem__, words), np.int64, len(words))
     kinds = values & 7
     codes = np.where(kinds == 0, values, _TEMPLATE[kinds]).astype(np.uint64)
     slots = np.where(kinds == 0, 0, values)
@@ -120,13 +121,14 @@ def _window_rows(df: DataFrame, id_col: str, allowed, width: int) -> DataFrame:
     def run(batches):
         types = [t for _, t in arrow_fields(WINDOWS)]
         names = [n for n, _ in arrow_fields(WINDOWS)]
+        codes_of = word_codes()
         bits = None if allowed is None else np.frombuffer(allowed.value, np.uint8)
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for number, text in zip(
                 batch.column("_id").to_pylist(), texts_of(batch, "_text"), strict=True
             ):
-                hashes, slots, tokens = windows(text, width)
+                hashes, slots, tokens = windows(text, codes_of, width)
                 if bits is None:
                     at = np.arange(len(hashes))
                 else:

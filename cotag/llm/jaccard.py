@@ -46,22 +46,22 @@ _B = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=1)
-def _words() -> WordTable:
+def word_hashes() -> WordTable:
+    """Hashes of words; each task makes its own table and frees it at its end."""
     return WordTable(xxhash.xxh3_64_intdigest)
 
 
-def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
+def shingles(text: str, words: WordTable, size: int = SHINGLE) -> np.ndarray:
     """Distinct 64-bit hashes of the text's word n-grams, sorted.
 
     Words are the lower-cased parts between white space. A text with fewer words is one shingle;
     a text without words has none.
     """
-    words = text.lower().split()
-    if not words:
+    parts = text.lower().split()
+    if not parts:
         return np.empty(0, np.uint64)
-    codes = np.fromiter(map(_words().__getitem__, words), np.uint64, len(words))
-    width = min(size, len(words))
+    codes = np.fromiter(map(words.__getitem__, parts), np.uint64, len(parts))
+    width = min(size, len(parts))
     n = len(codes) - width + 1
     value = codes[:n].copy()
     for j in range(1, width):
@@ -231,10 +231,11 @@ def _sketched(docs: DataFrame) -> DataFrame:
     names, types = zip(*arrow_fields("key string, " + _SKETCH), strict=True)
 
     def run(batches):
+        words = word_hashes()
         for batch in batches:
             found, sigs = [], []
             for text in texts_of(batch):
-                values = shingles(text)
+                values = shingles(text, words)
                 if len(values):
                     values = minhash(values)
                     found.append(bands(values).view(np.int64))
@@ -255,8 +256,9 @@ def _with_sets(docs: DataFrame) -> DataFrame:
     names, types = zip(*arrow_fields(_SETS), strict=True)
 
     def run(batches):
+        words = word_hashes()
         for batch in batches:
-            sets = [shingles(t) for t in texts_of(batch)]
+            sets = [shingles(t, words) for t in texts_of(batch)]
             sigs = [minhash(s).astype(np.uint8).tobytes() for s in sets]
             columns = [batch.column("key"), batch.column("doc_id"), [s.tobytes() for s in sets], sigs]
             yield pa.RecordBatch.from_arrays(
