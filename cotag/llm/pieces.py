@@ -83,8 +83,8 @@ class PieceCodec:
         self._plain = re.compile(f"[{singles}]*").fullmatch
         self._runs = re.compile(f"([{singles}]*)([^{singles}]?)").findall
         self._name = {n: str(n) for n in self._surface}
-        self._fits = WordTable(self._fit, 400_000)
-        self._known = WordTable(self._unit, 200_000)
+        self._fits = WordTable(self._fit, 500_000)
+        self._known = WordTable(self._unit, 300_000)
 
     def merged(self, text: str) -> list[str]:
         """``text`` merged step by step; for short texts."""
