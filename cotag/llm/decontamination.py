@@ -2,7 +2,8 @@
 
 Numbers, names and units become typed placeholders, so a question with other values in it keeps
 its template. Windows of ``WINDOW`` canonical tokens are hashed; windows of documents that may
-occur in the benchmark go into a hash join with those of its items. Windows that match in a row at
+occur in the benchmark go into a hash join with those of its items; an item shorter than a window
+is a window of its own length, and documents are hashed at that length too. Windows that match in a row at
 one offset make a run, and a run counts only as far as its slots agree: one value of the item stands
 for one value of the document, and the other way round.
 """
@@ -10,6 +11,7 @@ for one value of the document, and the other way round.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -82,40 +84,51 @@ def word_codes() -> WordTable:
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _rolled(codes: np.ndarray, width: int) -> np.ndarray:
-    n = len(codes) - width + 1
-    value = codes[:n].copy()
-    for j in range(1, width):
-        value = value * _STEP + codes[j : j + n]
-    value = (value ^ (value >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return value ^ (value >> np.uint64(29))
+def _rolled(codes: np.ndarray, widths: Sequence[int]) -> list[np.ndarray]:
+    """Hashes of all windows of each width; the widths ascend."""
+    value, out = codes, []
+    for width in range(1, widths[-1] + 1):
+        if width > 1:
+            value = value[:-1] * _STEP + codes[width - 1 :]
+        if width in widths:
+            mixed = (value ^ (value >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+            out.append(mixed ^ (mixed >> np.uint64(29)))
+    return out
 
 
 def windows(
-    text: str, codes_of: WordTable, width: int = WINDOW
-) -> tuple[np.ndarray, np.ndarray, int]:
-    """Hashes of a text's windows, slot values of its tokens, number of its tokens.
+    text: str, codes_of: WordTable, widths: Sequence[int] | None = None, width: int = WINDOW
+) -> tuple[list[tuple[int, np.ndarray]], np.ndarray]:
+    """(width, hashes) of a text's windows of each of the ascending ``widths``, slot values of its
+    tokens.
 
-    A text shorter than a window is one window of its own length.
+    Without ``widths``, a text has windows of ``width``, or is one window of its own length if it
+    is shorter.
     """
     words = text.split()
-    if not words:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), 0
+    widths = [min(width, len(words))] if widths is None else widths
+    widths = [w for w in widths if 0 < w <= len(words)]
+    if not widths:
+        return [], np.empty(0, np.int64)
     values = np.fromiter(map(codes_of.__getitem__, words), np.int64, len(words))
     kinds = values & 7
     codes = np.where(kinds == 0, values, _TEMPLATE[kinds]).astype(np.uint64)
     slots = np.where(kinds == 0, 0, values)
-    size = min(width, len(codes))
-    hashes = _rolled(codes, size)
     plain = np.concatenate([[0], np.cumsum(slots == 0)])
-    poor = plain[size:] - plain[:-size] < LEAST_PLAIN
-    if poor.any():  # placeholders alone say nothing: such windows keep their values
-        valued = _rolled(codes ^ (slots.astype(np.uint64) * _STEP), size)
-        hashes = np.where(poor, valued ^ _STEP, hashes)
-    return hashes, slots, len(codes)
-
-
-def _window_rows(df: DataFrame, id_col: str, allowed, width: int) -> DataFrame:
+    out, valued = [], None
+    for i, (size, hashes) in enumerate(zip(widths, _rolled(codes, widths), strict=True)):
+        poor = plain[size:] - plain[:-size] < LEAST_PLAIN
+        if poor.any():  # placeholders alone say nothing: such windows keep their values
+            if valued is None:
+                valued = _rolled(codes ^ (slots.astype(np.uint64) * _STEP), widths)
+            hashes = np.where(poor, valued[i] ^ _STEP, hashes)
+        out.append((size, hashes))
+    return out, slots
+
+
+def _window_rows(
+    df: DataFrame, id_col: str, allowed, width: int, widths: Sequence[int] | None = None
+) -> DataFrame:
     """Windows with their slots, those alone that pass the filter ``allowed`` (a broadcast)."""
 
     def run(batches):
@@ -128,21 +141,22 @@ def _window_rows(df: DataFrame, id_col: str, allowed, width: int) -> DataFrame:
             for number, text in zip(
                 batch.column("_id").to_pylist(), texts_of(batch, "_text"), strict=True
             ):
-                hashes, slots, tokens = windows(text, codes_of, width)
-                if bits is None:
-                    at = np.arange(len(hashes))
-                else:
-                    low = hashes & np.uint64((1 << FILTER_BITS) - 1)
-                    at = np.flatnonzero(bits[low >> np.uint64(3)] >> (low & np.uint64(7)) & 1)
-                if not len(at):
-                    continue
-                size = min(width, tokens)
-                key = xxhash.xxh3_64_intdigest(text) - 2**63
-                out[0] += [number] * len(at)
-                out[1] += [key] * len(at)
-                out[2] += at.tolist()
-                out[3] += hashes[at].view(np.int64).tolist()
-                out[4] += slots[at[:, None] + np.arange(size)].tolist()
+                found, slots = windows(text, codes_of, widths, width)
+                key = None
+                for size, hashes in found:
+                    if bits is None:
+                        at = np.arange(len(hashes))
+                    else:
+                        low = hashes & np.uint64((1 << FILTER_BITS) - 1)
+                        at = np.flatnonzero(bits[low >> np.uint64(3)] >> (low & np.uint64(7)) & 1)
+                    if not len(at):
+                        continue
+                    key = xxhash.xxh3_64_intdigest(text) - 2**63 if key is None else key
+                    out[0] += [number] * len(at)
+                    out[1] += [key] * len(at)
+                    out[2] += at.tolist()
+                    out[3] += hashes[at].view(np.int64).tolist()
+                    out[4] += slots[at[:, None] + np.arange(size)].tolist()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names
             )
@@ -222,13 +236,17 @@ def find_contamination(
     ends = items.df.groupBy("doc_id", "text_hash").agg(
         F.max(F.col("position") + F.size("slots")).alias("item_tokens")
     )
+    # An item shorter than a window is sought at its own length: at most window - 1 more widths.
+    widths = sorted(
+        row["width"] for row in items.df.select(F.size("slots").alias("width")).distinct().collect()
+    )
     theirs = items.df.join(ends, ["doc_id", "text_hash"])
     theirs = theirs.select(
         F.col("doc_id").alias("item_id"), F.col("text_hash").alias("item_text"),
         F.col("position").alias("at"), "hash", F.col("slots").alias("theirs"), "item_tokens",
     )
     fits = items.rows * (window * 8 + 48) <= 32 << 20  # every row is this long at most
-    joined = _window_rows(docs, "doc_id", allowed, window).join(
+    joined = _window_rows(docs, "doc_id", allowed, window, widths).join(
         F.broadcast(theirs) if fits else theirs.hint("merge"), "hash"
     ).filter(F.size("slots") == F.size("theirs"))
     joined = joined.withColumn("offset", F.col("position") - F.col("at"))

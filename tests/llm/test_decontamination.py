@@ -115,3 +115,28 @@ def test_empty_tables_and_hot_window(make_docs, messy, spark):
     assert plain(dc.decontaminate(messy, bench), "doc_id") == plain(messy, "doc_id")
     hot = make_docs([(i, f"{i} {ITEM} {i}" if i % 3 == 0 else f"clean text number {i}") for i in range(300)])
     assert {r["doc_id"] for r in dc.find_contamination(hot, bench).collect()} == set(range(0, 300, 3))
+
+
+def test_short_items_inside_longer_texts(make_docs, spark):
+    """Items of fewer tokens than a window, at every length, against a search for their tokens."""
+    items = ["Gutenberg", "prime meridian", "who painted Guernica", "Who wrote the famous Iliad?",
+             "in which year was Rome founded", "how many of them have 12 legs"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"a rather long and plain text before it {item} and as many words after it, so on" for item in items]
+    texts += [*items, "who wrote the Iliad and who did not write it, one asks", "we ask how many of them have 15 legs then",
+              "in which year was Oslo founded", "", "who"]
+    got = {(r["doc_id"], r["item_id"]): (r["matched_tokens"], r["item_tokens"], r["position"])
+           for r in dc.find_contamination(make_docs(list(enumerate(texts))), bench).collect()}
+    want = {}
+    for i, text in enumerate(texts):
+        a = [dc.coded(w) for w in text.split()]
+        for j, item in enumerate(items):
+            b = [dc.coded(w) for w in item.split()]
+            typed = sum(c & 7 == 0 for c in b) >= dc.LEAST_PLAIN
+            like = (lambda c: c & 7 or c) if typed else (lambda c: c)
+            at = [k for k in range(len(a) - len(b) + 1) if [*map(like, a[k : k + len(b)])] == [*map(like, b)]]
+            if at:
+                want[i, j] = len(b), len(b), at[0]
+    assert got == want and {(i, i) for i in range(6)} <= set(got) and (13, 5) in got and (14, 4) in got
+    kept = dc.decontaminate(make_docs(list(enumerate(texts))), bench)
+    assert {r["doc_id"] for r in kept.collect()} == set(range(len(texts))) - {i for i, _ in got}
