@@ -4,19 +4,27 @@ Units of a text (its lines, its paragraphs and the whole) are normalised to lowe
 compared with licence templates by 2 |A n B| / (|A| + |B|) over their sets of word bigrams. For a
 coefficient of d at least, a set can only match one whose size is within d / (2 - d) and
 (2 - d) / d of its own; templates outside of these bounds are never looked at.
+
+Windows of words, over line and paragraph ends, are compared in the same way, so a notice inside a
+longer line or a header split by blank lines is found too. A template with n bigrams needs d n /
+(2 - d) of them in a text; for the few that have them, the best window from each of the places where
+a bigram of the template stands is taken.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 import re
 from collections import Counter
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from cotag.llm.common import arrow_fields, small_batches, texts_of
+from cotag.llm.license_texts import TEXTS
 
 # Notices and licence texts, by the identifier of their licence.
 TEMPLATES = (
@@ -35,6 +43,7 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *TEXTS,
 )
 
 #: Least Dice coefficient of a find.
@@ -73,6 +82,21 @@ class Templates:
         for i, b in enumerate(self.sets):
             for pair in b:
                 self.holders.setdefault(pair, []).append(i)
+        self.needs = np.array([math.ceil(ratio * n - 1e-9) for n in self.sizes], np.int64)
+        self._ids = {w: i for i, w in enumerate(sorted(self.words), 1)}
+        self._base = len(self._ids) + 1
+        coded = sorted((self._ids[a] * self._base + self._ids[b], (a, b)) for a, b in self.holders)
+        self._pairs = np.array([c for c, _ in coded], np.int64)
+        self._member = np.zeros((len(made), len(coded)), bool)
+        for k, (_, pair) in enumerate(coded):
+            self._member[self.holders[pair], k] = True
+        #: Templates of other licences that a template shares so much with that one shows in the other.
+        self.near = [
+            {u for u, other in enumerate(self.sets)
+             if self.names[u] != self.names[t]
+             and len(b & other) >= min(self.needs[t], self.needs[u])}
+            for t, b in enumerate(self.sets)
+        ]
 
     def matches(self, unit: frozenset) -> dict[str, int]:
         """Best coefficient (parts per million) of each licence that reaches the least one."""
@@ -89,7 +113,112 @@ class Templates:
                 found[self.names[i]] = max(dice, found.get(self.names[i], 0))
         return found
 
+    def _best_windows(self, t: int, codes: np.ndarray, own: np.ndarray, after: np.ndarray,
+                      before: np.ndarray):
+        """(shared bigrams, ppm, first, last bigram) of the best window from each place of ``t``.
+
+        The best window starts and ends with bigrams of the template, and its first one occurs once,
+        as less of it would be at least as good otherwise.
+        """
+        size, need = self.sizes[t], int(self.needs[t])
+        most = math.floor(size / self._ratio + 1e-9)
+        places = np.flatnonzero(own)
+        upto = np.concatenate([[0], np.cumsum(own)])
+        for i in places.tolist():
+            limit, length = int(after[i]), most + 8
+            while True:
+                end = min(i + length, limit)
+                fresh = before[i:end] < i
+                sizes = np.cumsum(fresh)
+                if end == limit or sizes[-1] > most:
+                    break
+                length *= 2
+            end = i + int(np.searchsorted(sizes, most, "right"))
+            if upto[end] - upto[i] < need:
+                continue
+            mine = own[i:end]
+            shared = np.cumsum(fresh[: end - i] & mine)
+            dice = 2 * shared / (sizes[: end - i] + size)
+            dice[~mine] = 0
+            j = len(dice) - 1 - int(dice[::-1].argmax())  # repeats of its bigrams belong to it
+            n, both = int(shared[j]), int(sizes[j]) + size
+            if 2 * n >= self.least * both - 1e-9:
+                yield n, 2_000_000 * n // both, i, i + j
+
+    def windows(self, words: list[str]) -> list[tuple[int, int, int, int]]:
+        """(template, first, last word, ppm) of windows; those of one licence do not overlap.
+
+        Of windows that do, the one with the most bigrams of its template stays, then the one
+        with the best coefficient, then the first. A window of which more than half lies in one of
+        a near template that stays goes too, as the text is that licence's.
+        """
+        if len(words) < 2 or not len(self._pairs):
+            return []
+        ids = np.fromiter((self._ids.get(w, 0) for w in words), np.int64, len(words))
+        pairs = np.where((ids[:-1] > 0) & (ids[1:] > 0), ids[:-1] * self._base + ids[1:], -1)
+        at = np.minimum(np.searchsorted(self._pairs, pairs), len(self._pairs) - 1)
+        hit = self._pairs[at] == pairs
+        present = np.unique(at[hit])
+        able = np.flatnonzero(self._member[:, present].sum(axis=1) >= self.needs)
+        if not len(able):
+            return []
+        numbers: dict[tuple[str, str], int] = {}
+        codes = np.fromiter(
+            (numbers.setdefault(p, len(numbers)) for p in zip(words, words[1:], strict=False)),
+            np.int64, len(words) - 1,
+        )
+        # The place of the same bigram before and after each.
+        order = np.argsort(codes, kind="stable")
+        same = codes[order[1:]] == codes[order[:-1]]
+        before, after = np.full(len(codes), -1), np.full(len(codes), len(codes))
+        before[order[1:][same]] = order[:-1][same]
+        after[order[:-1][same]] = order[1:][same]
+        found = []
+        for t in able.tolist():
+            own = hit & self._member[t, at]
+            found += [(-n, -ppm, i, j, t)
+                      for n, ppm, i, j in self._best_windows(t, codes, own, after, before)]
+        taken: dict[str, list[tuple[int, int]]] = {}
+        kept = []
+        for _, ppm, i, j, t in sorted(found):
+            spans = taken.setdefault(self.names[t], [])
+            k = bisect.bisect_left(spans, (i, i))  # spans do not overlap
+            if (k and spans[k - 1][1] >= i) or (k < len(spans) and spans[k][0] <= j + 1):
+                continue
+            if any(u in self.near[t] and 2 * (min(j + 1, b) - max(i, a)) > j + 1 - i
+                   for u, a, b, _ in kept):
+                continue
+            spans.insert(k, (i, j + 1))
+            kept.append((t, i, j + 1, -ppm))
+        return kept
+
     def scan(self, text: str):
+        """(licence, start, end, ppm) of all finds, by start, then end.
+
+        A window is a find of its own unless it lies in a find of its licence among the units.
+        """
+        units = list(self._units(text))
+        low = text.lower()
+        if len(low) == len(text):
+            spans = [m.span() for m in _WORD.finditer(low)]
+        else:
+            letters = [letter.lower() for letter in text]
+            low = "".join(letters)
+            places = [place for place, letter in enumerate(letters) for _ in letter]
+            spans = [m.span() for m in _WORD.finditer(low)]
+        windows = self.windows([low[a:b] for a, b in spans])
+        if not windows:
+            return units
+        if len(low) != len(text):
+            spans = [(places[a], places[b - 1] + 1) for a, b in spans]
+        out = set(units)
+        for t, i, j, dice in windows:
+            name, start, end = self.names[t], spans[i][0], spans[j][1]
+            if not any(n == name and a <= start and end <= b for n, a, b, _ in units):
+                out.add((name, start, end, dice))
+        return sorted(out, key=lambda f: (f[1], f[2], f[0]))
+
+    def _units(self, text: str):
         """(licence, start, end, ppm) of each unit's finds, units by start, then end."""
         units, first, last = set(), 0, -2
         for line in _LINE.finditer(text):
@@ -124,8 +253,10 @@ def scan_licenses(
 ) -> DataFrame:
     """Licences in whole texts: (doc_id, license, start, end, dice_ppm).
 
-    One row per unit of a row's text and licence whose best template reaches ``least``; start and
-    end in code points. A paragraph of one line is that line. Missing and empty texts hold none,
+    One row per unit of a row's text and licence whose best template reaches ``least``, and per
+    window of words that does and lies in no such unit; start and end in code points. A
+    window inside one that fits a near licence better is part of that licence's text. A paragraph of
+    one line is that line. Missing and empty texts hold none,
     repeated rows give repeated finds, units of less than two words match nothing. Scanned where the
     texts are read, without a shuffle; other columns are not read. The templates are a parameter
     of fixed size.

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 from cotag.llm import licenses
@@ -65,3 +66,85 @@ def test_messy(messy):
     assert licenses.scan_licenses(messy).collect() == []
     assert licenses.scan_licenses(messy.limit(0)).count() == 0
     assert licenses.scan_licenses(messy, templates=()).count() == 0
+
+
+APACHE = """Copyright 2020 Foo
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+
+"""
+
+
+def window_by_hand(words: list, template: str) -> int:
+    """Best coefficient of all windows of words against one template."""
+    def pairs(w):
+        return set(zip(w, w[1:], strict=False))
+
+    b = pairs(re.findall(r"[a-z0-9]+", template.lower()))
+    best = 0
+    for i in range(len(words)):
+        for j in range(i + 2, len(words) + 1):
+            a = pairs(words[i:j])
+            best = max(best, 2_000_000 * len(a & b) // (len(a) + len(b)))
+    return best
+
+
+def test_notices_inside_longer_units(make_docs):
+    lines = ["Foo is a small tool for bar. Released under the MIT License.",
+             "This project is released under the MIT License.",
+             "Copyright 2020 Foo. Released under the MIT License.", "Licensed under the MIT License.",
+             "İ and so on, İİ, it is released under the MIT License, like much else"]
+    code = "\n".join(f"x{i} = {i} + y{i}" for i in range(300))
+    texts = [*lines, APACHE + code, (code + APACHE + code).replace("\n", " "), "under the tree the mit oven"]
+    got = {}
+    for r in licenses.scan_licenses(make_docs(list(enumerate(texts)))).collect():
+        got.setdefault(r["doc_id"], set()).add((r["license"], texts[r["doc_id"]][r["start"] : r["end"]], r["dice_ppm"]))
+    for i in (0, 1, 2, 4):
+        assert [(n, t.lower(), d) for n, t, d in got[i]] == [("MIT", "released under the mit license", 1_000_000)]
+    assert got[3] == {("MIT", "under the MIT License", 2_000_000 * 3 // 7)}
+    for i in (5, 6):
+        ((_, text, dice),) = [f for f in got[i] if f[1].endswith("limitations under the License") and f[0] == "Apache-2.0"]
+        assert text.startswith("Licensed under the Apache") and dice > 950_000
+        assert {n for n, _, _ in got[i]} == {"Apache-2.0"}
+    assert 7 not in got
+
+
+def test_full_texts_inside_other_text(make_docs):
+    words = " ".join(f"w{i}" for i in range(3000))
+    texts = [f"{words}\n\nintro {t.replace(chr(10), ' ')} {words}" for _, t in licenses.TEXTS]
+    found = licenses.scan_licenses(make_docs(list(enumerate(texts)))).collect()
+    for i, (name, text) in enumerate(licenses.TEXTS):
+        best = max((r["end"] - r["start"], r["license"], r["dice_ppm"]) for r in found if r["doc_id"] == i)
+        assert best[1] == name and best[0] > 0.95 * len(text) and best[2] > 990_000, name
+    bsd = next(i for i, (n, _) in enumerate(licenses.TEXTS) if n == "BSD-3-Clause")
+    assert {r["license"] for r in found if r["doc_id"] == bsd} == {"BSD-3-Clause"}
+
+
+def test_best_window_against_all_windows():
+    small = tuple(t for t in licenses.TEMPLATES if len(t[1]) < 120)
+    rng = random.Random(5)
+    pool = sorted({w for _, t in small for w in re.findall(r"[a-z0-9]+", t.lower())})
+    some = 0
+    for _ in range(60):
+        words = rng.choices(pool, k=12)
+        for _ in range(2):
+            part = re.findall(r"[a-z0-9]+", rng.choice(small)[1].lower())
+            part[rng.randrange(len(part))] = rng.choice(pool)
+            at = rng.randrange(len(words))
+            words[at:at] = part
+        for name, template in small:
+            best = max((d for *_, d in licenses.Templates(((name, template),)).windows(words)), default=0)
+            want = window_by_hand(words, template)
+            some += want >= 850_000
+            assert best == want if want >= 850_000 else best == 0
+    assert some > 20
