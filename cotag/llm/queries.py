@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cotag.llm import (
-    decontamination, fingerprints, jaccard, licenses, pieces, quality, reputation, secrets,
-    sharding, token_counts,
+    conversations, decontamination, fingerprints, jaccard, licenses, pieces, quality, reputation,
+    runs, secrets, sharding, token_counts, token_files,
 )
 from cotag.llm.common import table
 from cotag.llm.oracles import ORACLES
+from cotag.session import shared_dir
 
-#: The vocabulary file; a parameter of the operators, read where it is installed.
+#: The vocabulary files; parameters of the operators, read where they are installed.
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,11 +70,27 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(_documents(spark, sf_dir))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(runs.periodic_runs(runs.repeat_tails(_documents(spark, sf_dir))))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.repair_conversations(turns, F.col("present"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    token_files.write_tokens(_documents(spark, sf_dir), folder, WORDS)
+    return token_files.read_tokens(spark, folder, with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_piece_encoding, op3_benchmark_decontamination,
         op4_token_counts, op5_license_scan, op6_sharding, op7_secret_scan, op8_ngram_jaccard_join,
-        op9_url_filter, op10_fingerprints,
+        op9_url_filter, op10_fingerprints, op11_periodic_runs, op12_conversation_repair,
+        op13_token_files,
     )
 }

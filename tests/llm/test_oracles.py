@@ -14,7 +14,7 @@ from cotag.llm.queries import QUERIES
 def test_all_registered():
     names = entry_module.queries().keys()
     assert {*QUERIES, "pipeline"} <= set(names)
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert ORACLES.items() <= entry_module.oracle_sql().items()
     assert len(corpus_pipeline.STAGES) == 5
 
