@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cotag.functions.joins import (
@@ -15,7 +15,7 @@ from cotag.functions.joins import (
     text_bytes,
 )
 from cotag.functions.text import is_blank
-from cotag.schemas import POST_COLUMNS
+from cotag.schemas import BATCH, POST_COLUMNS
 
 _TAKEN_FROM_BATCH = ("insta_id", "insta_name", "tagged_insta_id", "tagged_insta_id_cnt")
 _SHOWN_DUPLICATES = 5
@@ -70,13 +70,19 @@ def validate_batch(batch: DataFrame) -> BatchChecks:
         raise BatchError("the batch holds no rows")
     if checks.duplicate_keys:
         some = duplicate_post_ids(batch).orderBy("post_id").take(_SHOWN_DUPLICATES)
-        shown = ", ".join(f"{row['post_id']}({row['cnt']})" for row in some)
-        raise BatchError(f"repeated post_id: {shown} ({checks.duplicate_keys} in all)")
+        shown = [f"{row['post_id']}({row['cnt']})" for row in some]
+        raise _problem(checks.duplicate_keys, shown, checks.blank_keys)
     if checks.blank_keys:
-        raise BatchError(f"{checks.blank_keys} rows have a blank post_id")
+        raise _problem(0, [], checks.blank_keys)
     return checks
 
 
+def _problem(duplicates: int, shown: list[str], blank: int) -> BatchError:
+    if duplicates:
+        return BatchError(f"repeated post_id: {', '.join(shown)} ({duplicates} in all)")
+    return BatchError(f"{blank} rows have a blank post_id")
+
+
 def cast_post_date(batch: DataFrame) -> DataFrame:
     """``post_date`` text as a date; text that is no date fails the load."""
     return batch.withColumn("post_date", F.col("post_date").cast("date"))
@@ -127,6 +133,7 @@ def upsert_posts(
     now: Column,
     checks: BatchChecks | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    added: DataFrame | None = None,
 ) -> DataFrame:
     """``target`` after the batch, matched on ``post_id``.
 
@@ -135,7 +142,8 @@ def upsert_posts(
     are, new ones are added.
 
     A batch within the broadcast bounds updates the target where it is read: the large table is
-    not shuffled or sorted. A larger one is a full outer sort-merge join.
+    not shuffled or sorted. A larger one is a full outer sort-merge join. ``added`` are the batch's
+    new posts, typed, where the caller has looked them up already; then ids are not read again.
     """
     checks = checks or check_batch(batch)
     new = Side(
@@ -148,10 +156,58 @@ def upsert_posts(
     kept = target.join(new.prepared(broadcast_rows), "post_id", "left").select(
         *_updated(now, F.col("_new").isNotNull())
     )
-    _, added = split_batch(target, batch, checks, broadcast_rows)
+    if added is None:
+        _, added = split_batch(target, batch, checks, broadcast_rows)
     return kept.unionByName(_as_new(added, now))
 
 
+def check_runs(runs: DataFrame) -> DataFrame:
+    """Per ``run``: rows, duplicate keys, blank keys, text bytes. All runs are checked by one
+    grouping by run and key, which collapses repeats before they are shuffled."""
+    per_key = runs.groupBy("run", "post_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(text_bytes(["post_id", *_TAKEN_FROM_BATCH])).alias("bytes"),
+    )
+    return per_key.groupBy("run").agg(
+        F.sum("n").alias("rows"),
+        F.count_if(F.col("n") > 1).alias("duplicates"),
+        F.coalesce(F.sum(F.when(is_blank(F.col("post_id")), F.col("n"))), F.lit(0)).alias("blank"),
+        F.sum("bytes").alias("bytes"),
+    )
+
+
+def run_errors(runs: DataFrame, found: DataFrame) -> list[tuple[str, BatchError]]:
+    """What is wrong with the runs that fail their checks in ``found`` (:func:`check_runs`), in
+    their order; as many rows as there are such runs reach the driver, with a few keys each."""
+    bad = found.filter("duplicates > 0 or blank > 0").orderBy("run").collect()
+    repeated = [r["run"] for r in bad if r["duplicates"]]
+    shown: dict[str, list[str]] = {}
+    if repeated:
+        place = F.row_number().over(Window.partitionBy("run").orderBy("post_id"))
+        some = (
+            runs.filter(F.col("run").isin(repeated)).groupBy("run", "post_id")
+            .agg(F.count(F.lit(1)).alias("cnt")).filter("cnt > 1")
+            .withColumn("place", place).filter(F.col("place") <= _SHOWN_DUPLICATES)
+        )
+        for row in some.orderBy("run", "place").collect():
+            shown.setdefault(row["run"], []).append(f"{row['post_id']}({row['cnt']})")
+    return [(r["run"], _problem(r["duplicates"], shown.get(r["run"], []), r["blank"])) for r in bad]
+
+
+def merged_runs(runs: DataFrame) -> DataFrame:
+    """One batch that does what the checked ``runs`` do one after the other, by ``run``.
+
+    A post that is new takes what known posts keep from its first run; what every run brings anew
+    comes from its last one.
+    """
+    owned = [c for c in BATCH.fieldNames() if c not in ("post_id", *_TAKEN_FROM_BATCH)]
+    grouped = runs.groupBy("post_id").agg(
+        F.min_by(F.struct(*owned), "run").alias("_first"),
+        F.max_by(F.struct(*_TAKEN_FROM_BATCH), "run").alias("_last"),
+    )
+    return grouped.select("post_id", "_first.*", "_last.*").select(*BATCH.fieldNames())
+
+
 def _upsert_shuffled(target: DataFrame, batch: DataFrame, now: Column) -> DataFrame:
     old = target.select("post_id", F.struct(*target.columns).alias("_old"))
     new = _as_new(batch, now).select("post_id", F.struct(*POST_COLUMNS).alias("_new"))

@@ -13,7 +13,7 @@ from cotag.functions.layout import BUCKET, account_bucket
 from cotag.operators import marts, quality
 from cotag.operators.stage import tagged_post_rows
 from cotag.sources.tables import bloom_options
-from cotag.sources.versions import Versions
+from cotag.sources.versions import Pointer
 
 STAGE_VIEW = "group_by_tagged_post"
 
@@ -108,23 +108,23 @@ class Marts:
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
-        self._versions = Versions(spark, root)
+        self._pointer = Pointer(spark, root)
 
     def read(self, name: str) -> DataFrame:
-        _, content = self._versions.last()
+        _, content = self._pointer.read()
         reader = self.spark.read
         if name in MART_SCHEMAS:
             reader = reader.schema(MART_SCHEMAS[name])
         return reader.parquet(f"{content['folder']}/{name}")
 
-    def expire(self, keep: int = 2, grace_hours: float = 24.0) -> list[str]:
-        """Remove what none of the last ``keep`` versions names; see :meth:`Versions.expire`."""
-        return self._versions.expire(keep, grace_hours)
+    def clean(self, grace_hours: float = 24.0) -> list[str]:
+        """Remove marts that no longer count; see :meth:`Pointer.clean`."""
+        return self._pointer.clean(grace_hours)
 
     def rebuild(self, posts: DataFrame, check: bool = True) -> dict[str, DataFrame]:
         """Build all marts from ``posts``, check them, then make them the current version."""
-        number = self._versions.last()[0] + 1
-        folder = self._versions.new_folder(number)
+        number = self._pointer.read()[0] + 1
+        folder = self._pointer.new_folder()
         built: Tables = {}
         for name, (build, cluster) in self.BUILDERS.items():
             lookup = "insta_id" if name == self.EDGES else None
@@ -135,7 +135,7 @@ class Marts:
             built[name] = write_by_account(build(posts, built), f"{folder}/{name}")
         if check:
             require(expectations(posts, tagged_post_rows(posts), built))
-        self._versions.publish(number, {"folder": folder})
+        self._pointer.move(number, {"folder": folder})
         return built
 
 

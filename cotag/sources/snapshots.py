@@ -1,138 +1,87 @@
-"""The raw table as committed versions of plain Parquet, one folder per post day."""
+"""The raw table: plain Parquet in folders of months, and a pointer to the folders that count."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from cotag.functions.joins import BROADCAST_ROWS, Side, keep_matching
 from cotag.schemas import POST_COLUMNS, POSTS
 from cotag.sources.tables import bloom_options
-from cotag.sources.versions import Versions
+from cotag.sources.versions import Pointer
 
-DAY = "post_day"
-# Fixed value: the folder name Spark gives to a missing partition value.
-NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+PERIOD = "post_period"
+#: Name of the folder of posts without a day.
+NO_DAY = "undated"
+#: Length of a period. A load rewrites every period it touches, so shorter ones cost less per load,
+#: and longer ones give fewer, larger files.
+GRAIN = "yyyy-MM"
 
-KEY_BUCKET = "key_bucket"
-#: Folders that the keys of the table are spread over.
-KEY_BUCKETS = 64
-#: Key lists that are merged into one when a version has so many.
-KEY_LISTS = 16
-
-
-def key_bucket(post_id: Column) -> Column:
-    """Folder in which a post's key is listed."""
-    return F.pmod(F.xxhash64(post_id), F.lit(KEY_BUCKETS)).cast("int")
-
-KEYS = StructType(
-    [
-        StructField("post_id", StringType()),
-        StructField(DAY, StringType()),
-        StructField(KEY_BUCKET, IntegerType()),
-    ]
-)
-
-
-def day_of(post_date: Column) -> Column:
-    """Name of the day folder a post lies in; the day of a post never changes."""
-    return F.coalesce(F.date_format(post_date, "yyyy-MM-dd"), F.lit(NO_DAY))
+_STORED = StructType([*POSTS, StructField(PERIOD, StringType())])
 
 
 @dataclass(frozen=True)
 class Delivery:
-    """One part of one numbered delivery of a stream; numbers never go back."""
+    """A numbered micro-batch of a stream; numbers never go back."""
 
     stream: str
     number: int
-    part: str = ""
 
 
 @dataclass(frozen=True)
 class Snapshot:
-    """One version: for each day the data folder that counts, and what streams have delivered.
-
-    ``streams`` holds the last number of each stream with its loaded parts; ``newest`` the last
-    load and post day of each day folder; ``keys`` the lists of post ids with their days. The day
-    of a post never changes, so lists are only ever added.
-    """
+    """What the pointer says: the folder that counts for each period, the last delivery of each
+    stream, and the last load and newest post day in microseconds and days."""
 
     number: int = 0
-    days: dict[str, str] = field(default_factory=dict)
-    streams: dict[str, dict] = field(default_factory=dict)
-    newest: dict[str, list] = field(default_factory=dict)
-    keys: list[str] = field(default_factory=list)
+    periods: dict[str, str] = field(default_factory=dict)
+    streams: dict[str, int] = field(default_factory=dict)
+    seen: int | None = None
+    posted: int | None = None
 
-    def has(self, delivery: Delivery) -> bool:
+    def has(self, delivery: Delivery | None) -> bool:
         """Whether the delivery is in this version."""
-        last = self.streams.get(delivery.stream)
-        if last is None or delivery.number > last["number"]:
-            return False
-        return delivery.number < last["number"] or delivery.part in last["parts"]
+        return delivery is not None and delivery.number <= self.streams.get(delivery.stream, -1)
 
-    def taken(self, delivery: Delivery | None) -> dict[str, dict]:
-        """``streams`` after ``delivery``."""
-        if delivery is None:
-            return self.streams
-        last = self.streams.get(delivery.stream)
-        same = last is not None and last["number"] == delivery.number
-        parts = [*(last["parts"] if same else []), delivery.part]
-        return {**self.streams, delivery.stream: {"number": delivery.number, "parts": parts}}
 
+def _later(*values: int | None) -> int | None:
+    return max((v for v in values if v is not None), default=None)
 
-class PostTable:
-    """Reads the last version and writes the next one, rewriting only the days it is given."""
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark = spark
-        self.root = root
-        self._versions = Versions(spark, root)
+class PostTable:
+    """Reads the current posts, and replaces the periods it is given by new folders.
 
-    def snapshot(self) -> Snapshot:
-        number, content = self._versions.last()
-        return Snapshot(number, **content)
+    A post never changes its day, so it stays in its period. ``grain`` is the pattern of the names
+    of periods and must not change for a table.
+    """
 
-    def read(self, snapshot: Snapshot | None = None, days: list[str] | None = None) -> DataFrame:
-        """The table at ``snapshot`` (the last one by default), or some of its days."""
-        snapshot = snapshot or self.snapshot()
-        chosen = sorted(snapshot.days if days is None else set(days) & set(snapshot.days))
-        if not chosen:
-            return self.spark.createDataFrame([], POSTS)
-        return self.spark.read.schema(POSTS).parquet(
-            *(f"{snapshot.days[d]}/{DAY}={d}" for d in chosen)
-        )
+    def __init__(self, spark: SparkSession, root: str, grain: str = GRAIN) -> None:
+        self.spark, self.root, self.grain = spark, root, grain
+        self._pointer = Pointer(spark, root)
 
-    def _key_lists(self, folders: list[str]) -> DataFrame:
-        lists = [self.spark.read.schema(KEYS).parquet(folder) for folder in folders]
-        return reduce(DataFrame.unionByName, lists, self.spark.createDataFrame([], KEYS))
+    def period_of(self, post_date: Column) -> Column:
+        return F.coalesce(F.date_format(post_date, self.grain), F.lit(NO_DAY))
 
-    def days_of(
-        self, snapshot: Snapshot, keys: Side, broadcast_rows: int = BROADCAST_ROWS
-    ) -> DataFrame:
-        """Day folder of each of ``keys`` (rows with a ``post_id``) that the version holds.
+    def snapshot(self) -> Snapshot:
+        number, content = self._pointer.read()
+        return Snapshot(number, **content)
 
-        Only the key folders that the given keys fall into are read, and no post is.
-        """
-        wanted = keys.df.select(key_bucket(F.col("post_id")).alias("b")).distinct().collect()
-        known = self._key_lists(snapshot.keys).filter(
-            F.col(KEY_BUCKET).isin([r["b"] for r in wanted])
-        )
-        return keep_matching(known, keys, "post_id", broadcast_rows).select("post_id", DAY)
-
-    def _with_keys(self, base: Snapshot, number: int, added: DataFrame) -> list[str]:
-        """Key lists of the next version: one more, or all merged into one."""
-        folder = self._versions.new_folder(number)
-        listed = added.select("post_id", day_of(F.col("post_date")).alias(DAY))
-        rows = listed.withColumn(KEY_BUCKET, key_bucket(F.col("post_id")))
-        merge = len(base.keys) + 1 >= KEY_LISTS
-        if merge:
-            rows = rows.unionByName(self._key_lists(base.keys))
-        rows.hint("rebalance", KEY_BUCKET).write.partitionBy(KEY_BUCKET).parquet(folder)
-        return [folder] if merge else [*base.keys, folder]
+    def placed(self, snapshot: Snapshot, periods: list[str] | None = None) -> DataFrame:
+        """The posts of ``snapshot`` with their period, or those of some periods."""
+        chosen = snapshot.periods if periods is None else set(periods) & set(snapshot.periods)
+        paths = [f"{snapshot.periods[p]}/{PERIOD}={p}" for p in sorted(chosen)]
+        if not paths:
+            return self.spark.createDataFrame([], _STORED)
+        # The period follows from the file's folder; each path is a leaf, so there is no root that
+        # Spark could take it from.
+        period = F.regexp_extract("_metadata.file_path", f"/{PERIOD}=([^/]*)/", 1)
+        return self.spark.read.schema(POSTS).parquet(*paths).select("*", period.alias(PERIOD))
+
+    def read(self, snapshot: Snapshot | None = None, periods: list[str] | None = None) -> DataFrame:
+        """The table at ``snapshot`` (the current one by default), or some of its periods."""
+        return self.placed(snapshot or self.snapshot(), periods).drop(PERIOD)
 
     def write(
         self,
@@ -140,61 +89,60 @@ class PostTable:
         base: Snapshot,
         replaced: list[str],
         delivery: Delivery | None = None,
-        added: DataFrame | None = None,
+        now: int | None = None,
     ) -> Snapshot:
-        """Commit ``rows`` on top of ``base`` in place of the days ``replaced``.
+        """Put ``rows`` in place of the periods ``replaced`` and of those that ``rows`` lie in.
 
-        ``added`` are the posts that ``base`` doesn't hold; all of ``rows`` if it isn't given.
+        ``rows`` must hold all posts of these periods. One pass writes them and observes their last
+        load and newest day. ``now`` is the least load stamp among rows that have changed: as long
+        as stamps don't go back, the maxima of the table follow from those of before.
 
-        The rebalance hint lets adaptive execution split a day with very many posts over
-        several tasks and put small days together. Bloom filters serve the search for one
+        The rebalance hint lets adaptive execution split a period with very many posts over
+        several tasks and put small periods together. Bloom filters serve the search for one
         account's posts.
         """
-        number = base.number + 1
-        folder = self._versions.new_folder(number)
+        folder = self._pointer.new_folder()
+        found = Observation()
         (
-            rows.select(*POST_COLUMNS, day_of(F.col("post_date")).alias(DAY))
-            .hint("rebalance", DAY)
-            .write.partitionBy(DAY)
+            rows.select(*POST_COLUMNS, self.period_of(F.col("post_date")).alias(PERIOD))
+            .observe(found, F.max(F.unix_micros("last_seen_at")).alias("seen"),
+                     F.max(F.unix_date("post_date")).alias("posted"))
+            .hint("rebalance", PERIOD)
+            .write.partitionBy(PERIOD)
             .options(**bloom_options("insta_id"))
             .parquet(folder)
         )
-        written = [name.removeprefix(f"{DAY}=") for name in self._versions.children(folder)]
-        gone = set(replaced)
-        days = {d: f for d, f in base.days.items() if d not in gone}
-        days.update(dict.fromkeys(written, folder))
-        newest = {d: x for d, x in base.newest.items() if d in days and d not in gone}
-        newest.update(self._newest(folder) if written else {})
-        streams = base.taken(delivery)
-        keys = self._with_keys(base, number, rows if added is None else added)
-        content = {"days": days, "streams": streams, "newest": newest, "keys": keys}
-        self._versions.publish(number, content)
-        return Snapshot(number, **content)
-
-    def _newest(self, folder: str) -> dict[str, list]:
-        """Last load and newest post of each written day: two columns of what was just written."""
-        fields = [f for f in POSTS if f.name in ("last_seen_at", "post_date")]
-        written = self.spark.read.schema(StructType([*fields, StructField(DAY, StringType())]))
-        found = (
-            written.option("basePath", folder).parquet(folder)
-            .groupBy(F.coalesce(DAY, F.lit(NO_DAY)).alias("day"))
-            .agg(F.max(F.unix_micros("last_seen_at")).alias("seen"),
-                 F.max(F.unix_date("post_date")).alias("posted"))
-        )
-        return {r["day"]: [r["seen"], r["posted"]] for r in found.collect()}
+        seen, posted = found.get["seen"], found.get["posted"]
+        written = replaced
+        if not base.periods:
+            stored = self.spark.read.schema(_STORED).parquet(folder)
+            written = [r[PERIOD] for r in stored.select(PERIOD).distinct().collect()]
+        periods = {**base.periods, **dict.fromkeys(written, folder)}
+        if base.seen is not None and (now is None or now < base.seen):
+            # A stamp went back: posts that lost the latest one may be among the replaced.
+            others = self.placed(base, sorted(set(base.periods) - set(written)))
+            seen = _later(seen, others.agg(F.max(F.unix_micros("last_seen_at"))).first()[0])
+        else:
+            seen = _later(seen, base.seen)
+        streams = base.streams
+        if delivery is not None:
+            streams = {**streams, delivery.stream: delivery.number}
+        content = {"periods": periods, "streams": streams, "seen": seen,
+                   "posted": _later(posted, base.posted)}
+        self._pointer.move(base.number + 1, content)
+        return Snapshot(base.number + 1, **content)
 
     def freshness(self, snapshot: Snapshot | None = None) -> DataFrame:
-        """Last load and newest post day, as the commit knows them; no post is read."""
-        snapshot = snapshot or self.snapshot()
-        known = list(snapshot.newest.values())
-        seen = max((s for s, _ in known if s is not None), default=None)
-        posted = max((p for _, p in known if p is not None), default=None)
-        row = self.spark.createDataFrame([(seen, posted)], "seen long, posted int")
+        """Last load and newest post day, as the pointer has them; no post is read."""
+        known = snapshot or self.snapshot()
+        row = self.spark.createDataFrame([(known.seen, known.posted)], "seen long, posted int")
         return row.select(
             F.timestamp_micros("seen").alias("last_loaded_at"),
             F.date_from_unix_date("posted").alias("latest_post_date"),
         )
 
-    def expire(self, keep: int = 2, grace_hours: float = 24.0) -> list[str]:
-        """Remove what none of the last ``keep`` versions names; see :meth:`Versions.expire`."""
-        return self._versions.expire(keep, grace_hours)
+    def clean(self, grace_hours: float = 24.0) -> list[str]:
+        """Remove folders that no longer count; see :meth:`Pointer.clean`."""
+        return self._pointer.clean(grace_hours)
+
+

@@ -36,7 +36,7 @@ def bloom_options(*columns: str) -> dict[str, str]:
     return {"parquet.bloom.filter.adaptive.enabled": "true", **chosen}
 
 
-def read_post_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_post_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Batch files with a header, with or without a byte-order mark.
 
     Columns are declared and checked against the header; a line that does not fit fails the

@@ -1,9 +1,9 @@
-"""Numbered commits beside data folders, on a Hadoop file system.
+"""One pointer file that says which folders of plain Parquet make up a table.
 
-A commit is one small JSON file. It is written aside and renamed into place without overwriting,
-so a number is taken only once. That is safe where such a rename is atomic (HDFS, local disks); an
-object store is not such a place. Data folders are never overwritten, so a reader that follows
-the last commit sees the old state or the new one, never a mixture.
+The pointer is a small JSON file with a number in its name. It is written aside and renamed without
+overwriting, so of two writers that start from the same state one is told so. That is safe where
+such a rename is atomic (HDFS, local disks); an object store is not such a place. Data folders are
+never overwritten, so a reader that follows the pointer sees the old state or the new one.
 """
 
 from __future__ import annotations
@@ -17,100 +17,77 @@ from pyspark.sql import SparkSession
 
 
 class CommitConflict(RuntimeError):
-    """Another writer took the number first."""
+    """Another writer moved the pointer first."""
 
 
-class Versions:
-    """The commits under ``root``."""
+class Pointer:
+    """The pointer of the table under ``root``; files by Hadoop's interface, the only one that
+    reaches all of Spark's file systems."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.root = root.rstrip("/")
-        self._jvm = spark._jvm
-        self._gateway = spark.sparkContext._gateway
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._hadoop = spark._jvm.org.apache.hadoop.fs
+        self._io = spark._jvm.org.apache.commons.io.IOUtils
+        path = self._hadoop.Path(self.root)
+        self._files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._options = spark.sparkContext._gateway.new_array(self._hadoop.Options.Rename, 1)
+        self._options[0] = self._hadoop.Options.Rename.NONE
 
     def _path(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(name)
+        return self._files.makeQualified(self._hadoop.Path(f"{self.root}/{name}"))
 
     def _names(self, folder: str) -> list[str]:
         path = self._path(folder)
-        if not self._fs.exists(path):
-            return []
-        return [status.getPath().getName() for status in self._fs.listStatus(path)]
+        found = self._files.listStatus(path) if self._files.exists(path) else []
+        return sorted(s.getPath().getName() for s in found if s.getPath().getName()[0] != ".")
 
-    def new_folder(self, number: int) -> str:
+    def new_folder(self) -> str:
         """A data folder that no other try writes to."""
-        return f"{self.root}/data/{number:010d}-{uuid.uuid4().hex[:8]}"
-
-    def children(self, folder: str) -> list[str]:
-        """Names of the partition folders in a data folder."""
-        return [name for name in self._names(folder) if "=" in name]
-
-    def last(self) -> tuple[int, dict]:
-        """Number and content of the last commit; 0 and nothing before the first."""
-        numbers = [
-            int(name.removesuffix(".json"))
-            for name in self._names(f"{self.root}/commits")
-            if name.endswith(".json") and not name.startswith(".")
-        ]
-        if not numbers:
-            return 0, {}
-        return max(numbers), json.loads(self._text(self._commit(max(numbers))))
+        return f"{self.root}/data/{uuid.uuid4().hex}"
 
-    def _text(self, name: str) -> str:
-        stream = self._fs.open(self._path(name))
+    def read(self) -> tuple[int, dict]:
+        """Number and content; 0 and nothing before the first move."""
+        names = self._names("pointer")
+        if not names:
+            return 0, {}
+        stream = self._files.open(self._path(f"pointer/{names[-1]}"))
         try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return int(names[-1]), json.loads(self._io.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def _commit(self, number: int) -> str:
-        return f"{self.root}/commits/{number:010d}.json"
-
-    def publish(self, number: int, content: dict) -> None:
-        """Make ``content`` commit ``number``; :class:`CommitConflict` if it is taken."""
-        target = self._path(self._commit(number))
-        self._fs.mkdirs(target.getParent())
-        aside = self._path(f"{self.root}/commits/.{uuid.uuid4().hex}")
-        stream = self._fs.create(aside, False)
+    def move(self, number: int, content: dict) -> None:
+        """Point to ``content``; :class:`CommitConflict` if ``number`` is taken."""
+        aside, target = (self._path(f"pointer/{n}") for n in (f".{uuid.uuid4().hex}", f"{number:010d}"))
+        stream = self._files.create(aside, False)
         try:
             stream.write(bytearray(json.dumps(content).encode("utf-8")))
         finally:
             stream.close()
+        context = self._hadoop.FileContext.getFileContext(self._files.getUri(), self._files.getConf())
         try:
-            self._move(aside, target)
+            context.rename(aside, target, self._options)
         except Py4JJavaError as error:
-            self._fs.delete(aside, False)
-            if not self._fs.exists(target):
+            self._files.delete(aside, False)
+            if not self._files.exists(target):
                 raise
-            raise CommitConflict(f"commit {number} of {self.root} exists") from error
-
-    def _move(self, source, target) -> None:
-        """Rename that fails where ``target`` exists."""
-        hadoop = self._jvm.org.apache.hadoop.fs
-        options = self._gateway.new_array(hadoop.Options.Rename, 1)
-        options[0] = hadoop.Options.Rename.NONE
-        context = hadoop.FileContext.getFileContext(self._fs.getUri(), self._fs.getConf())
-        context.rename(self._fs.makeQualified(source), self._fs.makeQualified(target), options)
+            raise CommitConflict(f"{self.root} has moved to {number} before") from error
 
-    def expire(self, keep: int = 2, grace_hours: float = 24.0) -> list[str]:
-        """Remove commits before the last ``keep`` and data folders that no kept one names.
+    def clean(self, grace_hours: float = 24.0) -> list[str]:
+        """Remove data folders that the pointer doesn't name, and earlier pointers.
 
-        Folders written in the last ``grace_hours`` stay, as a load under way may own them.
-        Gives the names of the folders removed.
+        What is younger than ``grace_hours`` stays, as a reader or a load may use it. Gives the
+        names of the folders removed.
         """
-        if keep < 1:
-            raise ValueError("the last version must be kept")
-        commits = sorted(n for n in self._names(f"{self.root}/commits") if not n.startswith("."))
-        kept = "\n".join(self._text(f"{self.root}/commits/{n}") for n in commits[-keep:])
-        before = (time.time() - grace_hours * 3600) * 1000
+        number, content = self.read()
+        named, before = json.dumps(content), (time.time() - grace_hours * 3600) * 1000
         removed = []
-        for name in self._names(f"{self.root}/data"):
-            path = self._path(f"{self.root}/data/{name}")
-            old = self._fs.getFileStatus(path).getModificationTime() <= before
-            if old and f"/data/{name}\"" not in kept:
-                self._fs.delete(path, True)
+        for name in self._names("data"):
+            path = self._path(f"data/{name}")
+            if name not in named and self._files.getFileStatus(path).getModificationTime() <= before:
+                self._files.delete(path, True)
                 removed.append(name)
-        for name in commits[:-keep]:
-            self._fs.delete(self._path(f"{self.root}/commits/{name}"), False)
+        for name in self._names("pointer")[:-1]:
+            if int(name) < number:
+                self._files.delete(self._path(f"pointer/{name}"), False)
         return removed

@@ -1,16 +1,17 @@
-"""Batch files as a stream: every run that arrives is checked and upserted."""
+"""Batch files as a stream: the runs that arrive together are checked and upserted together."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cotag.operators.ingest import BatchError
-from cotag.plans.load import load_batch
+from cotag.functions.joins import held
+from cotag.operators.ingest import BatchError, check_runs, run_errors
+from cotag.plans.load import load_runs
 from cotag.schemas import BATCH
 from cotag.sources.snapshots import Delivery, PostTable
 from cotag.sources.tables import CSV_OPTIONS, read_post_csv
@@ -20,15 +21,15 @@ def _utc_now(batch_id: int) -> datetime:
     return datetime.now(timezone.utc)
 
 
-def run_folders(batch: DataFrame) -> list[str]:
-    """Folders that hold the files of a micro-batch, in the order of their names.
+def _run() -> Column:
+    """The folder of a row's file, which is one collection run of one brand and day."""
+    path = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))  # paths come as URIs
+    return F.regexp_replace(F.url_decode(path), r"/[^/]*$", "").alias("run")
 
-    A folder is one collection run of one brand and day, so few names reach the driver.
-    """
-    path = F.url_decode(F.replace("_file", F.lit("+"), F.lit("%2B")))  # file paths come as URIs
-    folder = F.regexp_replace(path, r"/[^/]*$", "")
-    names = batch.select(folder.alias("folder")).distinct().orderBy("folder")
-    return [row["folder"] for row in names.collect()]
+
+def read_runs(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """The rows of whole runs, each with its ``run``."""
+    return read_post_csv(spark, folders).select("*", _run())
 
 
 def upsert_drops(
@@ -42,30 +43,39 @@ def upsert_drops(
     """Load all runs under ``folder`` with files that are not loaded yet, then stop.
 
     A run is the folder of one brand and day (``brand_key=.../dt=...``), whatever number of files
-    it has: its checks and its load are about all of them. A run whose files arrive in parts is
-    loaded anew as a whole, which changes nothing that is loaded. A micro-batch that is repeated
-    after a failure finds in the table which of its runs it has committed. A run that fails its
-    checks stops the query, or is passed over and handed to ``rejected`` when that is given.
+    it has: its checks are about all of them. All runs of a micro-batch are read, checked and
+    loaded together in one commit, however many there are, with the result of loading them one
+    after the other by name. A run whose files arrive in parts is loaded anew as a whole, which
+    changes nothing that is loaded. A micro-batch that is repeated after a failure finds in the
+    table that it was committed. A run that fails its checks stops the query before anything of
+    its micro-batch is loaded, or is passed over and handed to ``rejected`` when that is given.
     """
     drops = (
         spark.readStream.schema(BATCH)
         .option("recursiveFileLookup", True)
         .options(**CSV_OPTIONS)
         .csv(folder)
-        .withColumn("_file", F.col("_metadata.file_path"))
+        .select("*", _run())
     )
     table = PostTable(spark, table_root)
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        folders = [row["run"] for row in batch.select("run").distinct().collect()]
+        delivery = Delivery(checkpoint, batch_id)
+        if not folders or table.snapshot().has(delivery):
+            return
+        runs = held(read_runs(spark, folders)).df
+        found = held(check_runs(runs)).df
+        for _, error in run_errors(runs, found):
+            if rejected is None:
+                raise error
+            rejected(batch_id, error)
+        good = held(found.filter("duplicates = 0 and blank = 0"))
+        if not good.rows:
+            return
         stamp = F.lit(now(batch_id).isoformat()).cast("timestamp")
-        for run in run_folders(batch):
-            rows = read_post_csv(spark, run)
-            try:
-                load_batch(table, rows, stamp, Delivery(checkpoint, batch_id, run))
-            except BatchError as error:
-                if rejected is None:
-                    raise
-                rejected(batch_id, error)
+        checked = runs.join(good.prepared().select("run"), "run", "left_semi")
+        load_runs(table, checked, stamp, delivery)
 
     return (
         drops.writeStream.foreachBatch(load)

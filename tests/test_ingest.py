@@ -11,11 +11,9 @@ from pyspark.sql import functions as F
 
 from cotag.operators import ingest
 from cotag.operators.freshness import freshness
-from cotag.plans.load import load_batch
-from cotag.functions.joins import held
+from cotag.plans.load import load_batch, load_runs, split_batch_by_period
 from cotag.schemas import BATCH, POSTS
-from cotag.sources import snapshots
-from cotag.sources.snapshots import Delivery, PostTable
+from cotag.sources.snapshots import PERIOD, Delivery, PostTable
 from cotag.sources.tables import (
     brand_dim,
     brand_param,
@@ -25,7 +23,7 @@ from cotag.sources.tables import (
     routed,
     write_post_csv,
 )
-from cotag.sources.versions import CommitConflict, Versions
+from cotag.sources.versions import CommitConflict, Pointer
 from cotag.streaming.drops import upsert_drops
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -130,23 +128,23 @@ def table_of(spark, tmp_path, df):
     return table
 
 
-def test_load_rewrites_only_touched_days(spark, tmp_path):
+def test_load_rewrites_only_touched_periods(spark, tmp_path):
     undated = target(spark, "n", day=None)
-    days = target(spark, "a").unionByName(target(spark, "b", day=date(2024, 1, 2)))
+    days = target(spark, "a").unionByName(target(spark, "b", day=date(2024, 2, 2)))
     table = table_of(spark, tmp_path, days.unionByName(undated))
     first = table.snapshot()
-    second = load_batch(table, batch(spark, "b", "c"), now())
+    second = load_batch(table, batch(spark, "b", "c", day="2024-03-05"), now())
     assert second.number == 2
-    assert second.days["2024-01-01"] == first.days["2024-01-01"]
-    assert second.days["2024-01-02"] != first.days["2024-01-02"]
-    assert "2024-01-05" in second.days
+    assert second.periods["2024-01"] == first.periods["2024-01"]
+    assert second.periods["2024-02"] != first.periods["2024-02"]
+    assert "2024-03" in second.periods
     rows = {r["post_id"]: r for r in table.read().collect()}
     assert set(rows) == {"a", "b", "c", "n"}
     assert rows["b"]["insta_name"] == "New"
-    assert rows["b"]["post_date"] == date(2024, 1, 2)
+    assert rows["b"]["post_date"] == date(2024, 2, 2)
     assert {r["post_id"] for r in table.read(first).collect()} == {"a", "b", "n"}
     third = load_batch(table, batch(spark, "n"), now())
-    assert len(third.days) == 4
+    assert set(third.periods) == {"2024-01", "2024-02", "2024-03", "undated"}
     assert {r["post_id"]: r["insta_name"] for r in table.read().collect()}["n"] == "New"
 
 
@@ -163,14 +161,14 @@ def test_failed_load_leaves_the_table(spark, tmp_path):
 
 def test_same_delivery_is_loaded_once(spark, tmp_path):
     table = table_of(spark, tmp_path, target(spark, "a"))
-    first = Delivery("stream", 1, "x")
+    first = Delivery("stream", 1)
     one = load_batch(table, batch(spark, "b"), now(), first)
     assert load_batch(table, batch(spark, "b"), now(), first) == one
     load_batch(table, batch(spark, "b", tags="@newer"), now())  # another writer
-    two = load_batch(table, batch(spark, "c"), now(), Delivery("stream", 1, "y"))
+    two = load_batch(table, batch(spark, "c"), now(), Delivery("stream", 2))
     assert load_batch(table, batch(spark, "b", tags="@older"), now(), first) == two
-    three = load_batch(table, batch(spark, "d"), now(), Delivery("stream", 2, "x"))
-    assert load_batch(table, batch(spark, "e"), now(), Delivery("stream", 1, "z")) == three
+    three = load_batch(table, batch(spark, "d"), now(), Delivery("other", 1))
+    assert three.streams == {"stream": 2, "other": 1}
     rows = {r["post_id"]: r["tagged_insta_id"] for r in table.read().collect()}
     assert rows == {"a": "@x", "b": "@newer", "c": None, "d": None}
 
@@ -186,55 +184,73 @@ def test_interleaved_loads_both_end_up_in_the_table(spark, tmp_path, monkeypatch
         return write(self, rows, base, days, *more)
 
     monkeypatch.setattr(PostTable, "write", write_late)
-    load_batch(table, batch(spark, "mine"), now())
+    load_batch(table, batch(spark, "mine"), now(), pause=0.01)
     assert {r["post_id"] for r in table.read().collect()} == {"a", "mine", "other"}
     monkeypatch.setattr(PostTable, "write", lambda *a: (_ for _ in ()).throw(CommitConflict("x")))
     with pytest.raises(CommitConflict):
-        load_batch(table, batch(spark, "z"), now(), tries=2)
+        load_batch(table, batch(spark, "z"), now(), tries=2, pause=0.01)
 
 
-def test_keys_are_looked_up_in_their_folders(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(snapshots, "KEY_LISTS", 3)  # merged now and then
+def test_known_posts_are_found_by_ids_alone(spark, tmp_path):
     table = table_of(spark, tmp_path, target(spark, *(f"k{n}" for n in range(200))))
-    for n in range(4):
-        load_batch(table, batch(spark, f"k{n}", f"new{n}", day=f"2024-03-0{n + 1}"), now())
-    last = table.snapshot()
-    assert len(last.keys) < 3
-    wanted = held(batch(spark, "k7", "new2", "nobody"))
-    found = table.days_of(last, wanted)
-    assert dict(map(tuple, found.collect())) == {"k7": "2024-01-01", "new2": "2024-03-03"}
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [key_bucket" in plan
-    asked = wanted.df.select(snapshots.key_bucket(F.col("post_id"))).distinct().count()
-    files = {row[0] for row in table._key_lists(last.keys).filter(
-        F.col("key_bucket").isin([r[0] for r in wanted.df.select(
-            snapshots.key_bucket(F.col("post_id"))).collect()])
-    ).select(F.regexp_extract(F.input_file_name(), "key_bucket=([0-9]+)", 1)).distinct().collect()}
-    assert 0 < len(files) <= asked <= 3
-    ids = [r["post_id"] for r in table._key_lists(last.keys).collect()]
-    assert sorted(ids) == sorted(r["post_id"] for r in table.read().collect())
-
-
-def test_freshness_and_expiry(spark, tmp_path):
-    table = table_of(spark, tmp_path, target(spark, "a").unionByName(target(spark, "n", day=None)))
-    for i in range(3):
-        load_batch(table, batch(spark, "b", f"c{i}", day=f"2024-01-0{5 + i}"), now())
+    load_batch(table, batch(spark, "k1", "new1", day="2024-03-01"), now())
+    plan = table.placed(table.snapshot()).select("post_id", PERIOD)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<post_id:string>" in text
+    periods, added = split_batch_by_period(
+        table, table.snapshot(), (rows := batch(spark, "k7", "new1", "nobody", day="2024-05-01")),
+        ingest.check_batch(rows), 1000,
+    )
+    assert sorted(periods) == ["2024-01", "2024-03", "2024-05"]
+    assert [r["post_id"] for r in added.collect()] == ["nobody"]
+
+
+@pytest.mark.parametrize("grain", ["yyyy", "yyyy-MM", "yyyy-MM-dd"])
+def test_freshness_and_cleaning(spark, tmp_path, grain):
+    table = PostTable(spark, f"file://{tmp_path}/raw", grain)
+    rows = target(spark, "a").unionByName(target(spark, "n", day=None))
+    table.write(rows, table.snapshot(), [])
+    # The last load has an earlier stamp than the one before.
+    for i, stamp in enumerate(("2024-02-01", "2024-02-02", "2023-06-01")):
+        at = F.lit(f"{stamp}T00:00:00Z").cast("timestamp")
+        load_batch(table, batch(spark, "b", f"c{i}", day=f"2024-01-0{5 + i}"), at)
         assert table.freshness().collect() == freshness(table.read()).collect()
     before = sorted(map(tuple, table.read().collect()), key=str)
-    assert table.expire(keep=1) == []  # all of it is young
-    assert table.expire(keep=1, grace_hours=0)
+    assert table.clean() == []  # all of it is young
+    assert table.clean(grace_hours=0)
     assert sorted(map(tuple, table.read().collect()), key=str) == before
     assert table.snapshot().number == 4
     empty = PostTable(spark, f"file://{tmp_path}/none")
     assert tuple(empty.freshness().first()) == (None, None)
 
 
-def test_a_version_is_taken_once(spark, tmp_path):
-    versions = Versions(spark, f"file://{tmp_path}/v")
-    versions.publish(1, {"a": 1})
+def test_a_pointer_is_moved_once(spark, tmp_path):
+    pointer = Pointer(spark, f"file://{tmp_path}/v")
+    pointer.move(1, {"a": 1})
     with pytest.raises(CommitConflict):
-        versions.publish(1, {"a": 2})
-    assert versions.last() == (1, {"a": 1})
+        pointer.move(1, {"a": 2})
+    assert pointer.read() == (1, {"a": 1})
+
+
+def test_runs_loaded_together_equal_runs_one_by_one(spark, tmp_path):
+    one_by_one = PostTable(spark, f"file://{tmp_path}/one")
+    together = PostTable(spark, f"file://{tmp_path}/all")
+    rows = target(spark, "a", "b")
+    for table in (one_by_one, together):
+        table.write(rows, table.snapshot(), [])
+    runs = [
+        batch(spark, "a", "x", "y", tags="@1"),
+        batch(spark, "y", "z", day="2024-04-04", tags="@2").withColumn("brand_id", F.lit("b3")),
+        batch(spark, "x", "y", "b", day="no date").withColumn("insta_name", F.lit("Newest")),
+    ]
+    for run in runs:
+        load_batch(one_by_one, run, now())
+    named = [run.withColumn("run", F.lit(f"r{i}")) for i, run in enumerate(runs)]
+    before = together.snapshot().number
+    load_runs(together, named[2].unionByName(named[0]).unionByName(named[1]), now())
+    assert together.snapshot().number == before + 1
+    assert sorted(map(tuple, together.read().collect())) == sorted(
+        map(tuple, one_by_one.read().collect()))
 
 
 def test_csv_round_trip(spark, tmp_path):
@@ -298,6 +314,7 @@ def test_file_stream(spark, tmp_path):
     assert {r["post_id"] for r in table.read().collect()} == {"a", "b"}
     assert len(rejected) == 1
     number = table.snapshot().number
+    assert number == 2  # one commit for all runs of the backlog
     run()
     assert table.snapshot().number == number
     write_file(f"{drops}/brand_key=b/dt=4/w.csv", csv_text("d,i,n,b,b1,l,,2024-01-02,@x,1"))
