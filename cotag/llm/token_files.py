@@ -6,7 +6,8 @@ import re
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cotag.llm import wavelet
-from cotag.llm.common import WordTable, arrow_fields, small_batches, text_key, texts_of
+from cotag.llm.common import arrow_fields, small_batches, text_key, texts_of
 
 #: Tokens after which a file is closed; a file holds whole documents.
 SHARD_TOKENS = 1 << 20
@@ -27,18 +28,46 @@ _MANIFEST = "part long, number long, before long, tokens long, docs long, file s
 _DOCS = "part long, doc_id long, inside long, n_tokens long, ids_crc32 long, ids binary"
 _HITS = "part long, doc_id long, inside long, place long"
 
-# Words of these letters and signs need no normalisation beyond lower case, and split into the
-# letters and the signs: the pattern of the vocabulary file has no other rule for them.
-_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\\[-`{-~]*)")
+# Letters and signs that need no normalisation beyond lower case, and of which the vocabulary file's
+# pattern makes runs of letters and runs of signs; "<" may begin a special token, so it isn't one.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_SIGNS = "!-&(-/:;=-@\\[-`{-~"
+_PLAIN = re.compile(f"[{_LETTERS}{_SIGNS} \t\r]*")
+_RUNS = re.compile(f"[{_LETTERS}]+|[{_SIGNS}]+")
+
+
+class RecentTable(dict):
+    """What ``value`` gives for a key, kept for the keys used lately.
+
+    When ``size`` new keys have come, those used before and not since are forgotten; at most twice
+    as many are held.
+    """
+
+    def __init__(self, value: Callable, size: int, longest: int = 64):
+        super().__init__()
+        self._value, self._size, self._longest = value, size, longest
+        self._before: dict = {}
+
+    def __missing__(self, key):
+        found = self._before.get(key)
+        if found is None:
+            found = self._value(key)
+            if len(key) > self._longest:
+                return found
+        if len(self) >= self._size:
+            self._before = dict(self)
+            self.clear()
+        self[key] = found
+        return found
 
 
 class WordEncoder:
     """Ids of whole texts as the tokenizers library gives them, word by word.
 
     The vocabulary drops white space, and none of its pieces, patterns or normalisations reaches
-    across it, so the ids of a text are those of its words. Words seen lately are kept as bytes of
-    32-bit ids. Plain words go straight to the library's merge model, all others through the whole
-    encoder.
+    across it, so the ids of a text are those of its lines and words. A plain line falls into runs
+    of letters and of signs, which go straight to the library's merge model; the words of other
+    lines go through the whole encoder. Runs and words seen lately are kept as bytes of 32-bit ids.
     """
 
     def __init__(self, path: str):
@@ -49,21 +78,35 @@ class WordEncoder:
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(0xC0, 0x100)]
         self._spelled = {ord(c): spell.pre_tokenize_str(c)[0][0] for c in letters}
-        self._words = WordTable(self._word, size=200_000)
+        self._runs = RecentTable(self._run, size=200_000)
+        self._words = RecentTable(self._word, size=30_000)
+
+    def _run(self, run: str) -> bytes:
+        spelled = run if run.isascii() else run.translate(self._spelled)
+        return array("I", [t.id for t in self._model.tokenize(spelled)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8")
-        simple = _SIMPLE.fullmatch(text)
-        if simple is None:
-            ids = self._whole.encode(text, add_special_tokens=False).ids
-        else:
-            parts = (p.lower().translate(self._spelled) for p in simple.groups() if p)
-            ids = [t.id for part in parts for t in self._model.tokenize(part)]
-        return array("I", ids).tobytes()
+        if _PLAIN.fullmatch(text):
+            return b"".join(map(self._runs.__getitem__, _RUNS.findall(text.lower())))
+        return array("I", self._whole.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as 32-bit integers."""
-        return b"".join(map(self._words.__getitem__, text.encode("utf-8").split()))
+        found: list[bytes] = []
+        for line in text.split("\n"):
+            if _PLAIN.fullmatch(line):
+                found += map(self._runs.__getitem__, _RUNS.findall(line.lower()))
+            else:
+                found += map(self._words.__getitem__, line.encode("utf-8").split())
+        return b"".join(found)
+
+
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of a Python worker, kept from task to task: its tables are of bounded size, and
+    filling them anew is most of a short task."""
+    return WordEncoder(path)
 
 
 def _folder(uri: str) -> tuple[fs.FileSystem, str]:
@@ -111,7 +154,7 @@ def write_tokens(
 
     def work(batches: Iterator[pa.RecordBatch]):
         files, path = _folder(folder)
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         written: list[tuple] = []
         ids: list[bytes] = []
         doc_ids: list[int | None] = []

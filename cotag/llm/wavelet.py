@@ -188,16 +188,15 @@ class WaveletFile:
             yield place
 
     def all(self) -> np.ndarray:
-        """All ids in order, plane by plane."""
+        """All ids in order: the planes' partitions are undone from the last to the first."""
         n = len(self)
         values = np.zeros(n, np.uint32)
-        at = np.arange(n)
-        for level in range(self.height):
+        for level in range(self.height - 1, -1, -1):
             packed = b"".join(map(self._section, self.header["planes"][level]))
             bits = np.unpackbits(np.frombuffer(packed, np.uint8), count=n, bitorder="little")
-            ones = np.zeros(n + 1, np.int64)
-            np.cumsum(bits, out=ones[1:])
-            own, before = bits[at], ones[at]
-            values = values << np.uint32(1) | own
-            at = np.where(own, self._zeros[level] + before, at - before)
+            ones = bits.view(bool)
+            before = np.empty(n, np.uint32)
+            before[~ones] = values[: self._zeros[level]]
+            before[ones] = values[self._zeros[level] :] | np.uint32(1 << (self.height - 1 - level))
+            values = before
         return values
