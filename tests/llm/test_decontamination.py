@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import re
+import time
 
 from conftest import plain
 
@@ -8,41 +10,61 @@ from cotag.llm import decontamination as dc
 from cotag.llm.queries import QUERIES
 
 
+def _tokens(text: str, fold_case: bool) -> list[tuple]:
+    """(kind, value, words) of each canonical token, put together word by word."""
+    out: list[list] = []
+    for word in text.split():
+        code = dc.coded(word)
+        kind, core = code & 7, word.strip(dc._EDGES).lower() or word.lower()
+        if fold_case:
+            out.append([0, core, 1])
+        elif kind == dc.NAME and out and out[-1][0] == dc.NAME:
+            out[-1] = [dc.NAME, (*out[-1][1], core), out[-1][2] + 1]
+        elif kind == dc.UNIT and out and out[-1][0] == dc.NUMBER:
+            out[-1] = [dc.MEASURE, (*out[-1][1], core), 2]
+        elif kind == dc.MEASURE:
+            number = re.match(r"[$€£]?[+-]?\d[\d.,:/]*", core)[0]
+            out.append([kind, (number, core[len(number):]), 1])
+        else:
+            out.append([kind, (core,), 1])
+    return [tuple(t) for t in out]
+
+
 def matches_by_hand(text: str, item: str) -> int:
-    """Longest agreeing run, by trying every pair of places and growing it token by token."""
-    a, b = text.split(), item.split()
-    ca, cb = ([dc.coded(w) for w in x] for x in (a, b))
-    width = dc.WINDOW
-    if min(len(a), len(b)) < width and len(b) >= width:
+    """Words of the longest agreeing run, by trying every pair of places and growing it token by
+    token, in both readings."""
+    return max(_matches(_tokens(text, fold), _tokens(item, fold)) for fold in (False, True))
+
+
+def _matches(a: list[tuple], b: list[tuple]) -> int:
+    size = min(dc.WINDOW, len(b))
+    if not size or len(a) < size:
         return 0
 
-    def windows(codes):
-        size = min(width, len(codes))
+    def windows(tokens):
         out = []
-        for i in range(len(codes) - size + 1):
-            part = codes[i : i + size]
-            poor = sum(c & 7 == 0 for c in part) < dc.LEAST_PLAIN
-            out.append(tuple(c if poor or not c & 7 else c & 7 for c in part) + (poor,))
+        for i in range(len(tokens) - size + 1):
+            part = tokens[i : i + size]
+            poor = sum(kind == 0 for kind, *_ in part) < dc.LEAST_PLAIN
+            out.append(tuple((k, v) if poor or not k else k for k, v, _ in part) + (poor,))
         return out
 
-    wa, wb, best = windows(ca), windows(cb), 0
-    size = min(width, len(b))
+    wa, wb, best = windows(a), windows(b), 0
     for i in range(len(wa)):
         for j in range(len(wb)):
-            if wa[i] != wb[j]:
-                continue
             end = 0
             while i + end < len(wa) and j + end < len(wb) and wa[i + end] == wb[j + end]:
                 end += 1
+            if not end:
+                continue
             pairs: list = []
             for k in range(end + size - 1):
-                x, y = ca[i + k], cb[j + k]
-                x, y = (x, y) if x & 7 else (0, 0)
+                x, y = ((t[0], t[1]) if t[0] else None for t in (a[i + k], b[j + k]))
                 if x and any(p and (p == x) != (q == y) for p, q in pairs):
                     break
                 pairs.append((x, y))
             if len(pairs) >= size:
-                best = max(best, len(pairs))
+                best = max(best, sum(t[2] for t in b[j : j + len(pairs)]))
     return best
 
 
@@ -65,11 +87,45 @@ def test_reparameterised_questions(make_docs, spark):
     assert got[1, 0] == got[2, 0] == got[10, 0] == got[None, 0] == size
     assert got[3, 0] == size - 2  # up to the slot that clashes
     assert got[7, 1] == 9
+    assert got[8, 0] == size  # a copy in capitals
     assert not {4, 5, 6, 9} & {i for i, _ in got}
     kept = dc.decontaminate(docs, bench)
     assert kept.columns == docs.columns
-    gone = {i for i, _ in got}
-    assert {r["doc_id"] for r in kept.collect()} == {4, 5, 6, 8, 9, None} - (gone - {None})
+    assert {r["doc_id"] for r in kept.collect()} == {4, 5, 6, 9}  # the row without an id goes too
+
+
+def test_copies_in_any_case_and_with_values_of_other_lengths(make_docs, spark):
+    item = ("A train leaves Paris for Berlin at 5 km per hour and Mary pays 20 dollars for it, so what "
+            "does the trip cost when it takes 3 hours more?")
+    bench = spark.createDataFrame([(0, item)], "item_id long, text string")
+    swapped = item.replace("Paris", "New York City").replace("5 km", "5km").replace("Mary", "John Smith")
+    mixed = swapped.replace("20 dollars", "35kg").replace("Berlin", "San Marino")
+    clash = mixed.replace("3 hours", "35 kg")
+    texts = [item.lower(), item.upper(), f"we read: {swapped}", f"and {mixed} too", f"and {clash} too",
+             item.title()]
+    found = dc.find_contamination(make_docs(list(enumerate(texts))), bench)
+    got = {r["doc_id"]: r["matched_tokens"] for r in found.collect()}
+    assert got == {i: matches_by_hand(t, item) for i, t in enumerate(texts)}
+    size = len(item.split())
+    assert [got[i] for i in (0, 1, 2, 3, 5)] == [size] * 5
+    assert 13 <= got[4] < size  # one value can't stand for two
+
+
+def test_rows_are_judged_by_their_own_text(make_docs, spark):
+    bench = spark.createDataFrame([(0, ITEM)], "item_id long, text string")
+    rows = [(None, f"{i} {ITEM}") if i % 3 else (None, f"clean text {i}") for i in range(30)]
+    rows += [(1, ITEM), (1, "clean under the same id"), (2, "clean")]
+    kept = dc.decontaminate(make_docs(rows), bench).collect()
+    assert sorted(r["text"] for r in kept) == sorted(t for _, t in rows if "Anna" not in t)
+
+
+def test_agreement_is_linear():
+    n = 100_000
+    rows = [{"position": i, "slots": [i % 977 * 8 + 1, 0], "theirs": [i % 977 * 8 + 9, 0],
+             "words": [i, i + 1, i + 2], "their_words": [i, i + 1, i + 2]} for i in range(n)]
+    start = time.process_time()
+    assert dc.longest_agreeing(rows, 2) == (n + 1, 0)
+    assert time.process_time() - start < 5
 
 
 def test_against_brute_force(make_docs, spark):
