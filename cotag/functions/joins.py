@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
@@ -37,8 +38,8 @@ class Side:
         return F.broadcast(self.df) if self.fits(broadcast_rows) else self.df.hint("merge")
 
 
-def text_bytes(columns: list[str]) -> Column:
-    """Bytes of text in ``columns`` of a row."""
+def text_bytes(columns: Sequence[str | Column]) -> Column:
+    """Bytes of text or binary values in ``columns`` of a row."""
     sizes = (F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in columns)
     return reduce(add, sizes, F.lit(0).cast("bigint"))
 
@@ -51,10 +52,14 @@ def held(df: DataFrame) -> Side:
     """
     ensure_checkpoints(df.sparkSession)
     kept = df.checkpoint()
-    texts = [f.name for f in df.schema if f.dataType.typeName() == "string"]
+    kinds = {f.name: f.dataType.typeName() for f in df.schema}
+    sized = [c for c, kind in kinds.items() if kind in ("string", "binary")]
+    nested = [
+        F.col(c).cast("string") for c, kind in kinds.items() if kind in ("array", "map", "struct")
+    ]
     size = kept.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(text_bytes(texts)), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(text_bytes([*sized, *nested])), F.lit(0)).alias("bytes"),
     ).first()
     return Side(kept, size["rows"], size["bytes"])
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,6 +69,37 @@ def rank_page(
     return ranked.filter((F.col(name) > offset) & (F.col(name) <= last))
 
 
+def rank_after(
+    df: DataFrame,
+    order: Sequence[tuple[str, bool]],
+    last: Mapping[str, object],
+    limit: int,
+    name: str = "rank",
+) -> DataFrame:
+    """The ``limit`` rows of ``df`` that come after the row ``last``, with their ranks.
+
+    ``order`` gives columns and whether they fall; as in Spark, missing values come first in a
+    rising column and last in a falling one. ``last`` holds the columns of ``order``, which must
+    leave no ties, and its own rank. A page deep in a result thus costs a filter and a top-k like
+    the first one; nothing is sorted as a whole.
+    """
+    if limit < 0:
+        raise ValueError("limit must not be negative")
+    beyond, same = F.lit(False), F.lit(True)
+    for column, falls in order:
+        value = F.lit(last[column]).cast(df.schema[column].dataType)
+        here = F.col(column)
+        if last[column] is None:
+            further = F.lit(False) if falls else here.isNotNull()
+        else:
+            further = F.coalesce(here < value, F.lit(True)) if falls else here > value
+        beyond = beyond | (same & F.coalesce(further, F.lit(False)))
+        same = same & here.eqNullSafe(value)
+    sorting = [F.desc(c) if falls else F.asc(c) for c, falls in order]
+    top = rank_top(df.filter(beyond), sorting, limit, name)
+    return top.withColumn(name, F.col(name) + F.lit(last[name]).cast("bigint"))
+
+
 def page_offset(page: int, page_size: int) -> int:
     """Rows before a 1-based page."""
     return (page - 1) * page_size

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cotag.functions.joins import BROADCAST_ROWS, Side, held, keep_matching
+from cotag.functions.ranking import rank_all
 from cotag.functions.text import known_name
 
 
@@ -46,6 +47,67 @@ def selected_accounts(edges: DataFrame, brands: Sequence[str]) -> DataFrame:
     return brand_totals(edges, brands).select("insta_id")
 
 
+def account_numbers(edges: DataFrame) -> DataFrame:
+    """Every account with a number from 1 on, without gaps; a missing id is an account too."""
+    return rank_all(edges.select("insta_id").distinct(), [F.asc("insta_id")], "account_number")
+
+
+def brand_bitmaps(edges: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Per tagged account and bucket of account numbers, the bitmap of its taggers.
+
+    A bucket holds 32,768 numbers, so a group is bounded and its bitmap has 4 kB, whatever the
+    brand. Few brands are read per question, and runs of zero bytes compress well.
+    """
+    numbered = edges.join(
+        numbers.withColumnRenamed("insta_id", "_id"), F.col("insta_id").eqNullSafe(F.col("_id"))
+    )
+    return numbered.groupBy(
+        "tagged_account", F.bitmap_bucket_number("account_number").alias("bucket")
+    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("account_number")).alias("taggers"))
+
+
+def selected_bitmaps(bitmaps: DataFrame, brands: Sequence[str]) -> DataFrame:
+    """Per bucket the accounts that tag all ``brands``: a bitwise AND of their bitmaps, in place
+    of a grouping of all edges of the brands by account."""
+    wanted = require_brands(brands)
+    return (
+        bitmaps.filter(F.col("tagged_account").isin(wanted))
+        .groupBy("bucket")
+        .agg(F.count("tagged_account").alias("_brands"), F.bitmap_and_agg("taggers").alias("taggers"))
+        .filter(F.col("_brands") == len(wanted))
+        .select("bucket", "taggers")
+    )
+
+
+def selected_size(bitmaps: DataFrame, brands: Sequence[str]) -> DataFrame:
+    """How many accounts tag all ``brands``, from bitmaps alone."""
+    chosen = selected_bitmaps(bitmaps, brands)
+    return chosen.agg(
+        F.coalesce(F.sum(F.bitmap_count("taggers")), F.lit(0)).alias("total")
+    )
+
+
+def selected_by_bitmaps(
+    bitmaps: DataFrame, numbers: DataFrame, brands: Sequence[str]
+) -> DataFrame:
+    """:func:`selected_accounts` from bitmaps; only the ids of the chosen numbers are looked up."""
+    byte = F.conv(F.hex(F.substring("taggers", F.col("_at") + F.lit(1), F.lit(1))), 16, 10).cast("int")
+    places = F.sequence(F.lit(0), F.length("taggers") - F.lit(1))
+    bits = F.array(*(F.lit(i) for i in range(8)))
+    chosen = (
+        selected_bitmaps(bitmaps, brands)
+        .select("bucket", "taggers", F.explode(places).alias("_at"))
+        .select("bucket", "_at", byte.alias("_byte"))
+        .filter("_byte > 0")
+        .select("bucket", "_at", "_byte", F.explode(bits).alias("_bit"))
+        .filter("getbit(_byte, _bit) = 1")
+        .select(((F.col("bucket") - 1) * 32768 + F.col("_at") * 8 + F.col("_bit") + 1)
+                .cast("bigint").alias("account_number"))
+    )
+    ids = held(chosen)
+    return numbers.join(ids.prepared(), "account_number", "left_semi").select("insta_id")
+
+
 class Audience:
     """One selection, computed once and shared by the figures, lists and rankings over it.
 

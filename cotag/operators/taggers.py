@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cotag.functions.joins import Side, held, keep_matching
 from cotag.functions.layout import of_account
-from cotag.functions.ranking import page_offset, rank_page, rank_top
+from cotag.functions.ranking import page_offset, rank_after, rank_page, rank_top
 from cotag.functions.sections import list_section, object_section
 from cotag.functions.text import known_name
 from cotag.operators.audience import Audience, require_brands
@@ -66,11 +66,12 @@ def top_tagger(audience: Audience) -> DataFrame:
     )
 
 
-_LIST_ORDER = (F.desc, "tag_count"), (F.desc, "latest_tag_date"), (F.asc, "insta_id")
+#: Columns that a list is ordered by, and whether they fall.
+_LIST_ORDER = ("tag_count", True), ("latest_tag_date", True), ("insta_id", False)
 
 
 def _list_order() -> list[Column]:
-    return [direction(column) for direction, column in _LIST_ORDER]
+    return [F.desc(column) if falls else F.asc(column) for column, falls in _LIST_ORDER]
 
 
 def _with_other_brands(
@@ -107,6 +108,12 @@ def _listed(audience: Audience) -> DataFrame:
 _LISTED = ("insta_id", "insta_name", "tag_count", "latest_tag_date", "other_brand_count")
 
 
+def _shown(audience: Audience, cross_brand: DataFrame | None) -> DataFrame:
+    rows = _with_other_brands(audience, _listed(audience), cross_brand, audience.size)
+    shown = F.col("tag_count") * F.greatest(F.col("other_brand_count"), F.lit(1))
+    return rows.withColumn("tag_count", shown).select(*_LISTED)
+
+
 def tagger_list(
     audience: Audience,
     limit: int = PAGE_SIZE,
@@ -120,10 +127,21 @@ def tagger_list(
     before it sums. :func:`tagger_list_exact` does not. With the ``cross_brand`` mart no edge is
     read again.
     """
-    rows = _with_other_brands(audience, _listed(audience), cross_brand, audience.size)
-    shown = F.col("tag_count") * F.greatest(F.col("other_brand_count"), F.lit(1))
-    ranked = rows.withColumn("tag_count", shown).select(*_LISTED)
-    return rank_page(ranked, _list_order(), limit, offset)
+    return rank_page(_shown(audience, cross_brand), _list_order(), limit, offset)
+
+
+def tagger_list_after(
+    audience: Audience,
+    last: Mapping[str, object],
+    limit: int = PAGE_SIZE,
+    cross_brand: DataFrame | None = None,
+) -> DataFrame:
+    """The page of :func:`tagger_list` that follows the row ``last`` of the page before.
+
+    ``last`` has that row's rank, tag count, day and id. However deep the page lies, it is a
+    filtered top-k.
+    """
+    return rank_after(_shown(audience, cross_brand), _LIST_ORDER, last, limit)
 
 
 def tagger_list_exact(

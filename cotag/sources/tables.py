@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,15 +136,25 @@ def known_brands(wanted: DataFrame, brands: DataFrame) -> DataFrame:
     return wanted.join(brands.select("instagram_id"), "instagram_id", "left_semi")
 
 
+class NotAQuery(ValueError):
+    """SQL text that is not one query, and so was not run."""
+
+
 def run_sql(
     spark: SparkSession,
     sql: str,
     params: Mapping[str, object] | None = None,
     **tables: DataFrame,
 ) -> DataFrame:
-    """A query with bound ``:name`` parameters, column names in upper case.
+    """A read-only query with bound ``:name`` parameters, column names in upper case.
 
-    Tables given by keyword are named ``{like_this}`` in the text.
+    Tables given by keyword are named ``{like_this}`` in the text. The text is parsed as a relation
+    in parentheses, where Spark's grammar has room for a query and nothing else: commands, writes,
+    definitions, settings and several statements raise :class:`NotAQuery`, and none of them runs.
     """
-    result = spark.sql(sql, args=dict(params or {}), **tables)
+    text = sql.strip().removesuffix(";")
+    try:
+        result = spark.sql(f"SELECT * FROM (\n{text}\n)", args=dict(params or {}), **tables)
+    except ParseException as error:
+        raise NotAQuery(f"not one query that only reads: {sql.strip()[:200]}") from error
     return result.toDF(*(c.upper() for c in result.columns))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cotag.functions.labels import utc_instant
+from cotag.operators.audience import account_numbers, brand_bitmaps
 from cotag.operators.marts import (
     account_tagged, cross_brand_accounts, recent_posts, tagger_months,
 )
@@ -197,7 +198,7 @@ select page_id,
          case when page_id % 6 = 0 then '' else concat('<time datetime="2024-03-0', page_id % 9 + 1,
               'T10:00:00Z">x</time><time datetime="2020-01-01">y</time>') end,
          '<img src="1.jpg" alt="Photo by A with @b', page_id % 7, '"><img alt=''x''>',
-         '</main><p>', left(html, 200), '</p></body></html>') as html
+         '</main><p>', html, '</p></body></html>') as html
 from {pages}
 """
 
@@ -281,6 +282,14 @@ class Fixture:
         return self._once("cross_brand", lambda path: write_mart(
             cross_brand_accounts(self.edges()), path))
 
+    def account_numbers(self) -> DataFrame:
+        return self._once("account_numbers", lambda path: write_mart(
+            account_numbers(self.edges()), path, "account_number"))
+
+    def bitmaps(self) -> DataFrame:
+        return self._once("bitmaps", lambda path: write_mart(
+            brand_bitmaps(self.edges(), self.account_numbers()), path, "tagged_account", "bucket"))
+
     def edges_by_account(self) -> DataFrame:
         return self._once("edges_by_account", lambda path: write_by_account(self.edges(), path))
 

@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from cotag.functions import labels, ranking
 from cotag.functions.text import clean_account
 from cotag.operators import co_brands, extract, freshness, ingest, marts, quality, stage, taggers
+from cotag.operators import audience
 from cotag.operators.audience import Audience, selected_accounts
 from cotag.plans.load import load_batch
 from cotag.plans.rebuild import Marts, expectations, stage_view
@@ -632,6 +633,18 @@ _add(
     "select insta_id from chosen",
     ("chosen",),
 )
+_add(
+    "selected_by_bitmaps",
+    lambda f: audience.selected_by_bitmaps(f.bitmaps(), f.account_numbers(), fx.BRANDS),
+    "select insta_id from chosen",
+    ("chosen",),
+)
+_add(
+    "selected_size",
+    lambda f: audience.selected_size(f.bitmaps(), fx.BRANDS),
+    "select count(*) as total from chosen",
+    ("chosen",),
+)
 _KPI = """
 select count(*) as total_accounts, round(coalesce(avg(tag_count), 0), 1) as avg_tag_count,
        first(insta_id order by tag_count desc, insta_id) as top_tagger_id,
@@ -654,6 +667,21 @@ _add(
     ("listed",),
     ("latest_tag_date",),
 )
+
+
+def _second_page(f: Fixture) -> DataFrame:
+    chosen, cross_brand = _audience(f), f.cross_brand()
+    first = taggers.tagger_list(chosen, 20, 0, cross_brand).orderBy(F.desc("rank")).first()
+    return taggers.tagger_list_after(chosen, first.asDict(), 20, cross_brand)
+
+
+_add(
+    "tagger_list_after",
+    _second_page,
+    "select * from listed where rank between 21 and 40",
+    ("listed",),
+    ("latest_tag_date",),
+)
 _add(
     "tagger_list_exact",
     lambda f: taggers.tagger_list_exact(_audience(f), 20, 20, f.cross_brand()),

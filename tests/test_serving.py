@@ -9,15 +9,17 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from cotag.functions import labels
+from cotag.functions import labels, ranking
 from cotag.functions.joins import held, keep_matching
 from cotag.functions.ranking import page_count, page_offset, rank_all, rank_page
 from cotag.operators import co_brands, marts, quality, taggers
-from cotag.operators.audience import Audience, selected_accounts
+from cotag.operators.audience import (
+    Audience, account_numbers, brand_bitmaps, selected_accounts, selected_by_bitmaps, selected_size,
+)
 from cotag.operators.freshness import freshness
 from cotag.plans.rebuild import ExpectationError, Marts, expectations, require
 from cotag.schemas import ACCOUNT_TAGGED, POSTS
-from cotag.sources.tables import brand_search, run_sql
+from cotag.sources.tables import NotAQuery, brand_search, run_sql
 from cotag.operators.stage import tagged_post_rows
 
 D1, D2 = date(2024, 1, 1), date(2024, 2, 1)
@@ -273,6 +275,66 @@ def test_run_sql_binds_and_upper_cases(spark):
     assert got.count() == 11
 
 
+@pytest.mark.parametrize("sql", [
+    "create view v as select 1", "create or replace temp view v as select 1", "drop table t",
+    "create table t as select 1 as a", "insert into {e} select 1", "insert overwrite t values (1)",
+    "delete from t", "update t set a = 1", "truncate table t", "alter table t add column b int",
+    "set spark.sql.shuffle.partitions = 3", "reset spark.sql.shuffle.partitions", "cache table t", "refresh table t",
+    "add jar 'x.jar'", "load data inpath 'x' into table t", "merge into t using s on t.a = s.a "
+    "when matched then delete", "from {e} insert into t select *", "analyze table t compute statistics",
+    "select 1; drop table t", "select 1) drop table t --", "with a as (select 1) insert into t select * "
+    "from a", "", "declare x int", "begin select 1; end", "explain select 1",
+])
+def test_run_sql_only_reads(spark, sql):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    tables = {"e": edges_of(spark)} if "{e}" in sql else {}
+    with pytest.raises(NotAQuery):
+        run_sql(spark, sql, **tables)
+    assert not [t.name for t in spark.catalog.listTables() if t.name == "v"]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_run_sql_takes_all_kinds_of_queries(spark):
+    rows = [tuple(r) for r in run_sql(spark, "with a as (select 2 as x union all select 1) "
+                                              "select x, x as y from a order by x -- last").collect()]
+    assert rows == [(1, 1), (2, 2)]
+    assert run_sql(spark, "values (1), (2);").columns == ["COL1"]
+
+
+def test_pages_after_a_row_equal_pages_by_offset(spark):
+    rng = random.Random(4)
+    rows = [(rng.randint(1, 3), rng.choice([None, D1, D2]), rng.choice([f"u{i}", f"v{i}"]))
+            for i in range(60)] + [(1, None, None)]
+    df = spark.createDataFrame(rows, "n long, d date, id string")
+    order = [("n", True), ("d", True), ("id", False)]
+    sorting = [F.desc("n"), F.desc("d"), F.asc("id")]
+    whole = ranking.rank_page(df, sorting, 100).orderBy("rank").collect()
+    for at in (0, 1, 17, 40, 59, 60):
+        page = ranking.rank_after(df, order, whole[at].asDict(), 7)
+        assert page.orderBy("rank").collect() == whole[at + 1 : at + 8]
+    up = [("d", False), ("id", False)]
+    rising = ranking.rank_page(df, [F.asc("d"), F.asc("id")], 100).orderBy("rank").collect()
+    for at in (0, 5, 30):
+        page = ranking.rank_after(df, up, rising[at].asDict(), 5)
+        assert page.orderBy("rank").collect() == rising[at + 1 : at + 6]
+    plan = ranking.rank_after(df, order, whole[40].asDict(), 7)._jdf.queryExecution().toString()
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("brands", [["x"], ["x", "y"], ["x", "x"], ["nobody"], ["x", "nobody"]])
+def test_bitmaps_select_the_same_accounts(spark, brands):
+    pairs = [(None, "x")] + [(f"u{i}", b) for i in range(70_000) for b, k in (("x", 2), ("y", 3))
+                             if i % k == 0]
+    edges = spark.createDataFrame(pairs, "insta_id string, tagged_account string").selectExpr(
+        "*", "'n' as insta_name", "1L as tagged_post_count", "date '2024-01-01' as last_tagged_date")
+    numbers = account_numbers(edges)
+    bitmaps = brand_bitmaps(edges, numbers)
+    want = {r[0] for r in selected_accounts(edges, brands).collect()}
+    got = [r[0] for r in selected_by_bitmaps(bitmaps, numbers, brands).collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert selected_size(bitmaps, brands).first()[0] == len(want)
+
+
 def test_brand_search(spark):
     df = spark.createDataFrame([("Abc",), ("xbC",), ("d",)], "instagram_id string")
     assert {r[0] for r in brand_search(df, "BC").collect()} == {"Abc", "xbC"}
