@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cotag.session import ensure_checkpoints
@@ -24,6 +24,7 @@ class Side:
     df: DataFrame
     rows: int
     text_bytes: int
+    metrics: dict[str, object] = field(default_factory=dict)
 
     def fits(self, broadcast_rows: int = BROADCAST_ROWS) -> bool:
         return self.rows <= broadcast_rows and self.text_bytes <= BROADCAST_BYTES
@@ -44,24 +45,29 @@ def text_bytes(columns: Sequence[str | Column]) -> Column:
     return reduce(add, sizes, F.lit(0).cast("bigint"))
 
 
-def held(df: DataFrame) -> Side:
+def held(df: DataFrame, **metrics: Column) -> Side:
     """``df`` in a checkpoint, with its size.
 
     For lists whose size decides a join. The checkpoint lies in the shared folder, so the list is
-    computed once, survives the loss of executors and holds no memory.
+    computed once, survives the loss of executors and holds no memory. Its rows and bytes, and the
+    aggregates ``metrics`` if any are wanted, are observed while it is written: nothing is scanned
+    again for them.
     """
     ensure_checkpoints(df.sparkSession)
-    kept = df.checkpoint()
     kinds = {f.name: f.dataType.typeName() for f in df.schema}
     sized = [c for c, kind in kinds.items() if kind in ("string", "binary")]
     nested = [
         F.col(c).cast("string") for c, kind in kinds.items() if kind in ("array", "map", "struct")
     ]
-    size = kept.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(text_bytes([*sized, *nested])), F.lit(0)).alias("bytes"),
-    ).first()
-    return Side(kept, size["rows"], size["bytes"])
+    size = Observation()
+    kept = df.observe(
+        size,
+        F.count(F.lit(1)).alias("_rows"),
+        F.coalesce(F.sum(text_bytes([*sized, *nested])), F.lit(0)).alias("_bytes"),
+        *(metric.alias(name) for name, metric in metrics.items()),
+    ).checkpoint()
+    found = size.get
+    return Side(kept, found["_rows"], found["_bytes"], {name: found[name] for name in metrics})
 
 
 def keep_matching(

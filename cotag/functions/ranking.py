@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cotag.functions.joins import held
 from cotag.session import ensure_checkpoints
 
 #: Pages that end within this row are cut from a top-k; deeper ones use the ranked table.
@@ -41,6 +42,36 @@ def rank_all(df: DataFrame, order: Sequence[Column], name: str = "rank") -> Data
     ).select(rank.alias(name), *df.columns)
 
 
+def rank_within(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank"
+) -> DataFrame:
+    """Number the rows of each value of ``keys`` from 1 in ``order``, which must leave no ties.
+
+    A window would sort all rows of a key in one task. Here rows are range sorted by keys and order,
+    so a large key spans tasks; one row per key and sort partition then says where it starts.
+    """
+    ensure_checkpoints(df.sparkSession)
+    placed = (
+        df.orderBy(*keys, *order).withColumn("_place", F.monotonically_increasing_id())
+        .withColumn("_partition", F.shiftright("_place", _PARTITION_SHIFT)).checkpoint()
+    )
+    pieces = placed.groupBy("_partition", *keys).agg(
+        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows")
+    )
+    before = Window.partitionBy(*keys).orderBy("_partition").rowsBetween(
+        Window.unboundedPreceding, -1)
+    starts = held(pieces.select(
+        F.col("_partition").alias("_p"), *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)),
+        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+    ))
+    same = F.col("_partition") == F.col("_p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return placed.join(starts.prepared(), same).select(
+        *df.columns, (F.col("_place") + F.col("_shift")).alias(name)
+    )
+
+
 def rank_top(
     df: DataFrame, order: Sequence[Column], rows: int, name: str = "rank"
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cotag.functions.joins import BROADCAST_ROWS, drop_matching, held, keep_matching
+from cotag.functions.ranking import rank_within
 from cotag.functions.text import strip
 from cotag.schemas import BATCH_COLUMNS, UNKNOWN
 
@@ -27,17 +28,40 @@ OWNER_IN_DESCRIPTION = (
 )
 NAME_IN_TITLE = rf"(?i)^([^\n]*?){_SPACE}+on Instagram:"
 DATE_IN_DESCRIPTION = r"([A-Z][a-z]+ \d{1,2}, \d{4})"
-NOT_SHOWN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-ANCHOR_HREF = r"""(?i)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# The tokens of a page, as browsers cut it: comments, elements whose content is text, tags with their
+# attributes, other markup. Pages may be cut anywhere: a page that ends inside of a tag still shows the
+# attributes that are whole, and a comment or text element without an end hides nothing. No
+# quantifier of a group gives anything back, so long pages cost neither time nor stack.
+_VALUE = r"""(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^\s>"'][^\s>]*+)"""
+_NAME = r"[^\s/>][^\s/>=]*+"
+_ATTRIBUTES = rf"(?:[\s/]++|{_NAME}(?:\s*+=\s*+{_VALUE}?+)?+)*+"
+_TEXT_ELEMENTS = "script|style|textarea|title|iframe|noscript|noembed|noframes|xmp"
+TOKEN = (
+    r"(?is)<!--(?:-?>|.*?--!?>|)"
+    rf"|<({_TEXT_ELEMENTS})(?=[\s/>]){_ATTRIBUTES}>.*?</\1(?=[\s/>])"
+    rf"|<[a-z][^\s/>]*+{_ATTRIBUTES}(?:>|\z)"
+    r"|<[!?/][^>]*+(?:>|\z)"
+)
+
+
+def _attribute_pattern(name: str) -> str:
+    """The first attribute of this name in a tag, its value as the first group."""
+    other = rf"(?!{name}\s*+=){_NAME}(?:\s*+=\s*+{_VALUE}?+)?+"
+    whole = r"""("[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+    return rf"(?is)^<[a-z][^\s/>]*+(?:[\s/]++|{other})*+{name}\s*+=\s*+{whole}"
+
+
 # Character references that occur in link targets; the ampersand comes last.
 REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
-_ZONE = r"(?:Z|[+-]\d{2}(?::?\d{2})?)?"
-ISO_EXTENDED = rf"^\d{{4}}-\d{{2}}-\d{{2}}(?:[T ]\d{{2}}(?::\d{{2}}(?::\d{{2}}(?:[.,]\d+)?)?)?{_ZONE})?$"
-ISO_BASIC = rf"^\d{{8}}(?:[T ]\d{{2}}(?:\d{{2}}(?:\d{{2}}(?:[.,]\d+)?)?)?{_ZONE})?$"
-ISO_PARTS = (
-    r"^(\d{4})-?(\d{2})-?(\d{2})(?:[T ](\d{2}):?(\d{2})?:?(\d{2})?(?:[.,]\d+)?"
-    r"(?:(Z)|([+-]\d{2}):?(\d{2})?)?)?$"
+_ZONE = r"(Z|[+-]\d{2}(?::?\d{2})?)?"
+_FRACTION = r"(?:[.,]\d+)?"
+ISO_TEXT = (
+    rf"^(?:(\d{{4}})-(\d{{2}})-(\d{{2}})(?:[T ](\d{{2}})(?::(\d{{2}})(?::(\d{{2}}){_FRACTION})?)?{_ZONE})?"
+    rf"|(\d{{4}})(\d{{2}})(\d{{2}})(?:[T ](\d{{2}})(?:(\d{{2}})(?:(\d{{2}}){_FRACTION})?)?{_ZONE})?)$"
 )
+# In front of what fits; then day, clock and zone, of which only one alternative's groups are filled.
+_FITS = "\x01"
+ISO_LAYOUT = _FITS + "$1$8-$2$9-$3$10 $4$11:$5$12:$6$13 $7$14"
 TRAILING_MARKS = ".,!?:;"
 CAPTION_STARTS = ("Photo by ", "Photo shared by ")
 SITE = "https://www.instagram.com"
@@ -101,15 +125,25 @@ OFF_DAY = "off_day"
 # ---- fields of one page ------------------------------------------------------------------
 
 
+def _tokens(html: Column) -> Column:
+    """Comments, text elements, tags and other markup of a page, in order."""
+    return F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0))
+
+
+def _is_tag(token: Column, name: str) -> Column:
+    """Whether a token is a start tag (or text element) of this kind."""
+    return token.rlike(rf"(?is)^<{name}[\s/>]")
+
+
 def page_links(html: Column, contains: str = "/p/") -> Column:
     """Link targets of a grid page: cut at ``?``, no comment links, first occurrence only.
 
-    Tags and attributes are found in either case, with or without quotes; HTML comments and
-    scripts hold no links.
+    The page is cut into tokens as a browser does it: tags and attributes in either case, with or
+    without quotes, quoted values with any signs in them; HTML comments, scripts and other elements
+    of plain text hold no links.
     """
-    shown = F.regexp_replace(html, NOT_SHOWN, "")
-    found = F.regexp_extract_all(shown, F.lit(ANCHOR_HREF), 1)
-    hrefs = F.transform(found, lambda q: _decoded(_unquoted(q)))
+    anchors = F.filter(_tokens(html), lambda t: _is_tag(t, "a"))
+    hrefs = F.transform(anchors, lambda t: _attribute(t, "href"))
     plain = F.transform(
         F.filter(hrefs, lambda h: h.contains(contains)),
         lambda h: F.split_part(h, F.lit("?"), F.lit(1)),
@@ -185,39 +219,43 @@ def image_src(og_image: Column, images: Column) -> Column:
 # ---- fields from the HTML of a page -------------------------------------------------------
 
 
-def _tags(html: Column, name: str) -> Column:
-    """The start tags of one kind, in order."""
-    return F.regexp_extract_all(html, F.lit(rf"(?i)<{name}\b[^>]*>"), F.lit(0))
-
-
 def _attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of a tag's text, decoded; empty if it has none."""
-    pattern = rf"""(?i)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    return _decoded(_unquoted(F.regexp_extract(tag, pattern, 1)))
+    return _decoded(_unquoted(F.regexp_extract(tag, _attribute_pattern(name), 1)))
 
 
-def _meta(html: Column, attribute: str, value: str) -> Column:
+def _meta(tokens: Column, attribute: str, value: str) -> Column:
     """``content`` of the first meta tag with this attribute; empty if there is none."""
-    matching = F.filter(_tags(html, "meta"), lambda t: _attribute(t, attribute) == value)
-    found = F.try_element_at(matching, F.lit(1))
-    return F.coalesce(_attribute(found, "content"), F.lit(""))
+    matching = F.filter(
+        tokens, lambda t: _is_tag(t, "meta") & (_attribute(t, attribute) == value)
+    )
+    return F.coalesce(_attribute(F.try_element_at(matching, F.lit(1)), "content"), F.lit(""))
+
+
+def _inside(tokens: Column, name: str) -> Column:
+    """The tokens between the first start tag of this kind and its end tag, if there is one."""
+    opening = F.array_position(F.transform(tokens, lambda t: _is_tag(t, name)), F.lit(True))
+    rest = F.slice(tokens, opening.cast("int") + 1, F.size(tokens))
+    closing = F.array_position(
+        F.transform(rest, lambda t: t.rlike(rf"(?i)^</{name}[\s/>]")), F.lit(True)
+    )
+    length = F.when(closing > 0, closing.cast("int") - 1).otherwise(F.size(tokens))
+    return F.when(opening > 0, F.slice(rest, F.lit(1), length)).otherwise(F.array().cast("array<string>"))
 
 
 def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
     """``meta_title, meta_desc, og_image, time_iso, images`` of detail pages, in place of ``html``.
 
-    The description falls back to the plain one. Images are those inside ``main``; the time is
-    that of the first ``time`` tag, NULL without one. A missing page has empty fields.
+    Each page is cut into tokens once. The description falls back to the plain one. Images are
+    those inside ``main``; the time is that of the first ``time`` tag, NULL without one. A missing
+    page has empty fields.
     """
-    shown = pages.withColumn(
-        "_shown", F.regexp_replace(F.coalesce(html, F.lit("")), NOT_SHOWN, "")
-    )
-    page = F.col("_shown")
+    shown = pages.withColumn("_tokens", _tokens(F.coalesce(html, F.lit(""))))
+    page = F.col("_tokens")
     described = F.nullif(_meta(page, "property", "og:description"), F.lit(""))
-    main = F.regexp_extract(page, r"(?is)<main\b[^>]*>(.*?)</main\s*>", 1)
-    first_time = F.try_element_at(_tags(page, "time"), F.lit(1))
+    first_time = F.try_element_at(F.filter(page, lambda t: _is_tag(t, "time")), F.lit(1))
     images = F.transform(
-        _tags(main, "img"),
+        F.filter(_inside(page, "main"), lambda t: _is_tag(t, "img")),
         lambda t: F.struct(_attribute(t, "alt").alias("alt"), _attribute(t, "src").alias("src")),
     )
     return shown.withColumns(
@@ -228,23 +266,22 @@ def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
             "time_iso": F.nullif(_attribute(first_time, "datetime"), F.lit("")),
             "images": images,
         }
-    ).drop("_shown", html)
+    ).drop("_tokens", html)
 
 
 def grid_positions(snapshots: DataFrame, keys: tuple[str, ...] = ("brand_id",)) -> DataFrame:
     """Links of a grid in the order they are first seen: (keys, grid_pos from 1, href).
 
     ``snapshots`` has ``keys`` (a brand, or a brand and its run), ``scroll`` and ``html``. A link seen
-    in an earlier scroll, or earlier on the same page, is not repeated.
+    in an earlier scroll, or earlier on the same page, is not repeated. A grid of any length is
+    numbered by a range sort, not in one task.
     """
     links = snapshots.select(
         *keys, "scroll", F.posexplode(page_links(F.col("html"))).alias("_pos", "href")
     )
     first = links.groupBy(*keys, "href").agg(F.min(F.struct("scroll", "_pos")).alias("_at"))
-    order = Window.partitionBy(*keys).orderBy("_at")
-    return first.select(
-        *keys, F.row_number().over(order).cast("bigint").alias("grid_pos"), "href"
-    )
+    ranked = rank_within(first, keys, [F.asc("_at"), F.asc("href")], "grid_pos")
+    return ranked.select(*keys, "grid_pos", "href")
 
 
 # ---- days --------------------------------------------------------------------------------
@@ -282,21 +319,21 @@ def _description_date(meta_desc: Column) -> Column:
 def iso_instant(text: Column) -> Column:
     """An ISO 8601 date or date and time, extended or basic, as an instant; NULL for other texts.
 
+    One pattern puts the parts of a text that fits into one layout, and nothing else is searched.
     A text without a zone is read as UTC, so neither the session's zone nor its day counts.
     """
-
-    def part(group: int, missing: str) -> Column:
-        found = F.regexp_extract(text, ISO_PARTS, group)
-        return F.when(found == "", F.lit(missing)).otherwise(found)
-
-    day = F.concat_ws("-", part(1, ""), part(2, ""), part(3, ""))
-    clock = F.concat_ws(":", part(4, "00"), part(5, "00"), part(6, "00"))
-    shift = F.concat_ws(":", part(8, ""), part(9, "00"))
-    zone = F.when(F.regexp_extract(text, ISO_PARTS, 8) != "", shift).otherwise(F.lit("Z"))
-    return F.when(
-        text.rlike(ISO_EXTENDED) | text.rlike(ISO_BASIC),
-        F.try_to_timestamp(F.concat(day, F.lit("T"), clock, zone)),
+    found = F.regexp_replace(text, ISO_TEXT, ISO_LAYOUT)
+    parts = F.split(F.substring(found, len(_FITS) + 1, 2**31 - 1), " ")
+    clock = F.split(parts[1], ":")
+    zone = parts[2]
+    hour, minute, second = (F.coalesce(F.nullif(clock[i], F.lit("")), F.lit("00")) for i in range(3))
+    shift = F.when((zone == "") | (zone == "Z"), F.lit("Z")).otherwise(
+        F.concat(F.left(zone, F.lit(3)), F.lit(":"),
+                 F.when(F.length(zone) > 3, F.right(zone, F.lit(2))).otherwise(F.lit("00")))
     )
+    instant = F.concat(parts[0], F.lit("T"), F.concat_ws(":", hour, minute, second), shift)
+    fits = found.startswith(_FITS) & ~text.startswith(_FITS)
+    return F.when(fits, F.try_to_timestamp(instant))
 
 
 def post_date(time_iso: Column, meta_desc: Column) -> Column:
@@ -326,11 +363,11 @@ def drop_platforms(posts: DataFrame, accounts: tuple[str, ...] = PLATFORM_ACCOUN
 
 
 def business_accounts(profiles: DataFrame) -> DataFrame:
-    """Accounts whose profile text holds a business keyword, each judged once."""
-    text = F.lower("body_text")
-    hit = F.lit(False)
-    for keyword in BUSINESS_KEYWORDS:
-        hit = hit | text.contains(keyword)
+    """Accounts whose profile text holds a business keyword, each judged once.
+
+    All keywords are sought in one pass over a text.
+    """
+    hit = F.lower("body_text").rlike("|".join(rf"\Q{k}\E" for k in BUSINESS_KEYWORDS))
     return (
         profiles.filter(hit & (F.col("insta_id") != UNKNOWN)).select("insta_id").distinct()
     )
@@ -597,6 +634,8 @@ def _collected(
     if filter_business:
         records = drop_platforms(records)
         if profiles is not None:
+            # Held: owners and the kept records both come from the records of this day.
+            records = held(records).df
             judged = profiles_of(records, profiles, broadcast_rows)
             records = drop_business(records, judged, broadcast_rows)
     return records.withColumn("post_date", F.col("post_date").cast("string"))

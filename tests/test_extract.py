@@ -5,10 +5,12 @@ from __future__ import annotations
 import random
 import re
 from datetime import date, datetime, timezone
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
 
+from cotag.functions.joins import held
 from cotag.operators import extract
 
 IMAGES = "array<struct<alt: string, src: string>>"
@@ -38,6 +40,97 @@ def test_page_links_as_a_browser_reads_them(spark):
     assert row["r"] == ["/u/p/1/", "/u/p/2/", "/u/p/5/&b<", "/u/p/6/"]
 
 
+class Anchors(HTMLParser):
+    """Links of a page by Python's own parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.found = []
+
+    def handle_starttag(self, tag, attrs):
+        href = dict(reversed(attrs)).get("href") or ""
+        if tag == "a" and "/p/" in href and "/c/" not in (link := href.split("?")[0]):
+            self.found.append(link)
+
+
+HOSTILE = [
+    '<a title="a>b" href="/u/p/1/">x</a>', "<a title='it is <b>' href='/u/p/2/'>",
+    '<a title="<!--" href="/u/p/3/">x</a> --> <a href="/u/p/4/">',
+    '<a data-x=\'href="/u/p/5/"\' href="/u/p/6/">', '<a href="/u/p/7/"class="k">', '<a/href="/u/p/8/">',
+    '<img alt="> <a href=/u/p/9/>"><a href=/u/p/10/>', '<!-- <a href="/u/p/11/"> --><a href="/u/p/12/">',
+    "<script>if (a<b) s = '<a href=\"/u/p/13/\">'</script ><a href='/u/p/14/'>",
+    '<style>a{} <a href="/u/p/15/"></style><a\n\thref\n=\n"/u/p/16/">', '<abbr href="/u/p/17/"><A HREF="/u/p/18/">',
+    '<a href="/u/p/19/" href="/u/p/20/">', '<a hreflang="x" href="/u/p/21/">', '<a x="1\'2" href="/u/p/22/">',
+    '< a href="/u/p/23/">', '<!DOCTYPE html><a href="/u/p/24/?a>b">', '<a href="/u/p/25/">' * 3,
+    '<a b=c/d e href="/u/p/26/"/>', '<p title=\'"\'><a href="/u/p/27/" t=\'"\'>', "no tags at all", "",
+]
+
+
+def test_links_of_hostile_pages_by_another_parser(spark):
+    rng = random.Random(1)
+    pages = [*HOSTILE, *("".join(rng.choices(HOSTILE, k=4)) for _ in range(60))]
+    df = spark.createDataFrame(list(enumerate(pages)), "n int, html string")
+    got = {r["n"]: r["links"] for r in df.select("n", extract.page_links(F.col("html")).alias("links")).collect()}
+    for n, page in enumerate(pages):
+        parser = Anchors()
+        parser.feed(page)
+        assert got[n] == list(dict.fromkeys(parser.found)), page
+
+
+def test_elements_of_plain_text_hold_no_links(spark):
+    html = '<textarea><a href="/u/p/1/"></textarea><title><a href="/u/p/2/"></title><a href=/u/p/3/>'
+    row = one(spark, html, "string", extract.page_links(F.col("v")).alias("r"))
+    assert row["r"] == ["/u/p/3/"]
+
+
+def test_long_pages_cost_no_stack(spark):
+    pages = [
+        "<a " + "x='1>' " * 50_000 + "href='/u/p/1/'>", "<!--" + "<a href='/u/p/2/'>" * 50_000 + "-->",
+        "<a title=\"" + "y" * 500_000 + "\" href=/u/p/3/>", "<" * 200_000 + "<a href=/u/p/4/>",
+        "<script>" + "</s" * 200_000 + "</script><a href=/u/p/5/>", "<a href=/u/p/6/>" * 50_000,
+    ]
+    df = spark.createDataFrame([(p,) for p in pages], "html string")
+    rows = df.select(extract.page_links(F.col("html")).alias("l")).collect()
+    assert [r["l"] for r in rows] == [["/u/p/1/"], [], ["/u/p/3/"], ["/u/p/4/"], ["/u/p/5/"], ["/u/p/6/"]]
+
+
+def test_one_pattern_for_business_and_for_days(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "Our FASHION designer. (brand"), ("c", "clothing (Brand)")],
+                               "insta_id string, body_text string")
+    found = extract.business_accounts(df)
+    assert {r[0] for r in found.collect()} == {"b", "c"}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1 and "Contains" not in plan
+    plan = df.select(extract.iso_instant(F.col("body_text")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan
+
+
+def test_a_grid_of_any_length_is_numbered_by_a_sort(spark):
+    rows = [(b, s, f'<a href="/u/p/{(n * 7) % 50}/">') for b in ("a", "b") for s in range(30) for n in range(s, s + 9)]
+    rows += [(None, 0, '<a href="/u/p/1/">')]
+    df = spark.createDataFrame(rows, "brand_id string, scroll int, html string").repartition(7)
+    want = {}
+    for b, s, html in sorted(((b, s, h) for b, s, h in rows), key=lambda r: (str(r[0]), r[1])):
+        grid = want.setdefault(b, {})
+        grid.setdefault(html[9:-2], s)
+    got = {}
+    for r in extract.grid_positions(df).collect():
+        got.setdefault(r["brand_id"], {})[r["grid_pos"]] = r["href"]
+    for b, grid in want.items():
+        assert sorted(got[b]) == list(range(1, len(grid) + 1))
+        scrolls = [grid[got[b][n]] for n in sorted(got[b])]
+        assert scrolls == sorted(scrolls)
+
+
+def test_held_is_scanned_once(spark, tmp_path):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("t"), F.array(F.lit("ab")).alias("a"))
+    side = held(df, most=F.max("t"))
+    assert (side.rows, side.metrics) == (1000, {"most": "999"})
+    assert side.text_bytes == sum(len(str(i)) for i in range(1000)) + 4 * 1000  # "[ab]"
+    assert held(df.limit(0)).rows == 0
+    assert held(df.filter("t = 'x'"), n=F.count("t")).metrics == {"n": 0}
+
+
 def expected_mentions(images):
     """Python's own reading of the rule."""
     tags = []
