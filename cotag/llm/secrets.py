@@ -2,14 +2,19 @@
 
 Strong parts are found by their form alone. Weak ones (an account name, a key-like word, an
 address) say little alone. They are reported only where, within a scope of ``SCOPE`` characters,
-complementary parts occur: an interval join of the identifiers, secrets and endpoints of a text.
+complementary parts occur: an interval join of the identifiers, secrets and endpoints of a text. An
+identifier and a secret complete each other; an endpoint needs both, so a link near a hash stays.
 """
 
 from __future__ import annotations
 
 import bisect
 import hashlib
+import math
 import re
+from collections import Counter
+from collections.abc import Iterable
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,6 +51,10 @@ _ROLE = {
     "access": "identifier", "identifier": "identifier", "endpoint": "endpoint",
 }
 
+#: What a weak part of a kind needs in its scope, all of it.
+NEEDED = {"identifier": ("secret",), "keylike": ("identifier",), "endpoint": ("identifier", "secret")}
+#: Bits a character that a key-like word must have; spelled-out names have less.
+LEAST_ENTROPY = 3.5
 #: Parts whose nearest ends are at most so many code points apart are in one scope.
 SCOPE = 200
 
@@ -76,40 +85,65 @@ def _order(span: Span) -> tuple[int, int]:
     return span[0], KINDS.index(span[2])
 
 
+def entropy(word: str) -> float:
+    """Bits a character, by the counts of a word's characters."""
+    n = len(word)
+    return -sum(c / n * math.log2(c / n) for c in Counter(word).values())
+
+
+def _covers(spans: Iterable[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint stretches that spans cover, in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end, _ in sorted(spans):
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+class _Reach:
+    """Parts of one role by start, with the furthest end up to each of them."""
+
+    def __init__(self, parts: list[Span]):
+        self._starts = [s for s, _, _ in parts]
+        self._ends = list(accumulate((e for _, e, _ in parts), max))
+
+    def meets(self, low: int, high: int) -> bool:
+        """Whether a part begins at ``high`` or before and ends at ``low`` or behind."""
+        at = bisect.bisect_right(self._starts, high)
+        return at > 0 and self._ends[at - 1] >= low
+
+
 def linked_spans(text: str, base: list[Span], scope: int = SCOPE) -> list[Span]:
-    """Weak parts that complementary parts support, outside of the base spans.
+    """Weak parts that complementary parts support (``NEEDED``), outside of the base spans.
 
-    A weak identifier or endpoint needs a secret in its scope, a key-like word an identifier or an
-    endpoint. Parts are sorted by start; for each part, only those of its scope are looked at.
+    Kinds are sought in order, and a part that overlaps one of an earlier kind is none. The join
+    takes the parts of a role by start: one that reaches into a scope exists exactly if the
+    furthest end among those that begin before the scope's end does, so each part costs a bisection.
     """
     weak: list[Span] = []
-    taken = list(base)
     for kind, pattern in WEAK:
-        if kind == "keylike" and not any(_ROLE[k] != "secret" for _, _, k in taken):
-            continue  # nothing could complete it
+        starts, ends = _covers([*base, *weak])
+        found = []
         for m in pattern.finditer(text):
             start, end = m.span(m.lastindex or 0)
-            if not _covered(taken, start, end):
-                weak.append((start, end, kind))
-        taken = sorted([*base, *weak])
+            at = bisect.bisect_left(starts, end)
+            if at and ends[at - 1] > start:
+                continue
+            if kind != "keylike" or entropy(text[start:end]) >= LEAST_ENTROPY:
+                found.append((start, end, kind))
+        weak += found
     parts = sorted([*base, *weak])
-    starts = [p[0] for p in parts]
-    reach = max((e - s for s, e, _ in parts), default=0) + scope
-    needed = {"identifier": {"secret"}, "endpoint": {"secret"}, "keylike": {"identifier", "endpoint"}}
-    kept = []
-    for start, end, kind in weak:
-        low = bisect.bisect_left(starts, start - reach)
-        high = bisect.bisect_right(starts, end + scope)
-        near = (p for p in parts[low:high] if p[1] >= start - scope)
-        if any(_ROLE[k] in needed[kind] for _, _, k in near):
-            kept.append((start, end, kind))
-    return kept
-
-
-def _covered(spans: list[Span], start: int, end: int) -> bool:
-    """Whether a span of a list sorted by start overlaps (start, end)."""
-    at = bisect.bisect_left(spans, (end,))
-    return any(e > start for _, e, _ in spans[max(0, at - 64) : at])
+    roles = {
+        role: _Reach([p for p in parts if _ROLE[p[2]] == role]) for role in ("identifier", "secret")
+    }
+    return [
+        (start, end, kind) for start, end, kind in weak
+        if all(roles[r].meets(start - scope, end + scope) for r in NEEDED[kind])
+    ]
 
 
 def all_spans(text: str, scope: int = SCOPE) -> tuple[list[Span], list[Span]]:
