@@ -2,13 +2,15 @@
 
 A k-mer of characters is a closed syncmer if the least of its inner s-mers (by hash) is its first
 or its last one. That depends on the k-mer alone, so an edit changes no anchor outside of it, and
-every window of ``k - s`` k-mers in a row holds an anchor. The fingerprint is the sorted list of the
-``size`` least anchor hashes, in hex: a uniform sample of the set of anchors. Two fingerprints give
-an estimate of the share of anchors that two texts have in common.
+every window of ``k - s`` k-mers in a row holds an anchor. The fingerprint stands for all anchors of a
+text in their order; its string is a digest of them, and the ``size`` least anchor hashes are kept
+beside it as a sketch, for lookups. Two texts are compared by position: their equal anchors are
+paired, and the longest chain of pairs that keeps the order of both texts counts.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 from collections.abc import Iterator
@@ -27,7 +29,7 @@ SIZE = 64
 
 FINGERPRINTS = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-    "edited_fingerprint string, near_edited double, near_next double"
+    "edited_fingerprint string, near_edited double, near_next double, sketch string"
 )
 ANCHORS = "doc_id long, position long, anchor long"
 
@@ -91,9 +93,12 @@ def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
     return at, _mixed(value * _M2 + inner[at + span])
 
 
-def sketch(text: str, k: int = K, s: int = S, size: int = SIZE) -> np.ndarray:
+Anchors = tuple[np.ndarray, np.ndarray]
+
+
+def sketch(found: Anchors, size: int = SIZE) -> np.ndarray:
     """The ``size`` least distinct anchor hashes (upper 32 bits), sorted."""
-    values = (anchors(text, k, s)[1] >> np.uint64(32)).astype(np.uint32)
+    values = (found[1] >> np.uint64(32)).astype(np.uint32)
     if len(values) > 4 * size:  # those that matter, before sorting
         part = np.partition(values, 3 * size)[: 3 * size + 1]
         least = np.unique(part)
@@ -102,18 +107,61 @@ def sketch(text: str, k: int = K, s: int = S, size: int = SIZE) -> np.ndarray:
     return np.unique(values)[:size]
 
 
-def likeness(a: np.ndarray, b: np.ndarray, size: int = SIZE) -> float:
-    """Share of common anchors, estimated from the least ``size`` of both; 1 for two empty ones."""
+def digest(found: Anchors) -> str:
+    """All anchors of a text with their places, as 128 bits in hex."""
+    places, values = (x.astype("<u8").tobytes() for x in found)
+    return hashlib.md5(places + values, usedforsecurity=False).hexdigest()
+
+
+def _numbered(values: np.ndarray) -> np.ndarray:
+    """A key for each anchor: its hash with how many equal ones come before it."""
+    order = np.argsort(values, kind="stable")
+    ordered = values[order]
+    place = np.arange(len(values))
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    before = place - np.repeat(first, np.diff(np.append(first, len(values))))
+    if not before.any():
+        return values
+    keys = np.empty(len(values), np.uint64)
+    again = _mixed(ordered + before.astype(np.uint64) * _M1)
+    keys[order] = np.where(before == 0, ordered, again)
+    return keys
+
+
+def _chain(a: np.ndarray, b: np.ndarray) -> int:
+    """Longest chain of equal keys in the order of both; keys are unique on each side."""
+    _, at, to = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    targets = to[np.argsort(at)].tolist()
+    tails: list[int] = []
+    for t in targets:
+        if not tails or t > tails[-1]:
+            tails.append(t)
+        else:
+            tails[bisect.bisect_left(tails, t)] = t
+    return len(tails)
+
+
+def likeness(one: Anchors, other: Anchors) -> float:
+    """Anchors of both texts that are matched in order, as a share of all; 1 for two empty texts.
+
+    Equal anchors are paired as first with first, second with second and so on; if anything is left
+    over, also from the end on, and the longer chain counts. So no pairs of repeats are tried.
+    Matching what both texts have in common at their beginnings is always best, and is done first.
+    """
+    a, b = one[1], other[1]
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    both = np.sort(np.concatenate([a, b]))
-    twice = both[1:][both[1:] == both[:-1]]
-    union = len(both) - len(twice)
-    if union <= size:
-        return len(twice) / union
-    fresh = np.concatenate([[True], both[1:] != both[:-1]])
-    last = both[fresh][size - 1]
-    return float(np.searchsorted(twice, last, side="right")) / size
+    n = min(len(a), len(b))
+    unlike = np.flatnonzero(a[:n] != b[:n])
+    same = int(unlike[0]) if len(unlike) else n
+    total = len(a) + len(b)
+    a, b = a[same:], b[same:]
+    best = 0
+    if len(a) and len(b):
+        best = _chain(_numbered(a), _numbered(b))
+        if best < min(len(a), len(b)):
+            best = max(best, _chain(_numbered(a[::-1])[::-1], _numbered(b[::-1])[::-1]))
+    return 2 * (same + best) / total
 
 
 def _hex(values: np.ndarray) -> str:
@@ -201,7 +249,7 @@ def fingerprint_documents(docs: DataFrame, k: int = K, s: int = S, size: int = S
     def run(batches: Iterator[pa.RecordBatch]):
         names, types = zip(*arrow_fields(FINGERPRINTS), strict=True)
         done: list[tuple] = []
-        stretch, current, current_sketch = None, None, None
+        stretch, current, current_anchors = None, None, None
         closed = False
         for batch in batches:
             columns = (batch.column(n).to_pylist() for n in ("_s", "_guest", "doc_id", "text"))
@@ -210,12 +258,12 @@ def fingerprint_documents(docs: DataFrame, k: int = K, s: int = S, size: int = S
                     stretch, current, closed = at, None, False
                 if closed:
                     continue  # further guests of the same id
-                own_sketch = sketch(text, k, s, size)
+                own = anchors(text, k, s)
                 if current is not None:
-                    done.append(_row(*current, current_sketch, text, own_sketch, k, s, size))
+                    done.append(_row(*current, current_anchors, text, own, k, s, size))
                 if is_guest:
                     closed = True
-                current, current_sketch = (doc_id, text), own_sketch
+                current, current_anchors = (doc_id, text), own
             if done:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*done, strict=True), types, strict=True)],
@@ -231,17 +279,18 @@ def fingerprint_documents(docs: DataFrame, k: int = K, s: int = S, size: int = S
     )
 
 
-def _row(doc_id, text, own, after, after_sketch, k, s, size) -> tuple:
+def _row(doc_id, text, own, after, after_anchors, k, s, size) -> tuple:
     take = min(len(text) // 4, len(after))
     cut = len(text) // 4
     edited = text[: len(text) - cut] + after[:take]
-    new = own if edited == text else sketch(edited, k, s, size)
+    new = own if edited == text else anchors(edited, k, s)
     return (
         doc_id,
         len(text),
         hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
-        _hex(own),
-        _hex(new),
-        likeness(own, new, size),
-        likeness(own, after_sketch, size),
+        digest(own),
+        digest(new),
+        likeness(own, new),
+        likeness(own, after_anchors),
+        _hex(sketch(own, size)),
     )

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -41,18 +42,72 @@ def test_anchors_are_context_free_and_dense():
     assert gaps.max() <= fp.K - fp.S + 1
 
 
-def test_likeness_is_jaccard_for_small_sets():
+def likeness_by_hand(a: list, b: list) -> float:
+    """Longest chain over paired anchors by trying all smaller chains, both ways of pairing."""
+    if not a or not b:
+        return float(len(a) == len(b))
+
+    def chain(x, y):
+        def numbered(z):
+            return [(v, z[:i].count(v)) for i, v in enumerate(z)]
+
+        place = {k: j for j, k in enumerate(numbered(y))}
+        targets = [place[k] for k in numbered(x) if k in place]
+        best = []
+        for i, t in enumerate(targets):
+            best.append(1 + max((best[j] for j in range(i) if targets[j] < t), default=0))
+        return max(best, default=0)
+
+    same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    x, y = a[same:], b[same:]
+    return 2 * (same + max(chain(x, y), chain(x[::-1], y[::-1]))) / (len(a) + len(b))
+
+
+def test_likeness_by_hand():
     rng = np.random.default_rng(3)
-    for _ in range(200):
-        a = np.unique(rng.integers(0, 40, rng.integers(0, 25))).astype(np.uint32)
-        b = np.unique(rng.integers(0, 40, rng.integers(0, 25))).astype(np.uint32)
-        union = set(a.tolist()) | set(b.tolist())
-        want = len(set(a.tolist()) & set(b.tolist())) / len(union) if union else 1.0
-        assert fp.likeness(a, b) == want
-    values = rng.integers(0, 2**32, 5000).astype(np.uint32)
-    one, two = np.unique(values[:4000])[:64], np.unique(values[1000:])[:64]
-    union = np.unique(values)[:64]
-    assert fp.likeness(one, two) == np.mean([u in one and u in two for u in union])
+    for _ in range(400):
+        high = int(rng.integers(2, 40))
+        a = rng.integers(0, high, rng.integers(0, 30)).astype(np.uint64)
+        b = rng.integers(0, high, rng.integers(0, 30)).astype(np.uint64)
+        if rng.random() < 0.5 and len(a):
+            b = np.concatenate([a[: len(a) // 2], b[:3], a[len(a) // 2 + 1 :]])
+        places = np.arange(30)
+        assert fp.likeness((places[: len(a)], a), (places[: len(b)], b)) == likeness_by_hand(
+            a.tolist(), b.tolist())
+
+
+def _like(a: str, b: str) -> float:
+    return fp.likeness(fp.anchors(a), fp.anchors(b))
+
+
+def test_likeness_of_texts_is_about_positions():
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    for n in (400, 20_000):
+        left, right = (" ".join(rng.choices(words, k=n)) for _ in range(2))
+        assert _like(left + right, left + right) == 1
+        assert 0.4 < _like(f"{left} {right}", f"{right} {left}") < 0.6  # swapped halves
+        assert _like(left, f"a new beginning {left}") > 0.95
+        assert _like(left, right) < 0.05
+        cut = left[: n // 2] + left[n:]
+        shared = 1 - (n // 2) / len(left)
+        assert abs(_like(left, cut) - 2 * shared / (1 + shared)) < 0.05
+
+
+def test_likeness_of_long_texts_is_exact_and_quick():
+    rng = random.Random(6)
+    shared = " ".join(str(rng.random()) for _ in range(300))
+    one, two = (" ".join(str(rng.random()) for _ in range(26_000)) for _ in range(2))  # half a MB
+    a, b = fp.anchors(f"{one} {shared} {one[:9999]}"), fp.anchors(f"{two} {shared} {two[:9999]}")
+    start = time.process_time()
+    got = fp.likeness(a, b)
+    assert time.process_time() - start < 3
+    want = 2 * len(fp.anchors(shared)[0]) / (len(a[0]) + len(b[0]))
+    assert want * 0.98 < got < want * 1.05
+    same = fp.anchors("the same line again\n" * 50_000)
+    start = time.process_time()
+    assert fp.likeness(same, fp.anchors("x" + "the same line again\n" * 49_000)) > 0.97
+    assert time.process_time() - start < 5
 
 
 def by_hand(rows: list[tuple]) -> list[tuple]:
@@ -63,10 +118,10 @@ def by_hand(rows: list[tuple]) -> list[tuple]:
         text, after = text or "", rows[(i + 1) % len(rows)][1] or ""
         cut = len(text) // 4
         edited = text[: len(text) - cut] + after[:cut]
-        one, two, three = (fp.sketch(t) for t in (text, edited, after))
+        one, two, three = (fp.anchors(t) for t in (text, edited, after))
         out.append((
-            doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), fp._hex(one), fp._hex(two),
-            fp.likeness(one, two), fp.likeness(one, three),
+            doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), fp.digest(one), fp.digest(two),
+            fp.likeness(one, two), fp.likeness(one, three), fp._hex(fp.sketch(one)),
         ))
     return out
 
