@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import site
 import tempfile
 import zipfile
@@ -10,6 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def file_system(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder named as Spark names it."""
+    plain = re.sub(r"^file:/+", "/", uri)
+    if plain.startswith("/"):
+        return fs.LocalFileSystem(), plain
+    return fs.FileSystem.from_uri(plain)
+
+
+def remove_folder(uri: str) -> None:
+    """Remove a folder that a run has written and nothing reads any more."""
+    files, path = file_system(uri)
+    files.delete_dir(path)
+
+
 _ROOT = Path(__file__).resolve().parents[2]
 _shipped: set[str] = set()
 

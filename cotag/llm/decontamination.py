@@ -371,6 +371,6 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` without the rows whose text holds a benchmark passage, whatever their id."""
     hits = held(
-        _finds(docs, benchmark, window, least_tokens).select(F.col("text_key").alias("_hit")).distinct()
+        _finds(docs, benchmark, window, least_tokens).select(F.col("text_key").alias("__hit_key")).distinct()
     )
-    return docs.join(hits.prepared(), text_key(docs["text"]) == F.col("_hit"), "left_anti")
+    return docs.join(hits.prepared(), text_key(docs["text"]) == F.col("__hit_key"), "left_anti")

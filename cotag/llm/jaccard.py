@@ -1,6 +1,6 @@
 """N-gram Jaccard join with Bayesian candidate pruning.
 
-Equal texts are one class and are represented by their least id. Representatives whose MinHash
+Equal texts are one class and are represented by their key. Representatives whose MinHash
 values agree in a whole band are candidates. A candidate pair's MinHash values are compared a few
 at a time; after each step the pair is dropped if the posterior probability that its similarity
 reaches the threshold, given the matches so far, falls below a tolerance. Shingle sets of what is
@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cotag.functions.joins import drop_matching, held, keep_matching
+from cotag.functions.joins import held, keep_matching
 from cotag.llm.common import (
     WordTable, arrow_fields, by_group, components, small_batches, text_key, texts_of,
 )
@@ -223,12 +223,13 @@ def exact_links(rows: list[dict], cell: tuple[int, int], threshold: float, neede
         }
 
 
-_SKETCH = "doc_id long, bands array<long>, sig binary"
-_SETS = "key string, rep long, shingles binary, sig binary"
+_SKETCH = "bands array<long>, sig binary"
+_SETS = "key binary, doc_id long, shingles binary, sig binary"
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    names, types = zip(*arrow_fields("key string, " + _SKETCH), strict=True)
+    schema = "key binary, doc_id long, " + _SKETCH
+    names, types = zip(*arrow_fields(schema), strict=True)
 
     def run(batches):
         words = word_hashes()
@@ -249,7 +250,7 @@ def _sketched(docs: DataFrame) -> DataFrame:
                 names=list(names),
             )
 
-    return docs.mapInArrow(run, "key string, " + _SKETCH)
+    return docs.mapInArrow(run, schema)
 
 
 def _with_sets(docs: DataFrame) -> DataFrame:
@@ -289,56 +290,73 @@ def near_duplicates(
     least id with the same text, ``n_copies`` the rows with that text, ``n_links`` the number of
     other texts with a similarity of ``threshold`` or more, ``n_linked_docs`` the rows that have
     them. A missing text counts as empty; texts without words link to nothing but their copies.
-    Rows without an id get no class and are left out, though a text's row count includes them. The
-    texts of a repeated id are in one class; its links are those of the text with the least key.
+
+    Texts, not ids, are what is compared: rows without an id are judged like all others, and their
+    class has no id only if none of its rows has one; rows that share an id are each in the class of
+    their own text, so two classes can then have the same least id.
 
     Candidates need one equal band: at 0.8 a pair is missed with a probability of about 5e-8.
     """
+    rows, classes = _text_classes(docs, threshold, tolerance)
+    return rows.select("doc_id", "key").join(classes.hint("merge"), "key").select(
+        "doc_id", "class_id", F.col("rep").alias("copy_id"), F.col("n").alias("n_copies"),
+        "n_links", "n_linked_docs",
+    )
+
+
+def _text_classes(
+    docs: DataFrame, threshold: float, tolerance: float
+) -> tuple[DataFrame, DataFrame]:
+    """Rows as (key, doc_id, text), and per text key its least id ``rep``, rows ``n``, links, class
+    id and the key of its class's ``leader``, the text with the least id."""
     spark = docs.sparkSession
     ensure_checkpoints(spark)
     small_batches(spark)
     needed = least_matches(threshold, tolerance)
     rows = docs.select(
-        text_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"),
+        F.unhex(text_key()).alias("key"), F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
     classes = (
         rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
     )
-    firsts = (
-        classes.filter(F.col("rep").isNotNull())
-        .groupBy("rep").agg(F.min(F.struct("key", "n")).alias("_f")).select("rep", "_f.*")
-    )
+    firsts = classes.select(F.col("key").alias("_key"), "rep", "n")
+    # Every copy is sketched where it is read; the one with the least id goes on.
+    chosen = (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("rep"))
     reps = (
-        firsts.join(_sketched(rows).withColumnRenamed("doc_id", "rep"), ["key", "rep"])
-        .dropDuplicates(["rep"])
+        firsts.join(_sketched(rows), chosen)
+        .select("key", "n", "bands", "sig")
+        .dropDuplicates(["key"])
         .checkpoint()
     )
     # Buckets of at least two; those with the same members are looked at once.
-    banded = reps.select("rep", F.explode("bands").alias("band"))
-    member = F.xxhash64("rep")
+    banded = reps.select("key", F.explode("bands").alias("band"))
     buckets = (
         banded.groupBy("band")
-        .agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("first"),
-             F.bit_xor(member).alias("xor"), F.max("rep").alias("last"))
+        .agg(F.count(F.lit(1)).alias("size"), F.min("key").alias("first"),
+             F.bit_xor(F.xxhash64("key")).alias("xor"), F.max("key").alias("last"))
         .filter("size > 1")
         .groupBy("size", "first", "last", "xor").agg(F.min("band").alias("band"))
         .select("band", F.ceil(F.col("size") / BLOCK).alias("blocks"))
     )
     members = banded.join(buckets.hint("merge"), "band").join(
-        reps.select("rep", "sig"), "rep"
-    )
+        reps.select("key", "sig"), "key"
+    ).withColumnRenamed("key", "rep")
     edges = by_group(
         _cells(members, F.col("blocks"), "rep"), ["band", "low", "high"],
-        lambda group: candidate_forest(group, needed), "a long, b long",
+        lambda group: candidate_forest(group, needed), "a binary, b binary",
     )
     families = components(edges).checkpoint()
     # Shingle sets of the texts in families meet block by block.
-    wanted = held(families.select(F.col("node").alias("doc_id")))
+    wanted = held(families.select(F.col("node").alias("key")))
+    once = firsts.withColumnRenamed("rep", "_rep").select("_key", "_rep")
     sets = (
-        _with_sets(keep_matching(rows, wanted, "doc_id"))
-        .join(families.withColumnRenamed("node", "rep"), "rep")
-        .join(reps.select("rep", "key", "n"), ["rep", "key"])
+        _with_sets(keep_matching(rows, wanted, "key"))
+        .join(once, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_rep")))
+        .select("key", "shingles", "sig")
+        .join(families.withColumnRenamed("node", "key"), "key")
+        .join(reps.select("key", "n"), "key")
+        .withColumnRenamed("key", "rep")
         .dropDuplicates(["rep"])
         .checkpoint()
     )
@@ -351,48 +369,53 @@ def near_duplicates(
     counted = by_group(
         cells, ["root", "low", "high"],
         lambda group: exact_links(group, (group[0]["low"], group[0]["high"]), threshold, needed),
-        "rep long, texts long, docs long, root long",
+        "rep binary, texts long, docs long, root binary",
     ).checkpoint()
-    ids = rows.filter(F.col("doc_id").isNotNull()).select("doc_id", "key")
-    return _classes(ids, classes, counted)
+    return rows, _classes(classes, counted)
 
 
-def _classes(ids: DataFrame, classes: DataFrame, counted: DataFrame) -> DataFrame:
-    """Rows with their class from copies and counted links."""
+def _classes(classes: DataFrame, counted: DataFrame) -> DataFrame:
+    """Texts with their class, from copies and counted links."""
     links = counted.groupBy("rep").agg(
         F.sum("texts").cast("long").alias("n_links"), F.sum("docs").cast("long").alias("n_linked_docs")
-    )
+    ).withColumnRenamed("rep", "key")
     roots = components(counted.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    found = (
-        classes.filter(F.col("rep").isNotNull())
-        .join(links, "rep", "left")
-        .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    linked = classes.join(roots.withColumnRenamed("node", "key"), "key").checkpoint()
+    least = F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "key")).alias("_l")
+    leaders = held(
+        linked.groupBy("root").agg(least)
+        .select("root", F.col("_l.rep").alias("class_id"), F.col("_l.key").alias("leader"))
     )
+    classed = linked.select("key", "root").join(leaders.prepared(), "root").drop("root")
     zero = F.lit(0).cast("long")
-    return ids.join(found.hint("merge"), "key").select(
-        "doc_id",
-        F.coalesce("root", "rep").alias("class_id"),
-        F.col("rep").alias("copy_id"),
-        F.col("n").alias("n_copies"),
-        F.coalesce("n_links", zero).alias("n_links"),
+    return classes.join(links, "key", "left").join(classed, "key", "left").select(
+        "key", "rep", "n", F.coalesce("n_links", zero).alias("n_links"),
         F.coalesce("n_linked_docs", zero).alias("n_linked_docs"),
+        F.when(F.col("leader").isNull(), F.col("rep")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("leader", "key").alias("leader"),
     )
 
 
-def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each class: the one with the least id.
-
-    Rows without an id stay, and rows that repeat both an id and its text become one.
-    """
-    found = near_duplicates(docs, **options)
-    gone = held(found.filter(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct())
-    repeated = held(
-        docs.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-        .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
-    )
-    kept = drop_matching(docs, gone, "doc_id")
+def keep_one_of_each(
+    docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE
+) -> DataFrame:
+    """``docs`` with one row of each class: one with the least id, and the least text key if two
+    texts have that id. A row without an id stays only where its class has none with one."""
+    rows, classes = _text_classes(docs, threshold, tolerance)
+    found = rows.select("key", "doc_id").join(
+        classes.select("key", "rep", "leader").hint("merge"), "key")
+    stays = (F.col("key") == F.col("leader")) & F.col("doc_id").eqNullSafe(F.col("rep"))
+    judged = found.withColumn("_stays", stays).groupBy("key", "doc_id", "_stays").agg(
+        F.count(F.lit(1)).alias("_n")
+    ).checkpoint()
+    named = [F.col("key").alias("__dealt_key"), F.col("doc_id").alias("__dealt_id")]
+    gone = held(judged.filter(~F.col("_stays")).select(*named))
+    repeated = held(judged.filter("_stays and _n > 1").select(*named))
+    own = F.unhex(text_key(docs["text"]))
+    same = (own == F.col("__dealt_key")) & docs["doc_id"].cast("long").eqNullSafe(F.col("__dealt_id"))
+    kept = docs.join(gone.prepared(), same, "left_anti")
     if not repeated.rows:
-        return kept.select(*docs.columns)
-    single = drop_matching(kept, repeated, "doc_id")
-    twice = keep_matching(kept, repeated, "doc_id").dropDuplicates(["doc_id", "text"])
-    return single.select(*docs.columns).unionByName(twice.select(*docs.columns))
+        return kept
+    single = kept.join(repeated.prepared(), same, "left_anti")
+    twice = kept.join(repeated.prepared(), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return single.unionByName(twice)

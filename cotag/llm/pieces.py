@@ -14,11 +14,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Sequence
 from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from cotag.llm.common import WordTable, small_batches, texts_of
 
@@ -193,12 +195,15 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-def encode_documents(docs: DataFrame, model: bytes, digests: bool = False) -> DataFrame:
-    """Ids and decoded text of each whole text: (doc_id, n_tokens, ids, decoded).
+def encode_documents(
+    docs: DataFrame, model: bytes, digests: bool = False, carried: Sequence[str] = ()
+) -> DataFrame:
+    """Ids and decoded text of each whole text: (doc_id, n_tokens, ids, decoded), and the columns
+    ``carried`` of ``docs`` behind them.
 
     With ``digests`` the two texts are given as SHA-256 hex (``ids_sha256``, ``decoded_sha256``).
     A missing or empty text has no ids and decodes to the empty text; one row per input row,
-    repeated and missing ids included. Other columns of ``docs`` are not read. No shuffle: a task
+    repeated and missing ids included. Further columns of ``docs`` are not read. No shuffle: a task
     holds one Arrow batch and the words it met lately.
     """
     schema = DIGESTS if digests else ENCODED
@@ -217,9 +222,13 @@ def encode_documents(docs: DataFrame, model: bytes, digests: bool = False) -> Da
                     pa.array(count, pa.int64()),
                     pa.array(ids, pa.string()),
                     pa.array(decoded, pa.string()),
+                    *(batch.column(c) for c in carried),
                 ],
-                names=[part.split()[0] for part in schema.split(", ")],
+                names=[*(part.split()[0] for part in schema.split(", ")), *carried],
             )
 
     small_batches(docs.sparkSession)
-    return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(run, schema)
+    chosen = docs.select(docs["doc_id"].cast("long"), *dict.fromkeys(["text", *carried]))
+    fields = [chosen.schema[c] for c in carried]
+    full = StructType([*StructType.fromDDL(schema).fields, *fields])
+    return chosen.mapInArrow(run, full)

@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cotag.functions.joins import drop_matching, held
-from cotag.llm.common import arrow_fields, small_batches, texts_of
+from cotag.functions.joins import held
+from cotag.llm.common import arrow_fields, small_batches, text_key, texts_of
 from cotag.llm.reputation import prior_strength
 from cotag.session import ensure_checkpoints
 
@@ -41,7 +41,7 @@ BINS = len(EDGES) + 1
 #: Documents with a posterior log odds below this (in micro-nats) are rejected.
 LEAST_LOG_ODDS = 0
 
-_FEATURED = "doc_id long, host string, path string, " + ", ".join(f"{f} long" for f in FEATURES)
+_FEATURED = "key string, doc_id long, host string, path string, " + ", ".join(f"{f} long" for f in FEATURES)
 
 
 def _binned(values: np.ndarray, edges: tuple[int, ...]) -> np.ndarray:
@@ -55,7 +55,7 @@ def _run_count(raw: np.ndarray, chars: np.ndarray) -> int:
 
 
 def featured(docs: DataFrame, host: Column, path: Column) -> DataFrame:
-    """Bins of the style features of whole texts: (doc_id, host, path, a bin per feature).
+    """Bins of the style features of whole texts: (key, doc_id, host, path, a bin per feature).
 
     Character classes are counted in the UTF-8 bytes of a whole batch at once; words are the parts
     between ASCII white space. A missing or empty text has bin 0 throughout.
@@ -90,7 +90,7 @@ def featured(docs: DataFrame, host: Column, path: Column) -> DataFrame:
                  for w, d in zip(words, distinct.tolist(), strict=True)], np.int64,
             )
             columns["repeats"] = _binned(1000 * repeats // total, REPEAT_EDGES)
-            arrays = [batch.column(n) for n in ("doc_id", "host", "path")]
+            arrays = [batch.column(n) for n in ("key", "doc_id", "host", "path")]
             arrays += [pa.array(columns[f], pa.int64()) for f in FEATURES]
             yield pa.RecordBatch.from_arrays(
                 [a.cast(t) for a, t in zip(arrays, types, strict=True)], names=list(names)
@@ -98,6 +98,7 @@ def featured(docs: DataFrame, host: Column, path: Column) -> DataFrame:
 
     small_batches(docs.sparkSession)
     chosen = docs.select(
+        text_key(F.col("text")).alias("key"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(host.cast("string"), F.lit("")).alias("host"),
         F.coalesce(path.cast("string"), F.lit("")).alias("path"),
@@ -190,8 +191,10 @@ def score_quality(
     host: Column | None = None,
     path: Column | None = None,
     least_log_odds: int = LEAST_LOG_ODDS,
+    keyed: bool = False,
 ) -> DataFrame:
-    """Every row's verdict: (doc_id, host, path, evidence, site_log_odds, log_odds, keep).
+    """Every row's verdict: (doc_id, host, path, evidence, site_log_odds, log_odds, keep), with
+    ``keyed`` also the ``key`` of its text.
 
     ``host`` and ``path`` default to ``source`` and ``lang``; missing ones count as empty. Log odds
     are in micro-nats. Paths without labels take their host's log odds, hosts without labels those
@@ -210,28 +213,38 @@ def score_quality(
     sites, base = site_posteriors(labelled)
     hosts = held(sites.groupBy("host").agg(F.max("host_log_odds").alias("host_log_odds")))
     sites = held(sites.select("host", "path", "site_log_odds"))
+    own = ["key", "doc_id"] if keyed else ["doc_id"]
     judged = (
-        rows.select("doc_id", "host", "path", evidence(weights).alias("evidence"))
+        rows.select(*own, "host", "path", evidence(weights).alias("evidence"))
         .join(sites.prepared(), ["host", "path"], "left")
         .join(hosts.prepared(), "host", "left")
     )
     site = F.coalesce("site_log_odds", "host_log_odds", F.lit(int(base)).cast("long"))
     total = F.col("evidence") + F.col("site_log_odds")
     return (
-        judged.select("doc_id", "host", "path", "evidence", site.alias("site_log_odds"))
+        judged.select(*own, "host", "path", "evidence", site.alias("site_log_odds"))
         .withColumn("log_odds", total)
         .withColumn("keep", F.col("log_odds") >= F.lit(least_log_odds))
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rejected documents.
-
-    An id goes if all its rows are rejected; rows without an id stay.
-    """
-    verdicts = score_quality(docs, labels, **options).filter(F.col("doc_id").isNotNull())
-    gone = held(
-        verdicts.groupBy("doc_id").agg(F.bool_or("keep").alias("keep"))
-        .filter(~F.col("keep")).select("doc_id")
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    host: Column | None = None,
+    path: Column | None = None,
+    least_log_odds: int = LEAST_LOG_ODDS,
+) -> DataFrame:
+    """``docs`` without the rejected rows, with an id or without: each is judged by its own text
+    and site."""
+    host = docs["source"] if host is None else host
+    path = docs["lang"] if path is None else path
+    verdicts = score_quality(docs, labels, host, path, least_log_odds, keyed=True)
+    rejected = held(
+        verdicts.filter(~F.col("keep"))
+        .select(*(F.col(c).alias(f"__rejected_{c}") for c in ("key", "host", "path"))).distinct()
     )
-    return drop_matching(docs, gone, "doc_id").select(*docs.columns)
+    same = text_key(docs["text"]) == F.col("__rejected_key")
+    for name, own in (("host", host), ("path", path)):
+        same = same & (F.coalesce(own.cast("string"), F.lit("")) == F.col(f"__rejected_{name}"))
+    return docs.join(rejected.prepared(), same, "left_anti")

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cotag.llm import wavelet
-from cotag.llm.common import arrow_fields, small_batches, text_key, texts_of
+from cotag.llm.common import (
+    arrow_fields, file_system, small_batches, text_key, texts_of,
+)
 
 #: Tokens after which a file is closed; a file holds whole documents.
 SHARD_TOKENS = 1 << 20
@@ -109,14 +111,6 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _folder(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a folder named as Spark names it."""
-    plain = re.sub(r"^file:/+", "/", uri)
-    if plain.startswith("/"):
-        return fs.LocalFileSystem(), plain
-    return fs.FileSystem.from_uri(plain)
-
-
 def _store(files: fs.FileSystem, folder: str, name: str, content: bytes) -> None:
     """Write aside, then rename: a file under its own name is whole, also if a task is repeated."""
     aside = f"{folder}/.{name}.{uuid.uuid4().hex}"
@@ -153,7 +147,7 @@ def write_tokens(
     fields = pa.schema(arrow_fields(_MANIFEST))
 
     def work(batches: Iterator[pa.RecordBatch]):
-        files, path = _folder(folder)
+        files, path = file_system(folder)
         encoder = word_encoder(tokenizer)
         written: list[tuple] = []
         ids: list[bytes] = []
@@ -189,7 +183,7 @@ def write_tokens(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*written), fields)], schema=fields)
 
-    files, path = _folder(folder)
+    files, path = file_system(folder)
     files.create_dir(path, recursive=True)
     dealt.mapInArrow(work, _MANIFEST).write.mode("overwrite").parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")

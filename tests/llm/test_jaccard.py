@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -109,12 +109,14 @@ def test_messy_and_kept(messy, make_docs, spark):
     got = plain(jaccard.near_duplicates(messy), "doc_id", "class_id", "n_copies", "n_links")
     by = {}
     for doc_id, *rest in got:
-        by[doc_id] = tuple(rest)
+        by.setdefault(doc_id, []).append(tuple(rest))
+    assert by.pop(None) == [(None, 1, 0), (2, 3, 0)]  # a text of its own, and one more empty text
+    by = {doc_id: rows[-1] for doc_id, rows in by.items()}
     assert by[1] == by[6] == (1, 2, 0) and by[7] == (7, 2, 0) and by[3] == (2, 3, 0)
-    assert len(got) == messy.filter("doc_id is not null").count()
+    assert len(got) == messy.count()
     kept = jaccard.keep_one_of_each(messy)
     assert kept.columns == messy.columns
-    assert plain(kept, "doc_id") == [(None,), (None,), (1,), (2,), (4,), (5,), (7,), (8,), (9,), (10,)]
+    assert plain(kept, "doc_id") == [(None,), (1,), (2,), (4,), (5,), (7,), (8,), (9,), (10,)]
     assert jaccard.near_duplicates(messy.limit(0)).count() == 0
     assert jaccard.keep_one_of_each(messy.limit(0)).count() == 0
     mixed = make_docs([(1, "a b c d e f"), (1, "u v w x y z"), (2, "u v w x y z"), (3, "a b c d e f")])
@@ -122,6 +124,36 @@ def test_messy_and_kept(messy, make_docs, spark):
     assert rows == [(1, 1), (1, 1), (2, 1), (3, 1)]
 
 
+def test_rows_without_ids_and_with_repeated_ones(make_docs, texts):
+    """A third of the ids is missing and some repeat: classes are those of the texts."""
+    rng = random.Random(12)
+    rows = [(None if rng.random() < 0.34 else i // 2 if rng.random() < 0.2 else i, t)
+            for i, t in enumerate(texts)]
+    unique = list(dict.fromkeys(t for _, t in rows))
+    copies, least = Counter(t for _, t in rows), {}
+    for i, t in rows:
+        least[t] = min((x for x in (least.get(t), i) if x is not None), default=None)
+    by_number = {r[0]: r for r in classes_by_hand(list(enumerate(unique)))}
+    members = {}
+    for number, row in by_number.items():
+        members.setdefault(row[1], []).append(unique[number])
+    want, leaders = [], []
+    for own in members.values():
+        ids = [least[t] for t in own if least[t] is not None]
+        leaders.append((min(ids, default=None), own))
+    for i, t in rows:
+        class_id, own = next(x for x in leaders if t in x[1])
+        want.append((i, class_id, least[t], copies[t], by_number[unique.index(t)][4]))
+    docs = make_docs(rows)
+    names = "doc_id class_id copy_id n_copies n_links".split()
+    order = lambda r: tuple((x is not None, x) for x in r)
+    assert plain(jaccard.near_duplicates(docs), *names) == sorted(want, key=order)
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.keep_one_of_each(docs).collect()]
+    assert len(kept) == len(leaders)
+    for doc_id, text in kept:
+        assert next(x for x in leaders if text in x[1])[0] == doc_id
+
+
 def test_components(spark):
     rng = random.Random(3)
     chain = [(i, i + 1) for i in range(100, 160)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+from pathlib import Path
 
 import pytest
 from conftest import plain
@@ -49,13 +49,17 @@ def test_decisions(spark, sf_dir, stages):
     got = {r["doc_id"]: r for r in encoded.collect()}
     for doc_id, text in plain(safe, "doc_id", "text"):
         n, ids, _ = codec.encode_text(text)
-        assert got[doc_id]["n_tokens"] == n
-        assert got[doc_id]["ids_sha256"] == hashlib.sha256(ids.encode()).hexdigest()
+        assert got[doc_id]["n_tokens"] == n and got[doc_id]["ids"] == ids
+        assert got[doc_id]["text"] == text
+    assert set(docs.columns) < set(encoded.columns)
 
 
 def test_run(spark, sf_dir, stages):
     names = stages[-1].columns
-    assert plain(corpus_pipeline.run(spark, sf_dir), *names) == plain(stages[-1], *names)
+    found = corpus_pipeline.run(spark, sf_dir)
+    assert plain(found, *names) == plain(stages[-1], *names)
+    folder = Path(found.inputFiles()[0].removeprefix("file://")).parent.parent
+    assert [p.name for p in folder.iterdir()] == [corpus_pipeline.STAGES[-1][0]]
 
 
 def test_messy(messy, spark, sf_dir):
@@ -63,7 +67,8 @@ def test_messy(messy, spark, sf_dir):
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
         assert docs.count() > 0, name
-    assert docs.filter("doc_id is null").count() == 2
+    # The empty text without an id is a copy of that of row 2, the other one is a text of its own.
+    assert [r["text"] for r in docs.filter("doc_id is null").collect()] == ["no id"]
     empty = messy.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, sf_dir)
