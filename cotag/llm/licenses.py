@@ -17,6 +17,7 @@ import bisect
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -26,8 +27,27 @@ from pyspark.sql import DataFrame
 from cotag.llm.common import arrow_fields, small_batches, texts_of
 from cotag.llm.license_texts import TEXTS
 
+# The standard file header of the GNU licences: licence, name in the text, version.
+_GNU_HEADER = (
+    "This {thing} is free software{stop} you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation{stop2} either version {version} of the License, or (at your option) any later version. This {thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."
+)
+_GNU = (
+    ("GPL-2.0", "program", "General Public License", "2"),
+    ("LGPL-2.1", "library", "Lesser General Public License", "2.1"),
+    ("LGPL-3.0", "library", "Lesser General Public License", "3"),
+    ("AGPL-3.0", "program", "Affero General Public License", "3"),
+)
+# Identifiers that files name after "SPDX-License-Identifier:", and endings of theirs.
+_SPDX = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "ISC", "MIT", "MPL-2.0", "Unlicense")
+_SPDX_GNU = ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+
 # Notices and licence texts, by the identifier of their licence.
 TEMPLATES = (
+    *((licence, _GNU_HEADER.format(thing=thing, name=name, version=version, stop=";", stop2=";"))
+      for licence, thing, name, version in _GNU),
+    *((licence, f"licensed under the GNU {name}, version {version}.") for licence, _, name, version in _GNU),
+    *((licence, f"SPDX-License-Identifier: {licence}") for licence in (*_SPDX, *_SPDX_GNU)),
+    *((licence, f"SPDX-License-Identifier: {licence}-{end}") for licence in _SPDX_GNU for end in ("only", "or-later")),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
     ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
@@ -49,6 +69,9 @@ TEMPLATES = (
 #: Least Dice coefficient of a find.
 LEAST_DICE = 0.85
 
+#: Templates of at most so many bigrams are notices; marks decide between those.
+NOTICE = 400
+
 FOUND = "doc_id long, license string, start long, end long, dice_ppm long"
 
 _WORD = re.compile(r"[a-z0-9]+")
@@ -61,6 +84,22 @@ def bigrams(text: str) -> frozenset[tuple[str, str]]:
     return frozenset(zip(words, words[1:], strict=False))
 
 
+_VERSIONED = ("version", "v")
+_GNU_FAMILIES = ("lesser", "affero", "library")
+_CC_PARTS = ("by", "nc", "sa", "nd", "attribution", "noncommercial", "sharealike", "noderivatives")
+
+
+def is_mark(pair: tuple[str, str]) -> bool:
+    """Whether a bigram tells versions or families of licences apart: a version with its number, the
+    family in front of "General", a part of a Creative Commons licence with the next one."""
+    a, b = pair
+    if a in _VERSIONED:
+        return b[:1].isdigit()
+    if b == "general":
+        return a in _GNU_FAMILIES
+    return a in _CC_PARTS and (b in _CC_PARTS or b[:1].isdigit())
+
+
 class Templates:
     """Templates by size, with the licences whose templates hold a bigram."""
 
@@ -78,6 +117,7 @@ class Templates:
         self.smallest = ratio * self.sizes[0] if made else 0
         self.largest = self.sizes[-1] / ratio if made else -1
         self._ratio = ratio
+        self._marks = [frozenset(filter(is_mark, b)) for b in self.sets]
         self.holders: dict[tuple[str, str], list[int]] = {}
         for i, b in enumerate(self.sets):
             for pair in b:
@@ -98,6 +138,18 @@ class Templates:
             for t, b in enumerate(self.sets)
         ]
 
+    def agrees(self, t: int, pairs: Iterable[tuple[str, str]]) -> bool:
+        """Whether the marks of a text are those of a notice: it has no other ones, and if the notice
+        has a version or a family, one of its own. A few words must not turn one licence into another.
+        """
+        if self.sizes[t] > NOTICE:
+            return True
+        own, theirs = self._marks[t], frozenset(filter(is_mark, pairs))
+        versions = {p for p in own if p[0] in _VERSIONED}
+        return theirs <= own and all(
+            not kind or not kind.isdisjoint(theirs) for kind in (versions, own - versions)
+        )
+
     def matches(self, unit: frozenset) -> dict[str, int]:
         """Best coefficient (parts per million) of each licence that reaches the least one."""
         size = len(unit)
@@ -108,7 +160,7 @@ class Templates:
             return found
         shared = Counter(i for pair in unit for i in self.holders.get(pair, ()) if low <= i < high)
         for i, n in shared.items():
-            if 2 * n >= self.least * (size + self.sizes[i]) - 1e-9:
+            if 2 * n >= self.least * (size + self.sizes[i]) - 1e-9 and self.agrees(i, unit):
                 dice = 2_000_000 * n // (size + self.sizes[i])
                 found[self.names[i]] = max(dice, found.get(self.names[i], 0))
         return found
@@ -206,7 +258,11 @@ class Templates:
             low = "".join(letters)
             places = [place for place, letter in enumerate(letters) for _ in letter]
             spans = [m.span() for m in _WORD.finditer(low)]
-        windows = self.windows([low[a:b] for a, b in spans])
+        words = [low[a:b] for a, b in spans]
+        windows = [
+            w for w in self.windows(words)
+            if self.agrees(w[0], zip(words[w[1] : w[2]], words[w[1] + 1 : w[2] + 1], strict=True))
+        ]
         if not windows:
             return units
         if len(low) != len(text):

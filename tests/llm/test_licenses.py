@@ -7,6 +7,19 @@ from cotag.llm import licenses
 from cotag.llm.queries import QUERIES
 
 
+def agree_by_hand(text: str, template: str) -> bool:
+    def marks(t):
+        t = " ".join(re.findall(r"[a-z0-9]+", t.lower()))
+        cc = "by|nc|sa|nd|attribution|noncommercial|sharealike|noderivatives"
+        found = re.findall(rf"(?=\b((?:version|v) [0-9]\w*|(?:lesser|affero|library) general|(?:{cc}) (?:(?:{cc})|[0-9]\w*))\b)", t)
+        return set(found), {m for m in found if m.startswith("v")}
+
+    (all_text, versions), (all_own, own_versions) = marks(text), marks(template)
+    rest = all_own - own_versions
+    return all_text <= all_own and (not own_versions or bool(own_versions & versions)) and (
+        not rest or bool(rest & all_text))
+
+
 def finds_by_hand(text: str) -> set:
     """Every unit against every template."""
     def pairs(t):
@@ -29,7 +42,9 @@ def finds_by_hand(text: str) -> set:
             b = pairs(template)
             both = len(unit) + len(b)
             n = len(unit & b)
-            if unit and 2 * n >= licenses.LEAST_DICE * both - 1e-9:
+            if unit and 2 * n >= licenses.LEAST_DICE * both - 1e-9 and (
+                len(b) > licenses.NOTICE or agree_by_hand(text[start:end], template)
+            ):
                 key = name, start, end
                 best[key] = max(best.get(key, 0), 2_000_000 * n // both)
     return {(*k, v) for k, v in best.items()}
@@ -62,6 +77,32 @@ def test_query_equals_brute_force(spark, sf_dir):
     assert got == {(d["doc_id"], *f) for d in docs for f in finds_by_hand(d["text"] or "")} and got
 
 
+HEADERS = {licence: text for licence, text in licenses.TEMPLATES if "redistribute it and/or modify" in text and len(text) < 1000}
+
+
+def test_each_standard_header_gives_its_own_identifier(make_docs):
+    assert set(HEADERS) == {"GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"}
+    assert "as published by the Free Software Foundation; either version 2 of the License" in HEADERS["GPL-2.0"]
+    cases = {}
+    for licence, text in HEADERS.items():
+        wrapped = "\n".join(" * " + text[i : i + 70] for i in range(0, len(text), 70))
+        cases |= {text: licence, text.replace("This library", "Foo").replace("This program", "Foo"): licence,
+                  f"/* {text} */\nint x;\n": licence, f"before it\n\n{wrapped.replace('-', '')}": licence}
+        family = "Lesser " if licence[0] == "L" else "Affero " if licence[0] == "A" else ""
+        version = licence.split("-")[1].removesuffix(".0")
+        cases[f"Foo is licensed under the GNU {family}General Public License, version {version}."] = licence
+        for end in ("", "-only", "-or-later"):
+            cases[f"// SPDX-License-Identifier: {licence}{end}\nint main() {{}}"] = licence
+    for licence in ("MIT", "Apache-2.0", "BSD-3-Clause", "MPL-2.0"):
+        cases[f"# SPDX-License-Identifier: {licence}\nimport x"] = licence
+    texts = list(cases)
+    got = {}
+    for r in licenses.scan_licenses(make_docs(list(enumerate(texts)))).collect():
+        got.setdefault(r["doc_id"], set()).add(r["license"])
+    for i, text in enumerate(texts):
+        assert got.get(i) == {cases[text]}, text
+
+
 def test_messy(messy):
     assert licenses.scan_licenses(messy).collect() == []
     assert licenses.scan_licenses(messy.limit(0)).count() == 0
