@@ -23,6 +23,16 @@ RULES = (
     ("net/es/", "block"),
     ("net/fr/", "block"),
 )
+# Suffixes of several labels under which owners register names of their own. A fuller
+# list is a parameter; a last label that is in no suffix of the list is a suffix.
+PUBLIC_SUFFIXES = (
+    "ac.jp", "ac.uk", "co.il", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au",
+    "com.br", "com.cn", "com.hk", "com.mx", "com.pl", "com.sg", "com.tr", "com.tw", "com.ua", "edu.au",
+    "edu.cn", "gov.au", "gov.cn", "gov.uk", "ne.jp", "net.au", "net.br", "net.cn", "nhs.uk", "or.jp",
+    "or.kr", "org.au", "org.br", "org.cn", "org.nz", "org.uk", "sch.uk", "appspot.com", "blogspot.com",
+    "cloudfront.net", "github.io", "gitlab.io", "herokuapp.com", "netlify.app", "pages.dev",
+    "s3.amazonaws.com", "vercel.app", "web.app", "wordpress.com",
+)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Standard deviations of the posterior between its mean and the bound.
@@ -41,10 +51,26 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return (F.coalesce(F.translate(host, _UPPER, _LOWER), empty), F.coalesce(path, empty))
 
 
-def levels(host: Column) -> tuple[Column, Column]:
-    """Registered domain (the last two labels) and suffix (the last label) of a host."""
-    domain = F.regexp_extract(host, r"([^.]*\.)?[^.]*$", 0)
-    return domain, F.regexp_extract(host, r"[^.]*$", 0)
+def levels(
+    host: Column, suffixes: Sequence[str] = PUBLIC_SUFFIXES
+) -> tuple[Column, Column]:
+    """Registered domain and suffix of a host.
+
+    The suffix is the longest of ``suffixes`` that the host ends with at a dot or is, else its last
+    label; the registered domain has one label more, if the host has one.
+    """
+    def last(labels: int) -> Column:
+        return F.regexp_extract(host, rf"(?:[^.]*\.){{0,{labels - 1}}}[^.]*$", 0)
+
+    suffix, domain = last(1), last(2)
+    by_size: dict[int, list[str]] = {}
+    for known in suffixes:
+        by_size.setdefault(known.count(".") + 1, []).append(known)
+    for size, known in sorted(by_size.items()):  # longer ones are looked at first
+        fits = last(size).isin(known)
+        suffix = F.when(fits, last(size)).otherwise(suffix)
+        domain = F.when(fits, last(size + 1)).otherwise(domain)
+    return domain, suffix
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES) -> Column:
@@ -106,7 +132,10 @@ def _shrunk(good: str, n: str, parent: Column, strength: Column) -> Column:
 
 
 def host_reputation(
-    pages: DataFrame, labels: DataFrame, bound_sd: float = BOUND_SD
+    pages: DataFrame,
+    labels: DataFrame,
+    bound_sd: float = BOUND_SD,
+    suffixes: Sequence[str] = PUBLIC_SUFFIXES,
 ) -> DataFrame:
     """Posterior of every host: (host, labelled, good, mean, upper).
 
@@ -120,12 +149,12 @@ def host_reputation(
         .groupBy("host")
         .agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
     )
-    domain, suffix = levels(F.col("host"))
+    domain, suffix = levels(F.col("host"), suffixes)
     hosts = held(seen.withColumns({"domain": domain, "suffix": suffix})).df
     domains = hosts.groupBy("suffix", "domain").agg(
         F.sum("n").alias("dn"), F.sum("good").alias("dgood")
     )
-    suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("sn"), F.sum("good").alias("sgood"))
+    by_suffix = hosts.groupBy("suffix").agg(F.sum("n").alias("sn"), F.sum("good").alias("sgood"))
     whole = hosts.agg(
         ((F.coalesce(F.sum("good"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2))
         .alias("mean")
@@ -140,7 +169,7 @@ def host_reputation(
     host_mean = _shrunk("good", "n", F.col("dmean"), strength)
     variance = F.col("mean") * (1 - F.col("mean")) / (F.col("n") + strength + 1)
     return (
-        hosts.join(domains.join(suffixes.withColumn("smean", suffix_mean), "suffix")
+        hosts.join(domains.join(by_suffix.withColumn("smean", suffix_mean), "suffix")
                    .select("domain", domain_mean.alias("dmean")), "domain")
         .select("host", "n", "good", host_mean.alias("mean"))
         .select(
@@ -156,6 +185,7 @@ def judge_urls(
     rules: Sequence[tuple[str, str]] = RULES,
     least_good: float = LEAST_GOOD,
     bound_sd: float = BOUND_SD,
+    suffixes: Sequence[str] = PUBLIC_SUFFIXES,
 ) -> DataFrame:
     """A verdict on every page's url, one row per input row.
 
@@ -165,7 +195,7 @@ def judge_urls(
     ``page_id`` and ``url`` are read. Hosts are broadcast only if their measured size allows it.
     """
     host, path = url_parts(F.col("url"))
-    hosts = held(host_reputation(pages, labels, bound_sd))
+    hosts = held(host_reputation(pages, labels, bound_sd, suffixes))
     cut = (
         pages.select("page_id", host.alias("host"), path.alias("path"))
         .withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from compare import connect, duck_rows, spark_rows
 from conftest import plain
+from pyspark.sql import functions as F
 
 from cotag.llm import reputation as rp
 from cotag.llm.oracles import ORACLES
@@ -121,3 +122,37 @@ def test_empty_tables_and_repeats(spark, labels):
     assert rp.judge_urls(pages.limit(0), labels).count() == 0
     none = rp.judge_urls(pages, labels.limit(0))
     assert plain(none, "page_id", "verdict") == [(1, "allow"), (1, "allow"), (2, "allow")]
+
+
+@pytest.mark.parametrize("host, domain, suffix", [
+    ("www.bbc.co.uk", "bbc.co.uk", "co.uk"), ("bbc.co.uk", "bbc.co.uk", "co.uk"), ("co.uk", "co.uk", "co.uk"),
+    ("a.b.example.com", "example.com", "com"), ("example.com", "example.com", "com"), ("com", "com", "com"),
+    ("", "", ""), ("x.user.github.io", "user.github.io", "github.io"), ("notgithub.io", "notgithub.io", "io"),
+    ("a.b.s3.amazonaws.com", "b.s3.amazonaws.com", "s3.amazonaws.com"), ("x.amazonaws.com", "amazonaws.com", "com"),
+    ("..com", ".com", "com"),
+])
+def test_registered_domains(spark, host, domain, suffix):
+    row = spark.createDataFrame([(host,)], "h string").select(*rp.levels(F.col("h"))).first()
+    assert tuple(row) == (domain, suffix)
+
+
+def test_posteriors_block_bad_owners_and_spare_their_neighbours(spark):
+    """Owners under one public suffix are sites of their own; hosts inherit from their owner."""
+    hosts = ["spam.co.uk", "w1.spam.co.uk", "w2.spam.co.uk", "good.co.uk", "www.good.co.uk", "other.co.uk"]
+    pages, labels = [], []
+    for i in range(600):
+        host = hosts[i % 6]
+        pages.append((i, f"http://{host}/{i}"))
+        if host not in ("w2.spam.co.uk", "other.co.uk"):
+            labels.append((i, int("spam" not in host or i % 36 == 0), 0))
+    found = rp.judge_urls(spark.createDataFrame(pages, "page_id long, url string"),
+                          spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    verdicts = {r["host"]: r["verdict"] for r in found.collect()}
+    assert verdicts == {h: "block" if "spam" in h else "allow" for h in hosts}
+    flat = rp.judge_urls(spark.createDataFrame(pages, "page_id long, url string"),
+                         spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), suffixes=())
+    means = rp.host_reputation(spark.createDataFrame(pages, "page_id long, url string"),
+                               spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    mean = {r["host"]: r["mean"] for r in means.collect()}
+    assert mean["w2.spam.co.uk"] < mean["other.co.uk"] < mean["good.co.uk"]
+    assert flat.count() == 600
