@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cotag import schemas
+from cotag.functions.joins import held
 from cotag.functions.layout import BUCKET, account_bucket
+from cotag.functions.text import clean_account, trim_spaces
 from cotag.operators import marts, quality
-from cotag.operators.stage import tagged_post_rows
+from cotag.operators.stage import tag_parts, tagged_post_rows, tagged_posts
 from cotag.sources.tables import bloom_options
 from cotag.sources.versions import Pointer
 
@@ -134,16 +136,19 @@ class Marts:
         for name, build in self.BY_ACCOUNT.items():
             built[name] = write_by_account(build(posts, built), f"{folder}/{name}")
         if check:
-            require(expectations(posts, tagged_post_rows(posts), built))
+            require(expectations(posts, None, built))
         self._pointer.move(number, {"folder": folder})
         return built
 
 
 def expectations(
-    posts: DataFrame, stage: DataFrame, built: dict[str, DataFrame]
+    posts: DataFrame, stage: DataFrame | None, built: dict[str, DataFrame]
 ) -> DataFrame:
-    """All data tests: (check_name, failures). Row tests of one table share a pass over it."""
-    tables = {"posts": posts, "stage": stage, **built}
+    """All data tests: (check_name, failures). Row tests of one table share a pass over it.
+
+    Without ``stage`` its tests are derived from the posts' tag lists: see :func:`stage_failures`.
+    """
+    tables = {"posts": posts, **built} if stage is None else {"posts": posts, "stage": stage, **built}
 
     def counted(check: str, failing: DataFrame) -> DataFrame:
         return failing.agg(F.count(F.lit(1)).alias("failures")).select(
@@ -154,23 +159,65 @@ def expectations(
         name: {f"{name}.{c} not null": F.col(c).isNull() for c in columns}
         for name, columns in quality.REQUIRED.items()
     }
-    row_checks["stage"]["stage.tagged_account not blank"] = quality.is_blank_account()
+    row_checks["stage"][_STAGE_BLANK] = quality.is_blank_account()
     row_checks["cross_brand_accounts"]["cross_brand_accounts.tagged_account_count positive"] = (
         quality.is_without_tags()
     )
     results = [
         quality.failure_counts(tables[name], checks, "check_name")
-        for name, checks in row_checks.items()
+        for name, checks in row_checks.items() if name in tables
     ]
     results += [
         counted(f"{name} unique {', '.join(columns)}", quality.duplicate_keys(tables[name], columns))
-        for name, columns in quality.UNIQUE.items()
+        for name, columns in quality.UNIQUE.items() if name in tables
         if len(columns) == 1
     ]
     results.append(counted("edges unique pair", quality.duplicate_pairs(tables[Marts.EDGES])))
+    if stage is None:
+        results.append(stage_failures(posts))
     return reduce(DataFrame.unionByName, results)
 
 
+_STAGE_BLANK = "stage.tagged_account not blank"
+
+
+def stage_failures(posts: DataFrame) -> DataFrame:
+    """The data tests of the stage, without deriving it: (check_name, failures).
+
+    A stage row has its post's fields, so NULLs are counted as often as the post has tags, and blank
+    accounts inside the tag list, in one pass over the posts. A key holds post id and position, so
+    only posts that share an id (in a sound table there are none) can repeat one; just their rows
+    are derived and compared.
+    """
+    parts = F.filter(
+        F.transform(tag_parts(F.col("tagged_insta_id")), trim_spaces), lambda part: part != ""
+    )
+    blank = F.size(F.filter(parts, lambda part: trim_spaces(clean_account(part)) == ""))
+    rows = tagged_posts(posts).withColumns({"_rows": F.size(parts), "_blank": blank})
+    never = F.lit(0).cast("long")  # keys and accounts are made of values that are there
+    counts = {
+        f"stage.{c} not null": F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("_rows"))), never)
+        if c in rows.columns else F.max(never)
+        for c in quality.REQUIRED["stage"]
+    }
+    counts[_STAGE_BLANK] = F.coalesce(F.sum("_blank"), never)
+    found = rows.agg(*(F.coalesce(c, never).alias(f"_{i}") for i, c in enumerate(counts.values())))
+    pairs = F.array(*(
+        F.struct(F.lit(name).alias("check_name"), F.col(f"_{i}").alias("failures"))
+        for i, name in enumerate(counts)
+    ))
+    repeated = held(
+        posts.groupBy(F.col("post_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    )
+    suspects = posts.join(repeated.prepared(), F.col("post_id").eqNullSafe(F.col("_id")), "left_semi")
+    (key,) = quality.UNIQUE["stage"]
+    twice = quality.duplicate_keys(tagged_post_rows(suspects if repeated.rows else posts.limit(0)), [key])
+    unique = twice.agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(f"stage unique {key}").alias("check_name"), "failures"
+    )
+    return found.select(F.inline(pairs)).unionByName(unique)
+
+
 def require(results: DataFrame) -> None:
     """Raise when a check of :func:`expectations` has failures."""
     failed = results.filter("failures > 0").collect()

@@ -17,7 +17,7 @@ from cotag.operators.audience import (
     Audience, account_numbers, brand_bitmaps, selected_accounts, selected_by_bitmaps, selected_size,
 )
 from cotag.operators.freshness import freshness
-from cotag.plans.rebuild import ExpectationError, Marts, expectations, require
+from cotag.plans.rebuild import ExpectationError, Marts, expectations, require, stage_failures
 from cotag.schemas import ACCOUNT_TAGGED, POSTS
 from cotag.sources.tables import NotAQuery, brand_search, run_sql
 from cotag.operators.stage import tagged_post_rows
@@ -440,3 +440,26 @@ def test_expectations_name_what_fails(spark):
     with pytest.raises(ExpectationError):
         require(found)
     assert quality.null_failures(posts, ["brand_name", "post_id"]).count() == 1
+
+
+def test_stage_is_judged_without_deriving_it(spark):
+    t = datetime(2024, 3, 1, tzinfo=timezone.utc)
+    rows = [("p1", "a", "l", D1, t, "@x, @,y,,...,x"), ("p2", None, "l", None, t, " , "), ("p2", "b", "l", D1, t, "x,y"),
+            ("p2", "b", "l", D1, t, "x,z"), ("none", None, "l", D2, t, "x"), ("none", "c", "l", D2, t, "x"),
+            ("p4", "b", "l", D2, t, None), ("p5", None, "l", None, t, "@,@")]
+    posts = post_rows(spark, rows)
+    posts = posts.withColumn("post_id", F.nullif("post_id", F.lit("none"))).withColumn(
+        "brand_id", F.when(F.col("post_id") == "p1", F.lit(None)).otherwise(F.col("brand_id"))
+    )
+    for table in (posts, good_posts(spark), posts.limit(0)):
+        edges = edges_of(spark)
+        built = {"account_tagged_accounts": edges,
+                 "cross_brand_accounts": edges.select("insta_id", F.lit(0).alias("tagged_account_count"))}
+        ways = [
+            {r["check_name"]: r["failures"] for r in expectations(table, stage, built).collect()}
+            for stage in (tagged_post_rows(table), None)
+        ]
+        assert ways[0] == ways[1]
+    plan = stage_failures(good_posts(spark))._jdf.queryExecution().optimizedPlan().toString()
+    # Nothing but an empty table is exploded where no id repeats.
+    assert plan.count("posexplode") == 1 and "LocalRelation <empty>" in plan
