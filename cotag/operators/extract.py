@@ -7,6 +7,7 @@ Input ``profiles``: ``insta_id, body_text``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -316,24 +317,38 @@ def _description_date(meta_desc: Column) -> Column:
     return F.nullif(F.regexp_extract(meta_desc, DATE_IN_DESCRIPTION, 1), F.lit(""))
 
 
+def _with(value: Column, work: Callable[[Column], Column]) -> Column:
+    """``work`` of a value that is worked out once.
+
+    Spark puts a column's expression in each place that uses it, so one used n times, nested, is
+    worked out again and again; the variable of a lambda is not.
+    """
+    return F.transform(F.array(value), work)[0]
+
+
 def iso_instant(text: Column) -> Column:
     """An ISO 8601 date or date and time, extended or basic, as an instant; NULL for other texts.
 
     One pattern puts the parts of a text that fits into one layout, and nothing else is searched.
     A text without a zone is read as UTC, so neither the session's zone nor its day counts.
+    The pattern and each cut are worked out once a row, however often their parts are used.
     """
-    found = F.regexp_replace(text, ISO_TEXT, ISO_LAYOUT)
-    parts = F.split(F.substring(found, len(_FITS) + 1, 2**31 - 1), " ")
-    clock = F.split(parts[1], ":")
-    zone = parts[2]
-    hour, minute, second = (F.coalesce(F.nullif(clock[i], F.lit("")), F.lit("00")) for i in range(3))
-    shift = F.when((zone == "") | (zone == "Z"), F.lit("Z")).otherwise(
-        F.concat(F.left(zone, F.lit(3)), F.lit(":"),
-                 F.when(F.length(zone) > 3, F.right(zone, F.lit(2))).otherwise(F.lit("00")))
-    )
-    instant = F.concat(parts[0], F.lit("T"), F.concat_ws(":", hour, minute, second), shift)
-    fits = found.startswith(_FITS) & ~text.startswith(_FITS)
-    return F.when(fits, F.try_to_timestamp(instant))
+    def instant(parts: Column, clock: Column) -> Column:
+        zone = parts[2]
+        hour, minute, second = (F.coalesce(F.nullif(clock[i], F.lit("")), F.lit("00")) for i in range(3))
+        shift = F.when((zone == "") | (zone == "Z"), F.lit("Z")).otherwise(
+            F.concat(F.left(zone, F.lit(3)), F.lit(":"),
+                     F.when(F.length(zone) > 3, F.right(zone, F.lit(2))).otherwise(F.lit("00")))
+        )
+        return F.try_to_timestamp(
+            F.concat(parts[0], F.lit("T"), F.concat_ws(":", hour, minute, second), shift))
+
+    def laid_out(found: Column) -> Column:
+        cut = F.split(F.substring(found, len(_FITS) + 1, 2**31 - 1), " ")
+        return F.when(found.startswith(_FITS) & ~text.startswith(_FITS), _with(
+            cut, lambda parts: _with(F.split(parts[1], ":"), lambda clock: instant(parts, clock))))
+
+    return _with(F.regexp_replace(text, ISO_TEXT, ISO_LAYOUT), laid_out)
 
 
 def post_date(time_iso: Column, meta_desc: Column) -> Column:

@@ -105,6 +105,14 @@ def test_one_pattern_for_business_and_for_days(spark):
     assert "regexp_extract" not in plan
 
 
+def test_an_instant_is_cut_once_a_row(spark):
+    df = spark.createDataFrame([("2024-03-28T23:30+0930",)], "v string")
+    found = df.select(extract.iso_instant(F.col("v")).alias("r"))
+    assert found.first()["r"].timestamp() == datetime(2024, 3, 28, 14, tzinfo=timezone.utc).timestamp()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1 and plan.count("split(") == 2
+
+
 def test_a_grid_of_any_length_is_numbered_by_a_sort(spark):
     rows = [(b, s, f'<a href="/u/p/{(n * 7) % 50}/">') for b in ("a", "b") for s in range(30) for n in range(s, s + 9)]
     rows += [(None, 0, '<a href="/u/p/1/">')]
