@@ -6,11 +6,12 @@ import re
 import uuid
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ SHARD_TOKENS = 1 << 20
 #: Fixed value: the id that ends each document.
 END_ID = 1
 SUFFIX = ".wvt"
+#: Characters of texts that are cut into runs together.
+TOGETHER = 1 << 22
 
 _MANIFEST = "part long, number long, before long, tokens long, docs long, file string"
 _DOCS = "part long, doc_id long, inside long, n_tokens long, ids_crc32 long, ids binary"
@@ -35,6 +38,7 @@ _HITS = "part long, doc_id long, inside long, place long"
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _SIGNS = "!-&(-/:;=-@\\[-`{-~"
 _PLAIN = re.compile(f"[{_LETTERS}{_SIGNS} \t\r]*")
+_PLAIN_LINES = re.compile(f"[{_LETTERS}{_SIGNS} \t\r\n]*")
 _RUNS = re.compile(f"[{_LETTERS}]+|[{_SIGNS}]+")
 
 
@@ -69,7 +73,8 @@ class WordEncoder:
     The vocabulary drops white space, and none of its pieces, patterns or normalisations reaches
     across it, so the ids of a text are those of its lines and words. A plain line falls into runs
     of letters and of signs, which go straight to the library's merge model; the words of other
-    lines go through the whole encoder. Runs and words seen lately are kept as bytes of 32-bit ids.
+    lines go through the whole encoder. Runs and words seen lately are kept as bytes of 32-bit ids;
+    of plain lines of many texts, each distinct run is looked up once.
     """
 
     def __init__(self, path: str):
@@ -103,6 +108,55 @@ class WordEncoder:
                 found += map(self._words.__getitem__, line.encode("utf-8").split())
         return b"".join(found)
 
+    def encode_all(self, texts: Iterable[str], together: int = TOGETHER) -> Iterator[bytes]:
+        """:meth:`encode` of each text in order, for about ``together`` characters at a time."""
+        group: list[str] = []
+        size = 0
+        for text in texts:
+            if group and size + len(text) > together:
+                yield from self._encode_group(group)
+                group, size = [], 0
+            if len(text) > together:
+                yield self.encode(text)
+            else:
+                group.append(text)
+                size += len(text)
+        yield from self._encode_group(group)
+
+    def _encode_group(self, texts: list[str]) -> Iterator[bytes]:
+        plain: list[str] = []
+        parts: list[list[bytes | None]] = []  # None stands for the next one of ``plain``
+        for text in texts:
+            whole = _PLAIN_LINES.fullmatch(text)
+            parts.append([])
+            for piece in [text] if whole else text.split("\n"):
+                if whole or _PLAIN.fullmatch(piece):
+                    plain.append(piece.lower())
+                    parts[-1].append(None)
+                else:
+                    words = piece.encode("utf-8").split()
+                    parts[-1].append(b"".join(map(self._words.__getitem__, words)))
+        found = iter(self._encode_plain(plain))
+        for own in parts:
+            yield b"".join([next(found) if x is None else x for x in own])
+
+    def _encode_plain(self, pieces: list[str]) -> list[bytes]:
+        """Ids of lower-case plain pieces: white space and the ends of runs of signs cut their runs."""
+        spaced = pc.replace_substring_regex(pa.array(pieces, pa.string()), f"([{_SIGNS}]+)", r" \1 ")
+        cut = pc.ascii_split_whitespace(spaced)
+        runs = cut.values.dictionary_encode()
+        distinct = runs.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = [self._runs[run] if run else b"" for run in distinct]
+        ids = np.frombuffer(b"".join(found), np.uint32)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        codes = runs.indices.to_numpy(zero_copy_only=False)
+        sizes = size[codes]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        first = (np.cumsum(size) - size)[codes] - ends[:-1]
+        placed = ids[np.repeat(first, sizes) + np.arange(ends[-1])].tobytes()
+        bounds = (4 * ends[cut.offsets.to_numpy()]).tolist()
+        return [placed[a:b] for a, b in zip(bounds, bounds[1:])]
+
 
 @lru_cache(maxsize=1)
 def word_encoder(path: str) -> WordEncoder:
@@ -168,9 +222,9 @@ def write_tokens(
 
         for batch in batches:
             part = batch.column("_part")[0].as_py() if batch.num_rows else part
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch),
-                                    strict=True):
-                own = encoder.encode(text) + end
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(),
+                                   encoder.encode_all(texts_of(batch)), strict=True):
+                own += end
                 ids.append(own)
                 size += len(own) // 4
                 doc_ids.append(doc_id)

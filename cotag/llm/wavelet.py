@@ -28,6 +28,11 @@ PIECE = 1 << 16
 OPEN_PIECES = 256
 
 
+def _narrow(height: int) -> type[np.unsignedinteger]:
+    """The smallest type that ids of so many bits fit in; half the bytes are moved at each plane."""
+    return np.uint16 if height <= 16 else np.uint32
+
+
 def _packed(bits: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
@@ -36,6 +41,7 @@ def build(ids: np.ndarray, doc_ids: list[int | None], ends: list[int], **notes:
     """The file of ``ids``; document i ends before token ``ends[i]``. ``notes`` go to the header."""
     values = np.asarray(ids, np.uint32)
     height = max(int(values.max()).bit_length(), 1) if len(values) else 1
+    values = values.astype(_narrow(height))
     squeeze = zstandard.ZstdCompressor(level=3).compress
     body: list[bytes] = []
     size = 0
@@ -49,14 +55,13 @@ def build(ids: np.ndarray, doc_ids: list[int | None], ends: list[int], **notes:
 
     planes, zeros, ranks = [], [], []
     for level in range(height):
-        bits = (values >> np.uint32(height - 1 - level)) & np.uint32(1)
-        ones = bits.astype(bool)
+        ones = (values & values.dtype.type(1 << (height - 1 - level))) != 0
         pieces = [ones[i : i + PIECE] for i in range(0, len(ones), PIECE)]
         planes.append([put(_packed(piece)) for piece in pieces])
         before = np.cumsum([0, *(int(piece.sum()) for piece in pieces)])
         ranks.append(put(before.astype("<u8").tobytes()))
         zeros.append(len(ones) - int(before[-1]))
-        values = np.concatenate([values[~ones], values[ones]])
+        values = np.concatenate([np.compress(~ones, values), np.compress(ones, values)])
     missing = np.array([d is None for d in doc_ids], bool)
     header = {
         **notes, "tokens": len(values), "docs": len(doc_ids), "height": height, "zeros": zeros,
@@ -190,13 +195,14 @@ class WaveletFile:
     def all(self) -> np.ndarray:
         """All ids in order: the planes' partitions are undone from the last to the first."""
         n = len(self)
-        values = np.zeros(n, np.uint32)
+        kind = _narrow(self.height)
+        values = np.zeros(n, kind)
         for level in range(self.height - 1, -1, -1):
             packed = b"".join(map(self._section, self.header["planes"][level]))
             bits = np.unpackbits(np.frombuffer(packed, np.uint8), count=n, bitorder="little")
             ones = bits.view(bool)
-            before = np.empty(n, np.uint32)
+            before = np.empty(n, kind)
             before[~ones] = values[: self._zeros[level]]
-            before[ones] = values[self._zeros[level] :] | np.uint32(1 << (self.height - 1 - level))
+            before[ones] = values[self._zeros[level] :] | kind(1 << (self.height - 1 - level))
             values = before
-        return values
+        return values.astype(np.uint32)

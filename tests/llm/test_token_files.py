@@ -109,6 +109,28 @@ def test_messy(spark, messy, tmp_path):
     assert counts == {token: len(want), 1: len(rows), 49_000: 0}
 
 
+def test_many_texts_at_once():
+    """As the library has them, and a run that comes many times is looked up once for all texts."""
+    encoder = token_files.WordEncoder(WORDS)
+    library = Tokenizer.from_file(WORDS)
+    texts = ["the the, THE (the) ...the", "", " \t\r\n ", "the 12 the\nthe, the", "à la Élan, ñandú\n\nthe",
+             "日本 the\u2003the", "x" * 300, "a\x0bb", "the" * 50 + " end"] * 3
+    want = [array("I", library.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+    for together in (1, 40, 10_000):
+        assert list(encoder.encode_all(texts, together)) == want
+    assert list(encoder.encode_all([])) == [] and list(encoder.encode_all([""])) == [b""]
+
+    class Counted(dict):
+        def __getitem__(self, run):
+            asked.append(run)
+            return encoder._run(run)
+
+    asked = []
+    encoder._runs = Counted()
+    list(encoder.encode_all(["the end, the end, " * 20] * 10))
+    assert sorted(asked) == [",", "end", "the"]
+
+
 def test_empty_table(spark, messy, tmp_path):
     folder = f"{tmp_path}/none"
     assert token_files.write_tokens(messy.limit(0), folder, WORDS).count() == 0
