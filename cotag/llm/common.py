@@ -95,6 +95,24 @@ class WordTable(dict):
         return found
 
 
+_kept: dict[tuple, object] = {}
+
+
+def kept(make: Callable, of) -> object:
+    """``make(of)``, kept from task to task; a Python worker keeps one such object at a time."""
+    key = (make, of)
+    if key not in _kept:
+        release_kept()
+        _kept[key] = make(of)
+    return _kept[key]
+
+
+def release_kept() -> None:
+    """Forget what :func:`kept` holds. Workers outlive a stage, so tasks of a stage that doesn't use
+    it call this, and large tables of one stage don't lie beside the work of another."""
+    _kept.clear()
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; a missing text is empty."""
     return [t or "" for t in batch.column(name).to_pylist()]
@@ -129,6 +147,7 @@ def by_group(
     out = schema
 
     def run(batches):
+        release_kept()
         fields = pa.schema(arrow_fields(out))
         pending: list[dict] = []
         for rows in grouped_rows(batches, keys):

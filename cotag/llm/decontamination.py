@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cotag.functions.joins import held
-from cotag.llm.common import WordTable, arrow_fields, by_group, small_batches, text_key, texts_of
+from cotag.llm.common import (
+    WordTable, arrow_fields, by_group, release_kept, small_batches, text_key, texts_of,
+)
 
 WINDOW = 8
 #: A window needs so many plain words; one with fewer is hashed with its values, not its template.
@@ -95,6 +97,7 @@ def coded(word: str) -> int:
 
 def word_codes() -> WordTable:
     """Codes of words; each task makes its own table and frees it at its end."""
+    release_kept()
     return WordTable(coded)
 
 

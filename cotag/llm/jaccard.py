@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cotag.functions.joins import held, keep_matching
 from cotag.llm.common import (
-    WordTable, arrow_fields, by_group, components, small_batches, text_key, texts_of,
+    WordTable, arrow_fields, by_group, components, release_kept, small_batches, text_key, texts_of,
 )
 from cotag.session import ensure_checkpoints
 
@@ -48,6 +48,7 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 def word_hashes() -> WordTable:
     """Hashes of words; each task makes its own table and frees it at its end."""
+    release_kept()
     return WordTable(xxhash.xxh3_64_intdigest)
 
 

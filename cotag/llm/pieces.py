@@ -15,14 +15,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Sequence
-from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from cotag.llm.common import WordTable, small_batches, texts_of
+from cotag.llm.common import WordTable, kept, small_batches, texts_of
 
 # Fixed values of the model format: kinds of pieces, the mark for a space.
 NORMAL, BYTE = 1, 6
@@ -184,9 +183,8 @@ class PieceCodec:
         return surface.decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
 def _codec(model: bytes) -> PieceCodec:
-    return PieceCodec(model)
+    return kept(PieceCodec, model)
 
 
 def read_model(path: str) -> bytes:

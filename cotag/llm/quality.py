@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cotag.functions.joins import held
-from cotag.llm.common import arrow_fields, small_batches, text_key, texts_of
+from cotag.llm.common import arrow_fields, release_kept, small_batches, text_key, texts_of
 from cotag.llm.reputation import prior_strength
 from cotag.session import ensure_checkpoints
 
@@ -63,6 +63,7 @@ def featured(docs: DataFrame, host: Column, path: Column) -> DataFrame:
     names, types = zip(*arrow_fields(_FEATURED), strict=True)
 
     def run(batches):
+        release_kept()
         tables = {}
         for name, chars in CLASSES.items():
             tables[name] = np.zeros(256, np.int64)

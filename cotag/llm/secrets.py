@@ -19,7 +19,7 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cotag.llm.common import small_batches, texts_of
+from cotag.llm.common import release_kept, small_batches, texts_of
 
 # The base kinds, in this order.
 ASSIGN = re.compile(
@@ -205,6 +205,7 @@ def redact_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     names = docs.columns
 
     def run(batches):
+        release_kept()
         for batch in batches:
             texts = batch.column("text").to_pylist()
             fresh = []

@@ -10,7 +10,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cotag.llm import pieces
+from cotag.llm import decontamination, jaccard, pieces
 from cotag.llm.queries import MODEL, QUERIES
 
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
@@ -25,6 +25,17 @@ def same(text: str) -> None:
     assert decoded == LIBRARY.decode(want) == CODEC.decode(want)
 
 
+def test_a_worker_lets_go_of_the_codec_at_another_stage():
+    model = pieces.read_model(MODEL)
+    codec = pieces._codec(model)
+    assert pieces._codec(model) is codec
+    for table in (jaccard.word_hashes, decontamination.word_codes):
+        pieces._codec(model)
+        table()
+        assert pieces._codec(model) is not codec
+        codec = pieces._codec(model)
+
+
 @pytest.mark.parametrize("text", [
     "", " ", "  ", " a b  c ", "\n\t x", "日本　語😀x", "a\x00b", "▁x", "<s> <unk> <0x41>", "é", "é",
     " " * 40 + "the", "\n" * 5 + " " * 19, "a" * 5000, "ab" * 3000, "===" * 50 + "x", "��",
