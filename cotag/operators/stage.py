@@ -86,8 +86,8 @@ def distinct_tags(posts: DataFrame) -> DataFrame:
     and no shuffle on ``post_id`` is needed for it.
     """
     raw = F.transform(tag_parts(F.col("tagged_insta_id")), trim_spaces)
-    cleaned = F.transform(F.filter(raw, lambda part: part != ""), clean_account)
+    cleaned = F.transform(raw, lambda part: F.when(part != "", clean_account(part)))
     return tagged_posts(posts).select(
         *(c for c in _POST_FIELDS if c != "full_link"),
         F.explode(F.array_distinct(cleaned)).alias("tagged_account"),
-    )
+    ).filter(F.col("tagged_account").isNotNull())
