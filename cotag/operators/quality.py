@@ -45,6 +45,35 @@ def failure_counts(df: DataFrame, checks: Mapping[str, Column], label: str) -> D
     return counted.select(F.inline(pairs))
 
 
+def key_failures(
+    df: DataFrame, checks: Mapping[str, Column], keys: Sequence[str], unique: str, label: str,
+    with_nulls: bool = False,
+) -> DataFrame:
+    """:func:`failure_counts` and, named ``unique``, the number of keys that occur more than once.
+
+    One grouping finds both, so ``df`` is derived once; a hot or missing key is collapsed before the
+    shuffle. Keys with a NULL count only ``with_nulls``.
+    """
+    grouped = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *(F.count_if(c).alias(f"_{i}") for i, c in enumerate(checks.values())),
+    )
+    repeated = F.col("_rows") > 1
+    for key in () if with_nulls else keys:
+        repeated = repeated & F.col(key).isNotNull()
+    counts = {name: F.sum(f"_{i}") for i, name in enumerate(checks)} | {unique: F.count_if(repeated)}
+    found = grouped.agg(
+        *(F.coalesce(c, F.lit(0).cast("long")).alias(f"_{i}") for i, c in enumerate(counts.values()))
+    )
+    pairs = F.array(
+        *(
+            F.struct(F.lit(name).alias(label), F.col(f"_{i}").alias("failures"))
+            for i, name in enumerate(counts)
+        )
+    )
+    return found.select(F.inline(pairs))
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULLs per column in one pass: (column_name, null_count)."""
     return failure_counts(

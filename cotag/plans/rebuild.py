@@ -144,7 +144,8 @@ class Marts:
 def expectations(
     posts: DataFrame, stage: DataFrame | None, built: dict[str, DataFrame]
 ) -> DataFrame:
-    """All data tests: (check_name, failures). Row tests of one table share a pass over it.
+    """All data tests: (check_name, failures). The tests of one table share a pass over it; those of
+    a given stage take two.
 
     Without ``stage`` its tests are derived from the posts' tag lists: see :func:`stage_failures`.
     """
@@ -163,16 +164,21 @@ def expectations(
     row_checks["cross_brand_accounts"]["cross_brand_accounts.tagged_account_count positive"] = (
         quality.is_without_tags()
     )
-    results = [
-        quality.failure_counts(tables[name], checks, "check_name")
-        for name, checks in row_checks.items() if name in tables
-    ]
-    results += [
-        counted(f"{name} unique {', '.join(columns)}", quality.duplicate_keys(tables[name], columns))
-        for name, columns in quality.UNIQUE.items() if name in tables
-        if len(columns) == 1
-    ]
-    results.append(counted("edges unique pair", quality.duplicate_pairs(tables[Marts.EDGES])))
+    results = []
+    for name, checks in row_checks.items():
+        keys = quality.UNIQUE[name]
+        if name == Marts.EDGES:
+            unique = "edges unique pair"
+        else:
+            unique = f"{name} unique {', '.join(keys)}"
+        if name == "stage" and stage is not None:
+            # Its keys are as many as its rows: counting failures by key would only widen the shuffle.
+            results.append(quality.failure_counts(stage, checks, "check_name"))
+            results.append(counted(unique, quality.duplicate_keys(stage, keys)))
+        elif name in tables:
+            results.append(quality.key_failures(
+                tables[name], checks, keys, unique, "check_name", with_nulls=name == Marts.EDGES
+            ))
     if stage is None:
         results.append(stage_failures(posts))
     return reduce(DataFrame.unionByName, results)

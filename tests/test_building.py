@@ -8,6 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cotag.functions.text import SPACE_SEPARATORS, clean_account, trim_spaces
+from cotag.operators import quality
+from cotag.operators.stage import tagged_post_rows
+from cotag.plans.rebuild import expectations
 from cotag.verify import fixtures as fx
 
 
@@ -68,3 +71,32 @@ def test_cheap_trims_give_what_the_plain_ones_give(spark):
     wrong = ~(trim_spaces(t).eqNullSafe(plain[0]) & clean_account(t).eqNullSafe(plain[1]))
     assert df.filter(wrong).collect() == []
     assert "btrim" in str(trim_spaces(t)) and "octet_length" in str(trim_spaces(t))
+
+
+def test_data_tests_derive_a_summary_once(spark):
+    ids = F.concat(F.lit("u"), F.col("id").cast("string"))
+    base = spark.range(4).select(ids.alias("insta_id"))
+    edges = base.withColumn("tagged_account", F.lit("t")).filter("insta_id <> 'mark-of-edges'")
+    cross = base.withColumn("tagged_account_count", F.lit(1)).filter("insta_id <> 'mark-of-cross'")
+    posts = base.select("insta_id", *(F.lit("x").alias(c) for c in ("post_id", "brand_name", "insta_name",
+                        "brand_id", "full_link", "tagged_insta_id")), F.current_date().alias("post_date"))
+    built = {"account_tagged_accounts": edges, "cross_brand_accounts": cross}
+    found = expectations(posts, tagged_post_rows(posts), built)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "mark-of" in line]
+    assert len([x for x in filters if "mark-of-cross" in x]) == 1
+    assert len([x for x in filters if "mark-of-edges" in x]) == 1
+
+
+def test_failures_by_key_are_those_of_single_tests(spark):
+    rows = [(None, 1), (None, None), ("a", 1), ("a", 1), ("b", None), ("c", None), ("c", 2)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    checks = {"k": F.col("k").isNull(), "v": F.col("v").isNull()}
+
+    def found(table, keys, **how):
+        return dict(map(tuple, quality.key_failures(table, checks, keys, "unique", "name", **how).collect()))
+
+    assert found(df, ["k"]) == {"k": 2, "v": 3, "unique": 2}
+    assert found(df, ["k"], with_nulls=True) == {"k": 2, "v": 3, "unique": 3}
+    assert found(df, ["k", "v"]) == {"k": 2, "v": 3, "unique": 1}
+    assert found(df.limit(0), ["k"]) == {"k": 0, "v": 0, "unique": 0}
