@@ -84,10 +84,15 @@ def distinct_tags(posts: DataFrame) -> DataFrame:
     ``post_id`` is the key of ``posts``, so repeats of an account can only occur inside one tag
     list and are removed inside the row. Counting rows of this frame counts distinct posts,
     and no shuffle on ``post_id`` is needed for it.
+
+    The cleaned list is a column of its own, as Spark generates no code for an ``explode`` over
+    lambdas. It is exploded with an outer ``explode``: before an inner one Spark would test the size
+    of the list, and so clean every list twice. The row of an empty list has no account.
     """
+    fields = [c for c in _POST_FIELDS if c != "full_link"]
     raw = F.transform(tag_parts(F.col("tagged_insta_id")), trim_spaces)
     cleaned = F.transform(raw, lambda part: F.when(part != "", clean_account(part)))
-    return tagged_posts(posts).select(
-        *(c for c in _POST_FIELDS if c != "full_link"),
-        F.explode(F.array_distinct(cleaned)).alias("tagged_account"),
+    lists = tagged_posts(posts).select(*fields, F.array_distinct(cleaned).alias("_accounts"))
+    return lists.select(
+        *fields, F.explode_outer("_accounts").alias("tagged_account")
     ).filter(F.col("tagged_account").isNotNull())

@@ -177,3 +177,19 @@ def test_shares_without_any_account(spark):
     edges = marts.account_tagged(posts_of(spark, [("p", None, "n", date(2024, 1, 1), "@x")]))
     row = marts.co_brand_stats(edges).first()
     assert (row["tagged_account"], row["tagger_count"], row["tagger_ratio"]) == ("x", 0, None)
+
+
+def test_tag_lists_are_cleaned_once_and_exploded_in_generated_code(spark):
+    rows = [
+        ("p1", "u", "n", date(2024, 1, 1), " @A., a ,b,,A"),
+        ("p2", "u", "n", date(2024, 1, 1), " , ,"),
+        ("p3", "u", "n", date(2024, 1, 1), "@"),
+        ("p4", "u", "n", date(2024, 1, 1), None),
+    ]
+    found = stage.distinct_tags(posts_of(spark, rows))
+    got = sorted((r["post_id"], r["tagged_account"]) for r in found.collect())
+    assert got == [("p1", "a"), ("p1", "b"), ("p3", "")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("array_distinct") == 1
+    (line,) = [text for text in plan.splitlines() if "Generate" in text]
+    assert "*(" in line
