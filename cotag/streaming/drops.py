@@ -12,9 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 from cotag.functions.joins import held
 from cotag.operators.ingest import BatchError, check_runs, run_errors
 from cotag.plans.load import load_runs
-from cotag.schemas import BATCH
 from cotag.sources.snapshots import Delivery, PostTable
-from cotag.sources.tables import CSV_OPTIONS, read_post_csv
+from cotag.sources.tables import read_post_csv
+
+
+#: Fixed value: Spark's columns of binary files.
+_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
 def _utc_now(batch_id: int) -> datetime:
@@ -49,13 +52,15 @@ def upsert_drops(
     changes nothing that is loaded. A micro-batch that is repeated after a failure finds in the
     table that it was committed. A run that fails its checks stops the query before anything of
     its micro-batch is loaded, or is passed over and handed to ``rejected`` when that is given.
+
+    The stream itself has a row per file and reads none: only the runs are read, once.
     """
     drops = (
-        spark.readStream.schema(BATCH)
+        spark.readStream.format("binaryFile")
+        .schema(_FILE)
         .option("recursiveFileLookup", True)
-        .options(**CSV_OPTIONS)
-        .csv(folder)
-        .select("*", _run())
+        .load(folder)
+        .select(_run())
     )
     table = PostTable(spark, table_root)
 

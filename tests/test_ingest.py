@@ -342,6 +342,19 @@ def test_a_run_in_two_files_is_one_batch(spark, tmp_path):
     assert {r["post_id"] for r in table.read().collect()} == {"a", "c", "d"}
 
 
+def test_the_stream_of_runs_reads_no_posts(spark, tmp_path):
+    table = table_of(spark, tmp_path, target(spark, "a"))
+    drops = f"{tmp_path}/drops"
+    for day in (1, 2):
+        lines = [f"p{day}{i},i,n,b,b1,l,,2024-01-01,@x,1" for i in range(30)]
+        write_file(f"{drops}/brand_key=b/dt={day}/x.csv", csv_text(*lines))
+    write_file(f"{drops}/brand_key=b/dt=3/x.csv", csv_text())
+    query = upsert_drops(spark, drops, table.root, f"{tmp_path}/checkpoint", now=lambda _: T0)
+    query.awaitTermination()
+    assert table.read().count() == 61
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 3  # files
+
+
 def test_csv_keeps_outer_white_space(spark, tmp_path):
     row = (" p1 ", "i\t", "\tname ", "b", "b1", " l", "s ", "2024-01-01", " x , y ", 2)
     path = f"{tmp_path}/drops"
