@@ -102,6 +102,18 @@ def tagger_months(posts: DataFrame) -> DataFrame:
     )
 
 
+def month_runs() -> Column:
+    """One number per tagged account and month, by which rows of :func:`tagger_months` are sorted.
+
+    It keeps the rows of an account together, and of a month in it. Spark sorts a single number by
+    radix, whereas texts that begin alike (and accounts are alike in nearly all rows of a task) are
+    compared row by row.
+    """
+    month = F.coalesce(F.unix_date("month"), F.lit(-(1 << 31))).cast("long")
+    low = month.bitwiseAND(F.lit((1 << 32) - 1))
+    return F.shiftleft(F.hash("tagged_account").cast("long"), 32).bitwiseOR(low)
+
+
 def months_of_brands(months: DataFrame) -> DataFrame:
     """Per tagged account and month: distinct taggers and distinct posts, from finer rows."""
     return months.groupBy("tagged_account", "month").agg(

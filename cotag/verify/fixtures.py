@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cotag.functions.labels import utc_instant
 from cotag.operators.audience import account_numbers, brand_bitmaps
 from cotag.operators.marts import (
-    account_tagged, cross_brand_accounts, recent_posts, tagger_months,
+    account_tagged, cross_brand_accounts, month_runs, recent_posts, tagger_months,
 )
 from cotag.operators.stage import tagged_post_rows
 from cotag.plans.rebuild import write_by_account, write_mart
@@ -295,7 +295,8 @@ class Fixture:
 
     def months(self) -> DataFrame:
         return self._once("months", lambda path: write_mart(
-            tagger_months(self.posts()), path, "tagged_account", "month", "insta_id"))
+            tagger_months(self.posts()), path, "tagged_account", "month", "insta_id",
+            order=month_runs()))
 
     def cross_brand(self) -> DataFrame:
         return self._once("cross_brand", lambda path: write_mart(

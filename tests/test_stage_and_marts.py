@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cotag.functions.text import clean_account, trim_spaces
 from cotag.operators import marts, stage
+from cotag.plans.rebuild import write_mart
 
 POST = (
     "post_id string, insta_id string, insta_name string, brand_name string, brand_id string, "
@@ -193,3 +194,18 @@ def test_tag_lists_are_cleaned_once_and_exploded_in_generated_code(spark):
     assert plan.count("array_distinct") == 1
     (line,) = [text for text in plan.splitlines() if "Generate" in text]
     assert "*(" in line
+
+
+def test_months_are_sorted_by_one_number_that_keeps_runs_together(spark, tmp_path, monkeypatch):
+    days = [None, date(1, 1, 1), date(1969, 12, 1), date(1970, 1, 1), date(2024, 2, 1)]
+    rows = [(t, d, f"u{n}", 1) for n in range(4) for d in days for t in (None, "", "a", "b", "é")]
+    months = spark.createDataFrame(rows, "tagged_account string, month date, insta_id string, post_count long")
+    monkeypatch.setattr(type(months), "repartitionByRange", lambda df, *_: df.coalesce(1))
+    cluster = ("tagged_account", "month", "insta_id")
+    stored = write_mart(months, str(tmp_path / "m"), *cluster, order=marts.month_runs())
+    assert stored.columns == months.columns
+    found = [tuple(r) for r in stored.collect()]
+    assert sorted(map(str, found)) == sorted(map(str, rows))
+    runs = [row[:2] for i, row in enumerate(found) if i == 0 or row[:2] != found[i - 1][:2]]
+    assert len(runs) == 25
+    assert len([i for i, run in enumerate(runs) if i == 0 or run[0] != runs[i - 1][0]]) == 5
