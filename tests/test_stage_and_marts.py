@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cotag.functions.text import clean_account, trim_spaces
 from cotag.operators import marts, stage
+from cotag.plans import rebuild
 from cotag.plans.rebuild import write_mart
 
 POST = (
@@ -209,3 +210,20 @@ def test_months_are_sorted_by_one_number_that_keeps_runs_together(spark, tmp_pat
     runs = [row[:2] for i, row in enumerate(found) if i == 0 or row[:2] != found[i - 1][:2]]
     assert len(runs) == 25
     assert len([i for i, run in enumerate(runs) if i == 0 or run[0] != runs[i - 1][0]]) == 5
+
+
+def test_a_rebuild_sorts_months_by_one_number(spark, tmp_path, monkeypatch):
+    orders = {}
+
+    def spy(df, path, *cluster, lookup=None, order=None):
+        orders[path.rsplit("/", 1)[1]] = order
+        return write_mart(df, path, *cluster, lookup=lookup, order=order)
+
+    monkeypatch.setattr(rebuild, "write_mart", spy)
+    posts = table_with_repeats(spark)
+    built = rebuild.Marts(spark, str(tmp_path / "marts")).rebuild(posts, check=False)
+    assert [name for name, order in orders.items() if order is not None] == ["tagger_months"]
+    want = marts.tagger_months(posts)
+    got = built["tagger_months"]
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
